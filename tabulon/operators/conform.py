@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tabulon.functions.casts import cast_text, is_reject
 
@@ -95,7 +95,18 @@ def conform_to_target(df: DataFrame, target: StructType) -> DataFrame:
     ``DataFrame.to`` reorders by name and applies only safe or ANSI-checked casts:
     a BIGINT key fits an INT column unless it overflows, which fails.
     """
-    return df.to(target)
+    relaxed = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in target.fields])
+    out = df.to(relaxed)
+    required = [f.name for f in target.fields if not f.nullable]
+    if not required:
+        return out
+    checked = {
+        name: F.when(F.col(name).isNull(),
+                     F.raise_error(F.lit(f"NULL in NOT NULL column {name}"))
+                     .cast(target[name].dataType)).otherwise(F.col(name))
+        for name in required
+    }
+    return out.withColumns(checked)
 
 
 def rename_by_position(df: DataFrame, names: list[str]) -> DataFrame:

@@ -12,6 +12,7 @@ ignored): exactly one member -> ``extracted``; more than one -> ``skipped``
 
 from __future__ import annotations
 
+import io
 import zipfile
 from collections.abc import Iterator
 
@@ -55,9 +56,42 @@ def extracted_name(archive_name: str, member: str) -> str:
     return f"{folder}/{leaf}" if folder else leaf
 
 
+class _Seekable(io.RawIOBase):
+    """A ``pyarrow`` random-access file with the full ``seek`` protocol zipfile uses."""
+
+    def __init__(self, f):
+        self._f = f
+        self._size = f.size()
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._f.tell()
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        target = {0: 0, 1: self._f.tell(), 2: self._size}[whence] + offset
+        if target < 0:
+            raise OSError(22, "negative seek position")
+        self._f.seek(target)
+        return target
+
+    def readinto(self, buf) -> int:
+        data = self._f.read(len(buf))
+        buf[: len(data)] = data
+        return len(data)
+
+    def close(self) -> None:
+        self._f.close()
+        super().close()
+
+
 def _open_zip(uri: str) -> zipfile.ZipFile:
     fs, path = fs_for(uri)
-    return zipfile.ZipFile(fs.open_input_file(path))
+    return zipfile.ZipFile(io.BufferedReader(_Seekable(fs.open_input_file(path))))
 
 
 def expand_archives(spark: SparkSession, root: str, out_root: str,

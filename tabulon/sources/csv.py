@@ -112,3 +112,21 @@ def read_csv_sources(spark: SparkSession, root: str, groups: list[tuple[list[str
     for extra in frames[1:]:
         out = out.unionByName(extra, allowMissingColumns=True)
     return out
+
+
+def row_positions(df: DataFrame, out: str = "row_pos") -> DataFrame:
+    """1-based position of each row within its source (files in name order).
+
+    Uses one small per-file table (first row id, row count, offset of earlier
+    files of the same source) joined back to the rows: no window over the data
+    itself, so a huge source never has to fit one task.
+    """
+    from pyspark.sql import Window
+
+    per_file = df.groupBy(SOURCE, FILE).agg(F.min(ROW).alias("_first"),
+                                             F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(SOURCE).orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+    per_file = per_file.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    joined = df.join(per_file.select(SOURCE, FILE, "_first", "_offset"), [SOURCE, FILE])
+    return (joined.withColumn(out, (F.col(ROW) - F.col("_first") + F.col("_offset") + 1).cast("bigint"))
+            .drop("_first", "_offset"))
