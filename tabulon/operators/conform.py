@@ -66,26 +66,30 @@ def conform(df: DataFrame, schema: StructType, *, mode: str = "report",
     """
     check_columns(df.columns, schema, mode)
     keep = keep or []
+    kinds = dict(df.dtypes)
     out: list[Column] = []
-    rejects: list[Column] = []
+    flags: list[str] = []
     for field in schema.fields:
-        src = F.col(_resolve(df, field.name))
-        if dict(df.dtypes)[_resolve(df, field.name)] == "string":
-            value = cast_text(src, field.dataType)
-            if on_cast_error == "fail" and field.dataType.simpleString() != "string":
-                value = F.when(is_reject(src, value),
-                               F.raise_error(F.concat(F.lit(f"cannot convert {field.name}: '"),
-                                                      src, F.lit("'"))).cast(field.dataType)
-                               ).otherwise(value)
-            elif field.dataType.simpleString() != "string":
-                rejects.append(F.count_if(is_reject(src, value)).alias(f"rejects_{field.name}"))
-        else:
-            value = src.cast(field.dataType)
+        name = _resolve(df, field.name)
+        src = df[name]
+        is_text = kinds[name] == "string"
+        typed = field.dataType.simpleString() != "string"
+        value = cast_text(src, field.dataType) if is_text else src.cast(field.dataType)
+        if is_text and typed and on_cast_error == "fail":
+            value = F.when(is_reject(src, value),
+                           F.raise_error(F.concat(F.lit(f"cannot convert {field.name}: '"),
+                                                  src, F.lit("'"))).cast(field.dataType)
+                           ).otherwise(value)
         out.append(value.alias(field.name))
-    result = df.select(*out, *[F.col(k) for k in keep])
+        if is_text and typed and observation is not None:
+            flag = f"_reject_{field.name}"
+            out.append(is_reject(src, value).alias(flag))
+            flags.append(flag)
+    result = df.select(*out, *[df[k] for k in keep])
     if observation is not None:
-        metrics = rejects or [F.lit(0).alias("rejects")]
-        result = result.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
+        metrics = [F.count_if(F.col(f)).alias(f"rejects{f[len('_reject'):]}") for f in flags]
+        result = result.observe(observation, F.count(F.lit(1)).alias("rows"),
+                                *(metrics or [F.lit(0).alias("rejects")])).drop(*flags)
     return result
 
 

@@ -38,7 +38,8 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 LI_KEYS = ["l_orderkey", "l_linenumber"]
-LI_ORDER = ["l_partkey", "l_suppkey"]
+# Row precedence for lineitem duplicates; unique within a key at every scale.
+LI_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 
 def register(name: str, sql: str | None = None):
@@ -346,9 +347,9 @@ def composite_key_unique(spark, sf_dir):
 
 
 @register("duplicate_key_report", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                           ORDER BY l_partkey DESC, l_suppkey DESC) > 1""")
+                           ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) > 1""")
 def duplicate_key_report(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(*LI_KEYS, *LI_ORDER)
     return quality.duplicate_rows(li, LI_KEYS, LI_ORDER).select(*LI_KEYS, *LI_ORDER)
@@ -358,17 +359,16 @@ def duplicate_key_report(spark, sf_dir):
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag
 FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                           ORDER BY l_partkey DESC, l_suppkey DESC) = 1""")
+                           ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1""")
 def dedupe_keep_last(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select(*LI_KEYS, *LI_ORDER, "l_quantity",
-                                                 "l_extendedprice", "l_returnflag")
+    li = table(spark, sf_dir, "lineitem").select(*LI_KEYS, *LI_ORDER, "l_returnflag")
     return quality.keep_last(li, LI_KEYS, LI_ORDER)
 
 
 @register("flag_count", """
 SELECT l_returnflag, count(*) AS n_rows, count(*) FILTER (WHERE rn > 1) AS n_flagged
 FROM (SELECT l_returnflag, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                              ORDER BY l_partkey DESC, l_suppkey DESC) AS rn
+                                              ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn
       FROM lineitem)
 GROUP BY l_returnflag""")
 def flag_count(spark, sf_dir):

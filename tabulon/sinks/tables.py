@@ -27,6 +27,15 @@ VERSIONS_SCHEMA = "version long, label date, path string, created timestamp"
 LEDGER_SCHEMA = "file_name string, size long, version long, run long"
 
 
+def _exists(uri: str) -> bool:
+    from pyarrow import fs as pafs
+
+    from tabulon.sources.files import fs_for
+
+    fs, path = fs_for(uri)
+    return fs.get_file_info(path).type != pafs.FileType.NotFound
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None, register: bool = True):
         self.spark = spark
@@ -37,11 +46,13 @@ class TableStore:
     def _dir(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _read_log(self, folder: str, schema: str) -> DataFrame:
+        if not _exists(folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder)
+
     def versions(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(VERSIONS_SCHEMA).parquet(f"{self._dir(name)}/_versions")
-        except Exception:  # noqa: BLE001 - no version published yet
-            return self.spark.createDataFrame([], VERSIONS_SCHEMA)
+        return self._read_log(f"{self._dir(name)}/_versions", VERSIONS_SCHEMA)
 
     def current_version(self, name: str) -> int | None:
         row = self.versions(name).agg(F.max("version").alias("v")).first()
@@ -149,10 +160,7 @@ class TableStore:
 
     # -- ingest ledger (replaces a manual start index) -----------------------------
     def ledger(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self._dir(name)}/_ledger")
-        except Exception:  # noqa: BLE001 - nothing ingested yet
-            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self._read_log(f"{self._dir(name)}/_ledger", LEDGER_SCHEMA)
 
     def record_files(self, name: str, files: DataFrame, version: int, run: int) -> None:
         (files.select("file_name", "size", F.lit(version).cast("long").alias("version"),

@@ -94,7 +94,9 @@ def header_groups(inventory: DataFrame) -> tuple[DataFrame, list[tuple[list[str]
     """
     headers = file_headers(inventory).join(inventory.select("path", "source", "file_name"), "path")
     rows = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    return headers, [(list(r["header"]), list(r["paths"])) for r in rows]
+    groups = [(list(r["header"]), list(r["paths"])) for r in rows]
+    # The earliest file's spelling of a column name wins in the union.
+    return headers, sorted(groups, key=lambda g: g[1][0])
 
 
 def read_csv_sources(spark: SparkSession, root: str, groups: list[tuple[list[str], list[str]]],
