@@ -51,18 +51,24 @@ def check_cardinality(target: DataFrame, source: DataFrame, keys: list[str],
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str] | tuple[str, ...], *,
-           check: bool = True, delete_missing: bool = False) -> DataFrame:
+           check: bool = True, delete_missing: bool = False,
+           partitions: int | None = None) -> DataFrame:
     """J1 (update all columns, insert the rest), J3 with ``delete_missing``.
 
     The source is first conformed to the target's schema by name (J4: a BIGINT
     key into an INT column is narrowed, overflow fails).  With ``check`` the
     cardinality rule J2 is enforced before anything is produced; pass
     ``check=False`` when the caller has already proven source keys unique.
+    ``partitions``: the bucket count of a target read as a bucketed table; the
+    source is hash-partitioned the same way once, so the anti join shuffles
+    neither side again and every output task holds exactly one bucket.
     NULL keys follow SQL: they never match, so such source rows are inserted and
     such target rows kept (J5).
     """
     keys = list(keys)
     src = conform_to_target(source, target.schema)
+    if partitions:
+        src = src.repartition(partitions, *keys)
     if check:
         check_cardinality(target, src, keys)
     if delete_missing:

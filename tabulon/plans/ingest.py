@@ -101,11 +101,16 @@ def ingest(store: TableStore, spec: TableSpec, root: str, *, files: DataFrame |
            label: str | None = None, run: int | None = None, **options) -> int:
     """Upsert every file below ``root`` (or ``files``) into the master."""
     spark = store.spark
-    store.create_if_absent(spec.name, spec.schema)
+    keys = list(spec.keys)
+    bucket_keys = keys if spec.buckets else None
+    if not store.exists(spec.name):
+        store.publish(spec.name, spark.createDataFrame([], spec.schema),
+                      bucket_keys=bucket_keys, buckets=spec.buckets)
     prep = prepare(spark, root, spec, files=files, **options)
     master = store.read(spec.name)
-    merged = upsert(master, prep.rows, list(spec.keys), check=False)
-    version = store.publish(spec.name, merged, label=label)
+    merged = upsert(master, prep.rows, keys, check=False, partitions=spec.buckets)
+    version = store.publish(spec.name, merged, label=label, bucket_keys=bucket_keys,
+                            buckets=spec.buckets)
     run = version if run is None else run
     store.record_files(spec.name, prep.inventory, version, run)
     return version

@@ -19,6 +19,8 @@ class TableSpec:
     """A master table: declared schema plus its key.
 
     ``keys`` are case-insensitive column names (Spark's default resolution).
+    ``buckets`` publishes the master as a table bucketed on the key, so each
+    upsert reads it pre-partitioned and shuffles only the update set.
     ``null_keys`` is ``"fail"`` (the declared key is NOT NULL) or ``"insert"``
     (plain SQL MERGE semantics: a NULL key never matches, so it is inserted).
     """
@@ -28,6 +30,7 @@ class TableSpec:
     keys: tuple[str, ...]
     null_keys: str = "fail"
     date_text_max: int = 10
+    buckets: int | None = None
     options: dict = field(default_factory=dict)
 
     @property

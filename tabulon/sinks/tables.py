@@ -23,7 +23,8 @@ from pyspark.sql.types import StructType
 from tabulon.schema import ddl
 from tabulon.session import scratch_path
 
-VERSIONS_SCHEMA = "version long, label date, path string, created timestamp"
+VERSIONS_SCHEMA = ("version long, label date, path string, created timestamp, "
+                   "bucket_keys string, buckets int")
 LEDGER_SCHEMA = "file_name string, size long, version long, run long"
 
 
@@ -61,39 +62,64 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return self.current_version(name) is not None
 
-    def _catalog_point(self, name: str, path: str, schema: StructType) -> None:
+    def _catalog_point(self, name: str, path: str, schema: StructType,
+                       bucket_keys: list[str] | None = None, buckets: int | None = None) -> None:
         if not self.register:
             return
         if self.spark.catalog.tableExists(name):
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-            self.spark.catalog.refreshTable(name)
-        else:
-            self.spark.sql(f"CREATE TABLE {name} ({ddl(schema)}) USING parquet LOCATION '{path}'")
+            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(self._create_sql(name, path, schema, bucket_keys, buckets))
+
+    @staticmethod
+    def _create_sql(name, path, schema, bucket_keys=None, buckets=None) -> str:
+        clustered = ""
+        if bucket_keys:
+            cols = ", ".join(f"`{k}`" for k in bucket_keys)
+            clustered = f" CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {buckets} BUCKETS"
+        return f"CREATE TABLE {name} ({ddl(schema)}) USING parquet{clustered} LOCATION '{path}'"
 
     # -- lifecycle ---------------------------------------------------------------
     def publish(self, name: str, df: DataFrame, label: dt.date | str | None = None,
                 bucket_keys: list[str] | None = None, buckets: int | None = None) -> int:
         """Write ``df`` as the next version and make it current; returns its number.
 
-        With ``bucket_keys`` the version is hash-clustered on the key into
-        ``buckets`` files, so a later upsert finds each key in one known file.
+        With ``bucket_keys`` the version is written as a bucketed table
+        (``bucketBy(buckets, *keys)``): a later join or upsert on the key reads it
+        already hash-partitioned, so only the other side is shuffled.
         """
         current = self.current_version(name)
         version = 0 if current is None else current + 1
         path = f"{self._dir(name)}/v={version}"
-        data = df
         if bucket_keys:
-            data = df.repartition(buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions")),
-                                  *bucket_keys).sortWithinPartitions(*bucket_keys)
-        data.write.parquet(path)
+            buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            (df.write.format("parquet").bucketBy(buckets, *bucket_keys).sortBy(*bucket_keys)
+             .option("path", path).saveAsTable(self._version_table(name, version)))
+        else:
+            df.write.parquet(path)
+        self._log_version(name, version, label, path, bucket_keys, buckets)
+        self._catalog_point(name, path, df.schema, bucket_keys, buckets)
+        return version
+
+    def _version_table(self, name: str, version: int) -> str:
+        return f"{name}__v{version}"
+
+    def _log_version(self, name, version, label, path, bucket_keys=None, buckets=None) -> None:
         if isinstance(label, str):
             label = dt.date.fromisoformat(label)
         record = self.spark.createDataFrame(
-            [(version, label, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
+            [(version, label, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+              ",".join(bucket_keys) if bucket_keys else None, buckets if bucket_keys else None)],
             VERSIONS_SCHEMA)
         record.coalesce(1).write.mode("append").parquet(f"{self._dir(name)}/_versions")
-        self._catalog_point(name, path, df.schema)
-        return version
+
+    def bucketing(self, name: str, version: int | None = None) -> tuple[list[str], int] | None:
+        """``(keys, buckets)`` of a version written bucketed, else None."""
+        version = self.current_version(name) if version is None else version
+        row = (self.versions(name).where(F.col("version") == version)
+               .orderBy(F.col("created").desc()).first())
+        if row is None or not row["bucket_keys"]:
+            return None
+        return row["bucket_keys"].split(","), int(row["buckets"])
 
     def create_if_absent(self, name: str, schema: StructType | str) -> bool:
         """An empty, typed table unless one exists; existing data is untouched."""
@@ -106,15 +132,25 @@ class TableStore:
         version = self.current_version(name) if version is None else version
         if version is None:
             raise KeyError(f"table {name!r} has no version")
-        return self.spark.read.parquet(f"{self._dir(name)}/v={version}")
+        path = f"{self._dir(name)}/v={version}"
+        spec = self.bucketing(name, version)
+        if spec is None:
+            return self.spark.read.parquet(path)
+        table = self._version_table(name, version)
+        if not self.spark.catalog.tableExists(table):
+            schema = self.spark.read.parquet(path).schema
+            self.spark.sql(self._create_sql(table, path, schema, spec[0], spec[1]))
+        return self.spark.table(table)
 
     def replace(self, name: str, df: DataFrame) -> int:
         """Create-or-replace from a query (safe even when ``df`` reads ``name``)."""
         return self.publish(name, df)
 
     def reset(self, name: str) -> int:
-        """Delete all rows, keeping schema and history."""
-        return self.publish(name, self.spark.createDataFrame([], self.read(name).schema))
+        """Delete all rows, keeping schema, bucketing and history."""
+        spec = self.bucketing(name)
+        return self.publish(name, self.spark.createDataFrame([], self.read(name).schema),
+                            bucket_keys=spec[0] if spec else None, buckets=spec[1] if spec else None)
 
     def drop(self, name: str) -> None:
         if self.register:
@@ -123,12 +159,9 @@ class TableStore:
     # -- snapshots ---------------------------------------------------------------
     def label(self, name: str, version: int, label: dt.date | str) -> None:
         """Give an existing version a dated label (a new bookkeeping row)."""
-        if isinstance(label, str):
-            label = dt.date.fromisoformat(label)
-        path = f"{self._dir(name)}/v={version}"
-        self.spark.createDataFrame(
-            [(version, label, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-            VERSIONS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self._dir(name)}/_versions")
+        spec = self.bucketing(name, version)
+        self._log_version(name, version, label, f"{self._dir(name)}/v={version}",
+                          spec[0] if spec else None, spec[1] if spec else None)
 
     def as_of(self, name: str, when: dt.date | str) -> DataFrame:
         """The version carrying the greatest label on or before ``when``."""

@@ -32,3 +32,25 @@ def test_as_of(spark, scratch):
     assert store.as_of("s", "2030-01-01").count() == 3
     with pytest.raises(KeyError):
         store.as_of("s", "2023-01-01")
+
+
+def test_bucketed_versions_and_upsert(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tabulon.operators.merge import upsert
+
+    store = TableStore(spark, scratch + "/tables")
+    name = "b_" + scratch.rsplit("-", 1)[-1]
+    base = spark.range(0, 1000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    store.publish(name, base, bucket_keys=["k"], buckets=4)
+    assert store.bucketing(name) == (["k"], 4)
+    master = store.read(name)
+    desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}__v0").collect()}
+    assert desc.get("Num Buckets") == "4"
+    src = spark.range(990, 1010).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    merged = upsert(master, src, ["k"], partitions=4)
+    store.publish(name, merged, bucket_keys=["k"], buckets=4)
+    got = {r.k: r.v for r in store.read(name).collect()}
+    assert len(got) == 1010 and got[5] == "old" and got[995] == "new" and got[1005] == "new"
+    store.reset(name)
+    assert store.read(name).count() == 0 and store.bucketing(name) == (["k"], 4)
