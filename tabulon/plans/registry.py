@@ -533,6 +533,44 @@ def ingest_resume(spark, sf_dir):
     return _events_out(store.read(EVENTS_BY_USER.name))
 
 
+@register("stream_ingest_latest", EVENTS_LATEST_SQL)
+def stream_ingest_latest(spark, sf_dir):
+    from tabulon.streaming import start_arrivals
+
+    root = daily_events(spark, sf_dir)
+    store = TableStore(spark, register=False)
+    query = start_arrivals(spark, EVENTS_BY_USER, root, store, on_duplicate="keep_last")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return _events_out(store.read(EVENTS_BY_USER.name))
+
+
+@register("ingest_one_year", ORDERS_AS_DECLARED)
+def ingest_one_year(spark, sf_dir):
+    """One yearly extract merged into a master holding every other year."""
+    root = yearly_orders(spark, sf_dir)
+    inventory = file_inventory(spark, root)
+    one = sorted(r["source"] for r in inventory.select("source").distinct().collect())[1]
+    store = TableStore(spark, register=False)
+    others = _orders_typed(spark, sf_dir).where(
+        F.concat(F.lit("FY="), F.year("o_orderdate").cast("string")) != one)
+    store.publish(ORDERS.name, others, bucket_keys=list(ORDERS.keys), buckets=8)
+    ingest(store, ORDERS, root, files=inventory.where(F.col("source") == one))
+    return store.read(ORDERS.name)
+
+
+@register("file_inventory_order", """
+SELECT 'FY=' || CAST(y AS VARCHAR) AS source, CAST(dense_rank() OVER (ORDER BY y) AS BIGINT) AS seq
+FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders)""")
+def file_inventory_order(spark, sf_dir):
+    """Extracts in processing (name) order."""
+    from pyspark.sql import Window
+
+    sources = file_inventory(spark, yearly_orders(spark, sf_dir)).select("source").distinct()
+    return sources.select("source", F.dense_rank().over(Window.orderBy("source")).cast("bigint").alias("seq"))
+
+
 @register("ingest_dry_run", ORDERS_AS_DECLARED)
 def ingest_dry_run(spark, sf_dir):
     root = yearly_orders(spark, sf_dir)

@@ -58,6 +58,26 @@ def _root_path(root: str) -> str:
     return re.sub(r"^file:/*", "/", root).rstrip("/")
 
 
+def file_listing(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
+    """Spark's own recursive listing: ``path, length, modificationTime`` only."""
+    return (spark.read.format("binaryFile")
+            .option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", "true")
+            .load(root)
+            .select("path", "length", "modificationTime"))
+
+
+def inventory_from_listing(listing: DataFrame, root: str) -> DataFrame:
+    """Inventory columns for a ``binaryFile``-style listing (batch or micro-batch)."""
+    prefix = _root_path(root)
+    rel = F.regexp_replace(F.col("path"), r"^.*?\Q" + prefix + r"\E/", "")
+    return listing.select(F.substring_index(rel, "/", 1).alias("source"),
+                          rel.alias("file_name"),
+                          "path",
+                          F.col("length").alias("size"),
+                          F.col("modificationTime").alias("modified"))
+
+
 def file_inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
     """All files below ``root`` matching ``pattern``.
 
@@ -66,19 +86,7 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> Da
     relative to the root; its string order is the processing order), ``path``,
     ``size``, ``modified``.
     """
-    listing = (spark.read.format("binaryFile")
-               .option("pathGlobFilter", pattern)
-               .option("recursiveFileLookup", "true")
-               .load(root)
-               .select("path", "length", "modificationTime"))
-    prefix = _root_path(root)
-    rel = F.regexp_replace(F.col("path"), r"^.*?\Q" + prefix + r"\E/", "")
-    return (listing
-            .select(F.substring_index(rel, "/", 1).alias("source"),
-                    rel.alias("file_name"),
-                    "path",
-                    F.col("length").alias("size"),
-                    F.col("modificationTime").alias("modified")))
+    return inventory_from_listing(file_listing(spark, root, pattern), root)
 
 
 def _first_record(uri: str, sep: str, quote: str) -> list[str]:
