@@ -30,14 +30,14 @@ from tabulon.operators.quality import GateFailed, keep_last
 from tabulon.schema import TableSpec
 from tabulon.session import stage
 from tabulon.sinks.tables import TableStore
-from tabulon.sources.csv import FILE, ROW, SOURCE, header_groups, read_csv_sources
+from tabulon.sources.csv import FILE, ROW, SEQ, SOURCE, read_csv_sources, scan_files
 from tabulon.sources.files import file_inventory
 
 
 @dataclass
 class Prepared:
     rows: DataFrame        # one row per key (NULL keys kept as SQL would insert them)
-    typed: DataFrame       # every conformed row with _source, _file, _row (staged)
+    typed: DataFrame       # every conformed row with _source, _file, _seq, _row (staged)
     headers: DataFrame     # per file: path, header, source, file_name
     extras: DataFrame      # P3: (source, file_name, extra_column)
     inventory: DataFrame
@@ -56,10 +56,10 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
     """
     keys = list(spec.keys)
     inventory = files if files is not None else file_inventory(spark, root, pattern)
-    headers, groups = header_groups(inventory)
-    for header, paths in groups:
+    files_set = scan_files(inventory, root)
+    for header, paths in files_set.groups():
         check_columns(header, spec.schema, conform_mode, where=paths[0])
-    raw = read_csv_sources(spark, root, groups)
+    raw = read_csv_sources(spark, files_set)
 
     # Q2 and row counts are observed during the staging write: no extra pass.
     date_cols = spec.fields_of(DateType)
@@ -70,7 +70,7 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
         *[F.max(F.length(F.col(resolved[d.lower()]))).alias(f"len_{d}") for d in date_cols])
     rejects = Observation("ingest_rejects")
     typed = conform(observed, spec.schema, mode=conform_mode, on_cast_error=on_cast_error,
-                    keep=[SOURCE, FILE, ROW], observation=rejects)
+                    keep=[SOURCE, FILE, SEQ, ROW], observation=rejects)
     if stage_rows:
         typed = stage(typed, "ingest-stage")
         metrics = {**obs.get, **rejects.get}
@@ -87,13 +87,15 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
         if bad:
             raise GateFailed(f"NULL key {keys} in {[tuple(r) for r in bad]}")
     if on_duplicate == "fail":
-        dup = (typed.where(no_null).groupBy(FILE, *keys).count()
+        dup = (typed.where(no_null).groupBy(SEQ, *keys).count()
                .where(F.col("count") > 1).limit(20).collect())
         if dup:
             raise GateFailed(f"key {keys} not unique within a file: {[tuple(r) for r in dup]}")
 
-    latest = keep_last(typed, keys, [FILE, ROW], nulls_equal=False)
+    # Only the data and two integers travel through the shuffle.
+    latest = keep_last(typed.select(*spec.names, SEQ, ROW), keys, [SEQ, ROW], nulls_equal=False)
     rows = latest.select(*spec.names)
+    headers = files_set.headers(spark)
     return Prepared(rows, typed, headers, extra_columns(headers, spec.schema), inventory, metrics)
 
 

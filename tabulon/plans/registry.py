@@ -28,8 +28,9 @@ from tabulon.schema import (DOCUMENTS_SCHEMA, EVENTS_BY_USER, LINEITEM_SCHEMA, O
 from tabulon.session import scratch_path
 from tabulon.sinks.tables import TableStore
 from tabulon.sources.archives import expand_archives, nth_lines
-from tabulon.sources.csv import (CSV_WRITE_OPTIONS, FILE, ROW, SOURCE, header_groups,
-                                 read_csv_inferred, read_csv_sources, read_csv_text, row_positions)
+from tabulon.sources.csv import (CSV_WRITE_OPTIONS, ROW, SEQ, SOURCE, header_groups,
+                                 read_csv_inferred, read_csv_sources, read_csv_text, row_positions,
+                                 scan_files)
 from tabulon.sources.files import file_inventory
 from tabulon.sources.literals import literal_frame
 
@@ -148,9 +149,8 @@ SELECT 'FY=' || CAST(year(o_orderdate) AS VARCHAR) AS source, o_orderkey,
 FROM orders""")
 def row_order_in_file(spark, sf_dir):
     root = yearly_orders(spark, sf_dir)
-    _, groups = header_groups(file_inventory(spark, root))
-    raw = read_csv_sources(spark, root, groups)
-    keyed = raw.select(SOURCE, FILE, ROW, lenient_long("o_orderkey").alias("o_orderkey"))
+    raw = read_csv_sources(spark, scan_files(file_inventory(spark, root), root))
+    keyed = raw.select(SOURCE, SEQ, ROW, lenient_long("o_orderkey").alias("o_orderkey"))
     return row_positions(keyed).select(F.col(SOURCE).alias("source"), "o_orderkey", "row_pos")
 
 
@@ -160,9 +160,9 @@ SELECT 'FY=' || CAST(y AS VARCHAR) AS source, count(*) AS n_rows,
 FROM (SELECT year(o_orderdate) AS y FROM orders) GROUP BY y""")
 def file_row_counts(spark, sf_dir):
     root = yearly_orders(spark, sf_dir)
-    headers, groups = header_groups(file_inventory(spark, root))
-    counts = profile.rows_per_group(read_csv_sources(spark, root, groups), SOURCE)
-    widths = headers.groupBy(F.col("source").alias(SOURCE)).agg(
+    files_set = scan_files(file_inventory(spark, root), root)
+    counts = profile.rows_per_group(read_csv_sources(spark, files_set), SOURCE)
+    widths = files_set.headers(spark).groupBy(F.col("source").alias(SOURCE)).agg(
         F.max(F.size("header")).cast("bigint").alias("n_columns"))
     return counts.join(widths, SOURCE).select(F.col(SOURCE).alias("source"), "n_rows", "n_columns")
 

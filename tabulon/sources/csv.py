@@ -15,6 +15,8 @@ unions by name.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -40,9 +42,51 @@ CSV_WRITE_OPTIONS = {
 # ---------------------------------------------------------------------------------
 
 ROW = "_row"        # row order within its file (monotonic, from the scan)
+SEQ = "_seq"        # file order: rank of the file name below the root
 FILE = "_file"      # file name relative to the inventory root
 SOURCE = "_source"  # first path component: one yearly extract
 
+# Above this many files the file table is joined without a broadcast.
+BROADCAST_MAX_FILES = 100_000
+
+
+@dataclass
+class FileSet:
+    """The files of one read, with their headers: metadata only, never data.
+
+    ``files`` holds one dict per file (``path``, ``path_key``, ``file_name``,
+    ``source``, ``header``, ``seq``); ``seq`` ranks file names, which is the
+    processing order.
+    """
+
+    root: str
+    files: list[dict]
+
+    def groups(self) -> list[tuple[list[str], list[str]]]:
+        """Distinct headers with their files; the earliest file's group first."""
+        by_header: dict[tuple, list[str]] = {}
+        for f in self.files:
+            by_header.setdefault(tuple(f["header"]), []).append(f["path"])
+        return [(list(h), paths) for h, paths in by_header.items()]
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows = [(f["path_key"], f["seq"], f["file_name"], f["source"]) for f in self.files]
+        return spark.createDataFrame(rows, f"path_key string, {SEQ} int, {FILE} string, {SOURCE} string")
+
+    def headers(self, spark: SparkSession) -> DataFrame:
+        rows = [(f["path"], f["source"], f["file_name"], list(f["header"])) for f in self.files]
+        return spark.createDataFrame(rows, "path string, source string, file_name string, header array<string>")
+
+
+def scan_files(inventory: DataFrame, root: str) -> FileSet:
+    """Sniff every file's header (inside tasks) and collect the file metadata."""
+    heads = file_headers(inventory)
+    meta = heads.join(inventory.select("path", "path_key", "file_name", "source"), "path").collect()
+    files = sorted((r.asDict() for r in meta), key=lambda f: f["file_name"])
+    for seq, f in enumerate(files):
+        f["seq"] = seq
+    return FileSet(root, files)
+
 
 def read_csv_text(spark: SparkSession, paths: str | list[str], schema: StructType | None = None,
                   **options: str) -> DataFrame:
@@ -66,54 +110,41 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists",
     writer.csv(path)
 
 
-def _relative(path_col, root_prefix: str):
-    return F.regexp_replace(path_col, r"^.*?\Q" + root_prefix + r"\E/", "")
+def header_groups(inventory: DataFrame, root: str = "") -> tuple[DataFrame, list[tuple[list[str], list[str]]]]:
+    """Per-file headers as a DataFrame, and the distinct headers with their files."""
+    fs = scan_files(inventory, root)
+    return fs.headers(inventory.sparkSession), fs.groups()
 
 
-def with_file_order(df: DataFrame, root: str) -> DataFrame:
-    """Add ``_row`` (scan order), ``_file`` and ``_source`` to a fresh CSV scan.
+def read_csv_sources(spark: SparkSession, files: FileSet, **options: str) -> DataFrame:
+    """One text reader per distinct header, unioned by name, with file order.
 
-    Must be applied directly on the scan, before any filter or shuffle: the id
-    is assigned in the order the reader produces rows.
+    Adds ``_row`` (taken on the scan, so it is the order within the file),
+    ``_seq`` (file order), ``_file`` and ``_source``.  Rows are matched to their
+    file by ``_metadata.file_path`` against the file table, which is broadcast
+    when its size (the number of files, known here) allows.
     """
-    import re
-
-    prefix = re.sub(r"^file:/*", "/", root).rstrip("/")
-    rel = _relative(F.col("_metadata.file_path"), prefix)
-    return df.select("*",
-                     F.monotonically_increasing_id().alias(ROW),
-                     rel.alias(FILE),
-                     F.substring_index(rel, "/", 1).alias(SOURCE))
-
-
-def header_groups(inventory: DataFrame) -> tuple[DataFrame, list[tuple[list[str], list[str]]]]:
-    """Headers per file, and the distinct headers with their files.
-
-    The per-file table has one row per file (metadata, not data) and is what the
-    driver receives; the data itself is never collected.
-    """
-    headers = file_headers(inventory).join(inventory.select("path", "source", "file_name"), "path")
-    rows = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    groups = [(list(r["header"]), list(r["paths"])) for r in rows]
-    # The earliest file's spelling of a column name wins in the union.
-    return headers, sorted(groups, key=lambda g: g[1][0])
-
-
-def read_csv_sources(spark: SparkSession, root: str, groups: list[tuple[list[str], list[str]]],
-                     **options: str) -> DataFrame:
-    """One text reader per distinct header, unioned by name, with file order."""
     frames = []
-    for header, paths in groups:
+    for header, paths in files.groups():
         if len(set(h.lower() for h in header)) != len(header):
             raise ValueError(f"duplicate column names in header {header} of {paths[:3]}")
         schema = StructType([StructField(h, StringType(), True) for h in header])
-        frames.append(with_file_order(read_csv_text(spark, paths, schema, **options), root))
+        scan = read_csv_text(spark, paths, schema, **options)
+        frames.append(scan.select("*", F.monotonically_increasing_id().alias(ROW),
+                                  F.col("_metadata.file_path").alias("_path_key")))
     if not frames:
-        raise FileNotFoundError(f"no files to read below {root}")
+        raise FileNotFoundError(f"no files to read below {files.root}")
     out = frames[0]
     for extra in frames[1:]:
         out = out.unionByName(extra, allowMissingColumns=True)
-    return out
+    lookup = files.table(spark)
+    if len(files.files) <= BROADCAST_MAX_FILES:
+        lookup = F.broadcast(lookup)
+    joined = out.join(lookup, out["_path_key"] == lookup["path_key"], "left")
+    checked = F.when(F.col(SEQ).isNull(),
+                     F.raise_error(F.concat(F.lit("row from unlisted file "), F.col("_path_key")))
+                     .cast("int")).otherwise(F.col(SEQ))
+    return joined.withColumn(SEQ, checked).drop("_path_key", "path_key")
 
 
 def row_positions(df: DataFrame, out: str = "row_pos") -> DataFrame:
@@ -125,10 +156,10 @@ def row_positions(df: DataFrame, out: str = "row_pos") -> DataFrame:
     """
     from pyspark.sql import Window
 
-    per_file = df.groupBy(SOURCE, FILE).agg(F.min(ROW).alias("_first"),
-                                             F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(SOURCE).orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+    per_file = df.groupBy(SOURCE, SEQ).agg(F.min(ROW).alias("_first"),
+                                            F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(SOURCE).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, -1)
     per_file = per_file.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    joined = df.join(per_file.select(SOURCE, FILE, "_first", "_offset"), [SOURCE, FILE])
+    joined = df.join(per_file.select(SOURCE, SEQ, "_first", "_offset"), [SOURCE, SEQ])
     return (joined.withColumn(out, (F.col(ROW) - F.col("_first") + F.col("_offset") + 1).cast("bigint"))
             .drop("_first", "_offset"))

@@ -64,18 +64,25 @@ def file_listing(spark: SparkSession, root: str, pattern: str = "*.csv") -> Data
             .option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", "true")
             .load(root)
-            .select("path", "length", "modificationTime"))
+            .select("path", "length", "modificationTime",
+                    F.col("_metadata.file_path").alias("path_key")))
 
 
 def inventory_from_listing(listing: DataFrame, root: str) -> DataFrame:
-    """Inventory columns for a ``binaryFile``-style listing (batch or micro-batch)."""
+    """Inventory columns for a ``binaryFile``-style listing (batch or micro-batch).
+
+    ``path`` is the plain path (for opening the file); ``path_key`` is Spark's
+    URL-encoded form, equal to ``_metadata.file_path`` of any scan of the file,
+    and is what rows are matched to their file by.
+    """
     prefix = _root_path(root)
     rel = F.regexp_replace(F.col("path"), r"^.*?\Q" + prefix + r"\E/", "")
     return listing.select(F.substring_index(rel, "/", 1).alias("source"),
                           rel.alias("file_name"),
                           "path",
                           F.col("length").alias("size"),
-                          F.col("modificationTime").alias("modified"))
+                          F.col("modificationTime").alias("modified"),
+                          "path_key")
 
 
 def file_inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
@@ -84,7 +91,7 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> Da
     Columns: ``source`` (first path component below the root: a yearly file, or
     a folder of part files forming one yearly extract), ``file_name`` (path
     relative to the root; its string order is the processing order), ``path``,
-    ``size``, ``modified``.
+    ``size``, ``modified``, ``path_key``.
     """
     return inventory_from_listing(file_listing(spark, root, pattern), root)
 

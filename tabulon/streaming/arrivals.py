@@ -15,6 +15,7 @@ A retried micro-batch re-applies the same upsert, which is idempotent.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabulon.plans.ingest import ingest
@@ -37,7 +38,8 @@ def start_arrivals(spark: SparkSession, spec: TableSpec, root: str, store: Table
               .option("recursiveFileLookup", "true"))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    listing = reader.load(root).select("path", "length", "modificationTime")
+    listing = reader.load(root).select("path", "length", "modificationTime",
+                                       F.col("_metadata.file_path").alias("path_key"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         files = inventory_from_listing(batch, root)

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tabulon.operators.conform import extra_columns
 from tabulon.schema import ORDERS_SCHEMA
-from tabulon.sources.csv import (FILE, ROW, SOURCE, header_groups, read_csv_sources, read_csv_text,
-                                 row_positions, write_csv)
+from tabulon.sources.csv import (SOURCE, header_groups, read_csv_sources, read_csv_text,
+                                 row_positions, scan_files, write_csv)
 from tabulon.sources.files import file_inventory
 
 from conftest import local_dir
@@ -43,7 +43,7 @@ def test_header_drift_is_mapped_by_name(spark, scratch):
     inv = file_inventory(spark, scratch)
     headers, groups = header_groups(inv)
     assert len(groups) == 2
-    df = read_csv_sources(spark, scratch, groups)
+    df = read_csv_sources(spark, scan_files(inv, scratch))
     got = sorted((r["k"], r["v"], r[SOURCE]) for r in df.collect())
     assert got == [("1", "a", "FY1"), ("2", "b", "FY1"), ("3", "c", "FY2"), ("4", "d", "FY2")]
     from pyspark.sql.types import StringType, StructField, StructType
@@ -59,12 +59,23 @@ def test_row_positions_follow_file_order(spark, scratch):
         with open(os.path.join(d, "S", name), "w") as fh:
             fh.write("n\n" + "".join(f"{start + i}\n" for i in range(50)))
     inv = file_inventory(spark, scratch)
-    _, groups = header_groups(inv)
-    df = row_positions(read_csv_sources(spark, scratch, groups))
+    df = row_positions(read_csv_sources(spark, scan_files(inv, scratch)))
     got = sorted((int(r["n"]), r["row_pos"]) for r in df.collect())
     assert got == [(i, i + 1) for i in range(50)] + [(100 + i, 51 + i) for i in range(50)]
 
 
+def test_paths_with_spaces(spark, scratch):
+    d = local_dir(scratch + "/a dir")
+    os.makedirs(os.path.join(d, "FY 1"), exist_ok=True)
+    with open(os.path.join(d, "FY 1", "x y.csv"), "w") as fh:
+        fh.write("n\n1\n2\n")
+    inv = file_inventory(spark, scratch + "/a dir")
+    assert [(r.source, r.file_name) for r in inv.collect()] == [("FY 1", "FY 1/x y.csv")]
+    df = read_csv_sources(spark, scan_files(inv, scratch + "/a dir"))
+    assert sorted((r["n"], r["_source"], r["_file"], r["_seq"]) for r in df.collect()) == \
+        [("1", "FY 1", "FY 1/x y.csv", 0), ("2", "FY 1", "FY 1/x y.csv", 0)]
+
+
 def test_inventory_skips_hidden(spark, scratch):
     d = local_dir(scratch)
     for name in ("a.csv", ".hidden.csv", "_tmp.csv"):
