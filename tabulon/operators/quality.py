@@ -40,6 +40,11 @@ def uniqueness_summary(df: DataFrame, keys: list[str]) -> DataFrame:
     ).withColumn("is_unique", F.col("n_duplicate_keys") == 0)
 
 
+def drop_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
+    """A3: one arbitrary row per key (only the row count is deterministic)."""
+    return df.dropDuplicates(keys)
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return key_counts(df, keys).where(F.col("n") > 1)
 

@@ -79,7 +79,13 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
         if too_long:
             raise GateFailed(f"date text longer than {spec.date_text_max}: {too_long}")
     else:
-        metrics = {}
+        # Dry run without staging: the date-text gate still runs, as one aggregate.
+        lengths = raw.agg(*[F.max(F.length(F.col(resolved[d.lower()]))).alias(f"len_{d}")
+                            for d in date_cols]).first() if date_cols else None
+        metrics = lengths.asDict() if lengths is not None else {}
+        too_long = {k: v for k, v in metrics.items() if v is not None and v > spec.date_text_max}
+        if too_long:
+            raise GateFailed(f"date text longer than {spec.date_text_max}: {too_long}")
 
     no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     if spec.null_keys == "fail":

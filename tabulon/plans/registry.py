@@ -585,7 +585,8 @@ UNION ALL SELECT 3, 'load', count(*) FROM orders
 UNION ALL SELECT 4, 'create_if_absent', count(*) FROM orders
 UNION ALL SELECT 5, 'replace', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders
 UNION ALL SELECT 6, 'sql_scan', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders
-UNION ALL SELECT 7, 'reset', 0""")
+UNION ALL SELECT 7, 'reset', 0
+UNION ALL SELECT 8, 'temp_view_merge', count(*) FROM orders""")
 def table_lifecycle(spark, sf_dir):
     store = TableStore(spark)
     name = f"lifecycle_{uuid.uuid4().hex[:10]}"
@@ -604,6 +605,12 @@ def table_lifecycle(spark, sf_dir):
     steps.append((6, "sql_scan", spark.sql(f"SELECT count(*) AS n FROM {name}").first()["n"]))
     store.reset(name)
     steps.append((7, "reset", store.read(name).count()))
+    # An update set exposed to SQL as a temp view, merged by name.
+    view = f"v_{name}"
+    o.createOrReplaceTempView(view)
+    store.publish(name, upsert(store.read(name), spark.table(view), ["o_orderkey"], check=False))
+    steps.append((8, "temp_view_merge", spark.sql(f"SELECT count(*) AS n FROM {name}").first()["n"]))
+    spark.catalog.dropTempView(view)
     store.drop(name)
     return spark.createDataFrame(steps, "step int, action string, n_rows long")
 

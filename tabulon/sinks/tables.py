@@ -42,6 +42,9 @@ class TableStore:
         self.spark = spark
         self.root = (root or scratch_path(spark, "tables")).rstrip("/")
         self.register = register
+        # Single writer: version metadata is read from storage once per table,
+        # then kept up to date by this object's own publishes.
+        self._log: dict[str, list[dict]] = {}
 
     # -- paths and bookkeeping -------------------------------------------------
     def _dir(self, name: str) -> str:
@@ -55,9 +58,14 @@ class TableStore:
     def versions(self, name: str) -> DataFrame:
         return self._read_log(f"{self._dir(name)}/_versions", VERSIONS_SCHEMA)
 
+    def _entries(self, name: str) -> list[dict]:
+        if name not in self._log:
+            self._log[name] = [r.asDict() for r in self.versions(name).collect()]
+        return self._log[name]
+
     def current_version(self, name: str) -> int | None:
-        row = self.versions(name).agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        versions = [e["version"] for e in self._entries(name)]
+        return max(versions) if versions else None
 
     def exists(self, name: str) -> bool:
         return self.current_version(name) is not None
@@ -106,20 +114,20 @@ class TableStore:
     def _log_version(self, name, version, label, path, bucket_keys=None, buckets=None) -> None:
         if isinstance(label, str):
             label = dt.date.fromisoformat(label)
-        record = self.spark.createDataFrame(
-            [(version, label, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-              ",".join(bucket_keys) if bucket_keys else None, buckets if bucket_keys else None)],
-            VERSIONS_SCHEMA)
+        entry = (version, label, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+                 ",".join(bucket_keys) if bucket_keys else None, buckets if bucket_keys else None)
+        record = self.spark.createDataFrame([entry], VERSIONS_SCHEMA)
         record.coalesce(1).write.mode("append").parquet(f"{self._dir(name)}/_versions")
+        self._entries(name).append(dict(zip(
+            ["version", "label", "path", "created", "bucket_keys", "buckets"], entry)))
 
     def bucketing(self, name: str, version: int | None = None) -> tuple[list[str], int] | None:
         """``(keys, buckets)`` of a version written bucketed, else None."""
         version = self.current_version(name) if version is None else version
-        row = (self.versions(name).where(F.col("version") == version)
-               .orderBy(F.col("created").desc()).first())
-        if row is None or not row["bucket_keys"]:
+        rows = [e for e in self._entries(name) if e["version"] == version]
+        if not rows or not rows[-1]["bucket_keys"]:
             return None
-        return row["bucket_keys"].split(","), int(row["buckets"])
+        return rows[-1]["bucket_keys"].split(","), int(rows[-1]["buckets"])
 
     def create_if_absent(self, name: str, schema: StructType | str) -> bool:
         """An empty, typed table unless one exists; existing data is untouched."""
@@ -167,11 +175,11 @@ class TableStore:
         """The version carrying the greatest label on or before ``when``."""
         if isinstance(when, str):
             when = dt.date.fromisoformat(when)
-        row = (self.versions(name).where(F.col("label") <= F.lit(when))
-               .orderBy(F.col("label").desc(), F.col("version").desc()).first())
-        if row is None:
+        labelled = [e for e in self._entries(name) if e["label"] is not None and e["label"] <= when]
+        if not labelled:
             raise KeyError(f"table {name!r} has no snapshot on or before {when}")
-        return self.read(name, int(row["version"]))
+        best = max(labelled, key=lambda e: (e["label"], e["version"]))
+        return self.read(name, int(best["version"]))
 
     # -- inspection ----------------------------------------------------------------
     def detail(self, name: str) -> DataFrame:

@@ -79,10 +79,20 @@ class FileSet:
 
 
 def scan_files(inventory: DataFrame, root: str) -> FileSet:
-    """Sniff every file's header (inside tasks) and collect the file metadata."""
-    heads = file_headers(inventory)
-    meta = heads.join(inventory.select("path", "path_key", "file_name", "source"), "path").collect()
-    files = sorted((r.asDict() for r in meta), key=lambda f: f["file_name"])
+    """Sniff every file's header (inside tasks) and collect the file metadata.
+
+    Files are grouped by header on the executors, so each distinct header
+    reaches the driver once, followed by the short records of its files.
+    """
+    heads = file_headers(inventory).join(
+        inventory.select("path", "path_key", "file_name", "source"), "path")
+    grouped = heads.groupBy("header").agg(
+        F.collect_list(F.struct("path", "path_key", "file_name", "source")).alias("files")).collect()
+    files = []
+    for g in grouped:
+        header = list(g["header"])
+        files.extend({**f.asDict(), "header": header} for f in g["files"])
+    files.sort(key=lambda f: f["file_name"])
     for seq, f in enumerate(files):
         f["seq"] = seq
     return FileSet(root, files)

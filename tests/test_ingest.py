@@ -79,6 +79,13 @@ def test_null_key_and_long_date_fail(spark, scratch):
         prepare(spark, scratch + "-b", SPEC)
 
 
+def test_dry_run_still_gates(spark, scratch):
+    d = local_dir(scratch)
+    write(d, "a.csv", "ID,NAME,START\n1,x,2008-01-28 00:00\n")
+    with pytest.raises(GateFailed):
+        prepare(spark, scratch, SPEC, stage_rows=False)
+
+
 def test_strict_columns(spark, scratch):
     from tabulon.operators.conform import SchemaMismatch
 

@@ -52,3 +52,8 @@ def test_gate_rows(spark):
     got = {r.gate: (r.value, r.passed) for r in quality.gate_rows(df, ["k"], ["k", "d"], ["d"], "t").collect()}
     assert got == {"key_unique": (1, False), "non_empty": (2, True), "column_set": (0, True),
                    "date_text_length": (10, True)}
+
+
+def test_drop_duplicates_count(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k bigint, v string")
+    assert quality.drop_duplicates(df, ["k"]).count() == 3
