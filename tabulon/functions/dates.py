@@ -44,14 +44,24 @@ def _in_range(d: Column) -> Column:
                             F.lit(LAST_VALID_DATE).cast("date")), d)
 
 
+def _repair_blank(text: Column, pattern: str) -> Column:
+    """Drop one blank before a one-digit day; the regex only runs on text with a blank."""
+    return F.when(text.contains(" "), F.regexp_replace(text, pattern, "$1$2")).otherwise(text)
+
+
 def _iso(text: Column) -> Column:
-    repaired = F.regexp_replace(text, r"^(\d{4}-\d{1,2}-) ([1-9])$", "$1$2")
-    return F.when(repaired.rlike(ISO_SHAPE), F.try_to_date(repaired, "yyyy-M-d"))
+    repaired = _repair_blank(text, r"^(\d{4}-\d{1,2}-) ([1-9])$")
+    # The shape check pins the text to y-m-d digits, so Spark's own (fast)
+    # string-to-date cast reads exactly what the pattern "yyyy-M-d" would.
+    return F.when(repaired.rlike(ISO_SHAPE), repaired.try_cast("date"))
 
 
 def _us(text: Column) -> Column:
-    repaired = F.regexp_replace(text, r"^(\d{1,2}/) ([1-9]/\d{4})$", "$1$2")
-    return F.when(repaired.rlike(US_SHAPE), F.try_to_date(repaired, "M/d/yyyy"))
+    repaired = _repair_blank(text, r"^(\d{1,2}/) ([1-9]/\d{4})$")
+    as_iso = F.concat(F.substring_index(repaired, "/", -1), F.lit("-"),
+                      F.substring_index(repaired, "/", 1), F.lit("-"),
+                      F.substring_index(F.substring_index(repaired, "/", 2), "/", -1))
+    return F.when(repaired.rlike(US_SHAPE), as_iso.try_cast("date"))
 
 
 def lenient_date(c: Column | str) -> Column:

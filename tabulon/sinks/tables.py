@@ -109,7 +109,11 @@ class TableStore:
         return version
 
     def _version_table(self, name: str, version: int) -> str:
-        return f"{name}__v{version}"
+        """Catalog name of one bucketed version, unique per store root."""
+        import hashlib
+
+        tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
+        return f"{name}__{tag}__v{version}"
 
     def _log_version(self, name, version, label, path, bucket_keys=None, buckets=None) -> None:
         if isinstance(label, str):

@@ -45,7 +45,8 @@ def test_bucketed_versions_and_upsert(spark, scratch):
     store.publish(name, base, bucket_keys=["k"], buckets=4)
     assert store.bucketing(name) == (["k"], 4)
     master = store.read(name)
-    desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}__v0").collect()}
+    desc = {r.col_name: r.data_type
+            for r in spark.sql(f"DESCRIBE TABLE EXTENDED {store._version_table(name, 0)}").collect()}
     assert desc.get("Num Buckets") == "4"
     src = spark.range(990, 1010).select(F.col("id").alias("k"), F.lit("new").alias("v"))
     merged = upsert(master, src, ["k"], partitions=4)
