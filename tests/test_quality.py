@@ -57,3 +57,16 @@ def test_gate_rows(spark):
 def test_drop_duplicates_count(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k bigint, v string")
     assert quality.drop_duplicates(df, ["k"]).count() == 3
+
+
+def test_column_profile_brute_force(spark):
+    import datetime as dt
+
+    from tabulon.operators import profile
+
+    rows = [(1, "ab", 1.5, dt.date(2020, 1, 1)), (1, None, -0.0, None), (None, "abcd", 0.0, dt.date(2020, 1, 1)),
+            (3, "ab", None, dt.date(2021, 1, 1))]
+    df = spark.createDataFrame(rows, "a bigint, s string, x double, d date")
+    got = {r.column_name: tuple(r)[1:] for r in profile.column_profile(df).collect()}
+    assert got == {"a": (4, 1, 2, None, None), "s": (4, 1, 2, 2, 4),
+                   "x": (4, 1, 2, None, None), "d": (4, 1, 2, None, None)}
