@@ -30,14 +30,14 @@ from tabulon.operators.quality import GateFailed, keep_last
 from tabulon.schema import TableSpec
 from tabulon.session import stage
 from tabulon.sinks.tables import TableStore
-from tabulon.sources.csv import FILE, ROW, SEQ, SOURCE, read_csv_sources, scan_files
+from tabulon.sources.csv import BLOCK, FILE, ROW, SEQ, SOURCE, read_csv_sources, scan_files
 from tabulon.sources.files import file_inventory
 
 
 @dataclass
 class Prepared:
     rows: DataFrame        # one row per key (NULL keys kept as SQL would insert them)
-    typed: DataFrame       # every conformed row with _source, _file, _seq, _row (staged)
+    typed: DataFrame       # every conformed row with _source, _file, _seq, _block, _row (staged)
     headers: DataFrame     # per file: path, header, source, file_name
     extras: DataFrame      # P3: (source, file_name, extra_column)
     inventory: DataFrame
@@ -47,19 +47,21 @@ class Prepared:
 def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "*.csv",
             files: DataFrame | None = None, on_duplicate: str = "fail",
             conform_mode: str = "report", on_cast_error: str = "null",
-            stage_rows: bool = True) -> Prepared:
+            stage_rows: bool = True, multi_line: bool = True) -> Prepared:
     """Read, gate, conform and de-duplicate; publish nothing.
 
     ``on_duplicate``: ``"fail"`` (a key repeated inside one file aborts, Q1) or
     ``"keep_last"`` (the later row of the file wins, A5).  Across files the later
-    file name always wins.
+    file name always wins.  ``multi_line=False`` reads large single-line
+    extracts in parallel splits (quoted fields must then hold no line breaks);
+    row order is kept either way.
     """
     keys = list(spec.keys)
     inventory = files if files is not None else file_inventory(spark, root, pattern)
     files_set = scan_files(inventory, root)
     for header, paths in files_set.groups():
         check_columns(header, spec.schema, conform_mode, where=paths[0])
-    raw = read_csv_sources(spark, files_set)
+    raw = read_csv_sources(spark, files_set, multiLine=str(multi_line).lower())
 
     # Q2 and row counts are observed during the staging write: no extra pass.
     date_cols = spec.fields_of(DateType)
@@ -70,7 +72,7 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
         *[F.max(F.length(F.col(resolved[d.lower()]))).alias(f"len_{d}") for d in date_cols])
     rejects = Observation("ingest_rejects")
     typed = conform(observed, spec.schema, mode=conform_mode, on_cast_error=on_cast_error,
-                    keep=[SOURCE, FILE, SEQ, ROW], observation=rejects)
+                    keep=[SOURCE, FILE, SEQ, BLOCK, ROW], observation=rejects)
     if stage_rows:
         typed = stage(typed, "ingest-stage")
         metrics = {**obs.get, **rejects.get}
@@ -89,7 +91,7 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
 
     no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     if spec.null_keys == "fail":
-        bad = typed.where(~no_null).select(FILE, ROW).limit(5).collect()
+        bad = typed.where(~no_null).select(FILE, BLOCK, ROW).limit(5).collect()
         if bad:
             raise GateFailed(f"NULL key {keys} in {[tuple(r) for r in bad]}")
     if on_duplicate == "fail":
@@ -99,7 +101,8 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
             raise GateFailed(f"key {keys} not unique within a file: {[tuple(r) for r in dup]}")
 
     # Only the data and two integers travel through the shuffle.
-    latest = keep_last(typed.select(*spec.names, SEQ, ROW), keys, [SEQ, ROW], nulls_equal=False)
+    latest = keep_last(typed.select(*spec.names, SEQ, BLOCK, ROW), keys, [SEQ, BLOCK, ROW],
+                       nulls_equal=False)
     rows = latest.select(*spec.names)
     headers = files_set.headers(spark)
     return Prepared(rows, typed, headers, extra_columns(headers, spec.schema), inventory, metrics)

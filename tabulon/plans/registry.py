@@ -28,7 +28,7 @@ from tabulon.schema import (DOCUMENTS_SCHEMA, EVENTS_BY_USER, LINEITEM_SCHEMA, O
 from tabulon.session import scratch_path
 from tabulon.sinks.tables import TableStore
 from tabulon.sources.archives import expand_archives, nth_lines
-from tabulon.sources.csv import (CSV_WRITE_OPTIONS, ROW, SEQ, SOURCE, header_groups,
+from tabulon.sources.csv import (BLOCK, CSV_WRITE_OPTIONS, ROW, SEQ, SOURCE, header_groups,
                                  read_csv_inferred, read_csv_sources, read_csv_text, row_positions,
                                  scan_files)
 from tabulon.sources.files import file_inventory
@@ -150,7 +150,7 @@ FROM orders""")
 def row_order_in_file(spark, sf_dir):
     root = yearly_orders(spark, sf_dir)
     raw = read_csv_sources(spark, scan_files(file_inventory(spark, root), root))
-    keyed = raw.select(SOURCE, SEQ, ROW, lenient_long("o_orderkey").alias("o_orderkey"))
+    keyed = raw.select(SOURCE, SEQ, BLOCK, ROW, lenient_long("o_orderkey").alias("o_orderkey"))
     return row_positions(keyed).select(F.col(SOURCE).alias("source"), "o_orderkey", "row_pos")
 
 

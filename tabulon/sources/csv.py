@@ -41,7 +41,8 @@ CSV_WRITE_OPTIONS = {
 }
 # ---------------------------------------------------------------------------------
 
-ROW = "_row"        # row order within its file (monotonic, from the scan)
+ROW = "_row"        # row order within its split (monotonic, from the scan)
+BLOCK = "_block"    # byte offset of the split within its file (0 for multi-line files)
 SEQ = "_seq"        # file order: rank of the file name below the root
 FILE = "_file"      # file name relative to the inventory root
 SOURCE = "_source"  # first path component: one yearly extract
@@ -129,8 +130,11 @@ def header_groups(inventory: DataFrame, root: str = "") -> tuple[DataFrame, list
 def read_csv_sources(spark: SparkSession, files: FileSet, **options: str) -> DataFrame:
     """One text reader per distinct header, unioned by name, with file order.
 
-    Adds ``_row`` (taken on the scan, so it is the order within the file),
-    ``_seq`` (file order), ``_file`` and ``_source``.  Rows are matched to their
+    Adds ``_seq`` (file order), ``_block`` (split offset) and ``_row`` (taken
+    on the scan, increasing within a split): ``(_seq, _block, _row)`` is the
+    row order of the input.  With ``multiLine`` (the default) a file is one
+    split; with ``multiLine="false"`` large single-line files are read in
+    parallel splits and the order still holds.  Also adds ``_file``, ``_source``.  Rows are matched to their
     file by ``_metadata.file_path`` against the file table, which is broadcast
     when its size (the number of files, known here) allows.
     """
@@ -141,6 +145,7 @@ def read_csv_sources(spark: SparkSession, files: FileSet, **options: str) -> Dat
         schema = StructType([StructField(h, StringType(), True) for h in header])
         scan = read_csv_text(spark, paths, schema, **options)
         frames.append(scan.select("*", F.monotonically_increasing_id().alias(ROW),
+                                  F.col("_metadata.file_block_start").alias(BLOCK),
                                   F.col("_metadata.file_path").alias("_path_key")))
     if not frames:
         raise FileNotFoundError(f"no files to read below {files.root}")
@@ -160,16 +165,17 @@ def read_csv_sources(spark: SparkSession, files: FileSet, **options: str) -> Dat
 def row_positions(df: DataFrame, out: str = "row_pos") -> DataFrame:
     """1-based position of each row within its source (files in name order).
 
-    Uses one small per-file table (first row id, row count, offset of earlier
-    files of the same source) joined back to the rows: no window over the data
-    itself, so a huge source never has to fit one task.
+    Uses one small per-split table (first row id, row count, offset of earlier
+    splits and files of the same source) joined back to the rows: no window
+    over the data itself, so a huge source never has to fit one task.
     """
     from pyspark.sql import Window
 
-    per_file = df.groupBy(SOURCE, SEQ).agg(F.min(ROW).alias("_first"),
-                                            F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(SOURCE).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, -1)
-    per_file = per_file.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    joined = df.join(per_file.select(SOURCE, SEQ, "_first", "_offset"), [SOURCE, SEQ])
+    per_split = df.groupBy(SOURCE, SEQ, BLOCK).agg(F.min(ROW).alias("_first"),
+                                                   F.count(F.lit(1)).alias("_n"))
+    earlier = (Window.partitionBy(SOURCE).orderBy(SEQ, BLOCK)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    per_split = per_split.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    joined = df.join(per_split.select(SOURCE, SEQ, BLOCK, "_first", "_offset"), [SOURCE, SEQ, BLOCK])
     return (joined.withColumn(out, (F.col(ROW) - F.col("_first") + F.col("_offset") + 1).cast("bigint"))
             .drop("_first", "_offset"))

@@ -82,3 +82,20 @@ def test_inventory_skips_hidden(spark, scratch):
         with open(os.path.join(d, name), "w") as fh:
             fh.write("x\n1\n")
     assert [r.file_name for r in file_inventory(spark, scratch).collect()] == ["a.csv"]
+
+
+def test_split_reads_keep_row_order(spark, scratch):
+    """A large single-line file read in many splits keeps its row order."""
+    d = local_dir(scratch)
+    os.makedirs(os.path.join(d, "S"), exist_ok=True)
+    with open(os.path.join(d, "S", "big.csv"), "w") as fh:
+        fh.write("n,pad\n" + "".join(f"{i},{'x' * 40}\n" for i in range(20000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        fs = scan_files(file_inventory(spark, scratch), scratch)
+        df = read_csv_sources(spark, fs, multiLine="false")
+        assert df.select("_block").distinct().count() > 5
+        got = sorted((int(r["n"]), r["row_pos"]) for r in row_positions(df).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(i, i + 1) for i in range(20000)]
