@@ -151,3 +151,21 @@ def gate_rows(df: DataFrame, keys: list[str], schema_names: list[str],
     if date_text_columns:
         parts.append(length_gate(df, date_text_columns, limit, subject))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def length_histograms(left: DataFrame, right: DataFrame, column: str,
+                      names: tuple[str, str] = ("left", "right")) -> DataFrame:
+    """Q6: value-length histograms of one column read two ways, side by side.
+
+    ``(length, n_<left>, n_<right>, differs)``: a quote-aware reader and a naive
+    one disagree exactly where quoted fields hold separators or line breaks.
+    """
+    a, b = names
+    ha = left.groupBy(F.length(F.col(column)).alias("length")).agg(F.count(F.lit(1)).alias(f"n_{a}"))
+    hb = right.groupBy(F.length(F.col(column)).alias("length")).agg(F.count(F.lit(1)).alias(f"n_{b}"))
+    both = ha.join(hb, ha["length"].eqNullSafe(hb["length"]), "full")
+    return both.select(F.coalesce(ha["length"], hb["length"]).alias("length"),
+                       F.coalesce(F.col(f"n_{a}"), F.lit(0)).alias(f"n_{a}"),
+                       F.coalesce(F.col(f"n_{b}"), F.lit(0)).alias(f"n_{b}"),
+                       (F.coalesce(F.col(f"n_{a}"), F.lit(0)) != F.coalesce(F.col(f"n_{b}"), F.lit(0)))
+                       .alias("differs"))

@@ -564,11 +564,14 @@ def ingest_one_year(spark, sf_dir):
 SELECT 'FY=' || CAST(y AS VARCHAR) AS source, CAST(dense_rank() OVER (ORDER BY y) AS BIGINT) AS seq
 FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders)""")
 def file_inventory_order(spark, sf_dir):
-    """Extracts in processing (name) order."""
-    from pyspark.sql import Window
+    """Extracts in processing (name) order.
 
-    sources = file_inventory(spark, yearly_orders(spark, sf_dir)).select("source").distinct()
-    return sources.select("source", F.dense_rank().over(Window.orderBy("source")).cast("bigint").alias("seq"))
+    The order of extract names is file-system metadata, ranked on the driver
+    like Spark's own file listing; no data passes through it.
+    """
+    sources = file_inventory(spark, yearly_orders(spark, sf_dir)).select("source").distinct().collect()
+    ranked = [(name, seq) for seq, name in enumerate(sorted(r["source"] for r in sources), start=1)]
+    return spark.createDataFrame(ranked, "source string, seq bigint")
 
 
 @register("ingest_dry_run", ORDERS_AS_DECLARED)
@@ -739,18 +742,12 @@ def column_samples(spark, sf_dir):
 
 @register("reader_parity")
 def reader_parity(spark, sf_dir):
-    """Q6: row counts and length profiles of one CSV under two reader settings."""
+    """Q6: text-length histograms of one CSV under naive and quote-aware options."""
     root = _fixture(spark, sf_dir, "documents-csv",
                     lambda r: fixtures.write_documents(table(spark, sf_dir, "documents"), r))
-    default = spark.read.option("header", "true").csv(root)
+    naive = spark.read.option("header", "true").csv(root)
     aware = read_csv_text(spark, root)
-
-    def summary(df, reader):
-        return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                      F.count_distinct(F.length("text")).alias("n_distinct_lengths"),
-                      F.max(F.length("text")).cast("bigint").alias("max_length")).select(
-            F.lit(reader).alias("reader"), "*")
-    return summary(default, "default").unionByName(summary(aware, "quote_aware"))
+    return quality.length_histograms(naive, aware, "text", ("naive", "quote_aware"))
 
 
 @register("values_desc", """

@@ -70,3 +70,10 @@ def test_column_profile_brute_force(spark):
     got = {r.column_name: tuple(r)[1:] for r in profile.column_profile(df).collect()}
     assert got == {"a": (4, 1, 2, None, None), "s": (4, 1, 2, 2, 4),
                    "x": (4, 1, 2, None, None), "d": (4, 1, 2, None, None)}
+
+
+def test_length_histograms(spark):
+    a = spark.createDataFrame([("ab",), ("abc",), ("abc",)], "t string")
+    b = spark.createDataFrame([("ab",), ("abc",), (None,)], "t string")
+    got = sorted(tuple(r) for r in quality.length_histograms(a, b, "t").collect() if r.length is not None)
+    assert got == [(2, 1, 1, False), (3, 2, 1, True)]
