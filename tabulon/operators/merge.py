@@ -63,7 +63,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str] | tuple[str, ..
     source is hash-partitioned the same way once, so the anti join shuffles
     neither side again and every output task holds exactly one bucket.
     NULL keys follow SQL: they never match, so such source rows are inserted and
-    such target rows kept (J5).
+    such target rows kept (J5).  The source is read up to three times (check,
+    key side of the anti join, union): stage an expensive source first.
     """
     keys = list(keys)
     src = conform_to_target(source, target.schema)

@@ -30,7 +30,8 @@ from tabulon.operators.quality import GateFailed, keep_last
 from tabulon.schema import TableSpec
 from tabulon.session import stage
 from tabulon.sinks.tables import TableStore
-from tabulon.sources.csv import BLOCK, FILE, ROW, SEQ, SOURCE, read_csv_sources, scan_files
+from tabulon.sources.csv import (BLOCK, FILE, ROW, SEQ, SOURCE, FileSet, read_csv_sources,
+                                 scan_files)
 from tabulon.sources.files import file_inventory
 
 
@@ -40,8 +41,9 @@ class Prepared:
     typed: DataFrame       # every conformed row with _source, _file, _seq, _block, _row (staged)
     headers: DataFrame     # per file: path, header, source, file_name
     extras: DataFrame      # P3: (source, file_name, extra_column)
-    inventory: DataFrame
+    inventory: DataFrame   # lazy listing (re-lists when evaluated)
     metrics: dict
+    files: FileSet         # exactly the files that were read
 
 
 def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "*.csv",
@@ -105,7 +107,8 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
                        nulls_equal=False)
     rows = latest.select(*spec.names)
     headers = files_set.headers(spark)
-    return Prepared(rows, typed, headers, extra_columns(headers, spec.schema), inventory, metrics)
+    return Prepared(rows, typed, headers, extra_columns(headers, spec.schema), inventory, metrics,
+                    files_set)
 
 
 def ingest(store: TableStore, spec: TableSpec, root: str, *, files: DataFrame | None = None,
@@ -123,7 +126,8 @@ def ingest(store: TableStore, spec: TableSpec, root: str, *, files: DataFrame |
     version = store.publish(spec.name, merged, label=label, bucket_keys=bucket_keys,
                             buckets=spec.buckets)
     run = version if run is None else run
-    store.record_files(spec.name, prep.inventory, version, run)
+    # The ledger records the files actually read, not a fresh listing.
+    store.record_files(spec.name, prep.files.listing(spark), version, run)
     return version
 
 

@@ -74,6 +74,11 @@ class FileSet:
         rows = [(f["path_key"], f["seq"], f["file_name"], f["source"]) for f in self.files]
         return spark.createDataFrame(rows, f"path_key string, {SEQ} int, {FILE} string, {SOURCE} string")
 
+    def listing(self, spark: SparkSession) -> DataFrame:
+        """``(file_name, size)`` of exactly the files this set read."""
+        rows = [(f["file_name"], f["size"]) for f in self.files]
+        return spark.createDataFrame(rows, "file_name string, size long")
+
     def headers(self, spark: SparkSession) -> DataFrame:
         rows = [(f["path"], f["source"], f["file_name"], list(f["header"])) for f in self.files]
         return spark.createDataFrame(rows, "path string, source string, file_name string, header array<string>")
@@ -86,9 +91,9 @@ def scan_files(inventory: DataFrame, root: str) -> FileSet:
     reaches the driver once, followed by the short records of its files.
     """
     heads = file_headers(inventory).join(
-        inventory.select("path", "path_key", "file_name", "source"), "path")
+        inventory.select("path", "path_key", "file_name", "source", "size"), "path")
     grouped = heads.groupBy("header").agg(
-        F.collect_list(F.struct("path", "path_key", "file_name", "source")).alias("files")).collect()
+        F.collect_list(F.struct("path", "path_key", "file_name", "source", "size")).alias("files")).collect()
     files = []
     for g in grouped:
         header = list(g["header"])

@@ -116,3 +116,16 @@ def test_resume_equals_full_run(spark, scratch):
     # a second resume with nothing new publishes nothing
     before = part.current_version("ing")
     assert resume(part, SPEC, scratch + "/in") == before
+
+
+def test_ledger_records_only_files_read(spark, scratch):
+    d = local_dir(scratch + "/in")
+    write(d, "FY2001.csv", FILES["FY2001.csv"])
+    store = TableStore(spark, scratch + "/t", register=False)
+    from tabulon.sources.files import file_inventory
+    files = file_inventory(spark, scratch + "/in")
+    prep_files = files.collect()  # what is there now
+    write(d, "FY2002.csv", FILES["FY2002.csv"])  # arrives before the ledger is written
+    ingest(store, SPEC, scratch + "/in", files=spark.createDataFrame(prep_files, files.schema))
+    assert [r.file_name for r in store.ledger("ing").collect()] == ["FY2001.csv"]
+    assert [r.file_name for r in pending_files(store, SPEC, scratch + "/in").collect()] == ["FY2002.csv"]
