@@ -107,3 +107,143 @@ def write_order_archives(spark: SparkSession, csv_root: str, zip_root: str) -> s
     plan = archive_plan(file_inventory(spark, csv_root, "*.csv"))
     write_archives(plan, zip_root).write.format("noop").mode("overwrite").save()
     return zip_root
+
+
+# --- yearly grant-project extracts in the declared 42-column master layout ----------
+def _project_text():
+    """Text written to the extract for each declared column (None: empty field)."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    fy = F.year(d)
+    iso, us = F.date_format(d, "yyyy-MM-dd"), F.date_format(d, "M/d/yyyy")
+    plus = lambda n: F.date_add(d.cast("date"), n)
+    return {
+        "APPLICATION_ID": k.cast("string"),
+        "ACTIVITY": F.col("o_orderpriority"),
+        "ADMINISTERING_IC": F.col("o_orderstatus"),
+        "APPLICATION_TYPE": (k % 9).cast("string"),
+        "ARRA_FUNDED": None,
+        "AWARD_NOTICE_DATE": F.date_format(d, "yyyy-MM-dd HH:mm:ss"),
+        "BUDGET_START": F.when(k % 2 == 0, iso).otherwise(us),
+        "BUDGET_END": F.date_format(plus(364), "M/d/yyyy"),
+        "CFDA_CODE": F.concat(F.col("c_nationkey").cast("string"), F.lit(".0")),
+        "CORE_PROJECT_NUM": F.concat(F.lit("P"), k.cast("string")),
+        "ED_INST_TYPE": F.col("c_mktsegment"),
+        "FOA_NUMBER": None,
+        "FULL_PROJECT_NUM": F.concat(F.lit("1P"), k.cast("string"), F.lit("-"), fy.cast("string")),
+        "SUBPROJECT_ID": None,
+        "FUNDING_ICs": F.concat(F.col("c_mktsegment"), F.lit(";")),
+        "FY": fy.cast("string"),
+        "IC_NAME": F.col("c_name"),
+        "NIH_SPENDING_CATS": None,
+        "ORG_CITY": None,
+        "ORG_COUNTRY": F.lit("UNITED STATES"),
+        "ORG_DEPT": None,
+        "ORG_DISTRICT": F.col("c_nationkey").cast("string"),
+        "ORG_DUNS": F.lpad(F.col("o_custkey").cast("string"), 9, "0"),
+        "ORG_FIPS": None,
+        "ORG_NAME": F.col("c_name"),
+        "ORG_STATE": None,
+        "ORG_ZIPCODE": None,
+        "PHR": None,
+        "PI_IDS": F.concat(F.col("o_custkey").cast("string"), F.lit(";")),
+        "PI_NAMEs": F.concat(F.col("c_name"), F.lit(', "PI"')),
+        "PROGRAM_OFFICER_NAME": None,
+        "PROJECT_START": F.date_format(d, "MM/dd/yyyy"),
+        "PROJECT_END": F.when(k % 50 == 0, F.concat(F.lit("3012-"), F.date_format(d, "MM-dd")))
+                         .otherwise(F.date_format(plus(730), "yyyy-MM-dd")),
+        "PROJECT_TERMS": F.concat(F.col("c_mktsegment"), F.lit("\n"), F.col("o_orderpriority")),
+        "PROJECT_TITLE": F.concat(F.lit("Project "), k.cast("string")),
+        "SERIAL_NUMBER": F.concat(F.col("o_custkey").cast("string"), F.lit(".0")),
+        "STUDY_SECTION": None,
+        "STUDY_SECTION_NAME": None,
+        "SUFFIX": None,
+        "SUPPORT_YEAR": (fy - 1994).cast("string"),
+        "TOTAL_COST": F.col("o_totalprice").cast("string"),
+        "TOTAL_COST_SUB_PROJECT": None,
+    }
+
+
+# Expected typed value of each declared column, in SQL over
+# ``orders o JOIN customer c ON o.o_custkey = c.c_custkey``.
+PROJECT_EXPECTED_SQL = {
+    "APPLICATION_ID": "o.o_orderkey",
+    "ACTIVITY": "o.o_orderpriority",
+    "ADMINISTERING_IC": "o.o_orderstatus",
+    "APPLICATION_TYPE": "o.o_orderkey % 9",
+    "ARRA_FUNDED": "CAST(NULL AS DOUBLE)",
+    "AWARD_NOTICE_DATE": "strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S')",
+    "BUDGET_START": "CAST(o.o_orderdate AS DATE)",
+    "BUDGET_END": "CAST(o.o_orderdate AS DATE) + 364",
+    "CFDA_CODE": "CAST(c.c_nationkey AS DOUBLE)",
+    "CORE_PROJECT_NUM": "'P' || CAST(o.o_orderkey AS VARCHAR)",
+    "ED_INST_TYPE": "c.c_mktsegment",
+    "FOA_NUMBER": "CAST(NULL AS VARCHAR)",
+    "FULL_PROJECT_NUM": "'1P' || CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(year(o.o_orderdate) AS VARCHAR)",
+    "SUBPROJECT_ID": "CAST(NULL AS DOUBLE)",
+    "FUNDING_ICs": "c.c_mktsegment || ';'",
+    "FY": "CAST(year(o.o_orderdate) AS VARCHAR)",
+    "IC_NAME": "c.c_name",
+    "NIH_SPENDING_CATS": "CAST(NULL AS DOUBLE)",
+    "ORG_CITY": "CAST(NULL AS VARCHAR)",
+    "ORG_COUNTRY": "'UNITED STATES'",
+    "ORG_DEPT": "CAST(NULL AS VARCHAR)",
+    "ORG_DISTRICT": "CAST(c.c_nationkey AS DOUBLE)",
+    "ORG_DUNS": "lpad(CAST(o.o_custkey AS VARCHAR), 9, '0')",
+    "ORG_FIPS": "CAST(NULL AS VARCHAR)",
+    "ORG_NAME": "c.c_name",
+    "ORG_STATE": "CAST(NULL AS VARCHAR)",
+    "ORG_ZIPCODE": "CAST(NULL AS VARCHAR)",
+    "PHR": "CAST(NULL AS DOUBLE)",
+    "PI_IDS": "CAST(o.o_custkey AS VARCHAR) || ';'",
+    "PI_NAMEs": "c.c_name || ', \"PI\"'",
+    "PROGRAM_OFFICER_NAME": "CAST(NULL AS VARCHAR)",
+    "PROJECT_START": "CAST(o.o_orderdate AS DATE)",
+    "PROJECT_END": "CASE WHEN o.o_orderkey % 50 = 0 THEN NULL ELSE CAST(o.o_orderdate AS DATE) + 730 END",
+    "PROJECT_TERMS": "c.c_mktsegment || chr(10) || o.o_orderpriority",
+    "PROJECT_TITLE": "'Project ' || CAST(o.o_orderkey AS VARCHAR)",
+    "SERIAL_NUMBER": "o.o_custkey",
+    "STUDY_SECTION": "CAST(NULL AS VARCHAR)",
+    "STUDY_SECTION_NAME": "CAST(NULL AS VARCHAR)",
+    "SUFFIX": "CAST(NULL AS VARCHAR)",
+    "SUPPORT_YEAR": "CAST(year(o.o_orderdate) - 1994 AS VARCHAR)",
+    "TOTAL_COST": "o.o_totalprice",
+    "TOTAL_COST_SUB_PROJECT": "CAST(NULL AS DOUBLE)",
+}
+
+
+# Columns that appear in later yearly files only (fiscal years from 2000 on).
+PROJECT_EXTRAS = ["FUNDING_MECHANISM", "ORG_IPF_CODE", "DIRECT_COST_AMT", "INDIRECT_COST_AMT"]
+
+
+def projects_expected_sql(schema_names: list[str]) -> str:
+    select = ",\n       ".join(f"{PROJECT_EXPECTED_SQL[n]} AS {n}" for n in schema_names)
+    return f"SELECT {select}\nFROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"
+
+
+def write_yearly_projects(orders: DataFrame, customer: DataFrame, root: str,
+                          schema_names: list[str]) -> str:
+    """Yearly project extracts: declared order before 2000 (odd years reversed),
+    the four extra columns appended from 2000 on."""
+    spark = orders.sparkSession
+    joined = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+    text = {n: (expr if expr is not None else F.lit(None).cast("string")).alias(n)
+            for n, expr in _project_text().items()}
+    extras = {
+        "FUNDING_MECHANISM": F.lit("Research Grants"),
+        "ORG_IPF_CODE": F.col("c_custkey").cast("string"),
+        "DIRECT_COST_AMT": F.round(F.col("o_totalprice") * 0.7, 2).cast("string"),
+        "INDIRECT_COST_AMT": F.round(F.col("o_totalprice") * 0.3, 2).cast("string"),
+    }
+    fy = F.year("o_orderdate")
+    layouts = {
+        "early_even": ((fy < 2000) & (fy % 2 == 0), list(schema_names)),
+        "early_odd": ((fy < 2000) & (fy % 2 == 1), list(reversed(schema_names))),
+        "late": (fy >= 2000, list(schema_names) + PROJECT_EXTRAS),
+    }
+    for cond, names in layouts.values():
+        exprs = [text[n] if n in text else extras[n].alias(n) for n in names]
+        part = (joined.where(cond).select(fy.alias("FYEAR"), F.col("o_orderkey").alias("_k"), *exprs)
+                .repartitionByRange(_parts(spark), "FYEAR", "_k")
+                .sortWithinPartitions("FYEAR", "_k"))
+        write_csv(part.drop("_k"), root, mode="append", partition_by=["FYEAR"])
+    return root

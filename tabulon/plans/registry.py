@@ -24,7 +24,7 @@ from tabulon.operators.merge import cardinality_violations, upsert
 from tabulon.plans import fixtures
 from tabulon.plans.ingest import ingest, pending_files, prepare, resume
 from tabulon.schema import (DOCUMENTS_SCHEMA, EVENTS_BY_USER, LINEITEM_SCHEMA, ORDERS,
-                            ORDERS_SCHEMA, schema_frame)
+                            ORDERS_SCHEMA, PROJECTS, schema_frame)
 from tabulon.session import scratch_path
 from tabulon.sinks.tables import TableStore
 from tabulon.sources.archives import expand_archives, nth_lines
@@ -574,6 +574,20 @@ def file_inventory_order(spark, sf_dir):
     return spark.createDataFrame(ranked, "source string, seq bigint")
 
 
+def yearly_projects(spark: SparkSession, sf_dir: str) -> str:
+    return _fixture(spark, sf_dir, "yearly-projects", lambda root: fixtures.write_yearly_projects(
+        table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"), root, PROJECTS.names))
+
+
+@register("projects_ingest", fixtures.projects_expected_sql(PROJECTS.names))
+def projects_ingest(spark, sf_dir):
+    """X1/X2 on the declared 42-column master: yearly extracts with header drift,
+    mixed date formats, a year-3012 typo, quoted and multi-line text."""
+    store = TableStore(spark, register=False)
+    ingest(store, PROJECTS, yearly_projects(spark, sf_dir))
+    return store.read(PROJECTS.name)
+
+
 @register("ingest_dry_run", ORDERS_AS_DECLARED)
 def ingest_dry_run(spark, sf_dir):
     root = yearly_orders(spark, sf_dir)
@@ -765,7 +779,7 @@ def preview(spark, sf_dir):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Consolidated ingest of the yearly order extracts into a fresh master."""
+    """Consolidated ingest of yearly project extracts into a fresh, dated master."""
     store = TableStore(spark, register=False)
-    ingest(store, ORDERS, yearly_orders(spark, sf_dir), label=dt.date.today().isoformat())
-    return store.read(ORDERS.name)
+    ingest(store, PROJECTS, yearly_projects(spark, sf_dir), label=dt.date.today().isoformat())
+    return store.read(PROJECTS.name)

@@ -11,8 +11,9 @@ def test_registry_shapes():
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.columns == ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                          "o_orderdate", "o_orderpriority"]
+    from tabulon.schema import PROJECTS_SCHEMA
+
+    assert df.columns == PROJECTS_SCHEMA.names
     assert df.count() > 0
 
 
