@@ -75,9 +75,23 @@ class TableStore:
         if not self.register:
             return
         if self.spark.catalog.tableExists(name):
+            same_shape = (self.spark.table(name).schema == schema
+                          and self._catalog_buckets(name) == (bucket_keys or None, buckets if bucket_keys else None))
+            if same_shape:
+                # Readers see the old or the new version, never no table.
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(name)
+                return
             self.spark.sql(f"DROP TABLE {name}")
         self.spark.sql(self._create_sql(name, path, schema, bucket_keys, buckets))
 
+    def _catalog_buckets(self, name: str) -> tuple:
+        rows = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        if "Num Buckets" not in rows:
+            return (None, None)
+        cols = rows.get("Bucket Columns", "").strip("[]").replace("`", "")
+        return ([c.strip() for c in cols.split(",") if c.strip()], int(rows["Num Buckets"]))
+
     @staticmethod
     def _create_sql(name, path, schema, bucket_keys=None, buckets=None) -> str:
         clustered = ""
@@ -98,12 +112,15 @@ class TableStore:
         current = self.current_version(name)
         version = 0 if current is None else current + 1
         path = f"{self._dir(name)}/v={version}"
+        # A folder for this number can only exist if an earlier publish died
+        # before logging it; no version points there, so it is safe to replace.
         if bucket_keys:
             buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            (df.write.format("parquet").bucketBy(buckets, *bucket_keys).sortBy(*bucket_keys)
+            (df.write.format("parquet").mode("overwrite")
+             .bucketBy(buckets, *bucket_keys).sortBy(*bucket_keys)
              .option("path", path).saveAsTable(self._version_table(name, version)))
         else:
-            df.write.parquet(path)
+            df.write.mode("overwrite").parquet(path)
         self._log_version(name, version, label, path, bucket_keys, buckets)
         self._catalog_point(name, path, df.schema, bucket_keys, buckets)
         return version

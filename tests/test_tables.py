@@ -55,3 +55,11 @@ def test_bucketed_versions_and_upsert(spark, scratch):
     assert len(got) == 1010 and got[5] == "old" and got[995] == "new" and got[1005] == "new"
     store.reset(name)
     assert store.read(name).count() == 0 and store.bucketing(name) == (["k"], 4)
+
+
+def test_orphan_version_folder_does_not_block(spark, scratch):
+    store = TableStore(spark, scratch + "/tables", register=False)
+    store.publish("o", spark.range(3))
+    spark.range(99).write.parquet(f"{store.root}/o/v=1")  # a publish that died before logging
+    assert store.publish("o", spark.range(5)) == 1
+    assert store.read("o").count() == 5
