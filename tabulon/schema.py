@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DateType, DoubleType, IntegerType, LongType,
                                StringType, StructField, StructType, TimestampNTZType)
 

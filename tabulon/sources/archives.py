@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tabulon.session import scratch_path
 from tabulon.sources.files import file_inventory, fs_for, spread_files, write_file_atomic

@@ -3,7 +3,6 @@ import os
 from pyspark.sql import functions as F
 
 from tabulon.operators.conform import extra_columns
-from tabulon.schema import ORDERS_SCHEMA
 from tabulon.sources.csv import (SOURCE, header_groups, read_csv_sources, read_csv_text,
                                  row_positions, scan_files, write_csv)
 from tabulon.sources.files import file_inventory
