@@ -77,5 +77,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str] | tuple[str, ..
         check_cardinality(target, src, keys)
     if delete_missing:
         return src
-    kept = target.join(src.select(*keys), keys, "left_anti")
+    key_side = src.select(*keys)
+    if check:
+        # A general update set may repeat a key many times; deduplicating the key
+        # side (combined map-side) keeps a hot key from skewing the anti join.
+        # Ingest passes check=False with keys already unique.
+        key_side = key_side.distinct()
+    kept = target.join(key_side, keys, "left_anti")
     return kept.unionByName(src)

@@ -87,18 +87,21 @@ class FileSet:
 def scan_files(inventory: DataFrame, root: str) -> FileSet:
     """Sniff every file's header (inside tasks) and collect the file metadata.
 
-    Files are grouped by header on the executors, so each distinct header
-    reaches the driver once, followed by the short records of its files.
+    The driver receives each distinct header once (keyed by a hash of its
+    names) and one short record per file; no task ever gathers a whole group.
     """
-    heads = file_headers(inventory).join(
-        inventory.select("path", "path_key", "file_name", "source", "size"), "path")
-    grouped = heads.groupBy("header").agg(
-        F.collect_list(F.struct("path", "path_key", "file_name", "source", "size")).alias("files")).collect()
-    files = []
-    for g in grouped:
-        header = list(g["header"])
-        files.extend({**f.asDict(), "header": header} for f in g["files"])
-    files.sort(key=lambda f: f["file_name"])
+    heads = (file_headers(inventory)
+             .join(inventory.select("path", "path_key", "file_name", "source", "size"), "path")
+             .withColumn("hid", F.sha2(F.to_json(F.col("header")), 256))
+             .cache())  # one row per file, read by the two actions below
+    try:
+        headers = {r["hid"]: list(r["header"]) for r in
+                   heads.groupBy("hid").agg(F.first("header").alias("header")).collect()}
+        rows = heads.select("path", "path_key", "file_name", "source", "size", "hid").collect()
+    finally:
+        heads.unpersist()
+    files = sorted(({**r.asDict(), "header": headers[r["hid"]]} for r in rows),
+                   key=lambda f: f["file_name"])
     for seq, f in enumerate(files):
         f["seq"] = seq
     return FileSet(root, files)
