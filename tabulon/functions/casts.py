@@ -60,3 +60,15 @@ def cast_text(c: Column | str, dtype: DataType) -> Column:
 def is_reject(text: Column | str, value: Column | str) -> Column:
     """A value was present as text but could not be converted."""
     return _col(text).isNotNull() & _col(value).isNull()
+
+
+def ntz_text(c: Column | str) -> Column:
+    """``timestamp_ntz`` as ``yyyy-MM-dd HH:mm:ss.ffffff`` without touching a time zone.
+
+    ``date_format`` would convert through the session time zone (and could shift
+    a wall-clock time that falls in a daylight-saving gap); the plain string cast
+    of a ``timestamp_ntz`` is zone-free, only its fraction needs padding.
+    """
+    text = _col(c).cast("string")
+    fraction = F.when(text.contains("."), F.substring_index(text, ".", -1)).otherwise(F.lit(""))
+    return F.concat(F.substring(text, 1, 19), F.lit("."), F.rpad(fraction, 6, "0"))

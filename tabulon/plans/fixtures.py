@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.functions.casts import ntz_text
 from tabulon.sources.archives import write_archives
 from tabulon.sources.csv import write_csv
 from tabulon.sources.files import file_inventory
@@ -66,9 +67,9 @@ def write_yearly_orders(orders: DataFrame, root: str) -> str:
 def write_daily_events(events: DataFrame, root: str) -> str:
     """``events`` as one extract folder per day, rows in (ts, event_id) order."""
     spark = events.sparkSession
-    day = F.date_format("ts", "yyyy-MM-dd")
+    day = F.substring(ntz_text("ts"), 1, 10)
     out = (events.select(day.alias("day"), "event_id",
-                         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+                         ntz_text("ts").alias("ts"),
                          "user_id", "event_type", "value", "props")
            .repartitionByRange(_parts(spark), "day", "ts", "event_id")
            .sortWithinPartitions("day", "ts", "event_id"))
@@ -122,7 +123,7 @@ def _project_text():
         "ADMINISTERING_IC": F.col("o_orderstatus"),
         "APPLICATION_TYPE": (k % 9).cast("string"),
         "ARRA_FUNDED": None,
-        "AWARD_NOTICE_DATE": F.date_format(d, "yyyy-MM-dd HH:mm:ss"),
+        "AWARD_NOTICE_DATE": F.substring(ntz_text(d), 1, 19),
         "BUDGET_START": F.when(k % 2 == 0, iso).otherwise(us),
         "BUDGET_END": F.date_format(plus(364), "M/d/yyyy"),
         "CFDA_CODE": F.concat(F.col("c_nationkey").cast("string"), F.lit(".0")),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions import (lenient_date, lenient_date_udf, single_format_date, strict_date,
                                strict_single_format_date)
-from tabulon.functions.casts import is_reject, lenient_double, lenient_long
+from tabulon.functions.casts import is_reject, lenient_double, lenient_long, ntz_text
 from tabulon.operators import profile, quality
 from tabulon.operators.conform import conform, extra_columns
 from tabulon.operators.merge import cardinality_violations, upsert
@@ -509,7 +509,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 
 
 def _events_out(df: DataFrame) -> DataFrame:
-    return df.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+    return df.select("event_id", ntz_text("ts").alias("ts"),
                      "user_id", "event_type", "value", "props")
 
 

@@ -49,3 +49,19 @@ def test_conform_fail_on_cast_error(spark):
     df = spark.createDataFrame([("x",)], "a string")
     with pytest.raises(Exception, match="cannot convert"):
         conform(df, schema, on_cast_error="fail").collect()
+
+
+def test_ntz_text_is_zone_free(spark):
+    import datetime as dt
+
+    from tabulon.functions.casts import ntz_text
+
+    rows = [(dt.datetime(2024, 3, 10, 2, 30, 0, 120000),), (dt.datetime(2024, 1, 1, 0, 0, 7),), (None,)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r.t for r in df.select(ntz_text("ts").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["2024-03-10 02:30:00.120000", "2024-01-01 00:00:07.000000", None]
