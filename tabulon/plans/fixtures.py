@@ -31,8 +31,16 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 DATE_PATTERNS = {0: "yyyy-MM-dd", 1: "M/d/yyyy", 2: "MM/dd/yyyy"}
 
 
-def _parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+ROWS_PER_PART = 1_000_000
+
+
+def _parts(df: DataFrame, minimum: int = 4) -> int:
+    """Part files for an extract: about a million rows each, at least ``minimum``.
+
+    ``count()`` of a Parquet table is answered from file footers, so sizing the
+    output costs no scan, and the number of files grows with the data.
+    """
+    return max(minimum, -(-df.count() // ROWS_PER_PART))
 
 
 def yearly_layout(layout: int) -> list[str]:
@@ -47,8 +55,8 @@ def yearly_layout(layout: int) -> list[str]:
 
 def write_yearly_orders(orders: DataFrame, root: str) -> str:
     """Write ``orders`` as yearly extracts below ``root`` (one job per layout)."""
-    spark = orders.sparkSession
     fy = F.year("o_orderdate")
+    parts = _parts(orders)
     for layout, pattern in DATE_PATTERNS.items():
         cols = yearly_layout(layout)
         exprs = {
@@ -58,7 +66,7 @@ def write_yearly_orders(orders: DataFrame, root: str) -> str:
         }
         part = (orders.where(F.pmod(fy, F.lit(3)) == layout)
                 .select(fy.alias("FY"), *[exprs.get(c, F.col(c)) for c in cols])
-                .repartitionByRange(_parts(spark), "FY", "o_orderkey")
+                .repartitionByRange(parts, "FY", "o_orderkey")
                 .sortWithinPartitions("FY", "o_orderkey"))
         write_csv(part, root, mode="append", partition_by=["FY"])
     return root
@@ -66,12 +74,11 @@ def write_yearly_orders(orders: DataFrame, root: str) -> str:
 
 def write_daily_events(events: DataFrame, root: str) -> str:
     """``events`` as one extract folder per day, rows in (ts, event_id) order."""
-    spark = events.sparkSession
     day = F.substring(ntz_text("ts"), 1, 10)
     out = (events.select(day.alias("day"), "event_id",
                          ntz_text("ts").alias("ts"),
                          "user_id", "event_type", "value", "props")
-           .repartitionByRange(_parts(spark), "day", "ts", "event_id")
+           .repartitionByRange(_parts(events), "day", "ts", "event_id")
            .sortWithinPartitions("day", "ts", "event_id"))
     write_csv(out, root, partition_by=["day"])
     return root
@@ -225,7 +232,7 @@ def write_yearly_projects(orders: DataFrame, customer: DataFrame, root: str,
                           schema_names: list[str]) -> str:
     """Yearly project extracts: declared order before 2000 (odd years reversed),
     the four extra columns appended from 2000 on."""
-    spark = orders.sparkSession
+    parts = _parts(orders)
     joined = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
     text = {n: (expr if expr is not None else F.lit(None).cast("string")).alias(n)
             for n, expr in _project_text().items()}
@@ -244,7 +251,7 @@ def write_yearly_projects(orders: DataFrame, customer: DataFrame, root: str,
     for cond, names in layouts.values():
         exprs = [text[n] if n in text else extras[n].alias(n) for n in names]
         part = (joined.where(cond).select(fy.alias("FYEAR"), F.col("o_orderkey").alias("_k"), *exprs)
-                .repartitionByRange(_parts(spark), "FYEAR", "_k")
+                .repartitionByRange(parts, "FYEAR", "_k")
                 .sortWithinPartitions("FYEAR", "_k"))
         write_csv(part.drop("_k"), root, mode="append", partition_by=["FYEAR"])
     return root
