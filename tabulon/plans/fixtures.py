@@ -32,15 +32,20 @@ DATE_PATTERNS = {0: "yyyy-MM-dd", 1: "M/d/yyyy", 2: "MM/dd/yyyy"}
 
 
 ROWS_PER_PART = 1_000_000
+MIN_ROWS_PER_PART = 10_000
 
 
-def _parts(df: DataFrame, minimum: int = 4) -> int:
-    """Part files for an extract: about a million rows each, at least ``minimum``.
+def _parts(df: DataFrame) -> int:
+    """Part files for an extract: about a million rows each, and at least two per
+    task slot (for load balance) as long as each holds ``MIN_ROWS_PER_PART`` rows.
 
-    ``count()`` of a Parquet table is answered from file footers, so sizing the
-    output costs no scan, and the number of files grows with the data.
+    Multi-line CSV is read one file per task, so the file count is the read
+    parallelism.  ``count()`` of a Parquet table is answered from file footers,
+    so sizing the output costs no scan.
     """
-    return max(minimum, -(-df.count() // ROWS_PER_PART))
+    rows = df.count()
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-rows // ROWS_PER_PART), min(2 * slots, -(-rows // MIN_ROWS_PER_PART)))
 
 
 def yearly_layout(layout: int) -> list[str]:
