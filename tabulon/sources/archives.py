@@ -20,7 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from tabulon.session import scratch_path
-from tabulon.sources.files import file_inventory, fs_for, spread_files, write_file_atomic
+from tabulon.sources.files import (atomic_output, file_inventory, fs_for, spread_files,
+                                   write_file_atomic)
 
 REPORT_SCHEMA = ("archive string, source string, n_members int, member string, "
                  "status string, out_path string, bytes long")
@@ -171,13 +172,14 @@ def write_archives(files: DataFrame, out_root: str) -> DataFrame:
     out_root = out_root.rstrip("/")
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import tempfile
-
         for pdf in batches:
             out = []
             for path, archive, members in zip(pdf["path"], pdf["archive"], pdf["members"]):
-                with tempfile.SpooledTemporaryFile(max_size=64 << 20) as buf:
-                    with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+                target = f"{out_root}/{archive}"
+                # zipfile streams into the (non-seekable) shared-storage output;
+                # nothing is staged on the machine's local disk.
+                with atomic_output(target) as stream:
+                    with zipfile.ZipFile(stream, "w", compression=zipfile.ZIP_DEFLATED) as zf:
                         for m in members:
                             if m["kind"] == "hidden":
                                 zf.writestr(m["name"], b"hidden")
@@ -186,9 +188,7 @@ def write_archives(files: DataFrame, out_root: str) -> DataFrame:
                             with fs.open_input_stream(p) as src, zf.open(m["name"], "w") as dst:
                                 for chunk in iter(lambda: src.read(CHUNK), b""):
                                     dst.write(chunk)
-                    buf.seek(0)
-                    target = f"{out_root}/{archive}"
-                    n = write_file_atomic(target, iter(lambda: buf.read(CHUNK), b""))
+                    n = stream.tell()
                 out.append((archive, target, n))
             yield pd.DataFrame(out, columns=["archive", "out_path", "bytes"])
 

@@ -33,6 +33,31 @@ def fs_for(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+class atomic_output:
+    """Context manager: a writable stream to ``uri`` that appears under its final
+    name only when closed without error (temporary name, then move)."""
+
+    def __init__(self, uri: str):
+        import uuid
+
+        self.fs, self.path = fs_for(uri)
+        parent = self.path.rsplit("/", 1)[0]
+        self.fs.create_dir(parent, recursive=True)
+        self.tmp = f"{parent}/.tmp-{uuid.uuid4().hex}"
+
+    def __enter__(self):
+        self.stream = self.fs.open_output_stream(self.tmp)
+        return self.stream
+
+    def __exit__(self, kind, value, tb):
+        self.stream.close()
+        if kind is None:
+            self.fs.move(self.tmp, self.path)
+        else:
+            self.fs.delete_file(self.tmp)
+        return False
+
+
 def write_file_atomic(uri: str, chunks) -> int:
     """Write ``chunks`` (iterable of bytes) to ``uri`` via a temporary name.
 
