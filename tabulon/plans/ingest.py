@@ -119,9 +119,8 @@ def ingest(store: TableStore, spec: TableSpec, root: str, *, files: DataFrame |
     spark = store.spark
     keys = list(spec.keys)
     bucket_keys = keys if spec.buckets else None
-    if not store.exists(spec.name):
-        store.publish(spec.name, spark.createDataFrame([], spec.schema),
-                      bucket_keys=bucket_keys, buckets=spec.buckets)
+    store.create_if_absent(spec.name, spec.schema, keys, bucket_keys=bucket_keys,
+                           buckets=spec.buckets)
     prep = prepare(spark, root, spec, files=files, **options)
     master = store.read(spec.name)
     merged = upsert(master, prep.rows, keys, check=False, partitions=spec.buckets)

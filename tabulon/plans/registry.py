@@ -280,6 +280,19 @@ def date_mixed_udf(spark, sf_dir):
     return _mixed_dates(spark, sf_dir, lenient_date_udf)
 
 
+@register("date_mixed_sql", MIXED_DATE_SQL)
+def date_mixed_sql(spark, sf_dir):
+    """U1 for SQL users: the rule as a registered SQL function inside ``spark.sql``."""
+    from tabulon.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    view = f"mixed_dates_{uuid.uuid4().hex[:10]}"
+    table(spark, sf_dir, "orders").select(
+        "o_orderkey", _mixed_date_text().alias("date_text")).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT o_orderkey, date_text, CAST(length(date_text) AS BIGINT) AS text_length, "
+                     f"tabulon_lenient_date(date_text) AS parsed FROM {view}")
+
+
 @register("date_strict_us", """
 SELECT o_orderkey,
        CASE WHEN o_orderkey % 2 = 0 OR (month(o_orderdate) >= 10 AND day(o_orderdate) >= 10)

@@ -28,6 +28,17 @@ VERSIONS_SCHEMA = ("version long, label date, path string, created timestamp, "
 LEDGER_SCHEMA = "file_name string, size long, version long, run long"
 
 
+def declared_properties(schema: StructType, keys=None) -> dict[str, str]:
+    props = {"tabulon.not_null": ",".join(f.name for f in schema.fields if not f.nullable)}
+    if keys:
+        props["tabulon.keys"] = ",".join(keys)
+    return props
+
+
+def _props_sql(properties: dict[str, str]) -> str:
+    return ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+
+
 def _exists(uri: str) -> bool:
     from pyarrow import fs as pafs
 
@@ -45,6 +56,7 @@ class TableStore:
         # Single writer: version metadata is read from storage once per table,
         # then kept up to date by this object's own publishes.
         self._log: dict[str, list[dict]] = {}
+        self._props: dict[str, dict[str, str]] = {}
 
     # -- paths and bookkeeping -------------------------------------------------
     def _dir(self, name: str) -> str:
@@ -71,7 +83,8 @@ class TableStore:
         return self.current_version(name) is not None
 
     def _catalog_point(self, name: str, path: str, schema: StructType,
-                       bucket_keys: list[str] | None = None, buckets: int | None = None) -> None:
+                       bucket_keys: list[str] | None = None, buckets: int | None = None,
+                       properties: dict[str, str] | None = None) -> None:
         if not self.register:
             return
         if self.spark.catalog.tableExists(name):
@@ -80,10 +93,12 @@ class TableStore:
             if same_shape:
                 # Readers see the old or the new version, never no table.
                 self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+                if properties:
+                    self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_props_sql(properties)})")
                 self.spark.catalog.refreshTable(name)
                 return
             self.spark.sql(f"DROP TABLE {name}")
-        self.spark.sql(self._create_sql(name, path, schema, bucket_keys, buckets))
+        self.spark.sql(self._create_sql(name, path, schema, bucket_keys, buckets, properties))
 
     def _catalog_buckets(self, name: str) -> tuple:
         rows = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
@@ -93,16 +108,19 @@ class TableStore:
         return ([c.strip() for c in cols.split(",") if c.strip()], int(rows["Num Buckets"]))
 
     @staticmethod
-    def _create_sql(name, path, schema, bucket_keys=None, buckets=None) -> str:
+    def _create_sql(name, path, schema, bucket_keys=None, buckets=None, properties=None) -> str:
         clustered = ""
         if bucket_keys:
             cols = ", ".join(f"`{k}`" for k in bucket_keys)
             clustered = f" CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {buckets} BUCKETS"
-        return f"CREATE TABLE {name} ({ddl(schema)}) USING parquet{clustered} LOCATION '{path}'"
+        props = f" TBLPROPERTIES ({_props_sql(properties)})" if properties else ""
+        return (f"CREATE TABLE {name} ({ddl(schema)}) USING parquet{clustered} "
+                f"LOCATION '{path}'{props}")
 
     # -- lifecycle ---------------------------------------------------------------
     def publish(self, name: str, df: DataFrame, label: dt.date | str | None = None,
-                bucket_keys: list[str] | None = None, buckets: int | None = None) -> int:
+                bucket_keys: list[str] | None = None, buckets: int | None = None,
+                properties: dict[str, str] | None = None) -> int:
         """Write ``df`` as the next version and make it current; returns its number.
 
         With ``bucket_keys`` the version is written as a bucketed table
@@ -122,7 +140,9 @@ class TableStore:
         else:
             df.write.mode("overwrite").parquet(path)
         self._log_version(name, version, label, path, bucket_keys, buckets)
-        self._catalog_point(name, path, df.schema, bucket_keys, buckets)
+        if properties:
+            self._props[name] = {**self._props.get(name, {}), **properties}
+        self._catalog_point(name, path, df.schema, bucket_keys, buckets, self._props.get(name))
         return version
 
     def _version_table(self, name: str, version: int) -> str:
@@ -150,11 +170,17 @@ class TableStore:
             return None
         return rows[-1]["bucket_keys"].split(","), int(rows[-1]["buckets"])
 
-    def create_if_absent(self, name: str, schema: StructType | str) -> bool:
-        """An empty, typed table unless one exists; existing data is untouched."""
+    def create_if_absent(self, name: str, schema: StructType | str,
+                         keys: list[str] | tuple[str, ...] | None = None, **publish_options) -> bool:
+        """An empty, typed table unless one exists; existing data is untouched.
+
+        The key and the declared NOT NULL columns are kept as table properties
+        (Parquet files do not keep NOT NULL).
+        """
         if self.exists(name):
             return False
-        self.publish(name, self.spark.createDataFrame([], schema))
+        empty = self.spark.createDataFrame([], schema)
+        self.publish(name, empty, properties=declared_properties(empty.schema, keys), **publish_options)
         return True
 
     def read(self, name: str, version: int | None = None) -> DataFrame:

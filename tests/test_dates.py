@@ -83,3 +83,13 @@ def test_strict_modes_raise(spark):
         bad = spark.createDataFrame([(text,)], "t string")
         with pytest.raises(Exception, match="unreadable"):
             bad.select(fn("t").alias("d")).collect()
+
+
+def test_sql_functions_agree(spark, cases):
+    from tabulon.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    cases.createOrReplaceTempView("date_cases")
+    got = spark.sql("SELECT text, expected, tabulon_lenient_date(text) AS a, "
+                    "tabulon_lenient_date_pandas(text) AS b FROM date_cases").collect()
+    assert [(r.text, r.expected, r.a, r.b) for r in got if not (r.expected == r.a == r.b)] == []

@@ -63,3 +63,13 @@ def test_orphan_version_folder_does_not_block(spark, scratch):
     spark.range(99).write.parquet(f"{store.root}/o/v=1")  # a publish that died before logging
     assert store.publish("o", spark.range(5)) == 1
     assert store.read("o").count() == 5
+
+
+def test_key_and_not_null_kept_as_properties(spark, scratch):
+    store = TableStore(spark, scratch + "/tables")
+    name = "p_" + scratch.rsplit("-", 1)[-1]
+    store.create_if_absent(name, ORDERS_SCHEMA, keys=["o_orderkey"])
+    store.publish(name, spark.createDataFrame([(1, 2, "F", 1.0, None, "x")], ORDERS_SCHEMA))
+    props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    assert props["tabulon.keys"] == "o_orderkey" and props["tabulon.not_null"] == "o_orderkey"
+    store.drop(name)
