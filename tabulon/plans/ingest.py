@@ -45,6 +45,15 @@ class Prepared:
     metrics: dict
     files: FileSet         # exactly the files that were read
 
+    def reject_report(self, spark: SparkSession) -> DataFrame:
+        """Per typed column, non-empty texts that did not convert.
+
+        The counts were observed during the staging write; no extra pass.
+        """
+        rows = [(k[len("rejects_"):], int(v)) for k, v in sorted(self.metrics.items())
+                if k.startswith("rejects_")]
+        return spark.createDataFrame(rows, "column_name string, rejects long")
+
 
 def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "*.csv",
             files: DataFrame | None = None, on_duplicate: str = "fail",

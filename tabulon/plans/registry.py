@@ -601,6 +601,19 @@ def projects_ingest(spark, sf_dir):
     return store.read(PROJECTS.name)
 
 
+_PROJECT_TYPED = [f.name for f in PROJECTS.schema.fields if f.dataType.simpleString() != "string"]
+
+
+@register("projects_rejects", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE o_orderkey % 50 = 0) AS rejects FROM orders"
+    if c == "PROJECT_END" else f"SELECT '{c}' AS column_name, CAST(0 AS BIGINT) AS rejects"
+    for c in _PROJECT_TYPED))
+def projects_rejects(spark, sf_dir):
+    """Values present as text that did not convert, per typed column."""
+    prep = prepare(spark, yearly_projects(spark, sf_dir), PROJECTS)
+    return prep.reject_report(spark)
+
+
 @register("ingest_dry_run", ORDERS_AS_DECLARED)
 def ingest_dry_run(spark, sf_dir):
     root = yearly_orders(spark, sf_dir)
