@@ -84,9 +84,11 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
     rejects = Observation("ingest_rejects")
     typed = conform(observed, spec.schema, mode=conform_mode, on_cast_error=on_cast_error,
                     keep=[SOURCE, FILE, SEQ, BLOCK, ROW], observation=rejects)
+    no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     if stage_rows:
-        typed = stage(typed, "ingest-stage")
-        metrics = {**obs.get, **rejects.get}
+        key_obs = Observation("ingest_keys")
+        typed = stage(typed.observe(key_obs, F.count_if(~no_null).alias("null_keys")), "ingest-stage")
+        metrics = {**obs.get, **rejects.get, **key_obs.get}
     else:
         # Dry run without staging: the date-text gate still runs, as one aggregate.
         lengths = raw.agg(*[F.max(F.length(F.col(resolved[d.lower()]))).alias(f"len_{d}")
@@ -94,8 +96,8 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
         metrics = lengths.asDict() if lengths is not None else {}
     _check_date_lengths(metrics, spec.date_text_max)
 
-    no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    if spec.null_keys == "fail":
+    if spec.null_keys == "fail" and metrics.get("null_keys", 1):
+        # Observed during staging; the sample is only looked up when there is one.
         bad = typed.where(~no_null).select(FILE, BLOCK, ROW).limit(5).collect()
         if bad:
             raise GateFailed(f"NULL key {keys} in {[tuple(r) for r in bad]}")
