@@ -28,7 +28,7 @@ from tabulon.operators.conform import check_columns, conform, extra_columns
 from tabulon.operators.merge import upsert
 from tabulon.operators.quality import GateFailed, keep_last
 from tabulon.schema import TableSpec
-from tabulon.session import stage
+from tabulon.session import remove_path, scratch_path, stage_to
 from tabulon.sinks.tables import TableStore
 from tabulon.sources.csv import (BLOCK, FILE, ROW, SEQ, SOURCE, FileSet, read_csv_sources,
                                  scan_files)
@@ -44,6 +44,7 @@ class Prepared:
     inventory: DataFrame   # lazy listing (re-lists when evaluated)
     metrics: dict
     files: FileSet         # exactly the files that were read
+    staging: str | None = None  # folder ``typed`` reads; ``ingest`` removes it when done
 
     def reject_report(self, spark: SparkSession) -> DataFrame:
         """Per typed column, non-empty texts that did not convert.
@@ -85,27 +86,35 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
     typed = conform(observed, spec.schema, mode=conform_mode, on_cast_error=on_cast_error,
                     keep=[SOURCE, FILE, SEQ, BLOCK, ROW], observation=rejects)
     no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    staging = None
     if stage_rows:
         key_obs = Observation("ingest_keys")
-        typed = stage(typed.observe(key_obs, F.count_if(~no_null).alias("null_keys")), "ingest-stage")
+        staging = scratch_path(spark, "ingest-stage")
+        typed = stage_to(typed.observe(key_obs, F.count_if(~no_null).alias("null_keys")), staging)
         metrics = {**obs.get, **rejects.get, **key_obs.get}
     else:
         # Dry run without staging: the date-text gate still runs, as one aggregate.
         lengths = raw.agg(*[F.max(F.length(F.col(resolved[d.lower()]))).alias(f"len_{d}")
                             for d in date_cols]).first() if date_cols else None
         metrics = lengths.asDict() if lengths is not None else {}
-    _check_date_lengths(metrics, spec.date_text_max)
-
-    if spec.null_keys == "fail" and metrics.get("null_keys", 1):
-        # Observed during staging; the sample is only looked up when there is one.
-        bad = typed.where(~no_null).select(FILE, BLOCK, ROW).limit(5).collect()
-        if bad:
-            raise GateFailed(f"NULL key {keys} in {[tuple(r) for r in bad]}")
-    if on_duplicate == "fail":
-        dup = (typed.where(no_null).groupBy(SEQ, *keys).count()
-               .where(F.col("count") > 1).limit(20).collect())
-        if dup:
-            raise GateFailed(f"key {keys} not unique within a file: {[tuple(r) for r in dup]}")
+    try:
+        _check_date_lengths(metrics, spec.date_text_max)
+
+        if spec.null_keys == "fail" and metrics.get("null_keys", 1):
+            # Observed during staging; the sample is only looked up when there is one.
+            bad = typed.where(~no_null).select(FILE, BLOCK, ROW).limit(5).collect()
+            if bad:
+                raise GateFailed(f"NULL key {keys} in {[tuple(r) for r in bad]}")
+        if on_duplicate == "fail":
+            dup = (typed.where(no_null).groupBy(SEQ, *keys).count()
+                   .where(F.col("count") > 1).limit(20).collect())
+            if dup:
+                raise GateFailed(f"key {keys} not unique within a file: {[tuple(r) for r in dup]}")
+    except GateFailed:
+        # A failed gate publishes nothing, so its staged copy is not kept either.
+        if staging:
+            remove_path(spark, staging)
+        raise
 
     # Only the data and two integers travel through the shuffle.
     latest = keep_last(typed.select(*spec.names, SEQ, BLOCK, ROW), keys, [SEQ, BLOCK, ROW],
@@ -113,7 +122,7 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
     rows = latest.select(*spec.names)
     headers = files_set.headers(spark)
     return Prepared(rows, typed, headers, extra_columns(headers, spec.schema), inventory, metrics,
-                    files_set)
+                    files_set, staging)
 
 
 def _check_date_lengths(metrics: dict, limit: int) -> None:
@@ -133,13 +142,18 @@ def ingest(store: TableStore, spec: TableSpec, root: str, *, files: DataFrame |
     store.create_if_absent(spec.name, spec.schema, keys, bucket_keys=bucket_keys,
                            buckets=spec.buckets)
     prep = prepare(spark, root, spec, files=files, **options)
-    master = store.read(spec.name)
-    merged = upsert(master, prep.rows, keys, check=False, partitions=spec.buckets)
-    version = store.publish(spec.name, merged, label=label, bucket_keys=bucket_keys,
-                            buckets=spec.buckets)
-    run = version if run is None else run
-    # The ledger records the files actually read, not a fresh listing.
-    store.record_files(spec.name, prep.files.listing(spark), version, run)
+    try:
+        master = store.read(spec.name)
+        merged = upsert(master, prep.rows, keys, check=False, partitions=spec.buckets)
+        version = store.publish(spec.name, merged, label=label, bucket_keys=bucket_keys,
+                                buckets=spec.buckets)
+        run = version if run is None else run
+        # The ledger records the files actually read, not a fresh listing.
+        store.record_files(spec.name, prep.files.listing(spark), version, run)
+    finally:
+        # The staged copy of the input is read by nothing once the version is written.
+        if prep.staging:
+            remove_path(spark, prep.staging)
     return version
 
 

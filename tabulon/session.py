@@ -98,7 +98,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     the whole plan) and lets one expensive scan feed several consumers, with
     column pruning and filter pushdown on the re-read.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return stage_to(df, scratch_path(df.sparkSession, label))
+
+
+def stage_to(df: DataFrame, path: str) -> DataFrame:
+    """``stage`` into a given folder (the caller removes it when done)."""
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on the cluster's file system (HDFS/S3/ABFS or local)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

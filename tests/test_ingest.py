@@ -129,3 +129,30 @@ def test_ledger_records_only_files_read(spark, scratch):
     ingest(store, SPEC, scratch + "/in", files=spark.createDataFrame(prep_files, files.schema))
     assert [r.file_name for r in store.ledger("ing").collect()] == ["FY2001.csv"]
     assert [r.file_name for r in pending_files(store, SPEC, scratch + "/in").collect()] == ["FY2002.csv"]
+
+
+def _staging_dirs(spark):
+    import re
+
+    from tabulon.session import checkpoint_root
+
+    base = re.sub(r"^file:/*", "/", checkpoint_root(spark)) + "/tabulon"
+    return {n for n in os.listdir(base) if n.startswith("ingest-stage-")} if os.path.isdir(base) else set()
+
+
+def test_staged_input_removed_after_ingest_and_failed_gate(spark, scratch):
+    d = local_dir(scratch + "/in")
+    for name, text in FILES.items():
+        write(d, name, text)
+    before = _staging_dirs(spark)
+    store = TableStore(spark, scratch + "/store", register=False)
+    ingest(store, SPEC, scratch + "/in")
+    assert store.read("ing").count() == 5
+    assert _staging_dirs(spark) == before
+    bad = local_dir(scratch + "/bad")
+    write(bad, "a.csv", "ID,NAME,START\n1,x,\n1,y,\n")
+    with pytest.raises(GateFailed):
+        prepare(spark, scratch + "/bad", SPEC)
+    assert _staging_dirs(spark) == before
+    kept = prepare(spark, scratch + "/in", SPEC)   # a caller of prepare owns its staging
+    assert kept.staging and _staging_dirs(spark) - before
