@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import piece_codec, token_counts
+from tabulon.llm import packing, piece_codec, token_counts
 from tabulon.llm.common import table
 
 
@@ -23,7 +23,14 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(piece_codec.encode(table(spark, sf_dir, "documents"), model, decoded=True))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenized and cut, packed into sequences of at most 1024 tokens."""
+    pieces = packing.piece_table(table(spark, sf_dir, "documents"),
+                                 public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+    return packing.pack(pieces, capacity=1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op5_piece_codec)
+    f.__name__: f for f in (op1_token_counts, op5_piece_codec, op9_best_fit_packing)
 }
 ORACLE_SQL: dict[str, str] = {}
