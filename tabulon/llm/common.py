@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulon.session import ship_package
 
@@ -57,25 +58,26 @@ def small_batches(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
-def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Callable[[list[str]], list]],
-              schema: str, fields: list[tuple[str, pa.DataType]]) -> DataFrame:
-    """One output row per row of ``df``: its id and what ``make()`` makes of its text (null: empty).
+def map_texts(df: DataFrame, keep: list[str], text_col: str, make: Callable[[], Callable[[list[str]], list]],
+              schema: str) -> DataFrame:
+    """The columns ``keep`` of every row and what ``make()`` makes of its text (null: empty).
 
     ``make`` runs once per task and returns a function from a list of texts to
-    a list of Arrow arrays, one per entry of ``fields``.
+    a list of Arrow arrays, one per field of ``schema``.
     """
     ship_package(df.sparkSession)
+    (text,) = fresh(df, "whole_text")
+    picked = df.select(*keep, F.col(text_col).alias(text))
+    out = T.StructType([*picked.schema.fields[:-1], *T.StructType.fromDDL(schema).fields])
+    names = out.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            ids = batch.column(0)
-            texts = [x or "" for x in batch.column(1).to_pylist()]
+            kept = batch.columns[:-1]
+            texts = [x or "" for x in batch.columns[-1].to_pylist()]
             for lo, hi in small_batches(texts):
-                arrays = work(texts[lo:hi])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), *arrays], names=[id_col, *(n for n, _ in fields)])
+                    [*(c.slice(lo, hi - lo) for c in kept), *work(texts[lo:hi])], names=names)
 
-    picked = df.select(F.col(id_col), F.col(text_col))
-    kind = picked.schema[0].dataType.simpleString()
-    return picked.mapInArrow(run, f"`{id_col}` {kind}, {schema}")
+    return picked.mapInArrow(run, out)

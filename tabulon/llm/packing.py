@@ -161,11 +161,9 @@ def piece_table(docs: DataFrame, vocabulary_path: str, capacity: int, end_id: in
 
         return work
 
-    longs = pa.list_(pa.int64())
     names = ["start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
-    kinds = [longs, longs, longs, *([pa.list_(longs)] if with_ids else [])]
     sql = [f"{n} array<{'array<bigint>' if n == 'ids' else 'bigint'}>" for n in names]
-    cut = map_texts(docs, id_col, text_col, make, ", ".join(sql), list(zip(names, kinds, strict=True)))
+    cut = map_texts(docs, [id_col], text_col, make, ", ".join(sql))
     return (cut.select(id_col, F.posexplode(F.arrays_zip(*names)).alias("piece", "p"))
             .select(id_col, "piece", *(F.col(f"p.{n}").alias(n) for n in names)))
 

@@ -418,16 +418,10 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(flat, np.int32)))
 
 
-IDS = ("ids array<int>", [("ids", pa.list_(pa.int32()))])
-BOUNDS = ("bounds array<int>", [("bounds", pa.list_(pa.int32()))])
-DECODED = ("decoded string", [("decoded", pa.string())])
-
-
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
            decoded: bool = False) -> DataFrame:
     """``id, ids, bounds`` of every row; with ``decoded`` also the text that its ids decode to."""
     model = file_bytes(docs.sparkSession, model_path)
-    parts = [IDS, BOUNDS, *([DECODED] if decoded else [])]
 
     def make():
         codec = codec_for(model.value)
@@ -441,8 +435,8 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
         return work
 
-    return map_texts(docs, id_col, text_col, make, ", ".join(s for s, _ in parts),
-                     [f for _, fields in parts for f in fields])
+    return map_texts(docs, [id_col], text_col, make,
+                     "ids array<int>, bounds array<int>" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -453,7 +447,7 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
         codec = codec_for(model.value)
         return lambda rows: [pa.array([codec.decode(list(ids)) for ids in rows], pa.string())]
 
-    return map_texts(encoded, id_col, ids_col, make, DECODED[0], DECODED[1])
+    return map_texts(encoded, [id_col], ids_col, make, "decoded string")
 
 
 def piece_spans(bounds: str = "bounds"):

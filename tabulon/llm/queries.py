@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import packing, piece_codec, token_counts
+from tabulon.llm import packing, piece_codec, simhash, token_counts
 from tabulon.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), words_per_shingle=3, budget=2)
+
+
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document encoded to pieces with source offsets, and decoded back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -31,6 +36,6 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op5_piece_codec, op9_best_fit_packing)
+    f.__name__: f for f in (op1_token_counts, op4_simhash_near_dedup, op5_piece_codec, op9_best_fit_packing)
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -158,6 +158,5 @@ def token_counts(docs: DataFrame, vocabulary_path: str, limit: int = 2048,
 
         return work
 
-    counted = map_texts(docs, id_col, text_col, make, "n_bytes bigint, n_tokens bigint",
-                        [("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
+    counted = map_texts(docs, [id_col], text_col, make, "n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > F.lit(limit))
