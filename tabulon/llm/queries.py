@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import packing, piece_codec, simhash, token_counts
+from tabulon.llm import packing, piece_codec, quality_rules, simhash, token_counts
 from tabulon.llm.common import table
 
 
@@ -28,6 +28,13 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(piece_codec.encode(table(spark, sf_dir, "documents"), model, decoded=True))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document, by the base rule and the learned list."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenized and cut, packed into sequences of at most 1024 tokens."""
     pieces = packing.piece_table(table(spark, sf_dir, "documents"),
@@ -36,6 +43,6 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op4_simhash_near_dedup, op5_piece_codec, op9_best_fit_packing)
+    f.__name__: f for f in (op1_token_counts, op4_simhash_near_dedup, op5_piece_codec, op8_quality_rules, op9_best_fit_packing)
 }
 ORACLE_SQL: dict[str, str] = {}
