@@ -107,9 +107,11 @@ def _cells(labelled: DataFrame, bins: int) -> tuple[DataFrame, dict[str, list[fl
     values = labelled.select("low", "fold", *(F.expr(e).alias(f) for f, e in FEATURES.items()))
     row = values.agg(*(F.percentile_approx(f, shares, 10_000).alias(f) for f in FEATURES)).first()
     cuts = {f: sorted({x for x in row[f] or []}) for f in FEATURES}
-    binned = values.select(
-        "low", "fold", *(F.size(F.filter(F.lit(cuts[f]).cast("array<double>"), lambda x, f=f: x < F.col(f))).alias(f)
-                         for f in FEATURES))
+    def bin_of(feature: str) -> Column:
+        bounds = F.lit(cuts[feature]).cast("array<double>")
+        return F.size(F.filter(bounds, lambda x: x < F.col(feature))).alias(feature)
+
+    binned = values.select("low", "fold", *map(bin_of, FEATURES))
     counted = binned.groupBy("fold", *FEATURES).agg(
         F.sum(F.when(F.col("low"), 1).otherwise(0)).alias("low"),
         F.sum(F.when(F.col("low"), 0).otherwise(1)).alias("good"))
