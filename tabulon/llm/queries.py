@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import packing, piece_codec, quality_rules, simhash, token_counts
+from tabulon.llm import exact_dedup, packing, piece_codec, quality_rules, simhash, token_counts
 from tabulon.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(piece_codec.encode(table(spark, sf_dir, "documents"), model, decoded=True))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts, and the row that stays, of every document."""
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document, by the base rule and the learned list."""
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -43,6 +48,19 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op4_simhash_near_dedup, op5_piece_codec, op8_quality_rules, op9_best_fit_packing)
+    f.__name__: f for f in (op1_token_counts, op4_simhash_near_dedup, op5_piece_codec, op7_exact_dedup, op8_quality_rules, op9_best_fit_packing)
+}
+ORACLE_SQL: dict[str, str] = {
+    "op7_exact_dedup": r"""
+        WITH rows AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body
+            FROM documents)
+        SELECT doc_id,
+               first_value(doc_id) OVER w AS keep_id,
+               count(*) OVER (PARTITION BY body) AS group_size,
+               row_number() OVER w = 1 AS kept,
+               sha256(body) AS text_sha256
+        FROM rows
+        WINDOW w AS (PARTITION BY body ORDER BY n_chars DESC, doc_id NULLS LAST)""",
 }
-ORACLE_SQL: dict[str, str] = {}
