@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import exact_dedup, packing, piece_codec, quality_rules, simhash, token_counts
+from tabulon.llm import exact_dedup, packing, piece_codec, quality_rules, secret_scan, simhash, token_counts, url_filter
 from tabulon.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(piece_codec.encode(table(spark, sf_dir, "documents"), model, decoded=True))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole document, also inside encoded layers; counts are of base spans."""
+    return secret_scan.report(secret_scan.find_secrets(table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts, and the row that stays, of every document."""
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
@@ -47,8 +52,17 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, capacity=1024)
 
 
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page, by rule or by boosted trees."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op4_simhash_near_dedup, op5_piece_codec, op7_exact_dedup, op8_quality_rules, op9_best_fit_packing)
+    f.__name__: f for f in (op1_token_counts, op4_simhash_near_dedup, op5_piece_codec, op6_secret_scan, op7_exact_dedup, op8_quality_rules, op9_best_fit_packing, op10_url_filter)
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_exact_dedup": r"""
