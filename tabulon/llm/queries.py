@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import exact_dedup, packing, piece_codec, quality_rules, secret_scan, simhash, token_counts, url_filter
+from tabulon.llm import exact_dedup, line_dedup, packing, piece_codec, quality_rules, secret_scan, sharding, simhash, token_counts, url_filter
 from tabulon.llm.common import table
 
 
@@ -17,6 +17,20 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+#: Bytes of a shard, with a line end for each document.
+SHARD_BYTES = 1 << 20
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document, by extendible hashing of ids."""
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line runs that occur earlier in the corpus."""
+    return line_dedup.deduplicate_lines(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.simhash_components(table(spark, sf_dir, "documents"), words_per_shingle=3, budget=2)
@@ -62,9 +76,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op4_simhash_near_dedup, op5_piece_codec, op6_secret_scan, op7_exact_dedup, op8_quality_rules, op9_best_fit_packing, op10_url_filter)
+    f.__name__: f for f in (op1_token_counts, op2_sharding, op3_line_dedup, op4_simhash_near_dedup, op5_piece_codec, op6_secret_scan, op7_exact_dedup, op8_quality_rules, op9_best_fit_packing, op10_url_filter)
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_sharding": sharding.oracle_sql(SHARD_BYTES),
+    "op3_line_dedup": line_dedup.oracle_sql(),
     "op7_exact_dedup": r"""
         WITH rows AS (
             SELECT doc_id, length(coalesce(text, '')) AS n_chars,
