@@ -10,8 +10,10 @@ create one.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,9 +88,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_RECORDERS: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
-    return f"{checkpoint_root(spark)}/tabulon/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/tabulon/{label}-{uuid.uuid4().hex[:12]}"
+    for paths in _RECORDERS:
+        paths.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """Collects the scratch folders named within, so that the caller can remove them once done."""
+    paths: list[str] = []
+    _RECORDERS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDERS.remove(paths)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
