@@ -40,17 +40,17 @@ def _chain(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def _entries(docs: DataFrame, id_col: str, text_col: str, clashes: DataFrame | None) -> DataFrame:
-    """``uid, id, n_chars`` and the address of every row, stored (the uid is fixed by the store)."""
-    rows = (docs.select(F.col(id_col).alias("id"), F.length(F.coalesce(text_col, F.lit(""))).alias("n_chars"),
-                        normalised(F.col(text_col)).alias("text"))
-            .withColumn("hash", _address(F.col("text"))).withColumn("chain", _chain(F.col("text"))))
+def _entries(rows: DataFrame, clashes: DataFrame | None = None) -> DataFrame:
+    """``uid, id, n_chars`` and the address of every row of ``rows`` (``uid, id, text``), stored."""
+    found = (rows.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))))
+             .withColumn("text", normalised(F.col("text")))
+             .withColumn("hash", _address(F.col("text"))).withColumn("chain", _chain(F.col("text"))))
     if clashes is None:
-        rows = rows.withColumn("chained_text", F.lit(""))
+        found = found.withColumn("chained_text", F.lit(""))
     else:
-        rows = (rows.join(clashes.withColumn("clash", F.lit(True)), ["hash", "chain"], "left")
-                .withColumn("chained_text", F.when(F.col("clash"), F.col("text")).otherwise("")))
-    return stage(rows.select(F.monotonically_increasing_id().alias("uid"), "id", "n_chars", *ADDRESS), "entries")
+        found = (found.join(clashes.withColumn("clash", F.lit(True)), ["hash", "chain"], "left")
+                 .withColumn("chained_text", F.when(F.col("clash"), F.col("text")).otherwise("")))
+    return stage(found.select("uid", "id", "n_chars", *ADDRESS), "entries")
 
 
 def _slots(entries: DataFrame) -> DataFrame:
@@ -91,25 +91,42 @@ def _index(slots: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     return stage(owned, "index")
 
 
-def _clashes(docs: DataFrame, text_col: str, index: DataFrame) -> DataFrame:
+def _clashes(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Addresses whose rows differ in some byte."""
-    several = index.filter("size > 1").select("hash", "chain").distinct()
-    texts = docs.select(normalised(F.col(text_col)).alias("text")).withColumn("hash", _address(F.col("text")))
-    return (texts.join(several.select("hash").distinct(), "hash", "left_semi")
+    several = index.filter("size > 1").select("hash").distinct()
+    texts = rows.select(normalised(F.col("text")).alias("text")).withColumn("hash", _address(F.col("text")))
+    return (texts.join(several, "hash", "left_semi")
             .withColumn("chain", _chain(F.col("text")))
             .groupBy("hash", "chain").agg(F.min("text").alias("least"), F.max("text").alias("most"))
             .filter("least <> most").select("hash", "chain"))
 
 
-def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               capacity: int = 1024, max_depth: int = 12) -> DataFrame:
-    """``id, keep_id, group_size, kept, text_sha256`` of every row of ``docs``."""
-    entries = _entries(docs, id_col, text_col, None)
+def _looked_up(rows: DataFrame, capacity: int, max_depth: int) -> DataFrame:
+    """Entries of ``rows`` (``uid, id, text``) with their slot of the index."""
+    entries = _entries(rows)
     index = _index(_slots(entries), capacity, max_depth)
-    clashes = _clashes(docs, text_col, index)
+    clashes = _clashes(rows, index)
     if not clashes.isEmpty():
-        entries = _entries(docs, id_col, text_col, stage(clashes, "clashes"))
+        entries = _entries(rows, stage(clashes, "clashes"))
         index = _index(_slots(entries), capacity, max_depth)
-    return (entries.join(index, ADDRESS)
-            .select(F.col("id").alias(id_col), "keep_id", F.col("size").alias("group_size"),
-                    (F.col("uid") == F.col("keep_uid")).alias("kept"), F.col("chain").alias("text_sha256")))
+    return entries.join(index, ADDRESS)
+
+
+def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               capacity: int = 1024, max_depth: int = 12) -> DataFrame:
+    """``id, keep_id, group_size, kept, text_sha256`` of every row of ``docs``."""
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"),  # fixed where the entries are stored
+                       F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return _looked_up(rows, capacity, max_depth).select(
+        F.col("id").alias(id_col), "keep_id", F.col("size").alias("group_size"),
+        (F.col("uid") == F.col("keep_uid")).alias("kept"), F.col("chain").alias("text_sha256"))
+
+
+def first_of_equals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    capacity: int = 1024, max_depth: int = 12) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they are."""
+    stored = stage(docs.select(F.monotonically_increasing_id().alias("uid"),
+                               F.struct(*docs.columns).alias("row")), "rows")
+    rows = stored.select("uid", F.col(f"row.{id_col}").alias("id"), F.col(f"row.{text_col}").alias("text"))
+    dropped = _looked_up(rows, capacity, max_depth).filter("uid <> keep_uid").select("uid")
+    return stored.join(stage(dropped, "dropped"), "uid", "left_anti").select("row.*")

@@ -227,3 +227,17 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return (stored.withColumn("base_failed", base_failed())
             .withColumn("kept", ~F.col("base_failed") & verdict(rules))
             .select(*keep, *COUNTS, "base_failed", "kept"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that neither the base rule nor the learned list rejects, all columns as they are.
+
+    Texts are measured twice, once to learn and once to judge, so that none is stored or shuffled.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    measured = with_statistics(rows)
+    rules = learn(stage(measured.select("id", *COUNTS), "statistics"),
+                  labels.withColumnRenamed(id_col, "id"), "id")
+    # the generator keeps the filter above the measuring, whose steps it would otherwise repeat
+    counts = F.inline(F.array(F.struct(*COUNTS)))
+    return measured.select("row", counts).filter(~base_failed() & verdict(rules)).select("row.*")
