@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tabulon.llm.common import ASCII_SPACE
 from tabulon.session import stage
 
+#: Hashes (8 bytes each) of texts with copies that are broadcast, at most.
+BROADCAST_HASHES = 100_000
 ADDRESS = ["hash", "chain", "chained_text"]
 
 
@@ -93,10 +95,11 @@ def _index(slots: DataFrame, capacity: int, max_depth: int) -> DataFrame:
 
 def _clashes(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Addresses whose rows differ in some byte."""
-    several = index.filter("size > 1").select("hash").distinct()
+    several = stage(index.filter("size > 1").select("hash").distinct(), "several")
     texts = rows.select(normalised(F.col("text")).alias("text")).withColumn("hash", _address(F.col("text")))
-    return (texts.join(several, "hash", "left_semi")
-            .withColumn("chain", _chain(F.col("text")))
+    if several.count() <= BROADCAST_HASHES:  # else all texts are combined map-side and compared
+        texts = texts.join(F.broadcast(several), "hash", "left_semi")
+    return (texts.withColumn("chain", _chain(F.col("text")))
             .groupBy("hash", "chain").agg(F.min("text").alias("least"), F.max("text").alias("most"))
             .filter("least <> most").select("hash", "chain"))
 
