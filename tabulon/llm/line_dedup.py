@@ -85,7 +85,8 @@ def deduplicate_lines(docs: DataFrame, run_lines: int = 2, line_words: int = 50,
     stored = stage(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
                                F.col(text_col).alias("text")), "texts")
     covered = stage(_repeated(stored, run_lines, line_words), "covered")
-    joined = _with_lines(stored.join(covered, "uid", "left")).withColumn(
+    # sorted and merged at every size: a sixth of all texts may have repeated lines
+    joined = _with_lines(stored.join(covered.hint("merge"), "uid", "left")).withColumn(
         "covered", F.coalesce("covered", F.array().cast("array<int>")))
     # first and last line of each run of covered lines
     starts = F.expr("filter(covered, (c, j) -> not (c - 1 <=> get(covered, j - 1)))")
