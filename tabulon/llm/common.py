@@ -17,6 +17,8 @@ ASCII_SPACE = r"[\x20\x09-\x0D]"
 #: Rows handed on per Arrow batch; long texts are further cut by ``BATCH_CHARS``.
 BATCH_ROWS = 512
 BATCH_CHARS = 4_000_000
+#: Keys (8 bytes each) that are broadcast, at most.
+BROADCAST_KEYS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +48,16 @@ def file_bytes(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
+def without(rows: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` is not in ``dropped`` (stored, one column of longs).
+
+    Up to ``BROADCAST_KEYS`` keys, counted first, go to the rows; beyond that both are shuffled.
+    """
+    if dropped.count() <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(dropped), key, "left_anti")
+    return rows.join(dropped.hint("merge"), key, "left_anti")
+
+
 def small_batches(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch, each of few rows and few characters (at least one row)."""
     lo = chars = 0

@@ -22,11 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import ASCII_SPACE
+from tabulon.llm.common import ASCII_SPACE, BROADCAST_KEYS, without
 from tabulon.session import stage
 
-#: Hashes (8 bytes each) of texts with copies that are broadcast, at most.
-BROADCAST_HASHES = 100_000
 ADDRESS = ["hash", "chain", "chained_text"]
 
 
@@ -97,7 +95,7 @@ def _clashes(rows: DataFrame, index: DataFrame) -> DataFrame:
     """Addresses whose rows differ in some byte."""
     several = stage(index.filter("size > 1").select("hash").distinct(), "several")
     texts = rows.select(normalised(F.col("text")).alias("text")).withColumn("hash", _address(F.col("text")))
-    if several.count() <= BROADCAST_HASHES:  # else all texts are combined map-side and compared
+    if several.count() <= BROADCAST_KEYS:  # else all texts are combined map-side and compared
         texts = texts.join(F.broadcast(several), "hash", "left_semi")
     return (texts.withColumn("chain", _chain(F.col("text")))
             .groupBy("hash", "chain").agg(F.min("text").alias("least"), F.max("text").alias("most"))
@@ -132,4 +130,4 @@ def first_of_equals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                F.struct(*docs.columns).alias("row")), "rows")
     rows = stored.select("uid", F.col(f"row.{id_col}").alias("id"), F.col(f"row.{text_col}").alias("text"))
     dropped = _looked_up(rows, capacity, max_depth).filter("uid <> keep_uid").select("uid")
-    return stored.join(stage(dropped, "dropped"), "uid", "left_anti").select("row.*")
+    return without(stored, stage(dropped, "dropped"), "uid").select("row.*")
