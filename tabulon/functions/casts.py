@@ -17,7 +17,7 @@ from tabulon.functions.dates import lenient_date
 
 # A whole number written with a fractional part of zeros, e.g. "3.0" from a file
 # exported out of a floating-point column.
-WHOLE_WITH_ZEROS = r"^(-?\d+)\.0*$"
+WHOLE_WITH_ZEROS = r"^(-?\d+)\.0*\z"
 
 
 def _col(c: Column | str) -> Column:

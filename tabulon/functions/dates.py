@@ -29,9 +29,12 @@ from pyspark.sql.types import DateType
 # midnight; dates outside it become NULL.
 FIRST_VALID_DATE = "1677-09-22"
 LAST_VALID_DATE = "2262-04-11"
-# Accepted shapes after the blank-before-day repair.
-ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
-US_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4}$"
+# Accepted shapes after the blank-before-day repair (``\z``: no line break may follow).
+# Repairs: one blank before a one-digit day.
+ISO_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}\z"
+US_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4}\z"
+ISO_BLANK = r"^(\d{4}-\d{1,2}-) ([1-9])\z"
+US_BLANK = r"^(\d{1,2}/) ([1-9]/\d{4})\z"
 # ---------------------------------------------------------------------------------
 
 
@@ -50,14 +53,14 @@ def _repair_blank(text: Column, pattern: str) -> Column:
 
 
 def _iso(text: Column) -> Column:
-    repaired = _repair_blank(text, r"^(\d{4}-\d{1,2}-) ([1-9])$")
+    repaired = _repair_blank(text, ISO_BLANK)
     # The shape check pins the text to y-m-d digits, so Spark's own (fast)
     # string-to-date cast reads exactly what the pattern "yyyy-M-d" would.
     return F.when(repaired.rlike(ISO_SHAPE), repaired.try_cast("date"))
 
 
 def _us(text: Column) -> Column:
-    repaired = _repair_blank(text, r"^(\d{1,2}/) ([1-9]/\d{4})$")
+    repaired = _repair_blank(text, US_BLANK)
     as_iso = F.concat(F.substring_index(repaired, "/", -1), F.lit("-"),
                       F.substring_index(repaired, "/", 1), F.lit("-"),
                       F.substring_index(F.substring_index(repaired, "/", 2), "/", -1))
@@ -67,9 +70,18 @@ def _us(text: Column) -> Column:
 def lenient_date(c: Column | str) -> Column:
     """Mixed ISO / US text -> DATE, NULL when it cannot be read (F2)."""
     text = _col(c)
-    parsed = (F.when(text.contains("-"), _iso(text))
-               .when(text.contains("/"), _us(text)))
-    return _in_range(parsed)
+    return _in_range(any_date(text))
+
+
+def any_date(c: Column | str) -> Column:
+    """``lenient_date`` before the range check, for callers that apply ``in_range`` to the parsed column."""
+    text = _col(c)
+    return F.when(text.contains("-"), _iso(text)).when(text.contains("/"), _us(text))
+
+
+def in_range(c: Column | str) -> Column:
+    """The date, NULL outside the range."""
+    return _in_range(_col(c))
 
 
 def no_separator(c: Column | str) -> Column:
@@ -111,8 +123,8 @@ def text_length(c: Column | str) -> Column:
 @pandas_udf(DateType())
 def lenient_date_udf(s: pd.Series) -> pd.Series:
     """The F2 rule evaluated by pandas' own parser, one Arrow batch at a time."""
-    has_dash = s.str.contains("-", regex=False).fillna(False).astype(bool)
-    has_slash = (~has_dash) & s.str.contains("/", regex=False).fillna(False).astype(bool)
+    has_dash = s.str.contains("-", regex=False, na=False).astype(bool)
+    has_slash = (~has_dash) & s.str.contains("/", regex=False, na=False).astype(bool)
     out = pd.Series(pd.NaT, index=s.index, dtype="datetime64[ns]")
     if has_dash.any():
         out[has_dash] = pd.to_datetime(s[has_dash], format="%Y-%m-%d", errors="coerce")

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tabulon.functions.dates import (FIRST_VALID_DATE, ISO_SHAPE, LAST_VALID_DATE, US_SHAPE,
-                                     lenient_date_udf)
+from tabulon.functions.dates import (FIRST_VALID_DATE, ISO_BLANK, ISO_SHAPE, LAST_VALID_DATE, US_BLANK,
+                                     US_SHAPE, lenient_date_udf)
 
 
 def _lit(pattern: str) -> str:
@@ -25,8 +25,8 @@ def _repaired(blank_pattern: str) -> str:
 
 
 def lenient_date_sql_body() -> str:
-    iso = _repaired(r"^(\d{4}-\d{1,2}-) ([1-9])$")
-    us = _repaired(r"^(\d{1,2}/) ([1-9]/\d{4})$")
+    iso = _repaired(ISO_BLANK)
+    us = _repaired(US_BLANK)
     us_as_iso = (f"concat(substring_index({us}, '/', -1), '-', substring_index({us}, '/', 1), '-', "
                  f"substring_index(substring_index({us}, '/', 2), '/', -1))")
     parsed = (f"CASE WHEN contains(t, '-') THEN "

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tabulon.functions.casts import cast_text, is_reject
+from tabulon.functions.dates import any_date, in_range
 
 
 class SchemaMismatch(ValueError):
@@ -67,6 +68,9 @@ def conform(df: DataFrame, schema: StructType, *, mode: str = "report",
     check_columns(df.columns, schema, mode)
     keep = keep or []
     kinds = dict(df.dtypes)
+    # Two steps, so that a value is computed once however often it is looked at:
+    # parse (dates without their range check), then range check and reject flags.
+    parsed: list[Column] = []
     out: list[Column] = []
     flags: list[str] = []
     for field in schema.fields:
@@ -74,18 +78,27 @@ def conform(df: DataFrame, schema: StructType, *, mode: str = "report",
         src = df[name]
         is_text = kinds[name] == "string"
         typed = field.dataType.simpleString() != "string"
-        value = cast_text(src, field.dataType) if is_text else src.cast(field.dataType)
-        if is_text and typed and on_cast_error == "fail":
-            value = F.when(is_reject(src, value),
-                           F.raise_error(F.concat(F.lit(f"cannot convert {field.name}: '"),
-                                                  src, F.lit("'"))).cast(field.dataType)
-                           ).otherwise(value)
+        is_date = is_text and isinstance(field.dataType, DateType)
+        first = any_date(src) if is_date else \
+            cast_text(src, field.dataType) if is_text else src.cast(field.dataType)
+        parsed.append(first.alias(field.name))
+        value = in_range(field.name) if is_date else F.col(field.name)
+        if is_text and typed:
+            text = f"_text_{field.name}"
+            parsed.append(src.alias(text))
+            if on_cast_error == "fail":
+                value = F.when(is_reject(text, value),
+                               F.raise_error(F.concat(F.lit(f"cannot convert {field.name}: '"),
+                                                      F.col(text), F.lit("'"))).cast(field.dataType)
+                               ).otherwise(value)
+            if observation is not None:
+                flag = f"_reject_{field.name}"
+                out.append(is_reject(text, value).alias(flag))
+                flags.append(flag)
         out.append(value.alias(field.name))
-        if is_text and typed and observation is not None:
-            flag = f"_reject_{field.name}"
-            out.append(is_reject(src, value).alias(flag))
-            flags.append(flag)
-    result = df.select(*out, *[df[k] for k in keep])
+    result = df.select(*parsed, *[df[k] for k in keep]).select(*out, *keep)
+    order = [*schema.names, *flags, *keep]
+    result = result.select(*order)
     if observation is not None:
         metrics = [F.count_if(F.col(f)).alias(f"rejects{f[len('_reject'):]}") for f in flags]
         result = result.observe(observation, F.count(F.lit(1)).alias("rows"),

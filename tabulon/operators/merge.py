@@ -29,6 +29,10 @@ def _no_null_key(keys: list[str]):
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def _nullable(df: DataFrame, keys: list[str]) -> bool:
+    return any(df.schema[k].nullable for k in keys)
+
+
 def cardinality_violations(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Source keys held by several source rows *and* present in the target.
 
@@ -55,7 +59,7 @@ def check_cardinality(target: DataFrame, source: DataFrame, keys: list[str],
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str] | tuple[str, ...], *,
            check: bool = True, delete_missing: bool = False,
-           partitions: int | None = None) -> DataFrame:
+           partitions: int | None = None, key_side: DataFrame | None = None) -> DataFrame:
     """J1 (update all columns, insert the rest), J3 with ``delete_missing``.
 
     The source is first conformed to the target's schema by name (J4: a BIGINT
@@ -66,18 +70,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str] | tuple[str, ..
     source is hash-partitioned the same way once, so the anti join shuffles
     neither side again and every output task holds exactly one bucket.
     NULL keys follow SQL: they never match, so such source rows are inserted and
-    such target rows kept (J5).  The source is read up to three times (check,
+    such target rows kept (J5).  ``key_side``: the distinct keys of the source, where the
+    caller has them cheaper than from the source itself.  The source is read up to three times (check,
     key side of the anti join, union): stage an expensive source first.
     """
     keys = list(keys)
     src = conform_to_target(source, target.schema)
     if partitions:
-        src = src.repartition(partitions, *keys)
+        # rows without a key match nothing: they stay spread instead of meeting in one bucket's task
+        keyed = src.where(_no_null_key(keys)).repartition(partitions, *keys)
+        src = keyed.unionByName(src.where(~_no_null_key(keys))) if _nullable(src, keys) else keyed
     if check:
         check_cardinality(target, src, keys)
     if delete_missing:
         return src
-    key_side = src.select(*keys)
+    if key_side is not None:
+        key_side = conform_to_target(key_side, target.select(*keys).schema)
+        if partitions:
+            key_side = key_side.repartition(partitions, *keys)
+    else:
+        key_side = src.select(*keys)
     if check:
         # A general update set may repeat a key many times; deduplicating the key
         # side (combined map-side) keeps a hot key from skewing the anti join.

@@ -43,7 +43,8 @@ _SLOTS = {  # struct slot per Spark type family; everything else is compared as
     "s": ("string", ("string",)),
     "i": ("bigint", ("tinyint", "smallint", "int", "bigint")),
     "f": ("double", ("float", "double")),
-    "t": ("timestamp_ntz", ("timestamp_ntz", "timestamp")),
+    "t": ("timestamp_ntz", ("timestamp_ntz",)),
+    "u": ("timestamp", ("timestamp",)),  # an instant: the repeated hour of a zone holds two of each wall time
     "d": ("date", ("date",)),
     "b": ("boolean", ("boolean",)),
     "x": ("string", ()),
@@ -114,16 +115,17 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull())
 
 
-def values_desc(df: DataFrame, column: str, n: int, tie: list[str] | None = None) -> DataFrame:
-    """L4: non-null values as integers, largest first, the top ``n``.
+def values_desc(df: DataFrame, column: str, n: int | None = None, tie: list[str] | None = None) -> DataFrame:
+    """L4: all non-null values as integers, largest first; with ``n`` only the top ``n``.
 
-    ``orderBy().limit()`` plans as a per-partition top-n plus a final merge, never
-    a global sort of all rows.
+    The full list is a range-partitioned sort; with ``n`` it is a per-partition
+    top-n plus a final merge.
     """
     tie = tie or []
     out = (df.where(F.col(column).isNotNull())
            .select(*tie, F.col(column).cast("long").alias(column)))
-    return out.orderBy(F.col(column).desc(), *tie).limit(n)
+    ordered = out.orderBy(F.col(column).desc(), *tie)
+    return ordered if n is None else ordered.limit(n)
 
 
 def preview(df: DataFrame, keys: list[str], n: int = 10) -> DataFrame:

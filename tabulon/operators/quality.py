@@ -4,8 +4,8 @@ Skew: a single key may hold a large share of all rows.  Every operator here
 either aggregates (partial aggregation before the shuffle shrinks a hot key to
 one row per map task) or uses ``row_number() = 1``, which Spark executes with a
 per-partition group limit before the shuffle, so a hot key never lands whole in
-one task.  The duplicate report joins on key *and* row order, which is unique,
-so it has no skew either.
+one task.  The duplicate report joins on a row number, which is unique, so it
+has no skew either.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulon.session import stage
+
 
 class GateFailed(AssertionError):
     """A data-quality gate did not pass."""
@@ -49,6 +51,11 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return key_counts(df, keys).where(F.col("n") > 1)
 
 
+def repeated_keys(df: DataFrame, by: str, keys: list[str]) -> DataFrame:
+    """Q1 per extract: keys held by more than one row of the same ``by`` (whatever part files hold them)."""
+    return df.groupBy(by, *keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
 def assert_unique(df: DataFrame, keys: list[str], sample: int = 20, where: str = "input") -> None:
     """Q1: fail with up to ``sample`` offending keys."""
     bad = duplicate_keys(df, keys).limit(sample).collect()
@@ -73,26 +80,33 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str | Column],
     return ranked.unionByName(nulls)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with a unique row number in ``_rid``, fixed by writing it out."""
+    return stage(df.withColumn("_rid", F.monotonically_increasing_id()), "numbered")
+
 
+def _last_rows(numbered: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    return keep_last(numbered.select(*keys, *order, "_rid"), keys, [*order, "_rid"]).select("_rid")
 
-def duplicate_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Every row that is not the last of its key (the rows ``keep_last`` drops)."""
-    winners = keep_last(df.select(*keys, *order), keys, order).alias("w")
-    left = df.alias("d")
-    on = _null_safe_on(left, winners, keys + order)
-    return left.join(winners, on, "left_anti")
+
+def duplicate_rows(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Every row that is not the last of its key (the rows ``keep_last`` drops).
+
+    Rows that tie on key and order, exact duplicates among them, are told apart
+    by their row number, the last key of the order; so ``order`` need not be
+    unique and may be left out (position decides).
+    """
+    numbered = _numbered(df)
+    return numbered.join(_last_rows(numbered, keys, order or []), "_rid", "left_anti").drop("_rid")
 
 
-def flag_duplicates(df: DataFrame, keys: list[str], order: list[str],
+def flag_duplicates(df: DataFrame, keys: list[str], order: list[str] | None = None,
                     flag: str = "is_duplicate") -> DataFrame:
-    """Each row with a boolean: True when a later row has the same key (A10 input)."""
-    winners = keep_last(df.select(*keys, *order), keys, order).withColumn("_last", F.lit(True))
-    left = df.alias("d")
-    on = _null_safe_on(left, winners.alias("w"), keys + order)
-    joined = left.join(winners.alias("w"), on, "left")
-    return joined.select("d.*", F.col("w._last").isNull().alias(flag))
+    """Each row with a boolean: True when a later row has the same key (A10 input); ties as in A6."""
+    numbered = _numbered(df)
+    last = _last_rows(numbered, keys, order or []).withColumn("_last", F.lit(True))
+    joined = numbered.join(last, "_rid", "left")
+    return joined.select(*df.columns, F.col("_last").isNull().alias(flag))
 
 
 def max_lengths(df: DataFrame, columns: list[str]) -> DataFrame:

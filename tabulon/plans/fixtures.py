@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.functions.casts import ntz_text
+from tabulon.session import child_names, hadoop_path, qualified, scratch_path
 from tabulon.sources.archives import write_archives
 from tabulon.sources.csv import write_csv
-from tabulon.sources.files import file_inventory
+from tabulon.sources.files import file_inventory, write_file_atomic
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                  "o_orderpriority"]
@@ -77,6 +78,22 @@ def write_yearly_orders(orders: DataFrame, root: str) -> str:
     return root
 
 
+def deliver_yearly_orders(spark: SparkSession, orders: DataFrame, root: str) -> str:
+    """Yearly order extracts whose file names do not change from one delivery to the next."""
+    written = write_yearly_orders(orders, scratch_path(spark, "delivery"))
+    for year in child_names(spark, written):
+        if not year.startswith("FY="):
+            continue
+        parts = [n for n in child_names(spark, f"{written}/{year}") if n.endswith(".csv")]
+        fs, folder = hadoop_path(spark, f"{root}/{year}")
+        fs.mkdirs(folder)
+        for i, part in enumerate(parts):
+            target = hadoop_path(spark, f"{root}/{year}/orders-{i:05d}.csv")[1]
+            fs.delete(target, False)
+            fs.rename(hadoop_path(spark, f"{written}/{year}/{part}")[1], target)
+    return root
+
+
 def write_daily_events(events: DataFrame, root: str) -> str:
     """``events`` as one extract folder per day, rows in (ts, event_id) order."""
     day = F.substring(ntz_text("ts"), 1, 10)
@@ -116,7 +133,8 @@ def archive_plan(inventory: DataFrame) -> DataFrame:
 
 
 def write_order_archives(spark: SparkSession, csv_root: str, zip_root: str) -> str:
-    """One zip per yearly part file, following ``archive_plan``; runs now."""
+    """One zip per yearly part file, following ``archive_plan``, and one that cannot be read; runs now."""
+    write_file_atomic(qualified(spark, f"{zip_root}/broken/cut.zip"), [b"PK\x03\x04 cut short"])
     plan = archive_plan(file_inventory(spark, csv_root, "*.csv"))
     write_archives(plan, zip_root).write.format("noop").mode("overwrite").save()
     return zip_root
@@ -224,7 +242,7 @@ PROJECT_EXPECTED_SQL = {
 }
 
 
-# Columns that appear in later yearly files only (fiscal years from 2000 on).
+# Columns that appear in later yearly files only (fiscal years from 2000 on).
 PROJECT_EXTRAS = ["FUNDING_MECHANISM", "ORG_IPF_CODE", "DIRECT_COST_AMT", "INDIRECT_COST_AMT"]
 
 

@@ -17,22 +17,23 @@ instead of N merges that each rewrite the master.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
+from tabulon.functions.dates import no_separator
 from tabulon.operators.conform import check_columns, conform, extra_columns
 from tabulon.operators.merge import upsert
-from tabulon.operators.quality import GateFailed, keep_last
+from tabulon.operators.quality import GateFailed, keep_last, repeated_keys
 from tabulon.schema import TableSpec
 from tabulon.session import remove_path, scratch_path, stage_to
 from tabulon.sinks.tables import TableStore
-from tabulon.sources.csv import (BLOCK, FILE, ROW, SEQ, SOURCE, FileSet, read_csv_sources,
+from tabulon.sources.csv import (BLOCK, CORRUPT, FILE, ROW, SEQ, SOURCE, FileSet, read_csv_sources,
                                  scan_files)
-from tabulon.sources.files import file_inventory
+from tabulon.sources.files import empty_files, file_inventory
 
 
 @dataclass
@@ -45,6 +46,7 @@ class Prepared:
     metrics: dict
     files: FileSet         # exactly the files that were read
     staging: str | None = None  # folder ``typed`` reads; ``ingest`` removes it when done
+    empty: list[str] = field(default_factory=list)  # files without bytes: nothing to read, but delivered
 
     def reject_report(self, spark: SparkSession) -> DataFrame:
         """Per typed column, non-empty texts that did not convert.
@@ -59,20 +61,26 @@ class Prepared:
 def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "*.csv",
             files: DataFrame | None = None, on_duplicate: str = "fail",
             conform_mode: str = "report", on_cast_error: str = "null",
-            stage_rows: bool = True, multi_line: bool = True) -> Prepared:
+            on_malformed: str = "count", multi_line: bool = True) -> Prepared:
     """Read, gate, conform and de-duplicate; publish nothing.
 
-    ``on_duplicate``: ``"fail"`` (a key repeated inside one file aborts, Q1) or
-    ``"keep_last"`` (the later row of the file wins, A5).  Across files the later
-    file name always wins.  ``multi_line=False`` reads large single-line
-    extracts in parallel splits (quoted fields must then hold no line breaks);
-    row order is kept either way.
+    The input is parsed once and staged; all gates are observed on that write or
+    read the stage.
+
+    ``on_duplicate``: ``"fail"`` (a key repeated inside one extract, in whatever
+    part files, aborts, Q1) or ``"keep_last"`` (the later row wins, A5).  Across
+    extracts the later file name always wins.  ``on_malformed``: records with more or
+    fewer fields than the header are counted in ``metrics["malformed"]``
+    (``"count"``) or abort (``"fail"``).  ``multi_line=False`` reads large
+    single-line extracts in parallel splits; a quoted line break leaves malformed
+    fragments there, so any malformed record then aborts.  Row order is kept either way.
     """
     keys = list(spec.keys)
     inventory = files if files is not None else file_inventory(spark, root, pattern)
     files_set = scan_files(inventory, root)
     for header, paths in files_set.groups():
         check_columns(header, spec.schema, conform_mode, where=paths[0])
+    empty = empty_files(spark, root, pattern) if files is None else []
     raw = read_csv_sources(spark, files_set, multiLine=str(multi_line).lower())
 
     # Q2 and row counts are observed during the staging write: no extra pass.
@@ -81,48 +89,42 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
     obs = Observation("ingest_gates")
     observed = raw.observe(
         obs, F.count(F.lit(1)).alias("rows"),
-        *[F.max(F.length(F.col(resolved[d.lower()]))).alias(f"len_{d}") for d in date_cols])
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"),
+        *[F.max(F.length(F.col(resolved[d.lower()]))).alias(f"len_{d}") for d in date_cols],
+        *[F.count_if(no_separator(F.col(resolved[d.lower()]))).alias(f"no_separator_{d}") for d in date_cols])
     rejects = Observation("ingest_rejects")
     typed = conform(observed, spec.schema, mode=conform_mode, on_cast_error=on_cast_error,
                     keep=[SOURCE, FILE, SEQ, BLOCK, ROW], observation=rejects)
     no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    staging = None
-    if stage_rows:
-        key_obs = Observation("ingest_keys")
-        staging = scratch_path(spark, "ingest-stage")
-        typed = stage_to(typed.observe(key_obs, F.count_if(~no_null).alias("null_keys")), staging)
-        metrics = {**obs.get, **rejects.get, **key_obs.get}
-    else:
-        # Dry run without staging: the date-text gate still runs, as one aggregate.
-        lengths = raw.agg(*[F.max(F.length(F.col(resolved[d.lower()]))).alias(f"len_{d}")
-                            for d in date_cols]).first() if date_cols else None
-        metrics = lengths.asDict() if lengths is not None else {}
+    key_obs = Observation("ingest_keys")
+    staging = scratch_path(spark, "ingest-stage")
+    typed = stage_to(typed.observe(key_obs, F.count_if(~no_null).alias("null_keys")), staging)
+    metrics = {**obs.get, **rejects.get, **key_obs.get, "empty_files": len(empty)}
     try:
         _check_date_lengths(metrics, spec.date_text_max)
-
-        if spec.null_keys == "fail" and metrics.get("null_keys", 1):
+        if metrics["malformed"] and (on_malformed == "fail" or not multi_line):
+            raise GateFailed(f"{metrics['malformed']} records do not have their header's fields")
+        if spec.null_keys == "fail" and metrics["null_keys"]:
             # Observed during staging; the sample is only looked up when there is one.
             bad = typed.where(~no_null).select(FILE, BLOCK, ROW).limit(5).collect()
-            if bad:
-                raise GateFailed(f"NULL key {keys} in {[tuple(r) for r in bad]}")
+            raise GateFailed(f"NULL key {keys} in {[tuple(r) for r in bad]}")
         if on_duplicate == "fail":
-            dup = (typed.where(no_null).groupBy(SEQ, *keys).count()
-                   .where(F.col("count") > 1).limit(20).collect())
+            dup = repeated_keys(typed.where(no_null), SOURCE, keys).limit(20).collect()
             if dup:
-                raise GateFailed(f"key {keys} not unique within a file: {[tuple(r) for r in dup]}")
+                raise GateFailed(f"key {keys} not unique within an extract: {[tuple(r) for r in dup]}")
     except GateFailed:
         # A failed gate publishes nothing, so its staged copy is not kept either.
-        if staging:
-            remove_path(spark, staging)
+        remove_path(spark, staging)
         raise
 
-    # Only the data and two integers travel through the shuffle.
+    # Only the data and two integers travel through the shuffle.  Without NULL keys
+    # (observed above) there is no second branch for them.
     latest = keep_last(typed.select(*spec.names, SEQ, BLOCK, ROW), keys, [SEQ, BLOCK, ROW],
-                       nulls_equal=False)
+                       nulls_equal=not metrics["null_keys"])
     rows = latest.select(*spec.names)
     headers = files_set.headers(spark)
     return Prepared(rows, typed, headers, extra_columns(headers, spec.schema), inventory, metrics,
-                    files_set, staging)
+                    files_set, staging, empty)
 
 
 def _check_date_lengths(metrics: dict, limit: int) -> None:
@@ -138,15 +140,18 @@ def ingest(store: TableStore, spec: TableSpec, root: str, *, files: DataFrame |
     """Upsert every file below ``root`` (or ``files``) into the master."""
     spark = store.spark
     keys = list(spec.keys)
-    bucket_keys = keys if spec.buckets else None
-    store.create_if_absent(spec.name, spec.schema, keys, bucket_keys=bucket_keys,
-                           buckets=spec.buckets)
+    # an existing bucketed master stays as it is bucketed, unless the spec says otherwise
+    buckets = spec.buckets or (store.bucketing(spec.name) or (None, None))[1]
+    bucket_keys = keys if buckets else None
+    store.create_if_absent(spec.name, spec.schema, keys if spec.null_keys == "fail" else None,
+                           bucket_keys=bucket_keys, buckets=buckets)
     prep = prepare(spark, root, spec, files=files, **options)
     try:
         master = store.read(spec.name)
-        merged = upsert(master, prep.rows, keys, check=False, partitions=spec.buckets)
-        version = store.publish(spec.name, merged, label=label, bucket_keys=bucket_keys,
-                                buckets=spec.buckets)
+        # the keys of all staged rows are those of the winners, without their window
+        merged = upsert(master, prep.rows, keys, check=False, partitions=buckets,
+                        key_side=prep.typed.select(*keys).distinct())
+        version = store.publish(spec.name, merged, label=label, bucket_keys=bucket_keys, buckets=buckets)
         run = version if run is None else run
         # The ledger records the files actually read, not a fresh listing.
         store.record_files(spec.name, prep.files.listing(spark), version, run)
@@ -158,10 +163,13 @@ def ingest(store: TableStore, spec: TableSpec, root: str, *, files: DataFrame |
 
 
 def pending_files(store: TableStore, spec: TableSpec, root: str, pattern: str = "*.csv") -> DataFrame:
-    """S4 resume: files below ``root`` the ledger has not recorded, in name order."""
+    """S4 resume: files below ``root`` that the ledger has not recorded as they are now.
+
+    A file delivered again under its name, with another size or time, is pending again.
+    """
     inventory = file_inventory(store.spark, root, pattern)
-    done = store.ledger(spec.name).select("file_name")
-    return inventory.join(done, "file_name", "left_anti")
+    done = store.ledger(spec.name).select("file_name", "size", "modified")
+    return inventory.join(done, ["file_name", "size", "modified"], "left_anti")
 
 
 def resume(store: TableStore, spec: TableSpec, root: str, pattern: str = "*.csv",

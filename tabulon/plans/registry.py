@@ -12,7 +12,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabulon.functions import (lenient_date, lenient_date_udf, single_format_date, strict_date,
@@ -173,7 +173,8 @@ def file_row_counts(spark, sf_dir):
 SELECT 'FY=' || CAST(y AS VARCHAR) AS source,
        CASE y % 4 WHEN 1 THEN 'skipped' WHEN 2 THEN 'rejected' ELSE 'extracted' END AS status,
        CAST(CASE WHEN y % 4 IN (1, 2) THEN 0 ELSE count(*) END AS BIGINT) AS extracted_rows
-FROM (SELECT year(o_orderdate) AS y FROM orders) GROUP BY y""")
+FROM (SELECT year(o_orderdate) AS y FROM orders) GROUP BY y
+UNION ALL SELECT 'broken', 'corrupt', 0""")
 def archive_expand(spark, sf_dir):
     zips = order_archives(spark, sf_dir)
     out = scratch_path(spark, "unzipped")
@@ -201,6 +202,20 @@ def archive_nth_line(spark, sf_dir):
     return lines.where(F.col("status") == "extracted").select("source", "line").distinct()
 
 
+@register("archive_first_row", """
+SELECT 'FY=' || CAST(y AS VARCHAR) AS source, first_key FROM (
+  SELECT year(o_orderdate) AS y, min(o_orderkey) AS first_key FROM orders GROUP BY year(o_orderdate))
+WHERE y % 4 NOT IN (1, 2)""")
+def archive_first_row(spark, sf_dir):
+    """S6 with n > 0: line 1 of every archive, its key found by the archive's own header (line 0)."""
+    zips = order_archives(spark, sf_dir)
+    head = nth_lines(spark, zips, n=0).where("line is not null").select("archive", F.split("line", ",").alias("names"))
+    rows = nth_lines(spark, zips, n=1).where("line is not null").select("archive", "source", "line")
+    key = F.get(F.split("line", ","), (F.array_position("names", "o_orderkey") - 1).cast("int"))
+    return (rows.join(head, "archive").select("source", lenient_long(key).alias("key"))
+            .groupBy("source").agg(F.min("key").alias("first_key")))
+
+
 # --- P2, F1-F7, U1, A7, Q2 -------------------------------------------------------------
 
 @register("cast_lenient", """
@@ -390,6 +405,39 @@ def flag_count(spark, sf_dir):
     return profile.count_flags(flagged, "is_duplicate", ["l_returnflag"])
 
 
+LI_DUP = [*LI_KEYS, *LI_ORDER]
+
+
+@register("duplicate_rows_exact", f"""
+SELECT {', '.join(LI_DUP)} FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) > 1""")
+def duplicate_rows_exact(spark, sf_dir):
+    """A6 where every row is there twice: of exact duplicates all but one are reported."""
+    li = table(spark, sf_dir, "lineitem").select(*LI_DUP)
+    return quality.duplicate_rows(li.unionByName(li), LI_KEYS, LI_ORDER)
+
+
+@register("flag_count_exact", """
+SELECT l_returnflag, count(*) AS n_rows, count(*) FILTER (WHERE rn > 1) AS n_flagged
+FROM (SELECT l_returnflag, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_returnflag) AS rn
+      FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem))
+GROUP BY l_returnflag""")
+def flag_count_exact(spark, sf_dir):
+    """A10 by position alone: no order is given."""
+    li = table(spark, sf_dir, "lineitem").select(*LI_KEYS, "l_returnflag")
+    flagged = quality.flag_duplicates(li.unionByName(li), [*LI_KEYS, "l_returnflag"])
+    return profile.count_flags(flagged, "is_duplicate", ["l_returnflag"])
+
+
+@register("drop_duplicates_count", """
+SELECT count(*) AS n_rows FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""")
+def drop_duplicates_count(spark, sf_dir):
+    """A3: one row per key (which one is not determined, so it is counted)."""
+    li = table(spark, sf_dir, "lineitem")
+    return quality.drop_duplicates(li.unionByName(li), LI_KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 _LI_DECLARED_MISSING = 6  # declared lineitem columns absent from the gated projection
 
 
@@ -501,16 +549,16 @@ def upsert_violations(spark, sf_dir):
 
 
 @register("literal_upsert", """
-SELECT CAST(c_custkey AS INTEGER) AS X,
-       CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE upper(c_name) END AS SS
+SELECT CAST(c_custkey AS INTEGER) AS cust, c_acctbal AS balance,
+       CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE upper(c_name) END AS label
 FROM customer""")
 def literal_upsert(spark, sf_dir):
-    target = literal_frame(spark, [], "myint INT NOT NULL, mystr STRING", ["X", "SS"])
+    target = literal_frame(spark, [], "a INT NOT NULL, b DOUBLE, c STRING", ["cust", "balance", "label"])
     c = table(spark, sf_dir, "customer")
-    first = c.where(F.col("c_custkey") % 2 == 0).select("c_custkey", "c_name").toDF("X", "SS")
-    second = c.where(F.col("c_custkey") % 2 == 1).select("c_custkey", F.upper("c_name")).toDF("X", "SS")
-    merged = upsert(target, first, ["X"])
-    return upsert(merged, second, ["X"])
+    even = c.where(F.col("c_custkey") % 2 == 0).select("c_custkey", "c_acctbal", "c_name")
+    odd = c.where(F.col("c_custkey") % 2 == 1).select("c_custkey", "c_acctbal", F.upper("c_name"))
+    names = ["cust", "balance", "label"]
+    return upsert(upsert(target, even.toDF(*names), ["cust"]), odd.toDF(*names), ["cust"])
 
 
 # --- X1-X3, S4, L3, T1-T7 ---------------------------------------------------------------
@@ -552,13 +600,50 @@ def stream_ingest_latest(spark, sf_dir):
 
     root = daily_events(spark, sf_dir)
     store = TableStore(spark, register=False)
-    query = start_arrivals(spark, EVENTS_BY_USER, root, store, on_duplicate="keep_last")
+    query = start_arrivals(spark, EVENTS_BY_USER, root, store, on_duplicate="keep_last",
+                           checkpoint=scratch_path(spark, "arrivals-checkpoint"))
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return _events_out(store.read(EVENTS_BY_USER.name))
 
 
+@register("gate_key_unique_extract", """
+SELECT 'FY=' || CAST(year(o_orderdate) AS VARCHAR) AS source, o_orderkey, CAST(2 AS BIGINT) AS n
+FROM orders WHERE o_orderkey % 10 = 0""")
+def gate_key_unique_extract(spark, sf_dir):
+    """Q1 over the extract: keys that a year's other part files repeat."""
+    def build(root):
+        o = table(spark, sf_dir, "orders")
+        fixtures.write_yearly_orders(o, root)
+        fixtures.write_yearly_orders(o.where(F.col("o_orderkey") % 10 == 0), root)
+
+    root = _fixture(spark, sf_dir, "repeated-orders", build)
+    raw = read_csv_sources(spark, scan_files(file_inventory(spark, root), root))
+    keyed = raw.select(SOURCE, lenient_long("o_orderkey").alias("o_orderkey"))
+    return quality.repeated_keys(keyed, SOURCE, ["o_orderkey"]).select(
+        F.col(SOURCE).alias("source"), "o_orderkey", "n")
+
+
+@register("ingest_redelivered", """
+SELECT o_orderkey, o_custkey, CASE WHEN year(o_orderdate) % 2 = 0 THEN 'R' ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+FROM orders""")
+def ingest_redelivered(spark, sf_dir):
+    """Every other year is delivered again, corrected, under the same file names; the second delivery wins."""
+    root = scratch_path(spark, "redelivered")
+    o = table(spark, sf_dir, "orders")
+    fixtures.deliver_yearly_orders(spark, o, root)
+    store = TableStore(spark, register=False)
+    ingest(store, ORDERS, root)
+    again = o.where(F.year("o_orderdate") % 2 == 0).withColumn("o_orderstatus", F.lit("R"))
+    fixtures.deliver_yearly_orders(spark, again, root)
+    resume(store, ORDERS, root)
+    if not pending_files(store, ORDERS, root).isEmpty():
+        raise RuntimeError("resume left files behind")
+    return store.read(ORDERS.name)
+
+
 @register("ingest_one_year", ORDERS_AS_DECLARED)
 def ingest_one_year(spark, sf_dir):
     """One yearly extract merged into a master holding every other year."""
@@ -577,14 +662,10 @@ def ingest_one_year(spark, sf_dir):
 SELECT 'FY=' || CAST(y AS VARCHAR) AS source, CAST(dense_rank() OVER (ORDER BY y) AS BIGINT) AS seq
 FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders)""")
 def file_inventory_order(spark, sf_dir):
-    """Extracts in processing (name) order.
-
-    The order of extract names is file-system metadata, ranked on the driver
-    like Spark's own file listing; no data passes through it.
-    """
-    sources = file_inventory(spark, yearly_orders(spark, sf_dir)).select("source").distinct().collect()
-    ranked = [(name, seq) for seq, name in enumerate(sorted(r["source"] for r in sources), start=1)]
-    return spark.createDataFrame(ranked, "source string, seq bigint")
+    """Extracts in processing (name) order, one row per extract of the listing."""
+    sources = file_inventory(spark, yearly_orders(spark, sf_dir)).select("source").distinct()
+    seq = F.row_number().over(Window.orderBy("source")).cast("bigint")
+    return sources.select("source", seq.alias("seq")).orderBy("source")
 
 
 def yearly_projects(spark: SparkSession, sf_dir: str) -> str:
@@ -617,7 +698,7 @@ def projects_rejects(spark, sf_dir):
 @register("ingest_dry_run", ORDERS_AS_DECLARED)
 def ingest_dry_run(spark, sf_dir):
     root = yearly_orders(spark, sf_dir)
-    prep = prepare(spark, root, ORDERS, stage_rows=False)
+    prep = prepare(spark, root, ORDERS)
     return prep.rows.transform(lambda df: df.select(*ORDERS_SCHEMA.names))
 
 
@@ -629,7 +710,10 @@ UNION ALL SELECT 4, 'create_if_absent', count(*) FROM orders
 UNION ALL SELECT 5, 'replace', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders
 UNION ALL SELECT 6, 'sql_scan', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders
 UNION ALL SELECT 7, 'reset', 0
-UNION ALL SELECT 8, 'temp_view_merge', count(*) FROM orders""")
+UNION ALL SELECT 8, 'temp_view_merge', count(*) FROM orders
+UNION ALL SELECT 9, 'drop', 0
+UNION ALL SELECT 10, 'create_if_absent', 0
+UNION ALL SELECT 11, 'load', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders""")
 def table_lifecycle(spark, sf_dir):
     store = TableStore(spark)
     name = f"lifecycle_{uuid.uuid4().hex[:10]}"
@@ -655,6 +739,12 @@ def table_lifecycle(spark, sf_dir):
     steps.append((8, "temp_view_merge", spark.sql(f"SELECT count(*) AS n FROM {name}").first()["n"]))
     spark.catalog.dropTempView(view)
     store.drop(name)
+    steps.append((9, "drop", int(store.exists(name)) + int(spark.catalog.tableExists(name))))
+    store.create_if_absent(name, ORDERS_SCHEMA)
+    steps.append((10, "create_if_absent", spark.sql(f"SELECT count(*) AS n FROM {name}").first()["n"]))
+    store.publish(name, upsert(store.read(name), o.where("o_orderstatus = 'F'"), ["o_orderkey"], check=False))
+    steps.append((11, "load", spark.sql(f"SELECT count(*) AS n FROM {name}").first()["n"]))
+    store.drop(name)
     return spark.createDataFrame(steps, "step int, action string, n_rows long")
 
 
@@ -669,13 +759,19 @@ def snapshot_asof(spark, sf_dir):
     return store.as_of("orders_snap", "2024-07-15").select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
-@register("table_detail")
+@register("table_detail", """
+SELECT 'parquet' AS format, CAST(0 AS BIGINT) AS version, 6 AS num_columns, true AS has_files,
+       (SELECT count(*) FROM orders) > 0 AS has_bytes, 6 AS described_columns""")
 def table_detail(spark, sf_dir):
     store = TableStore(spark)
     name = f"detail_{uuid.uuid4().hex[:10]}"
     store.publish(name, _orders_typed(spark, sf_dir), bucket_keys=["o_orderkey"])
-    store.describe(name).collect()
-    return store.detail(name)
+    columns = store.describe(name).where("data_type <> ''").select("col_name")
+    described = columns.where(F.col("col_name").isin(ORDERS_SCHEMA.names)).distinct().agg(
+        F.count(F.lit(1)).cast("int").alias("described_columns"))
+    return store.detail(name).select(
+        "format", "version", "num_columns", (F.col("num_files") > 0).alias("has_files"),
+        (F.col("size_in_bytes") > 0).alias("has_bytes")).crossJoin(described)  # one row each
 
 
 @register("schema_report", " UNION ALL ".join(
@@ -780,21 +876,24 @@ def column_samples(spark, sf_dir):
     return out.select("column_name", "value", F.col("rank").cast("bigint").alias("rank"))
 
 
-@register("reader_parity")
+@register("reader_parity", """
+SELECT CAST(length(text) AS INTEGER) AS length, count(*) AS n_quote_aware
+FROM documents WHERE text IS NOT NULL GROUP BY length(text)""")
 def reader_parity(spark, sf_dir):
-    """Q6: text-length histograms of one CSV under naive and quote-aware options."""
+    """Q6: text-length histograms of one CSV under naive and quote-aware options; the quote-aware
+    counts are those of the source (the naive ones depend on where lines break)."""
     root = _fixture(spark, sf_dir, "documents-csv",
                     lambda r: fixtures.write_documents(table(spark, sf_dir, "documents"), r))
     naive = spark.read.option("header", "true").csv(root)
     aware = read_csv_text(spark, root)
-    return quality.length_histograms(naive, aware, "text", ("naive", "quote_aware"))
+    both = quality.length_histograms(naive, aware, "text", ("naive", "quote_aware"))
+    return both.where("n_quote_aware > 0 and length is not null").select("length", "n_quote_aware")
 
 
 @register("values_desc", """
-SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM labels WHERE quality IS NOT NULL
-ORDER BY quality DESC, doc_id LIMIT 100""")
+SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM labels WHERE quality IS NOT NULL""")
 def values_desc(spark, sf_dir):
-    return profile.values_desc(table(spark, sf_dir, "labels"), "quality", 100, tie=["doc_id"])
+    return profile.values_desc(table(spark, sf_dir, "labels"), "quality", tie=["doc_id"])
 
 
 @register("preview", """

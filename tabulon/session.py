@@ -11,6 +11,7 @@ create one.
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -82,6 +83,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tabulon-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -126,8 +129,30 @@ def stage_to(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, path)`` as Spark itself resolves ``path``: ``fs.defaultFS`` where it has no scheme."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(target)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, so that tasks resolve it as the driver does."""
+    return hadoop_path(spark, path)[1].toString()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = hadoop_path(spark, path)
+    return fs.exists(target)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    fs, target = hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on the cluster's file system (HDFS/S3/ABFS or local)."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = hadoop_path(spark, path)
+    fs.delete(target, True)

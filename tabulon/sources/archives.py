@@ -7,25 +7,31 @@ loaded whole.
 
 Rule (per archive, hidden members such as ``.DS_Store`` or ``__MACOSX/...``
 ignored): exactly one member -> ``extracted``; more than one -> ``skipped``
-(reported, nothing written); none -> ``rejected``.
+(reported, nothing written); none -> ``rejected``.  An archive that cannot be
+read is ``corrupt``; it does not stop the others.
 """
 
 from __future__ import annotations
 
 import io
+import lzma
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.session import scratch_path
+from tabulon.session import qualified, scratch_path
 from tabulon.sources.files import (atomic_output, file_inventory, fs_for, spread_files,
                                    write_file_atomic)
 
 REPORT_SCHEMA = ("archive string, source string, n_members int, member string, "
                  "status string, out_path string, bytes long")
 CHUNK = 1 << 20
+#: Status of an archive that cannot be read, and what reading one raises (encrypted ones included).
+CORRUPT = "corrupt"
+UNREADABLE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, NotImplementedError, RuntimeError)
 
 
 def is_hidden(member: str) -> bool:
@@ -98,28 +104,32 @@ def expand_archives(spark: SparkSession, root: str, out_root: str,
                     pattern: str = "*.zip") -> DataFrame:
     """Extract every single-member archive below ``root`` into ``out_root``.
 
-    Members land at ``out_root/<archive source>/<member base name>``.  Runs the
-    extraction job now and returns the per-archive report, staged as Parquet so
+    Members land at ``out_root/<archive folder>/<archive stem>__<member base name>``
+    (``extracted_name``).  An archive that cannot be read is reported as
+    ``corrupt`` and the others go on.  Runs the extraction job now and returns the per-archive report, staged as Parquet so
     later actions do not repeat the side effect.
     """
-    listing = file_inventory(spark, root, pattern).select("path", "file_name", "source")
-    out_root = out_root.rstrip("/")
+    listing = file_inventory(spark, root, pattern).select("path", "file_name", "source", "size")
+    out_root = qualified(spark, out_root).rstrip("/")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for path, name, source in zip(pdf["path"], pdf["file_name"], pdf["source"]):
-                with _open_zip(path) as zf:
-                    members = visible_members(zf)
-                    status = classify(len(members))
-                    if status != "extracted":
-                        rows.append((name, source, len(members), None, status, None, 0))
-                        continue
-                    member = members[0]
-                    target = f"{out_root}/{extracted_name(name, member)}"
-                    with zf.open(member) as fh:
-                        n = write_file_atomic(target, iter(lambda: fh.read(CHUNK), b""))
-                    rows.append((name, source, 1, member, status, target, n))
+                try:
+                    with _open_zip(path) as zf:
+                        members = visible_members(zf)
+                        status = classify(len(members))
+                        if status != "extracted":
+                            rows.append((name, source, len(members), None, status, None, 0))
+                            continue
+                        member = members[0]
+                        target = f"{out_root}/{extracted_name(name, member)}"
+                        with zf.open(member) as fh:
+                            n = write_file_atomic(target, iter(lambda: fh.read(CHUNK), b""))
+                        rows.append((name, source, 1, member, status, target, n))
+                except UNREADABLE:
+                    rows.append((name, source, None, None, CORRUPT, None, 0))
             yield pd.DataFrame(rows, columns=["archive", "source", "n_members", "member",
                                               "status", "out_path", "bytes"])
 
@@ -141,20 +151,23 @@ def nth_lines(spark: SparkSession, root: str, n: int = 0, pattern: str = "*.zip"
         for pdf in batches:
             rows = []
             for path, name, source in zip(pdf["path"], pdf["file_name"], pdf["source"]):
-                with _open_zip(path) as zf:
-                    members = visible_members(zf)
-                    status = classify(len(members))
-                    line = None
-                    if status == "extracted":
-                        with zf.open(members[0]) as fh:
-                            raw = b""
-                            for _ in range(n + 1):
-                                raw = fh.readline()
-                                if not raw:
-                                    break
-                            if raw:
-                                line = raw.rstrip(b"\r\n").decode("utf-8", errors="replace")
-                    rows.append((name, source, status, n, line))
+                line = None
+                try:
+                    with _open_zip(path) as zf:
+                        members = visible_members(zf)
+                        status = classify(len(members))
+                        if status == "extracted":
+                            with zf.open(members[0]) as fh:
+                                raw = b""
+                                for _ in range(n + 1):
+                                    raw = fh.readline()
+                                    if not raw:
+                                        break
+                                if raw:
+                                    line = raw.rstrip(b"\r\n").decode("utf-8", errors="replace")
+                except UNREADABLE:
+                    status = CORRUPT
+                rows.append((name, source, status, n, line))
             yield pd.DataFrame(rows, columns=["archive", "source", "status", "line_no", "line"])
 
     return spread_files(listing).mapInPandas(

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tabulon.session import stage
 from tabulon.sources.files import file_headers
 
 # --- fixed values: the quote-aware reader options --------------------------------
@@ -46,6 +47,7 @@ BLOCK = "_block"    # byte offset of the split within its file (0 for multi-line
 SEQ = "_seq"        # file order: rank of the file name below the root
 FILE = "_file"      # file name relative to the inventory root
 SOURCE = "_source"  # first path component: one yearly extract
+CORRUPT = "_corrupt_record"  # text of a record with more or fewer fields than its header, else NULL
 
 # Above this many files the file table is joined without a broadcast.
 BROADCAST_MAX_FILES = 100_000
@@ -75,9 +77,9 @@ class FileSet:
         return spark.createDataFrame(rows, f"path_key string, {SEQ} int, {FILE} string, {SOURCE} string")
 
     def listing(self, spark: SparkSession) -> DataFrame:
-        """``(file_name, size)`` of exactly the files this set read."""
-        rows = [(f["file_name"], f["size"]) for f in self.files]
-        return spark.createDataFrame(rows, "file_name string, size long")
+        """``(file_name, size, modified)`` of exactly the files this set read."""
+        rows = [(f["file_name"], f["size"], f["modified"]) for f in self.files]
+        return spark.createDataFrame(rows, "file_name string, size long, modified timestamp")
 
     def headers(self, spark: SparkSession) -> DataFrame:
         rows = [(f["path"], f["source"], f["file_name"], list(f["header"])) for f in self.files]
@@ -91,13 +93,13 @@ def scan_files(inventory: DataFrame, root: str) -> FileSet:
     names) and one short record per file; no task ever gathers a whole group.
     """
     heads = (file_headers(inventory)
-             .join(inventory.select("path", "path_key", "file_name", "source", "size"), "path")
+             .join(inventory.select("path", "path_key", "file_name", "source", "size", "modified"), "path")
              .withColumn("hid", F.sha2(F.to_json(F.col("header")), 256))
              .cache())  # one row per file, read by the two actions below
     try:
         headers = {r["hid"]: list(r["header"]) for r in
                    heads.groupBy("hid").agg(F.first("header").alias("header")).collect()}
-        rows = heads.select("path", "path_key", "file_name", "source", "size", "hid").collect()
+        rows = heads.select("path", "path_key", "file_name", "source", "size", "modified", "hid").collect()
     finally:
         heads.unpersist()
     files = sorted(({**r.asDict(), "header": headers[r["hid"]]} for r in rows),
@@ -142,7 +144,8 @@ def read_csv_sources(spark: SparkSession, files: FileSet, **options: str) -> Dat
     on the scan, increasing within a split): ``(_seq, _block, _row)`` is the
     row order of the input.  With ``multiLine`` (the default) a file is one
     split; with ``multiLine="false"`` large single-line files are read in
-    parallel splits and the order still holds.  Also adds ``_file``, ``_source``.  Rows are matched to their
+    parallel splits and the order still holds.  Also adds ``_file``, ``_source`` and
+    ``_corrupt_record`` (set where a record has surplus or missing fields).  Rows are matched to their
     file by ``_metadata.file_path`` against the file table, which is broadcast
     when its size (the number of files, known here) allows.
     """
@@ -150,8 +153,8 @@ def read_csv_sources(spark: SparkSession, files: FileSet, **options: str) -> Dat
     for header, paths in files.groups():
         if len(set(h.lower() for h in header)) != len(header):
             raise ValueError(f"duplicate column names in header {header} of {paths[:3]}")
-        schema = StructType([StructField(h, StringType(), True) for h in header])
-        scan = read_csv_text(spark, paths, schema, **options)
+        schema = StructType([StructField(h, StringType(), True) for h in [*header, CORRUPT]])
+        scan = read_csv_text(spark, paths, schema, columnNameOfCorruptRecord=CORRUPT, **options)
         frames.append(scan.select("*", F.monotonically_increasing_id().alias(ROW),
                                   F.col("_metadata.file_block_start").alias(BLOCK),
                                   F.col("_metadata.file_path").alias("_path_key")))
@@ -173,7 +176,7 @@ def read_csv_sources(spark: SparkSession, files: FileSet, **options: str) -> Dat
 def row_positions(df: DataFrame, out: str = "row_pos") -> DataFrame:
     """1-based position of each row within its source (files in name order).
 
-    Uses one small per-split table (first row id, row count, offset of earlier
+    ``df`` is read twice, so stage it first if it is costly.  Uses one small per-split table (first row id, row count, offset of earlier
     splits and files of the same source) joined back to the rows: no window
     over the data itself, so a huge source never has to fit one task.
     """
@@ -184,6 +187,9 @@ def row_positions(df: DataFrame, out: str = "row_pos") -> DataFrame:
     earlier = (Window.partitionBy(SOURCE).orderBy(SEQ, BLOCK)
                .rowsBetween(Window.unboundedPreceding, -1))
     per_split = per_split.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    joined = df.join(per_split.select(SOURCE, SEQ, BLOCK, "_first", "_offset"), [SOURCE, SEQ, BLOCK])
+    per_split = stage(per_split.select(SOURCE, SEQ, BLOCK, "_first", "_offset"), "splits")
+    if per_split.count() <= BROADCAST_MAX_FILES:  # one row per split: the rows themselves stay where they are
+        per_split = F.broadcast(per_split)
+    joined = df.join(per_split, [SOURCE, SEQ, BLOCK])
     return (joined.withColumn(out, (F.col(ROW) - F.col("_first") + F.col("_offset") + 1).cast("bigint"))
             .drop("_first", "_offset"))

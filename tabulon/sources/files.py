@@ -14,13 +14,19 @@ from __future__ import annotations
 import csv
 import io
 import re
+import urllib.parse
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def store_uri(uri: str) -> str:
+    """The name Arrow knows a store by, from Hadoop's (``s3a`` and ``s3n`` are both S3)."""
+    return re.sub(r"^s3[an]://", "s3://", uri)
+
+
 def fs_for(uri: str):
     """``(filesystem, path)`` for a Spark-style URI, usable inside tasks."""
     from pyarrow import fs as pafs
@@ -29,8 +35,10 @@ def fs_for(uri: str):
         path = re.sub(r"^file:/*", "/", uri)
         return pafs.LocalFileSystem(), path
     if "://" not in uri:
+        if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:", uri):
+            raise ValueError(f"tasks cannot open {uri}: no file system for its scheme")
         return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(store_uri(uri))
 
 
 class atomic_output:
@@ -121,6 +129,22 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> Da
     return inventory_from_listing(file_listing(spark, root, pattern), root)
 
 
+def empty_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> list[str]:
+    """Names below ``root`` of files without bytes, which Spark's scans leave out.
+
+    Spark's file index knows them; only their names are compared, on the driver that holds that index.
+    """
+    index = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+             .option("recursiveFileLookup", "true").load(root))
+    names = [re.sub(r"^.*?" + re.escape(_root_path(root)) + "/", "", urllib.parse.unquote(p))
+             for p in index.inputFiles()]
+    if not names:
+        return []
+    listed = file_inventory(spark, root, pattern).select("file_name")
+    known = spark.createDataFrame([(n,) for n in names], "file_name string")
+    return sorted(r["file_name"] for r in known.join(listed, "file_name", "left_anti").collect())
+
+
 def _first_record(uri: str, sep: str, quote: str) -> list[str]:
     fs, path = fs_for(uri)
     with fs.open_input_stream(path) as raw:
@@ -152,13 +176,18 @@ def file_headers(inventory: DataFrame, sep: str = ",", quote: str = '"') -> Data
 
 
 def spread_files(listing: DataFrame) -> DataFrame:
-    """Hash-spread a file listing over the cluster's task slots.
+    """Spread a file listing over the cluster's task slots.
 
     A listing is tiny, so Spark packs it into one partition; per-file work
-    (reading a header, unpacking an archive) must instead run in parallel.
+    (reading a header, unpacking an archive) must instead run in parallel.  With a
+    ``size`` column the files are dealt out in order of size, so each slot
+    gets its share of the large ones; else by hash of the path.
     """
     from tabulon.session import ship_package
 
     ship_package(listing.sparkSession)
     slots = listing.sparkSession.sparkContext.defaultParallelism
-    return listing.repartition(max(1, slots), "path")
+    if "size" not in listing.columns:
+        return listing.repartition(max(1, slots), "path")
+    turn = F.row_number().over(Window.orderBy(F.desc("size"), "path")) % slots  # metadata: one row per file
+    return listing.withColumn("_turn", turn).repartitionByRange(max(1, slots), "_turn").drop("_turn")

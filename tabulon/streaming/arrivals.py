@@ -20,7 +20,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tabulon.plans.ingest import ingest
 from tabulon.schema import TableSpec
-from tabulon.session import scratch_path
 from tabulon.sinks.tables import TableStore
 from tabulon.sources.files import inventory_from_listing
 
@@ -29,10 +28,13 @@ LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, conten
 
 
 def start_arrivals(spark: SparkSession, spec: TableSpec, root: str, store: TableStore, *,
-                   pattern: str = "*.csv", checkpoint: str | None = None,
-                   available_now: bool = True, files_per_batch: int | None = None,
+                   checkpoint: str, pattern: str = "*.csv", available_now: bool = True, files_per_batch: int | None = None,
                    interval: str = "1 minute", **ingest_options) -> StreamingQuery:
-    """Start the arrival stream; ``available_now`` drains what exists and stops."""
+    """Start the arrival stream; ``available_now`` drains what exists and stops.
+
+    ``checkpoint`` is a lasting folder of this stream: a restart goes on where it stopped.  Files
+    that the table's ledger already has, as they are, are passed over even without it.
+    """
     reader = (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
               .option("pathGlobFilter", pattern)
               .option("recursiveFileLookup", "true"))
@@ -42,12 +44,14 @@ def start_arrivals(spark: SparkSession, spec: TableSpec, root: str, store: Table
                                        F.col("_metadata.file_path").alias("path_key"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        files = inventory_from_listing(batch, root)
+        files = inventory_from_listing(batch, root).join(
+            store.ledger(spec.name).select("file_name", "size", "modified"),
+            ["file_name", "size", "modified"], "left_anti")
         if files.isEmpty():
             return
         ingest(store, spec, root, files=files, run=batch_id, **ingest_options)
 
     writer = (listing.writeStream.foreachBatch(apply)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "arrivals-checkpoint")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()

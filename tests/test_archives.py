@@ -40,3 +40,24 @@ def test_nth_line_brute_force(spark, scratch):
         want = {name: (text.splitlines()[n] if n < len(text.splitlines()) else None)
                 for name, text in texts.items()}
         assert got == want
+
+
+def test_unreadable_archive_does_not_stop_the_others(spark, scratch):
+    import zipfile
+
+    d = local_dir(scratch)
+    os.makedirs(f"{d}/y1")
+    with zipfile.ZipFile(f"{d}/y1/good.zip", "w") as zf:
+        zf.writestr("a.csv", "X\n1\n")
+    with open(f"{d}/y1/cut.zip", "wb") as fh:
+        fh.write(b"PK\x03\x04 cut short")
+    with zipfile.ZipFile(f"{d}/y1/crc.zip", "w") as zf:
+        zf.writestr("a.csv", "X" * 1000)
+    raw = bytearray(open(f"{d}/y1/crc.zip", "rb").read())
+    raw[100] ^= 0xFF
+    with open(f"{d}/y1/crc.zip", "wb") as fh:
+        fh.write(raw)
+    report = {r.archive: r.status for r in expand_archives(spark, scratch, scratch + "-out").collect()}
+    assert report == {"y1/good.zip": "extracted", "y1/cut.zip": "corrupt", "y1/crc.zip": "corrupt"}
+    lines = {r.archive: (r.status, r.line) for r in nth_lines(spark, scratch, 1).collect()}
+    assert lines["y1/good.zip"] == ("extracted", "1") and lines["y1/cut.zip"] == ("corrupt", None)

@@ -93,3 +93,11 @@ def test_sql_functions_agree(spark, cases):
     got = spark.sql("SELECT text, expected, tabulon_lenient_date(text) AS a, "
                     "tabulon_lenient_date_pandas(text) AS b FROM date_cases").collect()
     assert [(r.text, r.expected, r.a, r.b) for r in got if not (r.expected == r.a == r.b)] == []
+
+
+def test_line_breaks_after_a_date(spark):
+    texts = [(t + end,) for t in ("2008-01-28", "1/28/2008", "2008-01- 5", "1/ 5/2008", "2008-1-5")
+             for end in ("\n", "\r\n", "\r", "\u2028", "\u0085", "\n\n")]
+    df = spark.createDataFrame(texts, "text string")
+    got = df.select(lenient_date("text").alias("a"), lenient_date_udf("text").alias("b")).collect()
+    assert [(r.a, r.b) for r in got if r.a is not None or r.b is not None] == []

@@ -83,7 +83,7 @@ def test_dry_run_still_gates(spark, scratch):
     d = local_dir(scratch)
     write(d, "a.csv", "ID,NAME,START\n1,x,2008-01-28 00:00\n")
     with pytest.raises(GateFailed):
-        prepare(spark, scratch, SPEC, stage_rows=False)
+        prepare(spark, scratch, SPEC)
 
 
 def test_strict_columns(spark, scratch):
@@ -156,3 +156,73 @@ def test_staged_input_removed_after_ingest_and_failed_gate(spark, scratch):
     assert _staging_dirs(spark) == before
     kept = prepare(spark, scratch + "/in", SPEC)   # a caller of prepare owns its staging
     assert kept.staging and _staging_dirs(spark) - before
+
+
+def test_key_repeated_across_part_files_of_an_extract_fails(spark, scratch):
+    d = local_dir(scratch)
+    write(d, "FY=2001/part-0.csv", "ID,NAME,START\n1,x,\n")
+    write(d, "FY=2001/part-1.csv", "ID,NAME,START\n1,y,\n2,z,\n")
+    write(d, "FY=2002/part-0.csv", "ID,NAME,START\n1,other year,\n")
+    with pytest.raises(GateFailed, match="not unique"):
+        prepare(spark, scratch, SPEC)
+
+
+def test_redelivered_file_is_read_again(spark, scratch):
+    d = local_dir(scratch)
+    write(d, "a.csv", "ID,NAME,START\n1,a,\n")
+    write(d, "b.csv", "ID,NAME,START\n5,b,\n")
+    store = TableStore(spark, register=False)
+    ingest(store, SPEC, scratch)
+    write(d, "a.csv", "ID,NAME,START\n1,corrected,\n2,new,\n")
+    assert [r.file_name for r in pending_files(store, SPEC, scratch).collect()] == ["a.csv"]
+    resume(store, SPEC, scratch)
+    assert sorted((r.ID, r.NAME) for r in store.read("ing").collect()) == [(1, "corrected"), (2, "new"), (5, "b")]
+    assert pending_files(store, SPEC, scratch).isEmpty()
+
+
+def test_ingest_keeps_the_bucketing_of_the_master(spark, scratch):
+    d = local_dir(scratch)
+    write(d, "a.csv", "ID,NAME,START\n1,a,\n")
+    store = TableStore(spark, register=False)
+    store.create_if_absent("ing", SPEC.schema, ["ID"], bucket_keys=["ID"], buckets=4)
+    ingest(store, SPEC, scratch)
+    assert store.bucketing("ing") == (["ID"], 4)
+
+
+def test_malformed_records_are_counted_and_can_abort(spark, scratch):
+    d = local_dir(scratch)
+    write(d, "a.csv", "ID,NAME,START\n1\n2,b,2001-01-01,EXTRA\n3,c,20010101\n")
+    prep = prepare(spark, scratch, SPEC)
+    assert prep.metrics["malformed"] == 2
+    assert prep.metrics["no_separator_START"] == 1
+    assert dict((r.column_name, r.rejects) for r in prep.reject_report(spark).collect())["START"] == 1
+    with pytest.raises(GateFailed, match="fields"):
+        prepare(spark, scratch, SPEC, on_malformed="fail")
+
+
+def test_line_breaks_abort_a_single_line_read(spark, scratch):
+    d = local_dir(scratch)
+    write(d, "a.csv", 'ID,NAME,START\n1,"two\nlines",\n')
+    assert prepare(spark, scratch, SPEC).rows.count() == 1
+    with pytest.raises(GateFailed):
+        prepare(spark, scratch, SPEC, multi_line=False, on_duplicate="keep_last")
+
+
+def test_empty_files_are_reported(spark, scratch):
+    d = local_dir(scratch)
+    write(d, "a.csv", "ID,NAME,START\n1,a,\n")
+    write(d, "sub/none.csv", "")
+    prep = prepare(spark, scratch, SPEC)
+    assert prep.empty == ["sub/none.csv"] and prep.metrics["empty_files"] == 1
+    assert prep.rows.count() == 1
+
+
+def test_upsert_plan_ranks_once(spark, scratch):
+    d = local_dir(scratch)
+    write(d, "a.csv", "ID,NAME,START\n1,a,\n2,b,\n")
+    prep = prepare(spark, scratch, SPEC)
+    target = spark.createDataFrame([], SPEC.schema)
+    merged = upsert(target, prep.rows, ["ID"], check=False, key_side=prep.typed.select("ID").distinct())
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") <= 2 and plan.count("Window [") == 1
+    assert "csv" not in plan.lower()

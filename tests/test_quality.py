@@ -77,3 +77,25 @@ def test_length_histograms(spark):
     b = spark.createDataFrame([("ab",), ("abc",), (None,)], "t string")
     got = sorted(tuple(r) for r in quality.length_histograms(a, b, "t").collect() if r.length is not None)
     assert got == [(2, 1, 1, False), (3, 2, 1, True)]
+
+
+def test_exact_duplicates_are_all_but_one(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (None, "n"), (None, "n"), (3, "z")],
+                               "k int, v string")
+    assert sorted(map(tuple, quality.duplicate_rows(df, ["k"], ["v"]).collect()), key=repr) == \
+        sorted([(1, "a"), (1, "a"), (None, "n")], key=repr)
+    assert quality.duplicate_rows(df, ["k"]).count() == 3  # by position
+    flagged = quality.flag_duplicates(df, ["k"], ["v"], "dup")
+    assert flagged.where("dup").count() == 3 and flagged.columns == ["k", "v", "dup"]
+
+
+def test_profile_counts_instants_not_wall_times(spark):
+    from tabulon.operators import profile
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # the hour that daylight saving repeats
+        df = spark.createDataFrame([(1699162200,), (1699165800,)], "s long").selectExpr("timestamp_seconds(s) AS t")
+        assert profile.column_profile(df).first()["n_distinct"] == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
