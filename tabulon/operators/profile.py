@@ -39,47 +39,42 @@ def distinct_lengths(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.length(F.col(column).cast("string")).alias("length")).distinct()
 
 
-_SLOTS = {  # struct slot per Spark type family; everything else is compared as text
-    "s": ("string", ("string",)),
-    "i": ("bigint", ("tinyint", "smallint", "int", "bigint")),
-    "f": ("double", ("float", "double")),
-    "t": ("timestamp_ntz", ("timestamp_ntz",)),
-    "u": ("timestamp", ("timestamp",)),  # an instant: the repeated hour of a zone holds two of each wall time
-    "d": ("date", ("date",)),
-    "b": ("boolean", ("boolean",)),
-    "x": ("string", ()),
+_FAMILIES = {  # columns of one family are unpivoted together, as this type; others are compared as text
+    "bigint": ("tinyint", "smallint", "int", "bigint"),
+    "double": ("float", "double"),
+    "timestamp_ntz": ("timestamp_ntz",),
+    "timestamp": ("timestamp",),  # an instant: the repeated hour of a zone holds two of each wall time
+    "date": ("date",),
+    "boolean": ("boolean",),
 }
 
 
-def _typed_value(col: str, kind: str):
-    """The value in its own typed slot, so no number or time is ever formatted."""
-    slot = next((k for k, (_, kinds) in _SLOTS.items() if kind in kinds), "x")
-    fields = [F.col(col).isNotNull().alias("present")]
-    for name, (dtype, _) in _SLOTS.items():
-        value = F.col(col).cast(dtype) if name == slot else F.lit(None).cast(dtype)
-        fields.append(value.alias(name))
-    return F.struct(*fields).alias(col)
-
-
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows, nulls, distinct values and min/max text length per column.
 
-    Columns are unpivoted into one typed struct column (a slot per type
-    family), so distinct counting compares native values and no value is
-    rendered as text.  Lengths are reported for string columns only (the text
-    form of numbers is an engine choice, not data).
+    Columns are unpivoted by type family into plain typed values, so distinct
+    counting compares native values and no number or time is rendered as
+    text.  Lengths are reported for string columns only (the text form of
+    numbers is an engine choice, not data).
     """
     columns = columns or df.columns
     kinds = dict(df.dtypes)
-    long_ = (df.select(*[_typed_value(c, kinds[c]) for c in columns])
-             .unpivot([], columns, "column_name", "v"))
-    present = F.col("v.present")
-    return long_.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~present).alias("n_nulls"),
-        F.count_distinct(F.when(present, F.col("v"))).alias("n_distinct"),
-        F.min(F.length("v.s")).alias("min_length"),
-        F.max(F.length("v.s")).alias("max_length"))
+    families: dict[str, list[str]] = {}
+    for c in columns:
+        family = next((f for f, own in _FAMILIES.items() if kinds[c] in own), "string")
+        families.setdefault(family, []).append(c)
+    out = None
+    for family, own in families.items():
+        values = df.select(*[F.col(c).cast(family).alias(c) for c in own]).unpivot([], own, "column_name", "value")
+        text = [c for c in own if kinds[c] == "string"]
+        length = F.when(F.col("column_name").isin(text), F.length("value")) if text else F.lit(None).cast("int")
+        part = values.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col("value").isNull()).alias("n_nulls"),
+            F.count_distinct("value").alias("n_distinct"),
+            F.min(length).alias("min_length"), F.max(length).alias("max_length"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def column_samples(df: DataFrame, columns: list[str] | None = None, k: int = 10) -> DataFrame:
