@@ -26,6 +26,8 @@ SAMPLE_ROWS = 200_000
 #: Weight of the overall share blocked in a suffix's share.
 SMOOTHING = 10.0
 SUFFIXES = 10_000
+#: Labelled URLs in a leaf, at least.
+LEAF_ROWS = 10
 
 Rules = list[tuple[str, str, str]]  # (verdict, host, path prefix)
 
@@ -121,7 +123,7 @@ class UrlModel:
 
         vectors = self._vectors(drawn.withColumn("label", F.col(blocked).cast("double")), names, host)
         self.model = GBTClassifier(
-            maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7, checkpointInterval=-1,
+            maxIter=trees, maxDepth=depth, minInstancesPerNode=LEAF_ROWS, stepSize=0.2, seed=7, checkpointInterval=-1,
             featuresCol="vector", labelCol="label").fit(vectors.select("vector", "label"))
         return self
 
