@@ -29,6 +29,11 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def columns(names: Iterable[str]) -> list[Column]:
+    """Columns by their exact names, dots and all."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names close to ``names`` that ``df`` does not use (any case), for helper columns."""
     taken = {c.lower() for c in df.columns}
@@ -78,9 +83,10 @@ def map_texts(df: DataFrame, keep: list[str], text_col: str, make: Callable[[],
     a list of Arrow arrays, one per field of ``schema``.
     """
     ship_package(df.sparkSession)
-    (text,) = fresh(df, "whole_text")
-    picked = df.select(*keep, F.col(text_col).alias(text))
-    out = T.StructType([*picked.schema.fields[:-1], *T.StructType.fromDDL(schema).fields])
+    kept = df.select(*columns(keep))
+    out = T.StructType([*kept.schema.fields, *T.StructType.fromDDL(schema).fields])
+    # plain names on the way in, whatever the columns are called
+    picked = df.select(*(c.alias(f"k{i}") for i, c in enumerate(columns(keep))), F.col(text_col).alias("t"))
     names = out.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import ASCII_SPACE, BROADCAST_KEYS, without
+from tabulon.llm.common import ASCII_SPACE, BROADCAST_KEYS, columns, without
 from tabulon.session import stage
 
 ADDRESS = ["hash", "chain", "chained_text"]
@@ -127,7 +127,7 @@ def first_of_equals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     capacity: int = 1024, max_depth: int = 12) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are."""
     stored = stage(docs.select(F.monotonically_increasing_id().alias("uid"),
-                               F.struct(*docs.columns).alias("row")), "rows")
+                               F.struct(*columns(docs.columns)).alias("row")), "rows")
     rows = stored.select("uid", F.col(f"row.{id_col}").alias("id"), F.col(f"row.{text_col}").alias("text"))
     dropped = _looked_up(rows, capacity, max_depth).filter("uid <> keep_uid").select("uid")
     return without(stored, stage(dropped, "dropped"), "uid").select("row.*")

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import ASCII_SPACE, fresh
+from tabulon.llm.common import ASCII_SPACE, columns, fresh
 from tabulon.session import stage
 
 #: Words per window of the repetition measure.
@@ -234,10 +234,10 @@ def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     Texts are measured twice, once to learn and once to judge, so that none is stored or shuffled.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.struct(*columns(docs.columns)).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     measured = with_statistics(rows)
     rules = learn(stage(measured.select("id", *COUNTS), "statistics"),
-                  labels.withColumnRenamed(id_col, "id"), "id")
+                  labels.select(F.col(id_col).alias("id"), "quality"), "id")
     # the generator keeps the filter above the measuring, whose steps it would otherwise repeat
     counts = F.inline(F.array(F.struct(*COUNTS)))
     return measured.select("row", counts).filter(~base_failed() & verdict(rules)).select("row.*")

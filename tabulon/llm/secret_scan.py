@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import fresh, map_texts
+from tabulon.llm.common import columns, fresh, map_texts
 
 KINDS = ("assign", "access", "hex")
 #: Patterns and least lengths (fixed by the contract).
@@ -289,4 +289,4 @@ def masked(docs: DataFrame, text_col: str = "text", mask: str = "*") -> DataFram
     text = F.aggregate(
         name, F.col(text_col),
         lambda text, s: F.overlay(text, F.repeat(F.lit(mask), s["end"] - s["start"]), s["start"] + 1))
-    return found.withColumn(text_col, text).select(*docs.columns)
+    return found.withColumn(text_col, text).select(*columns(docs.columns))

@@ -7,7 +7,7 @@ import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGE_SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, hash int, uid string, "
-               "`row` string, f int, n_words int, length string, `count` int, n_tokens string, secrets int")
+               "`row` string, f int, n_words int, length string, `count` int, n_tokens string, secrets int, `a.b` int")
 
 
 def edge_rows():
@@ -22,7 +22,7 @@ def edge_rows():
         (6, long_text), (7, long_text + " "), (8, "x"), (9, "éü ßœ 日本 🙂🙂 \u00a0 end"), (9, "another text, same id"),
         (10, "one two three"), (11, "ONE Two three"), (12, "password = hunter2hunter2 and more"),
     ]
-    return [(i, t, "en", None if n % 3 else "src0", None if t is None else len(t), n, "u", "r", n, 1, "l", 2, "t", 3)
+    return [(i, t, "en", None if n % 3 else "src0", None if t is None else len(t), n, "u", "r", n, 1, "l", 2, "t", 3, 4)
             for n, (i, t) in enumerate(texts)]
 
 
