@@ -767,11 +767,10 @@ def table_detail(spark, sf_dir):
     name = f"detail_{uuid.uuid4().hex[:10]}"
     store.publish(name, _orders_typed(spark, sf_dir), bucket_keys=["o_orderkey"])
     columns = store.describe(name).where("data_type <> ''").select("col_name")
-    described = columns.where(F.col("col_name").isin(ORDERS_SCHEMA.names)).distinct().agg(
-        F.count(F.lit(1)).cast("int").alias("described_columns"))
+    described = columns.where(F.col("col_name").isin(ORDERS_SCHEMA.names)).distinct().count()
     return store.detail(name).select(
         "format", "version", "num_columns", (F.col("num_files") > 0).alias("has_files"),
-        (F.col("size_in_bytes") > 0).alias("has_bytes")).crossJoin(described)  # one row each
+        (F.col("size_in_bytes") > 0).alias("has_bytes"), F.lit(described).alias("described_columns"))
 
 
 @register("schema_report", " UNION ALL ".join(
