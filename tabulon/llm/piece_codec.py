@@ -43,7 +43,7 @@ MARK = "▁"
 MARK_BYTES = MARK.encode()
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks remembered per Python worker, and the longest one worth remembering.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 800_000
 CACHE_CHARS = 48
 #: Up to so many symbols a scan of the pair scores is faster than a heap.
 SHORT = 32
