@@ -102,7 +102,10 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _cells(labelled: DataFrame, bins: int) -> tuple[DataFrame, dict[str, list[float]]]:
-    """Counts of low and good rows per cell of quantile bins and fold; the bins' upper bounds."""
+    """Counts of low and good rows per cell of quantile bins and fold; the threshold above each bin.
+
+    A threshold lies half way between the largest value of its bin and the next value that occurs.
+    """
     shares = [i / bins for i in range(1, bins)]
     values = labelled.select("low", "fold", *(F.expr(e).alias(f) for f, e in FEATURES.items()))
     row = values.agg(*(F.percentile_approx(f, shares, 10_000).alias(f) for f in FEATURES)).first()
@@ -112,10 +115,17 @@ def _cells(labelled: DataFrame, bins: int) -> tuple[DataFrame, dict[str, list[fl
         return F.size(F.filter(bounds, lambda x: x < F.col(feature))).alias(feature)
 
     binned = values.select("low", "fold", *map(bin_of, FEATURES))
+    least: dict[str, dict[int, float]] = {f: {} for f in FEATURES}
+    seen = values.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("f"), bin_of(f).alias("bin"), F.col(f).alias("x")) for f in FEATURES])).alias("v"))
+    for row in seen.groupBy("v.f", "v.bin").agg(F.min("v.x")).collect():  # at most features * bins rows
+        least[row[0]][row[1]] = row[2]
+    thresholds = {f: [(x + min((v for b, v in least[f].items() if b > at), default=x)) / 2
+                      for at, x in enumerate(cuts[f])] for f in FEATURES}
     counted = binned.groupBy("fold", *FEATURES).agg(
         F.sum(F.when(F.col("low"), 1).otherwise(0)).alias("low"),
         F.sum(F.when(F.col("low"), 0).otherwise(1)).alias("good"))
-    return stage(counted, "cells"), cuts
+    return stage(counted, "cells"), thresholds
 
 
 def _in_bins(rule: list[tuple[str, bool, int]]) -> Column:
