@@ -25,7 +25,7 @@ from tabulon.plans import fixtures
 from tabulon.plans.ingest import ingest, pending_files, prepare, resume
 from tabulon.schema import (DOCUMENTS_SCHEMA, EVENTS_BY_USER, LINEITEM_SCHEMA, ORDERS,
                             ORDERS_SCHEMA, PROJECTS, schema_frame)
-from tabulon.session import scratch_path
+from tabulon.session import scratch_path, stage
 from tabulon.sinks.tables import TableStore
 from tabulon.sources.archives import expand_archives, nth_lines
 from tabulon.sources.csv import (BLOCK, CSV_WRITE_OPTIONS, ROW, SEQ, SOURCE, header_groups,
@@ -151,7 +151,7 @@ def row_order_in_file(spark, sf_dir):
     root = yearly_orders(spark, sf_dir)
     raw = read_csv_sources(spark, scan_files(file_inventory(spark, root), root))
     keyed = raw.select(SOURCE, SEQ, BLOCK, ROW, lenient_long("o_orderkey").alias("o_orderkey"))
-    return row_positions(keyed).select(F.col(SOURCE).alias("source"), "o_orderkey", "row_pos")
+    return row_positions(stage(keyed, "keyed-rows")).select(F.col(SOURCE).alias("source"), "o_orderkey", "row_pos")
 
 
 @register("file_row_counts", """
