@@ -2,12 +2,14 @@
 
 A *pattern* is a multiset of piece lengths that fits one sequence.  The program
 asks for the fewest patterns that cover the histogram.  Multiplicative weights
-solve it: every length has a price; each step prices the best pattern by
-knapsack dynamic programming, adds it, and lowers the prices of the lengths it
-covers.  Each step covers a length, so there are at most ``capacity`` patterns.
-The fractional uses are rounded down, fullest patterns first; the rounds repeat
+solve it: every length has a price that falls exponentially with its share covered; each
+step prices the best pattern by knapsack dynamic programming and uses it for a small share of a length.
+The steps add up to a fractional cover, and the prices give a lower bound on any; passes
+are repeated with finer steps until both are within ``GAP``, or ``MOST_STEPS`` are used up.
+The uses are rounded down, fullest patterns first; the rounds repeat
 while they place half of what is left, and the last pieces (a number that
 depends on the number of patterns, not on the data) are placed best-fit, longest first.
+Plain best fit of all pieces is taken where it needs fewer sequences.
 
 Only the histogram (at most ``capacity`` rows) reaches the driver, and only the
 pattern table, bounded by the capacity in the same way, goes out.
@@ -42,9 +44,15 @@ from tabulon.session import ship_package, stage
 #: Chunks remembered per Python worker, and the longest one worth remembering.
 CACHE_ENTRIES = 1_000_000
 CACHE_CHARS = 32
-#: Prices: a length covered whole is worth this share of its start price, which favours long pieces a little.
-DECAY = 0.9
+#: Start prices favour long pieces a little.
 TILT = 1.02
+#: The fractional cover is within this share of its bound; a step takes the dearest pattern up to SLACK.
+GAP = 0.01
+SLACK = 0.002
+#: After the first pass, a step lowers no logarithm of a price by more than this.
+STEP = 0.02
+#: No pass is begun that would take the steps beyond this; the cover may then be further than GAP from its bound.
+MOST_STEPS = 200_000
 #: Up to so many pieces left over are placed best-fit rather than by patterns with much waste.
 BEST_FIT_PIECES = 20_000
 #: Pieces of one length that are numbered together, at least.
@@ -194,78 +202,155 @@ def best_pattern(prices: np.ndarray) -> dict[int, int]:
     return pattern
 
 
-def fractional_patterns(counts: np.ndarray) -> list[tuple[dict[int, int], float]]:
-    """Multiplicative weights on the covering program: (pattern, fractional uses) that cover ``counts``.
+def fractional_patterns(counts: np.ndarray, gap: float = GAP) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """Multiplicative weights on the covering program: (pattern, fractional uses) that cover ``counts``, and a bound.
 
-    Each step uses the dearest pattern until the first of its lengths is
-    covered; a length's price falls by ``DECAY`` to the power of its share covered.
+    A length's price falls exponentially with the share of it that is covered, so those that lag behind
+    become dear.  A step uses a pattern that is dearest up to ``SLACK`` until some length in it is covered by a
+    small share more; the uses of all steps add up to the cover.  No cover is smaller than the
+    worth of the counts over that of the dearest pattern, at any prices.  Passes start from the
+    mean prices of the last, which fall four times as fast, until the cover is within ``gap`` of the best such
+    bound (or ``MOST_STEPS`` are used up: many lengths without even near-full patterns).
     """
     capacity = len(counts) - 1
-    base = (np.arange(capacity + 1) / capacity) ** TILT
-    left = counts.astype(float)
-    whole = np.maximum(left, 1.0)
-    uses: dict[tuple, float] = {}
-    while (left > 1e-9).any():
-        prices = np.where(left > 1e-9, base * DECAY ** (1 - left / whole), -1.0)
+    lengths = np.flatnonzero(counts)
+    if not len(lengths):
+        return [], 0.0
+    need = counts[lengths].astype(float)
+    at_length = np.full(capacity + 1, -1)
+    at_length[lengths] = np.arange(len(lengths))
+    pool: dict[tuple, int] = {}
+    keys: list[tuple] = []
+    rows = np.zeros((64, len(lengths)))
+    start = (lengths / capacity) ** TILT
+    bound = float(need @ lengths) / capacity
+    best: tuple[float, dict[tuple, float]] = (math.inf, {})
+
+    def dearest(prices: np.ndarray) -> tuple[tuple, float]:
+        by_length = np.full(capacity + 1, -1.0)
+        by_length[lengths] = np.where(prices > 0, prices, -1.0)
+        pattern = best_pattern(by_length)
+        worth = sum(k * by_length[n] for n, k in pattern.items())
         # no more of a length than there is of it
-        pattern = {n: min(k, int(counts[n])) for n, k in best_pattern(prices).items()}
-        step = min(left[n] / k for n, k in pattern.items())
-        for n, k in pattern.items():
-            left[n] -= step * k
-            if left[n] < 1e-6:
-                left[n] = 0.0
-        key = tuple(sorted(pattern.items(), reverse=True))
-        uses[key] = uses.get(key, 0.0) + step
-    return [(dict(key), use) for key, use in uses.items()]
+        return tuple(sorted(((n, min(k, int(counts[n]))) for n, k in pattern.items()), reverse=True)), worth
+
+    rate, steps = 1.0, 0
+    while True:
+        left, uses, total, top = np.ones(len(lengths)), {}, 0.0, math.inf
+        mean = np.zeros(len(lengths))
+        while (left > 0).any():
+            prices = np.where(left > 0, start * np.exp(rate * (left - 1)), 0.0)
+            worths = rows[:len(pool)] @ prices
+            at = int(worths.argmax()) if len(pool) else -1
+            if at < 0 or worths[at] < top * (1 - SLACK):  # prices only fall in a pass, so `top` stays a bound
+                key, top = dearest(prices)
+                bound = max(bound, float(need @ prices) / top)
+                if key not in pool:
+                    if len(pool) == len(rows):
+                        rows = np.vstack([rows, np.zeros_like(rows)])
+                    for n, k in key:
+                        rows[len(pool), at_length[n]] = k
+                    pool[key] = len(pool)
+                    keys.append(key)
+                at = pool[key]
+            key = keys[at]
+            used = np.flatnonzero(rows[at] * (left > 0))
+            share = rows[at, used] / need[used]
+            step = float((np.minimum(left[used], STEP / rate if rate > 1 else 1.0) / share).min())
+            left[used] -= step * share
+            left[left < 1e-9] = 0.0
+            live = tuple((n, k) for n, k in key if prices[at_length[n]] > 0)
+            uses[live] = uses.get(live, 0.0) + step
+            total += step
+            steps += 1
+            mean += step * prices / top
+        if total < best[0]:
+            best = total, uses
+        bound = max(bound, float(need @ mean) / dearest(mean)[1])
+        start = mean / mean.max()
+        rate *= 4
+        if best[0] <= (1 + gap) * bound or steps + len(lengths) * rate / STEP > MOST_STEPS:
+            return [(dict(key), use) for key, use in best[1].items()], bound
+
+
+def best_fit_runs(counts: np.ndarray) -> list[tuple[dict[int, int], int]]:
+    """Best fit, longest first: (pattern, times), equal sequences filled together, so any number of pieces."""
+    capacity = len(counts) - 1
+    open_: dict[int, list[tuple[dict[int, int], int]]] = {}  # by free room
+    rooms: list[int] = []
+    done: list[tuple[dict[int, int], int]] = []
 
+    def put(pattern: dict[int, int], times: int, room: int) -> None:
+        if times and room not in open_:
+            bisect.insort(rooms, room)
+            open_[room] = []
+        if times:
+            open_[room].append((pattern, times))
 
-def best_fit(counts: np.ndarray) -> list[dict[int, int]]:
-    """Best fit, longest first, of a bounded number of pieces: one pattern per sequence opened."""
-    capacity = len(counts) - 1
-    rooms: list[int] = []  # sorted free room of open sequences, with their number alongside
-    numbers: list[int] = []
-    patterns: list[dict[int, int]] = []
     for n in range(capacity, 0, -1):
-        for _ in range(int(counts[n])):
+        left = int(counts[n])
+        while left:
             at = bisect.bisect_left(rooms, n)
             if at == len(rooms):
-                patterns.append({})
-                number, room = len(patterns) - 1, capacity
+                pattern, times, room = {}, left, capacity  # as many new ones as could be needed
             else:
-                number, room = numbers.pop(at), rooms.pop(at)
-            patterns[number][n] = patterns[number].get(n, 0) + 1
-            room -= n
-            at = bisect.bisect_left(rooms, room)
-            rooms.insert(at, room)
-            numbers.insert(at, number)
-    return patterns
+                room = rooms[at]
+                pattern, times = open_[room].pop()
+                if not open_[room]:
+                    del open_[room], rooms[at]
+            fill = room // n  # a sequence just added to is the tightest, until no more fits
+            whole = min(times, left // fill)
+            put({**pattern, n: fill}, whole, room - fill * n)
+            left -= whole * fill
+            if whole < times and left:
+                put({**pattern, n: left}, 1, room - left * n)
+                left, whole = 0, whole + 1
+            if pattern:
+                put(pattern, times - whole, room)
+    for runs in open_.values():
+        done += runs
+    return done
 
 
-def plan(counts: np.ndarray) -> list[tuple[dict[int, int], int]]:
-    """(pattern, times) that hold exactly ``counts[l]`` pieces of each length ``l``."""
-    left = counts.astype(np.int64).copy()
-    chosen: list[tuple[dict[int, int], int]] = []
+def best_fit(counts: np.ndarray) -> list[dict[int, int]]:
+    """One pattern per sequence of ``best_fit_runs``."""
+    return [pattern for pattern, times in best_fit_runs(counts) for _ in range(times)]
 
-    def use(pattern: dict[int, int], times: int) -> None:
-        if pattern and times > 0:
-            chosen.append((pattern, times))
-            for n, k in pattern.items():
-                left[n] -= k * times
 
+def _rounded(counts: np.ndarray, found: list[tuple[dict[int, int], float]], most_spare: int):
+    """Whole uses of the fractional patterns ``found``, fullest first, in rounds; what is left is placed best-fit."""
     capacity = len(counts) - 1
-    use({capacity: 1}, int(left[capacity]))
+    left = counts.copy()
+    chosen: list[tuple[dict[int, int], int]] = []
     while left.any():
         total = left.sum()
-        found = fractional_patterns(left)
         waste = [capacity - sum(n * k for n, k in pattern.items()) for pattern, _ in found]
         for (pattern, x), spare in sorted(zip(found, waste, strict=True), key=lambda p: (p[1], -p[0][1])):
-            if spare <= capacity // 128 or left.sum() > BEST_FIT_PIECES:
-                use(pattern, min(int(x + 1e-6), *(int(left[n]) // k for n, k in pattern.items())))
+            times = min(int(x + 1e-6), *(int(left[n]) // k for n, k in pattern.items()))
+            if times > 0 and (spare <= most_spare or left.sum() > BEST_FIT_PIECES):
+                chosen.append((pattern, times))
+                for n, k in pattern.items():
+                    left[n] -= k * times
         if left.sum() > total // 2 or left.sum() <= BEST_FIT_PIECES:
             break
-    for pattern in best_fit(left):
-        chosen.append((pattern, 1))
-    return chosen
+        found, _ = fractional_patterns(left, math.inf)  # one pass
+    return chosen + best_fit_runs(left)
+
+
+def plan(counts: np.ndarray) -> list[tuple[dict[int, int], int]]:
+    """(pattern, times) that hold exactly ``counts[l]`` pieces of each length ``l``.
+
+    The fewest sequences of: the program's patterns rounded, without or with those that waste
+    much for the last pieces, and plain best fit.
+    """
+    capacity = len(counts) - 1
+    left = counts.astype(np.int64).copy()
+    full = int(left[capacity])
+    left[capacity] = 0
+    found, _ = fractional_patterns(left)
+    plans = [_rounded(left, found, capacity // 128), _rounded(left, found, capacity), best_fit_runs(left)]
+    chosen = min(plans, key=lambda p: sum(times for _, times in p))
+    return ([({capacity: 1}, full)] if full else []) + chosen
 
 
 def slots(chosen: list[tuple[dict[int, int], int]]) -> np.ndarray:

@@ -154,6 +154,32 @@ def test_plan_places_every_piece(seed):
     assert sequences <= 1.02 * len(packing.best_fit(counts)) + 1
 
 
+@pytest.mark.parametrize(("first", "second"), [(600, 256), (700, 200)])
+@pytest.mark.parametrize("n", [3_000, 300_000])
+def test_hot_lengths_are_paired(first, second, n):
+    counts = np.zeros(1025, np.int64)
+    counts[[first, second]] = n
+    sequences = sum(times for _, times in packing.plan(counts))
+    assert sequences == n == sum(times for _, times in packing.best_fit_runs(counts))
+    found, bound = packing.fractional_patterns(counts)
+    assert bound - 1e-3 <= sequences <= 1.01 * bound
+    assert sum(use for _, use in found) <= 1.01 * bound
+
+
+def test_program_beats_best_fit():
+    counts = np.zeros(1025, np.int64)
+    counts[[513, 300, 210, 900, 190, 342]] = 1000, 4000, 900, 50, 5000, 777
+    found, bound = packing.fractional_patterns(counts)
+    covered = np.zeros(1025)
+    for pattern, use in found:
+        for n, k in pattern.items():
+            covered[n] += k * use
+    assert covered == pytest.approx(counts)
+    sequences = sum(times for _, times in packing.plan(counts))
+    assert sequences <= 1.02 * bound < 1.02 * sequences
+    assert sequences < 0.95 * len(packing.best_fit(counts))
+
+
 def test_knapsack_equals_exhaustive_search():
     prices = np.array([-1, 0.1, 0.25, -1, 0.55, 0.6])
     pattern = packing.best_pattern(prices)
