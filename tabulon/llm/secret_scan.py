@@ -6,7 +6,8 @@ decoding uncovers: URL escapes, Unicode escapes (``\uXXXX``, ``\u{...}``, ``\xXX
 Each layer carries, for every character, the span of the text that it came
 from, so a match in a nested layer is reported as a span of the text.  Layers go
 on a worklist until none is new; content seen before for the same source span is not
-taken again, so cycles end.  Bytes that are neither text nor compressed are no layer.
+taken again, so cycles end.  Every byte of a
+layer is read: one that is not UTF-8 is a character of its own, and a bad escape is U+FFFD.
 
 Within a kind, base matches are leftmost and do not overlap; short ones are
 dropped after matching.  Spans count code points, the end is exclusive.  Null and empty
@@ -70,13 +71,16 @@ class Layer:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
 
-def _text_of(raw: bytes) -> str | None:
-    """``raw`` as text, if it is UTF-8 without control characters."""
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if re.sub(r"[\t\n\r\u00a0\u2028\u2029]", "", text).replace(" ", "").isprintable() else None
+def _decoded(raw: bytes) -> tuple[str, np.ndarray, np.ndarray]:
+    """``raw`` as text with the first and last byte of each character; a byte that is not UTF-8 is one character."""
+    # surrogateescape keeps bytes and characters in step, then such a byte reads as Latin-1
+    text = raw.decode("utf-8", "surrogateescape")
+    if text.isascii():
+        at = np.arange(len(raw))
+        return text, at, at
+    widths = np.array([1 if "\udc80" <= c <= "\udcff" else len(c.encode()) for c in text])
+    last = np.cumsum(widths) - 1
+    return re.sub("[\udc80-\udcff]", lambda m: chr(ord(m.group()) - 0xDC00), text), last - widths + 1, last
 
 
 def _unpacked(raw: bytes) -> Iterator[bytes]:
@@ -107,14 +111,9 @@ def _unpacked(raw: bytes) -> Iterator[bytes]:
 
 def _from_bytes(raw: bytes, starts: np.ndarray, ends: np.ndarray, via: tuple[str, ...]) -> Iterator[Layer]:
     """Layers of decoded bytes, each byte with its source span."""
-    text = _text_of(raw)
-    if text:
-        if not text.isascii():
-            widths = np.array([len(c.encode()) for c in text])
-            first = np.cumsum(widths) - widths
-            starts, ends = starts[first], ends[first + widths - 1]
-        yield Layer(text, starts, ends, via)
-        return
+    if raw:
+        text, first, last = _decoded(raw)
+        yield Layer(text, starts[first], ends[last], via)
     via = (*via, "compressed")
     for piece in _unpacked(raw):
         low, high = int(starts.min()), int(ends.max())
@@ -150,47 +149,29 @@ def _chars(parts: list[tuple[str, int, int]]):
 
 def _url(run: str):
     """(text, first and last place in the run of each character) of a run of URL escapes."""
-    raw = bytes.fromhex(run.replace("%", ""))
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    parts, at = [], 0
-    for c in text:
-        width = 3 * len(c.encode())
-        parts.append((c, at, at + width - 1))
-        at += width
-    return _chars(parts)
+    text, first, last = _decoded(bytes.fromhex(run.replace("%", "")))
+    return text, 3 * first, 3 * last + 2
 
 
 def _unicode(run: str):
     """Likewise for a run of Unicode escapes; surrogate pairs and UTF-8 bytes are joined."""
     ones = list(UNICODE_ONE.finditer(run))
     if all(m.group(3) for m in ones):
-        raw = bytes(int(m.group(3), 16) for m in ones)
-        try:
-            parts, at = [], 0
-            for c in raw.decode():
-                n = len(c.encode())
-                parts.append((c, ones[at].start(), ones[at + n - 1].end() - 1))
-                at += n
-            return _chars(parts)
-        except UnicodeDecodeError:
-            pass
+        text, first, last = _decoded(bytes(int(m.group(3), 16) for m in ones))
+        return (text, np.array([ones[i].start() for i in first], int),
+                np.array([ones[i].end() - 1 for i in last], int))
     parts = []
     for m in ones:
         code = int(m.group(4)) if m.group(4) else int(m.group(1) or m.group(2) or m.group(3) or m.group(5), 16)
         if code > 0x10FFFF:
-            return None
+            code = 0xFFFD
         if 0xDC00 <= code < 0xE000 and parts and 0xD800 <= ord(parts[-1][0]) < 0xDC00:
             high, start, _ = parts.pop()
             code = 0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00
             parts.append((chr(code), start, m.end() - 1))
         else:
             parts.append((chr(code), m.start(), m.end() - 1))
-    if any(0xD800 <= ord(c) < 0xE000 for c, _, _ in parts):
-        return None
-    return _chars(parts)
+    return _chars([("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c, a, b) for c, a, b in parts])
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
@@ -213,7 +194,7 @@ def _bytes_in_escapes(layer: Layer) -> Iterator[Layer]:
     for runs, width, name in ((URL_RUN, 3, "url"), (re.compile(r"(?:\\x[0-9A-Fa-f]{2})+"), 4, "unicode")):
         for run in runs.finditer(layer.text):
             raw = bytes.fromhex(re.sub(r"%|\\x", "", run.group()))
-            if _text_of(raw) is None:
+            if next(_unpacked(raw), None) is not None:
                 first = run.start() + np.arange(len(raw)) * width
                 yield from _from_bytes(raw, layer.starts[first], layer.ends[first + width - 1], (*layer.via, name))
 

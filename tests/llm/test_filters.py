@@ -49,6 +49,26 @@ def test_secrets_in_layers_map_to_the_text(encoded, via):
         assert at <= s["start"] < s["end"] <= at + len(encoded)
 
 
+@pytest.mark.parametrize("raw", [
+    ("\ufeff" + SECRET).encode(), (SECRET + "\u3000\u200b\u00ad\x0c\x1b end").encode(), ("caf\u00e9 " + SECRET).encode("latin-1"),
+    b"\x00\xff\x80" + SECRET.encode() + b"\xfe\x01", ("\u4e2d" * 40 + "\u3000" + SECRET).encode()])
+def test_every_byte_of_a_layer_is_scanned(raw):
+    text = "see " + base64.b64encode(raw).decode() + " end"
+    (found,) = secret_scan.scan(text)
+    assert found["via"] == "base64"
+    assert SECRET.encode() in base64.b64decode(text[4:-4])
+    assert 4 <= found["start"] < found["end"] <= len(text) - 4
+    assert found["end"] - found["start"] <= (len(SECRET) + 2) * 4 // 3 + 2
+
+
+@pytest.mark.parametrize("bad", ["%E9", "%FF%FE"])
+def test_bad_bytes_do_not_hide_a_run(bad):
+    text = f"{bad}{urlquoted(SECRET)}{bad}"
+    assert [(s["start"], s["end"]) for s in secret_scan.scan(text)] == [(len(bad), len(text) - len(bad))]
+    spelt = "".join(f"\\u{ord(c):04x}" for c in SECRET)
+    assert [(s["start"], s["end"]) for s in secret_scan.scan(rf"\ud800{spelt}\udc00")] == [(6, 6 + len(spelt))]
+
+
 def test_layers_that_contain_themselves_end():
     inner = b"token = abcdefgh12 " * 3
     for _ in range(6):
