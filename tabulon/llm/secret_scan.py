@@ -2,7 +2,7 @@ r"""Operator 6: secret scans through a recursive decoding worklist.
 
 Three patterns are searched in the text itself (base spans) and in every layer that
 decoding uncovers: URL escapes, Unicode escapes (``\uXXXX``, ``\u{...}``, ``\xXX``,
-``&#...;``), base64 runs (both alphabets) and compressed bytes (gzip, zlib, bz2, xz) inside them.
+``&#...;``), base64 runs (both alphabets, also wrapped in lines) and compressed bytes (gzip, zlib, bz2, xz) inside them.
 Each layer carries, for every character, the span of the text that it came
 from, so a match in a nested layer is reported as a span of the text.  Layers go
 on a worklist until none is new; content seen before for the same source span is not
@@ -19,7 +19,6 @@ pieces going on the worklist one after another.  Repeated rows are scanned alike
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -47,7 +46,10 @@ URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
                          r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 UNICODE_ONE = re.compile(r"\\u\{?([0-9A-Fa-f]+)\}?|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]+);|&#[xX]([0-9A-Fa-f]+);")
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: The shortest match has 14 bytes (``token=`` and a value), in base64 19 characters without padding.
+BASE64_LEAST = 19
+BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}" % BASE64_LEAST)
+BASE64_LINES = re.compile(r"[A-Za-z0-9+/_-]+(?:\r?\n[A-Za-z0-9+/_-]+)+")
 #: Bytes unpacked at a time, and how far the pieces of a longer layer overlap.
 LAYER_BYTES = 1 << 20
 OVERLAP = 4096
@@ -174,18 +176,45 @@ def _unicode(run: str):
     return _chars([("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c, a, b) for c, a, b in parts])
 
 
+def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Lines that may be one base64 run: several of equal width and a last one that is at most as wide."""
+    for chain in BASE64_LINES.finditer(text):
+        lines = [m.span() for m in re.compile(r"[A-Za-z0-9+/_-]+").finditer(text, *chain.span())]
+        widths = [b - a for a, b in lines]
+        at = 0
+        if chain.start() and text[chain.start() - 1] != "\n":  # the first may follow other text on its line
+            end = _block(widths, 1)
+            yield lines[:end]
+            at = 1
+        while at < len(lines):
+            end = _block(widths, at)
+            if end - at > 1:
+                yield lines[at:end]
+            # the last line, if shorter, may be the first of the next block
+            again = end < len(lines) and end - at > 1 and widths[end - 1] < widths[at] and widths[end] == widths[end - 1]
+            at = end - 1 if again else end
+
+
+def _block(widths: list[int], at: int) -> int:
+    """End of the block of lines that begins at ``at``."""
+    end = at + 1
+    while end < len(widths) and widths[end] == widths[at]:
+        end += 1
+    return end + (end < len(widths) and widths[end] < widths[at])
+
+
 def _base64(layer: Layer) -> Iterator[Layer]:
-    for run in BASE64_RUN.finditer(layer.text):
-        body = run.group().rstrip("=")
+    runs = [[m.span()] for m in BASE64_RUN.finditer(layer.text)]
+    for lines in (*runs, *_wrapped(layer.text)):
+        body = "".join(layer.text[a:b] for a, b in lines)
         if len(body) % 4 == 1:
+            body = body[:-1]
+        if len(body) < BASE64_LEAST:
             continue
-        try:
-            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
-            continue
+        raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
+        at = np.concatenate([np.arange(a, b) for a, b in lines])
         byte = np.arange(len(raw))
-        first = run.start() + byte * 8 // 6
-        last = run.start() + (byte * 8 + 7) // 6
+        first, last = at[byte * 8 // 6], at[(byte * 8 + 7) // 6]
         yield from _from_bytes(raw, layer.starts[first], layer.ends[last], (*layer.via, "base64"))
 
 
@@ -214,7 +243,7 @@ def scan(text: str) -> list[dict]:
     """All secrets of ``text``, sorted by start, kind and end; ``via`` is empty for base spans."""
     base = matches(text)
     found = {(kind, a, b): () for kind, a, b in base}
-    if "%" in text or "\\" in text or "&#" in text or BASE64_RUN.search(text):
+    if "%" in text or "\\" in text or "&#" in text or BASE64_RUN.search(text) or BASE64_LINES.search(text):
         places = np.arange(len(text) + 1)
         work = [Layer(text, places[:-1], places[1:], ())]
         seen = {(_digest(text), 0, len(text))}

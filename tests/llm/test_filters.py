@@ -69,6 +69,27 @@ def test_bad_bytes_do_not_hide_a_run(bad):
     assert [(s["start"], s["end"]) for s in secret_scan.scan(rf"\ud800{spelt}\udc00")] == [(6, 6 + len(spelt))]
 
 
+def test_base64_of_the_shortest_secret():
+    encoded = base64.b64encode(b"token=12345678").decode()
+    for text in (encoded, encoded.rstrip("="), urlquoted(encoded)):
+        assert len(secret_scan.scan(f"x {text} y")) == 1
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("width", [64, 76, 6])
+def test_wrapped_base64(end, width):
+    noise = random.Random(width).randbytes(300)
+    for raw, via in ((b"." * 40 + SECRET.encode() + b"." * 40, "base64"),
+                     (gzip.compress(noise.hex().encode().upper() + b" " + SECRET.encode()), "base64>compressed")):
+        encoded = base64.b64encode(raw).decode()
+        lines = end.join(encoded[i:i + width] for i in range(0, len(encoded), width))
+        for head in ("some words" + end, "-----BEGIN PRIVATE KEY-----" + end, "body: "):
+            text = head + lines + end + "-----END" + end
+            found = [s for s in secret_scan.scan(text) if s["kind"] == "assign"]
+            assert found and found[0]["via"] == via
+            assert len(head) <= found[0]["start"] < found[0]["end"] <= len(head + lines)
+
+
 def test_layers_that_contain_themselves_end():
     inner = b"token = abcdefgh12 " * 3
     for _ in range(6):
