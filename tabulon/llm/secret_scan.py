@@ -11,9 +11,10 @@ layer is read: one that is not UTF-8 is a character of its own, and a bad escape
 
 Within a kind, base matches are leftmost and do not overlap; short ones are
 dropped after matching.  Spans count code points, the end is exclusive.  Null and empty
-texts have no spans.  Texts are scanned whole; of a compressed layer at most
-``LAYER_BYTES`` are unpacked at a time (a guard against decompression bombs), overlapping
-pieces going on the worklist one after another.  Repeated rows are scanned alike.
+texts have no spans.  Texts are scanned whole; of a compressed layer about
+``LAYER_BYTES`` are unpacked at a time, all members one after another, and a compressed layer
+inside it is fed from these pieces.  Pieces overlap and are cut outside of encoded runs only, so a
+run longer than a piece is held whole.  Repeated rows are scanned alike.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ from __future__ import annotations
 import base64
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,8 @@ BASE64_LINES = re.compile(r"[A-Za-z0-9+/_-]+(?:\r?\n[A-Za-z0-9+/_-]+)+")
 #: Bytes unpacked at a time, and how far the pieces of a longer layer overlap.
 LAYER_BYTES = 1 << 20
 OVERLAP = 4096
+#: Bytes that an encoded run can consist of; pieces are not cut between two of them.
+RUN_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\{}&#;.:\"'\r\n"
 
 
 def matches(text: str) -> list[tuple[int, int, int]]:
@@ -85,45 +89,98 @@ def _decoded(raw: bytes) -> tuple[str, np.ndarray, np.ndarray]:
     return re.sub("[\udc80-\udcff]", lambda m: chr(ord(m.group()) - 0xDC00), text), last - widths + 1, last
 
 
-def _unpacked(raw: bytes) -> Iterator[bytes]:
-    """Bytes of a compressed ``raw`` in pieces of bounded size; none if it isn't compressed."""
-    if raw[:2] == b"\x1f\x8b":
-        worker = zlib.decompressobj(31)
-    elif len(raw) > 2 and raw[0] == 0x78 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        worker = zlib.decompressobj()
-    elif raw[:3] == b"BZh":
-        worker = bz2.BZ2Decompressor()
-    elif raw[:6] == b"\xfd7zXZ\0":
-        worker = lzma.LZMADecompressor()
-    else:
-        return
-    tail = b""
+def _worker(head: bytes):
+    """A decompressor for bytes that begin with ``head``; None if they aren't compressed."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if len(head) > 2 and head[0] == 0x78 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor()
+    return None
+
+
+def _unpacked(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """Bytes of all members of a compressed stream, in pieces of bounded size; none if it isn't compressed."""
+    source = iter(pieces)
+    data = next(source, b"")
     try:
-        data = worker.decompress(raw, LAYER_BYTES)
-        while data:
-            yield tail + data
-            tail = (tail + data)[-OVERLAP:]
-            if worker.eof:
-                return
-            left = worker.unconsumed_tail if hasattr(worker, "unconsumed_tail") else b""
-            data = worker.decompress(left, LAYER_BYTES)
+        while worker := _worker(data):
+            while True:
+                out = worker.decompress(data, LAYER_BYTES)
+                if out:
+                    yield out
+                if worker.eof:
+                    break
+                data = worker.unconsumed_tail if hasattr(worker, "unconsumed_tail") else b""
+                # a piece may be read whole with output still to come
+                if not data and len(out) < LAYER_BYTES and getattr(worker, "needs_input", True):
+                    data = next(source, b"")
+                    if not data:
+                        return
+            # members may be padded with zero bytes, and begin near the end of a piece
+            data = worker.unused_data.lstrip(b"\0")
+            while len(data) < 6 and (more := next(source, b"")):
+                data = (data + more).lstrip(b"\0")
     except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
         return
 
 
+def _whole_runs(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    """``pieces`` cut only outside encoded runs, overlapping; an unfinished run is carried over."""
+    tail, held, run = b"", [], 0  # `run`: held bytes at the end are one run
+    for piece in pieces:
+        held.append(piece)
+        size = len(piece) - len(piece.rstrip(RUN_BYTES))
+        if size == len(piece):
+            run += size
+            continue
+        data = tail + b"".join(held)
+        cut = len(data) - size
+        yield data[:cut]
+        tail = data[max(0, cut - OVERLAP):cut]
+        held, run = [data[cut:]], size
+    if run or (held and not tail):
+        yield tail + b"".join(held)
+
+
 def _from_bytes(raw: bytes, starts: np.ndarray, ends: np.ndarray, via: tuple[str, ...]) -> Iterator[Layer]:
     """Layers of decoded bytes, each byte with its source span."""
     if raw:
         text, first, last = _decoded(raw)
         yield Layer(text, starts[first], ends[last], via)
-    via = (*via, "compressed")
-    for piece in _unpacked(raw):
-        low, high = int(starts.min()), int(ends.max())
-        if next(_unpacked(piece), None) is not None:
-            yield from _from_bytes(piece, np.full(len(piece), low), np.full(len(piece), high), via)
-        else:
-            inner = piece.decode("utf-8", "replace")
-            yield Layer(inner, np.full(len(inner), low), np.full(len(inner), high), via)
+        yield from _from_stream(_unpacked([raw]), int(starts.min()), int(ends.max()), (*via, "compressed"))
+
+
+def _from_stream(pieces: Iterator[bytes], low: int, high: int, via: tuple[str, ...]) -> Iterator[Layer]:
+    """Layers of unpacked bytes, all from one source span."""
+    head = b""
+    for piece in pieces:  # a member may be as short as a byte
+        head += piece
+        if len(head) >= 6:
+            break
+    if not head:
+        return
+    first: list[bytes] = []
+
+    def rest() -> Iterator[bytes]:
+        yield head
+        for piece in pieces:
+            first.append(piece) if not seen else None
+            yield piece
+
+    seen = False
+    for inner in _from_stream(_unpacked(rest()), low, high, (*via, "compressed")):
+        seen = True
+        first.clear()
+        yield inner
+    if seen:
+        return
+    for piece in _whole_runs(itertools.chain([head], first, pieces)):
+        text, _, _ = _decoded(piece)
+        yield Layer(text, np.full(len(text), low), np.full(len(text), high), via)
 
 
 def _replaced(layer: Layer, runs: re.Pattern, decode, name: str) -> Layer | None:
@@ -223,7 +280,7 @@ def _bytes_in_escapes(layer: Layer) -> Iterator[Layer]:
     for runs, width, name in ((URL_RUN, 3, "url"), (re.compile(r"(?:\\x[0-9A-Fa-f]{2})+"), 4, "unicode")):
         for run in runs.finditer(layer.text):
             raw = bytes.fromhex(re.sub(r"%|\\x", "", run.group()))
-            if next(_unpacked(raw), None) is not None:
+            if next(_unpacked([raw]), None) is not None:
                 first = run.start() + np.arange(len(raw)) * width
                 yield from _from_bytes(raw, layer.starts[first], layer.ends[first + width - 1], (*layer.via, name))
 

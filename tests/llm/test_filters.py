@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import zlib
@@ -90,6 +91,28 @@ def test_wrapped_base64(end, width):
             assert len(head) <= found[0]["start"] < found[0]["end"] <= len(head + lines)
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress])
+def test_all_members_are_unpacked(pack):
+    members = pack(b"nothing ") + pack(b"to see ") + pack(SECRET.encode())
+    found = secret_scan.scan(f"x {base64.b64encode(members).decode()} y")
+    assert "base64>compressed" in {s["via"] for s in found}  # xz holds short texts as they are
+
+
+def test_streams_and_runs_over_piece_borders(monkeypatch):
+    monkeypatch.setattr(secret_scan, "LAYER_BYTES", 2000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 200)
+    rng = random.Random(14)
+    filler = " ".join("".join(rng.choices("GHIJKLMNOPQR", k=6)) for _ in range(3000)).encode()
+    secret = b" " + SECRET.encode() + b" "
+    long_run = base64.b64encode(filler[:6001] + secret + filler[:3000])
+    for raw in (filler + secret, zlib.compress(filler + secret), b"some words " + long_run + b" end",
+                filler[:1990] + b" " + urlquoted((filler[:900] + secret).decode()).encode(),
+                gzip.compress(filler[:9000]) + bz2.compress(filler + secret)):
+        text = base64.b64encode(gzip.compress(raw)).decode()
+        found = [s for s in secret_scan.scan(text) if s["kind"] == "assign"]
+        assert [(s["start"], s["end"]) for s in found] == [(0, len(text.rstrip("=")))]
+
+
 def test_layers_that_contain_themselves_end():
     inner = b"token = abcdefgh12 " * 3
     for _ in range(6):
