@@ -244,6 +244,9 @@ def fractional_patterns(counts: np.ndarray, gap: float = GAP) -> tuple[list[tupl
             at = int(worths.argmax()) if len(pool) else -1
             if at < 0 or worths[at] < top * (1 - SLACK):  # prices only fall in a pass, so `top` stays a bound
                 key, top = dearest(prices)
+                steps += 100  # about as dear as so many steps
+                if steps > MOST_STEPS and best[1]:
+                    return [(dict(key), use) for key, use in best[1].items()], bound
                 bound = max(bound, float(need @ prices) / top)
                 if key not in pool:
                     if len(pool) == len(rows):
@@ -269,7 +272,7 @@ def fractional_patterns(counts: np.ndarray, gap: float = GAP) -> tuple[list[tupl
         bound = max(bound, float(need @ mean) / dearest(mean)[1])
         start = mean / mean.max()
         rate *= 4
-        if best[0] <= (1 + gap) * bound or steps + len(lengths) * rate / STEP > MOST_STEPS:
+        if best[0] <= max((1 + gap) * bound, bound + 1) or steps + len(lengths) * rate / STEP > MOST_STEPS:
             return [(dict(key), use) for key, use in best[1].items()], bound
 
 
