@@ -9,7 +9,7 @@ import pytest
 
 import tabulon.llm.exact_dedup as exact_dedup
 import tabulon.llm.simhash as simhash
-from helpers import EDGE_SCHEMA, components, edge_rows, edge_table, empty_table, fingerprint, small_table
+from llm_helpers import EDGE_SCHEMA, components, edge_rows, edge_table, empty_table, fingerprint, small_table
 from tabulon.llm import line_dedup, queries, sharding
 
 SF = "/root/testdata/sf0.001"

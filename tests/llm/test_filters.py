@@ -16,7 +16,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from helpers import (base_secrets, components, edge_rows, edge_table, empty_table, fingerprint, small_table,
+from llm_helpers import (base_secrets, components, edge_rows, edge_table, empty_table, fingerprint, small_table,
                          statistics)
 from tabulon.llm import packing, quality_rules, queries, secret_scan, url_filter
 

@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from helpers import edge_rows, edge_table, empty_table
+from llm_helpers import edge_rows, edge_table, empty_table
 from tabulon.llm import piece_codec, token_counts
 
 WORDS, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
