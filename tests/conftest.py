@@ -7,9 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -27,12 +24,3 @@ def scratch(spark):
     from tabulon.session import scratch_path
 
     return scratch_path(spark, "test")
-
-
-def local_dir(uri: str) -> str:
-    """Local path of a ``file:`` scratch URI, for writing hand-made fixture files."""
-    import re
-
-    path = re.sub(r"^file:/*", "/", uri)
-    os.makedirs(path, exist_ok=True)
-    return path

@@ -4,7 +4,7 @@ import zipfile
 from tabulon.sources.archives import expand_archives, nth_lines
 from tabulon.sources.csv import read_csv_text
 
-from conftest import local_dir
+from core_helpers import local_dir
 
 
 def make(d, name, members):

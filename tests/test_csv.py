@@ -7,7 +7,7 @@ from tabulon.sources.csv import (SOURCE, header_groups, read_csv_sources, read_c
                                  row_positions, scan_files, write_csv)
 from tabulon.sources.files import file_inventory
 
-from conftest import local_dir
+from core_helpers import local_dir
 
 QUOTED = 'id,a,b\n1,"say ""hi"", so ",x\n2,"line one\nline two",\n3,,"z"\n'
 

@@ -1,6 +1,6 @@
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 
 
 def test_registry_shapes():

@@ -10,7 +10,7 @@ from tabulon.plans.ingest import ingest, pending_files, prepare, resume
 from tabulon.schema import TableSpec
 from tabulon.sinks.tables import TableStore
 
-from conftest import local_dir
+from core_helpers import local_dir
 
 SPEC = TableSpec("ing", StructType([StructField("ID", LongType(), False),
                                     StructField("NAME", StringType()),

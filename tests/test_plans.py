@@ -11,7 +11,7 @@ from tabulon.sinks.tables import TableStore
 from tabulon.sources.csv import read_csv_sources, scan_files
 from tabulon.sources.files import file_inventory
 
-from conftest import local_dir
+from core_helpers import local_dir
 
 
 def plan(df) -> str:

@@ -5,7 +5,7 @@ from tabulon.plans.ingest import ingest
 from tabulon.sinks.tables import TableStore
 from tabulon.streaming import start_arrivals
 
-from conftest import local_dir
+from core_helpers import local_dir
 from test_ingest import FILES, SPEC, write
 
 
