@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulon.operators.ranking import global_rank
+
 
 def rows_per_group(df: DataFrame, by: str | list[str]) -> DataFrame:
     """A1 per file / source: ``(by..., n_rows)``."""
@@ -123,6 +125,16 @@ def values_desc(df: DataFrame, column: str, n: int | None = None, tie: list[str]
     return ordered if n is None else ordered.limit(n)
 
 
+def values_ranked(df: DataFrame, column: str, tie: list[str] | None = None, out: str = "rank") -> DataFrame:
+    """L4 with a checked order: all non-null values as integers, with their place in the descending order.
+
+    Ties are broken by ``tie``.  The rank is counted over range partitions, so no task sees all rows.
+    """
+    tie = tie or []
+    values = df.where(F.col(column).isNotNull()).select(*tie, F.col(column).cast("long").alias(column))
+    return global_rank(values, [F.col(column).desc(), *tie], out)
+
+
 def preview(df: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
     """L1: the first ``n`` rows by key, repeatable."""
     return df.orderBy(*keys).limit(n)
