@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabulon.llm import exact_dedup, line_dedup, packing, piece_codec, quality_rules, secret_scan, sharding, simhash, token_counts, url_filter
+from tabulon.llm import (collocations, conversations, exact_dedup, line_dedup, mixing, packing, piece_codec, quality_rules,
+                         secret_scan, sharding, simhash, token_counts, url_filter)
 from tabulon.llm.common import table
 
 
@@ -75,8 +76,25 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources by target weights takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.summaries(rows, conversations.damaged(rows))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best collocations of two and three words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_sharding, op3_line_dedup, op4_simhash_near_dedup, op5_piece_codec, op6_secret_scan, op7_exact_dedup, op8_quality_rules, op9_best_fit_packing, op10_url_filter)
+    f.__name__: f for f in (op1_token_counts, op2_sharding, op3_line_dedup, op4_simhash_near_dedup, op5_piece_codec, op6_secret_scan, op7_exact_dedup, op8_quality_rules, op9_best_fit_packing, op10_url_filter,
+        op11_mixing, op12_conversation_repair, op13_collocations)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_sharding": sharding.oracle_sql(SHARD_BYTES),
@@ -93,4 +111,6 @@ ORACLE_SQL: dict[str, str] = {
                sha256(body) AS text_sha256
         FROM rows
         WINDOW w AS (PARTITION BY body ORDER BY n_chars DESC, doc_id NULLS LAST)""",
+    "op11_mixing": mixing.oracle_sql(),
+    "op13_collocations": collocations.oracle_sql(),
 }
