@@ -35,12 +35,16 @@ def _in_order(df: DataFrame, order: list[str | Column], at: str) -> DataFrame:
     return stage(ranged.withColumn(at, F.monotonically_increasing_id()), "in-order")
 
 
-def _offsets(rows: DataFrame, block: str, value: Column, total: str) -> DataFrame:
-    """``(block, total)``: the sum of ``value`` over all earlier ranges; broadcast, as it has a row per range."""
-    sums = rows.groupBy(block).agg(F.sum(value).alias(total))
+def _earlier(rows: DataFrame, block: str, values: dict[str, Column]) -> DataFrame:
+    """Per range, the sum of each value over all earlier ranges.
+
+    A row per range, so at most ``spark.sql.shuffle.partitions`` rows: broadcast up to a bound on that number.
+    """
+    sums = rows.groupBy(block).agg(*(F.sum(v).alias(name) for name, v in values.items()))
     before = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)  # metadata: one row per range
-    sums = stage(sums.select(block, F.coalesce(F.sum(total).over(before), F.lit(0)).alias(total)), "ranges")
-    return F.broadcast(sums) if sums.count() <= BROADCAST_MAX_RANGES else sums
+    sums = sums.select(block, *(F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in values))
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return F.broadcast(sums) if ranges <= BROADCAST_MAX_RANGES else sums
 
 
 def global_rank(df: DataFrame, order: list[str | Column], out: str = "rank") -> DataFrame:
@@ -52,20 +56,23 @@ def global_rank(df: DataFrame, order: list[str | Column], out: str = "rank") ->
     at = free_name(df, "_at")
     block, before = free_name(df, "_block"), free_name(df, "_before")
     rows = _in_order(df, order, at).withColumn(block, F.shiftright(at, _ROW_BITS))
-    joined = rows.join(_offsets(rows, block, F.lit(1), before), block)
+    joined = rows.join(_earlier(rows, block, {before: F.lit(1)}), block)
     place = F.col(at) - F.shiftleft(F.col(block), _ROW_BITS) + F.col(before) + 1
     return joined.select(*df.columns, place.cast("long").alias(out))
 
 
-def running_total(df: DataFrame, order: list[str | Column], value: str, out: str = "running") -> DataFrame:
+def running_total(df: DataFrame, order: list[str | Column], value: str, out: str = "running",
+                  rank: str | None = None) -> DataFrame:
     """``df`` with the sum of ``value`` (a long without nulls) over each row and all rows before it in the order.
 
-    The window runs within a range only; ranges are of bounded size.
+    The window runs within a range only; ranges are of bounded size.  ``rank``: a column for the position as well.
     """
     at = free_name(df, "_at")
-    block, before = free_name(df, "_block"), free_name(df, "_before")
+    block, before, place = free_name(df, "_block"), free_name(df, "_before"), free_name(df, "_place")
     rows = _in_order(df, order, at).withColumn(block, F.shiftright(at, _ROW_BITS))
     within = Window.partitionBy(block).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = rows.withColumn(out, F.sum(value).over(within))
-    joined = summed.join(_offsets(rows, block, F.col(value), before), block)
-    return joined.select(*df.columns, (F.col(out) + F.col(before)).cast("long").alias(out))
+    joined = (rows.withColumn(out, F.sum(value).over(within))
+              .join(_earlier(rows, block, {before: F.col(value), place: F.lit(1)}), block))
+    position = F.col(at) - F.shiftleft(F.col(block), _ROW_BITS) + F.col(place) + 1
+    return joined.select(*df.columns, (F.col(out) + F.col(before)).cast("long").alias(out),
+                         *([position.cast("long").alias(rank)] if rank else []))
