@@ -55,11 +55,11 @@ PACKED = "lang string, bucket int, words array<binary>, sizes binary, suffixes b
 COUNTED = "lang string, size int, phrase string, occurrences bigint"
 
 
-def _slices(text: bytes, depth: int) -> Iterator[tuple[list[bytes], int]]:
+def _slices(text: bytes, depth: int, batch_bytes: int = BATCH_BYTES) -> Iterator[tuple[list[bytes], int]]:
     """Words and piece ends of a text, a batch's bytes at a time, with the number of words at the end that only follow."""
     at = 0
     while at < len(text):
-        cut = min(len(text), at + BATCH_BYTES)
+        cut = min(len(text), at + batch_bytes)
         if cut < len(text):
             found = max(text.rfind(b" ", at, cut), text.rfind(END, at, cut))
             if found <= at:  # one word longer than a batch stays whole
@@ -153,7 +153,7 @@ def _packed(lang: str, words: list[bytes], follow: int, depth: int, buckets: int
                "sizes": counts[lo:hi].tobytes(), "suffixes": np.ascontiguousarray(renumber[own].T).tobytes()}
 
 
-def _batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int, batch_bytes: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("words", pa.list_(pa.binary())),
                         ("sizes", pa.binary()), ("suffixes", pa.binary())])
     held: dict[str, list[bytes]] = {}
@@ -172,7 +172,7 @@ def _batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int) -> Ite
     for batch in batches:
         for lang, text in zip(*batch.columns, strict=True):
             data = text.as_py().encode("utf-8", "surrogatepass").translate(_TABLE)
-            for words, follow in _slices(data, depth):
+            for words, follow in _slices(data, depth, batch_bytes):
                 if follow:  # part of a long text: by itself, for the words that follow are not its own
                     yield from send(_packed(lang.as_py(), words, follow, depth, buckets))
                     continue
@@ -180,7 +180,7 @@ def _batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int) -> Ite
                 mine += words
                 mine.append(END)
             size += len(data) + 16
-            if size >= BATCH_BYTES:
+            if size >= batch_bytes:
                 yield from flush()
                 size = 0
     yield from flush()
@@ -264,17 +264,18 @@ def _counted(rows: list[tuple], depth: int, least: int) -> Iterator[dict]:
                            "occurrences": count}
 
 
-def phrase_counts(documents: DataFrame, most_words: int, least: int) -> DataFrame:
+def phrase_counts(documents: DataFrame, most_words: int, least: int, batch_bytes: int = BATCH_BYTES,
+                  bucket_words: int = BUCKET_WORDS) -> DataFrame:
     """``(lang, size, phrase, occurrences)``, stored: phrases of 1 to ``most_words`` words with ``least`` occurrences
     or more; size 0 holds parts of the number of all words."""
     ship_package(documents.sparkSession)
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_or_empty().alias("text"))
     # about six bytes a word, and two suffixes for each word
     characters = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = 1 + int(characters // (6 * BUCKET_WORDS))
+    buckets = 1 + int(characters // (6 * bucket_words))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches(batches, most_words, buckets)
+        yield from _batches(batches, most_words, buckets, batch_bytes)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from itertools import groupby

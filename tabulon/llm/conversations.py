@@ -98,7 +98,7 @@ def _outline(rows: DataFrame) -> DataFrame:
     # blank messages are faulty anyway, so the hottest of all texts stays out of the join
     first = (outline.where("state <> 'b'").groupBy("ck", "mark").agg(F.min(F.struct("turn")).alias("first"), F.count(F.lit(1)).alias("turns"))
              .where("turns > 1"))
-    seen = F.coalesce(~F.col("first").eqNullSafe(F.struct("turn")), F.lit(False))
+    seen = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.struct("turn"))
     return outline.join(first, ["ck", "mark"], "left").select("ck", "turn", "mark", "initial", "state", "copies", seen.alias("seen"))
 
 
@@ -209,12 +209,12 @@ class _Part:
                 "costs": [c for _, (c, _) in cell], "audits": [a for _, (_, a) in cell]}
 
 
-def _parts(outline: Iterable[tuple]) -> Iterator[dict]:
+def _parts(outline: Iterable[tuple], part_rows: int) -> Iterator[dict]:
     """Parts of sorted messages ``(ck, turn, mark, initial, state, copies, seen)``."""
     part: _Part | None = None
     for ck, turn, mark, initial, state, copies, seen in outline:
         for i in range(copies):
-            if part is not None and (part.ck != ck or len(part.cells) >= PART_ROWS):
+            if part is not None and (part.ck != ck or len(part.cells) >= part_rows):
                 yield part.row()
                 part = None
             if part is None:
@@ -253,7 +253,7 @@ def _arrow(ddl: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 
 
-def parse(rows: DataFrame) -> DataFrame:
+def parse(rows: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Parts of all conversations with their cells, stored; ``rows`` as ``messages`` returns them."""
     ship_package(rows.sparkSession)
     schema = _arrow(PART)
@@ -262,7 +262,7 @@ def parse(rows: DataFrame) -> DataFrame:
                    .repartitionByRange(*order).sortWithinPartitions(*order))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches(_parts(_tuples(batches)), schema)
+        yield from _batches(_parts(_tuples(batches), part_rows), schema)
 
     return stage(sorted_rows.mapInArrow(run, PART), "parts")
 
@@ -336,9 +336,9 @@ def _conversations(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int | No
 REPORT = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
 
 
-def _streamed(conversations: DataFrame, rows: DataFrame) -> DataFrame:
+def _streamed(conversations: DataFrame, rows: DataFrame, part_rows: int) -> DataFrame:
     """Ids of all conversations, their parts and their messages, each conversation in one run and in this order."""
-    parts = parse(rows)
+    parts = parse(rows, part_rows)
     ids = messages(conversations).select("ck", "conv_id").distinct()
     part = F.struct(*(c for c in parts.columns if c not in ("ck", "turn", "mark")))
     nothing = F.lit(None).cast(parts.select(part.alias("p")).schema["p"].dataType)
@@ -357,7 +357,7 @@ def _streamed(conversations: DataFrame, rows: DataFrame) -> DataFrame:
 REPAIRED = "conv_id bigint, step bigint, edit string, role string, text string"
 
 
-def repaired(conversations: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+def repaired(conversations: DataFrame, rows: DataFrame | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """``(conv_id, step, edit, role, text)``: the edits of every conversation, in order; what is not deleted is the repair.
 
     ``rows``: the messages to repair, where they are not those of ``conversations`` as they are.
@@ -370,7 +370,7 @@ def repaired(conversations: DataFrame, rows: DataFrame | None = None) -> DataFra
                              for i, (edit, role, text) in enumerate(edits)), schema)
 
     rows = messages(conversations) if rows is None else rows
-    return _streamed(conversations, rows).mapInArrow(run, REPAIRED)
+    return _streamed(conversations, rows, part_rows).mapInArrow(run, REPAIRED)
 
 
 SUMMARY = ("conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, "
@@ -386,7 +386,7 @@ def _digest(edits: Iterable[tuple[str, str, str]]) -> str:
     return sha.hexdigest()
 
 
-def summaries(conversations: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+def summaries(conversations: DataFrame, rows: DataFrame | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Faults, cost and audit of every conversation, and a digest of its repaired messages."""
     schema = _arrow(SUMMARY)
 
@@ -396,4 +396,4 @@ def summaries(conversations: DataFrame, rows: DataFrame | None = None) -> DataFr
                              for conv_id, numbers, edits in _conversations(batches)), schema)
 
     rows = messages(conversations) if rows is None else rows
-    return _streamed(conversations, rows).mapInArrow(run, SUMMARY)
+    return _streamed(conversations, rows, part_rows).mapInArrow(run, SUMMARY)

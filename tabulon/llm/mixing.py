@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.llm.common import text_or_empty
-from tabulon.operators.ranking import global_rank, running_total
+from tabulon.operators.ranking import running_total
 from tabulon.session import stage
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -38,14 +38,16 @@ MOST_COPIES = 3
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES) -> DataFrame:
-    """``(source, source_size)`` with ``weight`` and ``target`` (words wanted of each source).
+    """``(source, source_size)`` with ``weight``, ``target`` (words wanted of each source) and ``start`` (words of
+    all sources before it).
 
     ``sources`` is stored and has a row per source.  Each round shares what full sources leave among the
     others by weight; a source that is full stays full, as the level only rises.
     """
-    ranked = global_rank(sources, [F.col("source").isNull(), "source"], "place")
+    ranked = running_total(sources, [F.col("source").isNull(), "source"], "source_size", "ends", "place")
     turn = (F.col("place") - 1) % len(weights) + 1
-    ranked = stage(ranked.select("source", "source_size", (F.col("source_size") * most_copies).alias("most"),
+    ranked = stage(ranked.select("source", "source_size", (F.col("ends") - F.col("source_size")).alias("start"),
+                                 (F.col("source_size") * most_copies).alias("most"),
                                  F.element_at(F.array(*map(F.lit, weights)), turn.cast("int")).alias("weight")),
                    "sources")
     budget = ranked.agg(F.sum("source_size")).first()[0] or 0
@@ -58,7 +60,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_copies:
             break
         left, weight = now
     share = F.col("weight") * F.lit(float(left)) / F.lit(float(weight or 1))
-    return ranked.select("source", "source_size", "weight", F.least(F.col("most").cast("double"), share).alias("target"))
+    return ranked.select("source", "source_size", "start", "weight", F.least(F.col("most").cast("double"), share).alias("target"))
 
 
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES) -> DataFrame:
@@ -73,13 +75,10 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_copies: i
                       weights, most_copies)
     # a queue's order: by hash of the id; the word count and the row id only tell rows of one id apart
     shuffled = docs.withColumn("turn", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
-    queue = ["source", "turn", "doc_id", "size", "rid"]
+    queue = [F.col("source").isNull(), "source", "turn", "doc_id", "size", "rid"]
     served = running_total(shuffled, queue, "size", "served")
     # the running total starts afresh with each source: less what all sources before it hold
-    starts = stage(running_total(sources.select("source", "source_size"), ["source"], "source_size", "ends")
-                   .select(F.col("source").alias("s"), (F.col("ends") - F.col("source_size")).alias("start")), "starts")
-    known = sources.join(starts, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    docs = stage(_with_source(served, known).withColumn("served", F.col("served") - F.col("start")), "queues")
+    docs = stage(_with_source(served, sources).withColumn("served", F.col("served") - F.col("start")), "queues")
 
     taken = _taken(docs, most_copies)
     per_row = taken.groupBy("rid").agg(F.count(F.lit(1)).alias("copies"))
