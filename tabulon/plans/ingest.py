@@ -34,6 +34,7 @@ from tabulon.sinks.tables import TableStore
 from tabulon.sources.csv import (BLOCK, CORRUPT, FILE, ROW, SEQ, SOURCE, FileSet, read_csv_sources,
                                  scan_files)
 from tabulon.sources.files import empty_files, file_inventory
+from tabulon.sources.split_csv import read_csv_split
 
 
 @dataclass
@@ -61,7 +62,7 @@ class Prepared:
 def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "*.csv",
             files: DataFrame | None = None, on_duplicate: str = "fail",
             conform_mode: str = "report", on_cast_error: str = "null",
-            on_malformed: str = "count", multi_line: bool = True) -> Prepared:
+            on_malformed: str = "count", multi_line: bool | str = True) -> Prepared:
     """Read, gate, conform and de-duplicate; publish nothing.
 
     The input is parsed once and staged; all gates are observed on that write or
@@ -73,7 +74,8 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
     fewer fields than the header are counted in ``metrics["malformed"]``
     (``"count"``) or abort (``"fail"``).  ``multi_line=False`` reads large
     single-line extracts in parallel splits; a quoted line break leaves malformed
-    fragments there, so any malformed record then aborts.  Row order is kept either way.
+    fragments there, so any malformed record then aborts.  ``multi_line="split"`` reads multi-line extracts in
+    parallel splits, too, at the price of one more pass that counts quotes.  Row order is kept in every case.
     """
     keys = list(spec.keys)
     inventory = files if files is not None else file_inventory(spark, root, pattern)
@@ -81,7 +83,10 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
     for header, paths in files_set.groups():
         check_columns(header, spec.schema, conform_mode, where=paths[0])
     empty = empty_files(spark, root, pattern) if files is None else []
-    raw = read_csv_sources(spark, files_set, multiLine=str(multi_line).lower())
+    if multi_line == "split":
+        raw = read_csv_split(spark, files_set)
+    else:
+        raw = read_csv_sources(spark, files_set, multiLine=str(multi_line).lower())
 
     # Q2 and row counts are observed during the staging write: no extra pass.
     date_cols = spec.fields_of(DateType)

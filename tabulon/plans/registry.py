@@ -33,6 +33,7 @@ from tabulon.sources.csv import (BLOCK, CSV_WRITE_OPTIONS, ROW, SEQ, SOURCE, hea
                                  scan_files)
 from tabulon.sources.files import file_inventory
 from tabulon.sources.literals import literal_frame
+from tabulon.sources.split_csv import read_csv_split
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,6 +105,22 @@ def csv_quoted_roundtrip(spark, sf_dir):
     return conform(read_csv_text(spark, root), DOCUMENTS_SCHEMA)
 
 
+def one_file_csv(spark: SparkSession, sf_dir: str) -> str:
+    """``documents`` as one multi-line CSV file."""
+    def build(root):
+        docs = table(spark, sf_dir, "documents")
+        docs.coalesce(1).write.options(**CSV_WRITE_OPTIONS).csv(root)
+    return _fixture(spark, sf_dir, "documents-one-csv", build)
+
+
+@register("csv_split_multiline", "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
+def csv_split_multiline(spark, sf_dir):
+    """S1 at scale: one file of multi-line records, read in as many tasks as it has splits."""
+    root = one_file_csv(spark, sf_dir)
+    raw = read_csv_split(spark, scan_files(file_inventory(spark, root), root))
+    return conform(raw, DOCUMENTS_SCHEMA)
+
+
 @register("csv_pages_roundtrip", "SELECT page_id, url, html FROM pages")
 def csv_pages_roundtrip(spark, sf_dir):
     root = _fixture(spark, sf_dir, "pages-csv",

@@ -158,6 +158,11 @@ def read_csv_sources(spark: SparkSession, files: FileSet, **options: str) -> Dat
         frames.append(scan.select("*", F.monotonically_increasing_id().alias(ROW),
                                   F.col("_metadata.file_block_start").alias(BLOCK),
                                   F.col("_metadata.file_path").alias("_path_key")))
+    return with_files(spark, files, frames)
+
+
+def with_files(spark: SparkSession, files: FileSet, frames: list[DataFrame]) -> DataFrame:
+    """The reads of all headers as one, each row with its file's ``_seq``, ``_file`` and ``_source``."""
     if not frames:
         raise FileNotFoundError(f"no files to read below {files.root}")
     out = frames[0]
