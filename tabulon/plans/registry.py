@@ -153,11 +153,23 @@ def csv_inferred_types(spark, sf_dir):
             "o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
         orders.write.options(**CSV_WRITE_OPTIONS).csv(root)
     root = _fixture(spark, sf_dir, "orders-flat-csv", build)
-    df = read_csv_inferred(spark, root)
-    kinds = dict(df.dtypes)
-    integral = {"int", "bigint", "smallint", "tinyint"}
-    return df.select(*[F.col(c).cast("bigint").alias(c) if kinds[c] in integral else F.col(c)
-                       for c in df.columns])
+    return read_csv_inferred(spark, root)
+
+
+@register("csv_inferred_drift", """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice,
+       CASE year(o_orderdate) % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+                                  WHEN 1 THEN strftime(o_orderdate, '%-m/%-d/%Y')
+                                  ELSE strftime(o_orderdate, '%m/%d/%Y') END AS o_orderdate,
+       o_orderpriority, CASE WHEN year(o_orderdate) % 3 = 2 THEN 'x' || CAST(o_orderkey AS VARCHAR) END AS o_extra,
+       'bigint,bigint,string,double,string,string,string' AS types
+FROM orders""")
+def csv_inferred_drift(spark, sf_dir):
+    """S2 over files whose headers differ in order, case and width, and whose dates have three formats."""
+    df = read_csv_inferred(spark, yearly_orders(spark, sf_dir))
+    names = [*fixtures.ORDER_COLUMNS, "o_extra"]
+    kinds = {c.lower(): kind for c, kind in df.dtypes}
+    return df.select(*[F.col(c).alias(c) for c in names], F.lit(",".join(kinds[c] for c in names)).alias("types"))
 
 
 @register("row_order_in_file", """
@@ -912,6 +924,15 @@ def values_desc(spark, sf_dir):
     return profile.values_desc(table(spark, sf_dir, "labels"), "quality", tie=["doc_id"])
 
 
+@register("values_desc_ranked", """
+SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey,
+       row_number() OVER (ORDER BY o_custkey DESC, o_orderkey) AS rank
+FROM orders WHERE o_custkey IS NOT NULL""")
+def values_desc_ranked(spark, sf_dir):
+    """L4 with its order checked: the place of each value, counted over range partitions."""
+    return profile.values_ranked(table(spark, sf_dir, "orders"), "o_custkey", tie=["o_orderkey"])
+
+
 @register("preview", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10""")
 def preview(spark, sf_dir):

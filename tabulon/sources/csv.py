@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tabulon.functions.inference import inferred_types, with_types
 from tabulon.session import stage
-from tabulon.sources.files import file_headers
+from tabulon.sources.files import file_headers, file_inventory
 
 # --- fixed values: the quote-aware reader options --------------------------------
 CSV_READ_OPTIONS = {
@@ -118,9 +119,21 @@ def read_csv_text(spark: SparkSession, paths: str | list[str], schema: StructTyp
     return reader.csv(paths)
 
 
-def read_csv_inferred(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:
-    """The same reader with type inference (one extra pass over the data)."""
-    return read_csv_text(spark, paths, inferSchema="true", **options)
+def read_csv_inferred(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv", **options: str) -> DataFrame:
+    """All files below ``paths`` with inferred types, columns matched by name whatever each file's header.
+
+    The text is parsed once and stored; types come from one aggregate over all rows of all files
+    (``functions.inference``), so a column is widened by whatever file holds the odd value.  A column that
+    some files lack is NULL there.
+    """
+    roots = [paths] if isinstance(paths, str) else list(paths)
+    text = None
+    for root in roots:
+        part = read_csv_sources(spark, scan_files(file_inventory(spark, root, pattern), root), **options)
+        part = part.drop(SEQ, BLOCK, ROW, FILE, SOURCE, CORRUPT)
+        text = part if text is None else text.unionByName(part, allowMissingColumns=True)
+    text = stage(text, "csv-text")
+    return with_types(text, inferred_types(text))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists",

@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from tabulon.operators.conform import extra_columns
-from tabulon.sources.csv import (SOURCE, header_groups, read_csv_sources, read_csv_text,
+from tabulon.sources.csv import (SOURCE, header_groups, read_csv_inferred, read_csv_sources, read_csv_text,
                                  row_positions, scan_files, write_csv)
 from tabulon.sources.files import file_inventory
 
@@ -110,3 +110,27 @@ def test_crlf_and_bom(spark, scratch):
     rows = sorted((r["id"], r["name"]) for r in read_csv_sources(spark, fs).collect())
     # the quote-aware reader turns a CRLF inside a quoted field into LF
     assert rows == [("1", "a\nb"), ("2", "c")]
+
+
+def test_inferred_types_over_drifting_headers(spark, scratch):
+    d = local_dir(scratch)
+    for name, text in (("a.csv", "k,v,d,t,e,f\n3,1,2020-02-29,2020-01-01 10:00,,true\n"),
+                       ("b.csv", "v,K,d,x,f\n1.5,4,2020-03-01,01/02/2020,FALSE\n")):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(text)
+    df = read_csv_inferred(spark, scratch)
+    assert dict(df.dtypes) == {"k": "bigint", "v": "double", "d": "date", "t": "timestamp_ntz", "e": "string",
+                               "f": "boolean", "x": "string"}
+    assert sorted((r.k, r.v, str(r.d), r.x, r.f) for r in df.collect()) == \
+        [(3, 1.0, "2020-02-29", None, True), (4, 1.5, "2020-03-01", "01/02/2020", False)]
+
+
+def test_inference_widens_for_the_odd_value(spark):
+    from tabulon.functions.inference import inferred_types
+
+    df = spark.createDataFrame([("1", "1", "2020-01-01", "9" * 19, "1e5", None, "1"),
+                                ("2", "x", "2020-02-30", "1", "-.5", None, "NaN")],
+                               "a string, b string, c string, d string, e string, f string, `g.h` string")
+    assert inferred_types(df) == {"a": "bigint", "b": "string", "c": "string", "d": "double", "e": "double",
+                                  "f": "string", "g.h": "string"}
+    assert inferred_types(df.limit(0)) == dict.fromkeys(df.columns, "string")
