@@ -26,6 +26,7 @@ from tabulon.plans.ingest import ingest, pending_files, prepare, resume
 from tabulon.schema import (DOCUMENTS_SCHEMA, EVENTS_BY_USER, LINEITEM_SCHEMA, ORDERS,
                             ORDERS_SCHEMA, PROJECTS, schema_frame)
 from tabulon.session import scratch_path, stage
+from tabulon.sinks.partitioned import PartitionedTable
 from tabulon.sinks.tables import TableStore
 from tabulon.sources.archives import expand_archives, nth_lines
 from tabulon.sources.csv import (BLOCK, CSV_WRITE_OPTIONS, ROW, SEQ, SOURCE, header_groups,
@@ -538,6 +539,30 @@ def upsert_delete_missing(spark, sf_dir):
     return upsert(target, source, ["o_orderkey"], delete_missing=True)
 
 
+@register("upsert_partitioned", """
+WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+                  o_orderpriority, (SELECT max(o_orderkey) FROM orders) AS top FROM orders)
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderkey > top // 2 AND o_orderkey <= top // 2 + top // 100 + 1 THEN o_totalprice * 2
+            ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority FROM t
+UNION ALL
+SELECT o_orderkey + top, o_custkey, o_orderstatus, o_totalprice * 2, o_orderdate, o_orderpriority
+FROM t WHERE o_orderkey > top // 2 AND o_orderkey <= top // 2 + top // 100 + 1""")
+def upsert_partitioned(spark, sf_dir):
+    """J1 into a master partitioned by ranges of the key: an update of neighbouring keys and new keys touches
+    the few partitions that hold them."""
+    orders = _orders_typed(spark, sf_dir)
+    key = F.col("o_orderkey")
+    top = orders.agg(F.max(key)).first()[0] or 0
+    master = PartitionedTable(spark, f"orders_parts_{uuid.uuid4().hex[:10]}", orders.schema, ["o_orderkey"],
+                              f"o_orderkey div {top // 64 + 1}")
+    master.upsert(orders, check=False)
+    band = stage(orders.where((key > top // 2) & (key <= top // 2 + top // 100 + 1))
+                 .withColumn("o_totalprice", F.col("o_totalprice") * 2), "band")
+    master.upsert(band.unionByName(band.withColumn("o_orderkey", key + F.lit(top))))
+    return master.read()
+
+
 @register("upsert_narrowing", """
 SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_custkey, o_orderstatus,
        CASE WHEN o_orderkey % 3 = 2 THEN o_totalprice ELSE o_totalprice * 2 END AS o_totalprice,
@@ -918,6 +943,35 @@ def reader_parity(spark, sf_dir):
     return both.where("n_quote_aware > 0 and length is not null").select("length", "n_quote_aware")
 
 
+@register("reader_parity_content", """
+WITH per AS (SELECT source, count(*) AS n, bool_and(text NOT LIKE '%"%' AND text NOT LIKE '%' || chr(10) || '%') AS plain
+             FROM documents GROUP BY source)
+SELECT source, reader, CAST(n AS BIGINT) AS n_rows, CASE reader WHEN 'naive' THEN plain ELSE true END AS equal
+FROM per, (VALUES ('naive'), ('quote_aware'), ('split')) AS r(reader)""")
+def reader_parity_content(spark, sf_dir):
+    """Q6: whether each reader gives the rows of each source's file, proven by order-free fingerprints.  A naive
+    reader differs wherever a text holds a quote or a line break."""
+    docs = table(spark, sf_dir, "documents")
+    def build(root):
+        docs.coalesce(1).write.options(**CSV_WRITE_OPTIONS).partitionBy("source").csv(root)
+    root = _fixture(spark, sf_dir, "documents-by-source-csv", build)
+    files = scan_files(file_inventory(spark, root), root)
+    columns = ["doc_id", "text", "lang", "n_chars"]
+    plain = spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(root).select(
+        *columns, F.regexp_extract("_metadata.file_path", "/source=([^/]*)/", 1).alias("source"))
+    by_source = lambda df: df.select(*columns, F.regexp_extract(SOURCE, "source=(.*)", 1).alias("source"))
+    reads = {"naive": plain, "quote_aware": by_source(read_csv_sources(spark, files)),
+             "split": by_source(read_csv_split(spark, files))}
+    text = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.nullif("text", F.lit("")).alias("text"), "lang",
+                       F.col("n_chars").cast("string").alias("n_chars"), "source")
+    out = None
+    for reader, read in reads.items():
+        part = quality.same_content(text, read, columns, ["source"]).select(
+            "source", F.lit(reader).alias("reader"), F.col("n_left").alias("n_rows"), "equal")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("values_desc", """
 SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM labels WHERE quality IS NOT NULL""")
 def values_desc(spark, sf_dir):

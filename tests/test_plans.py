@@ -29,7 +29,10 @@ def test_keep_last_limits_before_shuffle(spark):
 def test_top_k_per_column_limits_before_shuffle(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("a"), (F.col("id") % 7).cast("string").alias("b"))
     for out in (profile.column_samples(df, ["a", "b"]), profile.extreme_lengths(df, ["a", "b"])):
-        assert "WindowGroupLimit" in plan(out) and "Partial" in plan(out)
+        below = plan(out)[plan(out).rindex("Partial, "):] if "Partial, " in plan(out) else plan(out)[plan(out).rindex("Partial"):]
+        assert "WindowGroupLimit" in plan(out)
+        assert "Exchange" not in below, "nothing is shuffled before the first limit"
+        assert plan(out).count("Range (") == 1, "one scan"
 
 
 def test_date_parse_stays_in_codegen(spark):
@@ -98,3 +101,18 @@ def test_hot_key_third_of_rows(spark):
     assert dups == int(pdf.duplicated("k", keep="last").sum()) == n // 3 - 1
     s = quality.uniqueness_summary(df, ["k"]).first()
     assert (s.n_duplicate_keys, s.n_excess_rows) == (1, n // 3 - 1)
+
+
+def test_top_k_per_column_equals_python_with_a_hot_value(spark):
+    rows = [("a" * (1 + i % 40) + str(i % 90), None if i % 5 == 0 else "hot" if i % 3 else f"v{i}") for i in range(3_000)]
+    df = spark.createDataFrame(rows, "a string, b string").repartition(6)
+    values = {c: {r[i] for r in rows if r[i] is not None} for i, c in enumerate("ab")}
+    got = {(r.column_name, r["rank"]): r.value for r in profile.column_samples(df, k=7).collect()}
+    assert got == {(c, n): v for c in "ab" for n, v in enumerate(sorted(values[c])[:7], 1)}
+    ends = {(r.column_name, r.end, r["rank"]): (r.value, r.length) for r in profile.extreme_lengths(df, ["a", "b"], 7).collect()}
+    want = {}
+    for c in "ab":
+        for end, sign in (("shortest", 1), ("longest", -1)):
+            for n, v in enumerate(sorted(values[c], key=lambda v: (sign * len(v), v))[:7], 1):
+                want[c, end, n] = (v, len(v))
+    assert ends == want
