@@ -7,6 +7,8 @@ declared column always fails.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -56,14 +58,16 @@ def _resolve(df: DataFrame, name: str) -> str:
 
 def conform(df: DataFrame, schema: StructType, *, mode: str = "report",
             on_cast_error: str = "null", keep: list[str] | None = None,
-            observation: Observation | None = None) -> DataFrame:
+            observation: Observation | None = None, rejects: str | None = None) -> DataFrame:
     """Project text columns to the declared schema in one ``select``.
 
     * columns come out in declared order with declared names and types;
     * ``keep`` lists bookkeeping columns (``_row``, ``_file`` ...) carried along;
     * ``on_cast_error="fail"`` aborts on the first non-null text that does not
       convert; ``"null"`` keeps NULL and, with ``observation``, counts rejects
-      per column as a side metric of whatever action runs next (no extra pass).
+      per column as a side metric of whatever action runs next (no extra pass);
+    * ``rejects`` names a column for what did not convert: an array of ``(column_name, text)``, NULL for
+      rows without any, which is nearly all of them.
     """
     check_columns(df.columns, schema, mode)
     keep = keep or []
@@ -91,19 +95,35 @@ def conform(df: DataFrame, schema: StructType, *, mode: str = "report",
                                F.raise_error(F.concat(F.lit(f"cannot convert {field.name}: '"),
                                                       F.col(text), F.lit("'"))).cast(field.dataType)
                                ).otherwise(value)
-            if observation is not None:
+            if observation is not None or rejects:
                 flag = f"_reject_{field.name}"
                 out.append(is_reject(text, value).alias(flag))
                 flags.append(flag)
         out.append(value.alias(field.name))
-    result = df.select(*parsed, *[df[k] for k in keep]).select(*out, *keep)
-    order = [*schema.names, *flags, *keep]
+    texts = [F.col(f"_text_{f[len('_reject_'):]}").alias(f"_text_{f[len('_reject_'):]}") for f in flags] if rejects else []
+    result = df.select(*parsed, *[df[k] for k in keep]).select(*out, *texts, *keep)
+    kept = []
+    if rejects:
+        kept = [rejects]
+        result = result.withColumn(rejects, _rejected(flags))
+    order = [*schema.names, *flags, *kept, *keep]
     result = result.select(*order)
     if observation is not None:
         metrics = [F.count_if(F.col(f)).alias(f"rejects{f[len('_reject'):]}") for f in flags]
         result = result.observe(observation, F.count(F.lit(1)).alias("rows"),
-                                *(metrics or [F.lit(0).alias("rejects")])).drop(*flags)
-    return result
+                                *(metrics or [F.lit(0).alias("rejects")]))
+    return result.drop(*flags)
+
+
+def _rejected(flags: list[str]) -> Column:
+    """The columns of a row that did not convert, with their texts."""
+    if not flags:
+        return F.lit(None).cast("array<struct<column_name:string,text:string>>")
+    names = [f[len("_reject_"):] for f in flags]
+    each = F.array(*[F.when(F.col(f), F.struct(F.lit(n).alias("column_name"), F.col(f"_text_{n}").alias("text")))
+                     for f, n in zip(flags, names, strict=True)])
+    any_flag = reduce(lambda a, b: a | b, [F.col(f) for f in flags])
+    return F.when(any_flag, F.filter(each, lambda x: x.isNotNull()))
 
 
 def conform_to_target(df: DataFrame, target: StructType) -> DataFrame:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -37,6 +37,9 @@ from tabulon.sources.files import empty_files, file_inventory
 from tabulon.sources.split_csv import read_csv_split
 
 
+REJECTS = "_rejects"  # (column_name, text) of the values of a row that did not convert, else NULL
+
+
 @dataclass
 class Prepared:
     rows: DataFrame        # one row per key (NULL keys kept as SQL would insert them)
@@ -58,6 +61,17 @@ class Prepared:
                 if k.startswith("rejects_")]
         return spark.createDataFrame(rows, "column_name string, rejects long")
 
+    def reject_sample(self, k: int = 20, by: str = FILE) -> DataFrame:
+        """The ``k`` commonest texts that did not convert, per file (or ``by`` source) and column, with their number.
+
+        Read from the stage, where only rows with rejects have any; counted map-side, and
+        cut to ``k`` before they are ranked.
+        """
+        found = (self.typed.where(F.col(REJECTS).isNotNull()).select(by, F.explode(REJECTS).alias("r"))
+                 .groupBy(by, "r.column_name", "r.text").agg(F.count(F.lit(1)).alias("n")))
+        place = F.row_number().over(Window.partitionBy(by, "column_name").orderBy(F.desc("n"), "text"))
+        return found.withColumn("rank", place).where(F.col("rank") <= k)
+
 
 def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "*.csv",
             files: DataFrame | None = None, on_duplicate: str = "fail",
@@ -99,7 +113,7 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
         *[F.count_if(no_separator(F.col(resolved[d.lower()]))).alias(f"no_separator_{d}") for d in date_cols])
     rejects = Observation("ingest_rejects")
     typed = conform(observed, spec.schema, mode=conform_mode, on_cast_error=on_cast_error,
-                    keep=[SOURCE, FILE, SEQ, BLOCK, ROW], observation=rejects)
+                    keep=[SOURCE, FILE, SEQ, BLOCK, ROW], observation=rejects, rejects=REJECTS)
     no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     key_obs = Observation("ingest_keys")
     staging = scratch_path(spark, "ingest-stage")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tabulon.functions import (lenient_date, lenient_date_udf, single_format_date, strict_date,
                                strict_single_format_date)
 from tabulon.functions.casts import is_reject, lenient_double, lenient_long, ntz_text
-from tabulon.operators import profile, quality
+from tabulon.operators import profile, quality, sketches
 from tabulon.operators.conform import conform, extra_columns
 from tabulon.operators.merge import cardinality_violations, upsert
 from tabulon.plans import fixtures
@@ -749,6 +749,20 @@ def projects_rejects(spark, sf_dir):
     return prep.reject_report(spark)
 
 
+@register("projects_reject_sample", """
+SELECT source, column_name, text, n, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, text) AS rank FROM (
+    SELECT 'FYEAR=' || CAST(year(o_orderdate) AS VARCHAR) AS source, 'PROJECT_END' AS column_name,
+           '3012-' || strftime(o_orderdate, '%m-%d') AS text, count(*) AS n
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 50 = 0 GROUP BY ALL))
+WHERE rank <= 20""")
+def projects_reject_sample(spark, sf_dir):
+    """The texts that did not convert, not only their number."""
+    prep = prepare(spark, yearly_projects(spark, sf_dir), PROJECTS)
+    sample = prep.reject_sample(20, by=SOURCE)
+    return sample.select(F.col(SOURCE).alias("source"), "column_name", "text", "n", F.col("rank").cast("long").alias("rank"))
+
+
 @register("ingest_dry_run", ORDERS_AS_DECLARED)
 def ingest_dry_run(spark, sf_dir):
     root = yearly_orders(spark, sf_dir)
@@ -929,6 +943,30 @@ def column_samples(spark, sf_dir):
     return out.select("column_name", "value", F.col("rank").cast("bigint").alias("rank"))
 
 
+PROFILED = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
+
+
+@register("profile_sketch", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls,
+       {f"CAST(min({c}) AS DOUBLE)" if c in PROFILED[:3] else "CAST(NULL AS DOUBLE)"} AS min_value,
+       {f"CAST(max({c}) AS DOUBLE)" if c in PROFILED[:3] else "CAST(NULL AS DOUBLE)"} AS max_value,
+       true AS distinct_close, true AS median_close
+FROM orders""" for c in PROFILED))
+def profile_sketch(spark, sf_dir):
+    """A9/A2 by mergeable sketches: one per yearly source, stored, united, and held against exact counts."""
+    orders = _orders_typed(spark, sf_dir).withColumn("fy", F.year("o_orderdate"))
+    united = sketches.profile(sketches.unite(stage(sketches.sketch(orders, PROFILED, by=["fy"]), "sketches")))
+    exact = profile.column_profile(orders, PROFILED).select("column_name", "n_distinct")
+    medians = {r.column_name: r.median for r in united.select("column_name", "median").collect()}  # a row per column
+    shares = orders.agg(*[F.avg((F.col(c) <= medians[c]).cast("double")).alias(c) for c in PROFILED[:3]
+                          if medians.get(c) is not None] or [F.lit(None).alias("none")])
+    ranks = shares.unpivot([], shares.columns, "column_name", "share")
+    return (united.join(exact, "column_name").join(ranks, "column_name", "left").select(
+        "column_name", "n_rows", "n_nulls", "min_value", "max_value",
+        (F.abs(F.col("n_distinct_estimate") - F.col("n_distinct")) <= 0.03 * F.col("n_distinct")).alias("distinct_close"),
+        F.coalesce(F.abs(F.col("share") - 0.5) < 0.05, F.lit(True)).alias("median_close")))
+
+
 @register("reader_parity", """
 SELECT CAST(length(text) AS INTEGER) AS length, count(*) AS n_quote_aware
 FROM documents WHERE text IS NOT NULL GROUP BY length(text)""")

@@ -226,3 +226,19 @@ def test_upsert_plan_ranks_once(spark, scratch):
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("row_number()") <= 2 and plan.count("Window [") == 1
     assert "csv" not in plan.lower()
+
+
+def test_rejected_texts_are_kept_per_file(spark, scratch):
+    d = local_dir(scratch)
+    for name, text in (("a.csv", "ID,D,V\n1,x,1\n2,2020-01-01,y\n3,x,z\n4,,\n"), ("b.csv", "ID,D,V\n5,2020-13-40,7\n")):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(text)
+    from pyspark.sql.types import DateType, DoubleType, LongType, StructField, StructType
+    from tabulon.schema import TableSpec
+
+    spec = TableSpec("r", StructType([StructField("ID", LongType(), False), StructField("D", DateType()),
+                                      StructField("V", DoubleType())]), ("ID",))
+    prep = prepare(spark, scratch, spec)
+    got = sorted((r._file, r.column_name, r.text, r.n, r["rank"]) for r in prep.reject_sample().collect())
+    assert got == [("a.csv", "D", "x", 2, 1), ("a.csv", "V", "y", 1, 1), ("a.csv", "V", "z", 1, 2), ("b.csv", "D", "2020-13-40", 1, 1)]
+    assert {(r._file, r.text) for r in prep.reject_sample(1).collect()} == {("a.csv", "x"), ("a.csv", "y"), ("b.csv", "2020-13-40")}

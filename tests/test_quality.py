@@ -1,5 +1,6 @@
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tabulon.operators import quality
 
@@ -99,3 +100,33 @@ def test_profile_counts_instants_not_wall_times(spark):
         assert profile.column_profile(df).first()["n_distinct"] == 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_content_fingerprints_tell_multisets_apart(spark):
+    rows = [(1, "a", None), (1, "a", None), (2, None, "b"), (3, "", "c")]
+    ddl = "k int, x string, y string"
+    left = spark.createDataFrame(rows, ddl)
+    for other, equal in ((rows[::-1], True), (rows[1:], False), ([*rows, rows[0]], False), ([*rows[:2], (2, "b", None), rows[3]], False),
+                         ([*rows[:3], (3, None, "c")], False)):
+        right = spark.createDataFrame(other, ddl).repartition(3)
+        got = quality.same_content(left.withColumn("g", F.lit("g")), right.withColumn("g", F.lit("g")), ["k", "x", "y"], ["g"])
+        assert [r.equal for r in got.collect()] == [equal], other
+    halves = quality.same_content(left.withColumn("g", F.col("k")), left.where("k < 3").withColumn("g", F.col("k")), ["k", "x", "y"], ["g"])
+    assert sorted((r.g, r.n_left, r.n_right, r.equal) for r in halves.collect()) == [(1, 2, 2, True), (2, 1, 1, True), (3, 1, 0, False)]
+
+
+def test_united_sketches_are_those_of_all_rows(spark):
+    from tabulon.operators import sketches
+
+    df = spark.range(60_000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 20_011).alias("n"),
+                                    F.concat(F.lit("v"), (F.col("id") % 977).cast("string")).alias("t"),
+                                    F.lit(None).cast("double").alias("e"), (F.col("id") % 5).alias("file"))
+    exact = ["column_name", "n_rows", "n_nulls", "min_value", "max_value", "min_length", "max_length"]
+    fresh = sketches.profile(sketches.sketch(df, ["n", "t", "e"]))
+    united = sketches.profile(sketches.unite(sketches.sketch(df, ["n", "t", "e"], by=["file"])))
+    a, b = ({r.column_name: r for r in x.collect()} for x in (fresh, united))
+    assert {c: [a[c][k] for k in exact] for c in a} == {c: [b[c][k] for k in exact] for c in b}
+    for r in (a, b):
+        assert abs(r["n"].n_distinct_estimate - 20_011) < 0.03 * 20_011 and abs(r["t"].n_distinct_estimate - 977) < 0.03 * 977
+        assert abs(r["n"].median - 10_000) < 400 and r["e"].median is None and r["e"].n_distinct_estimate == 0
+    assert sketches.profile(sketches.unite(sketches.sketch(df.limit(0), ["n"], by=["file"]))).collect() == []
