@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulon.operators.ranking import free_name
 from tabulon.session import stage
 
 
@@ -80,33 +81,42 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str | Column],
     return ranked.unionByName(nulls)
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """``df`` with a unique row number in ``_rid``, fixed by writing it out."""
-    return stage(df.withColumn("_rid", F.monotonically_increasing_id()), "numbered")
+def _told_apart(df: DataFrame, identity: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that identify a row: ``identity``, or else a row number, fixed by writing it out."""
+    if identity:
+        return df, identity
+    rid = free_name(df, "_rid")
+    return stage(df.withColumn(rid, F.monotonically_increasing_id()), "numbered"), [rid]
 
 
-def _last_rows(numbered: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return keep_last(numbered.select(*keys, *order, "_rid"), keys, [*order, "_rid"]).select("_rid")
+def _last_rows(rows: DataFrame, keys: list[str], order: list[str], identity: list[str]) -> DataFrame:
+    """Identity of the last row per key: a maximum that is combined map-side, so only narrow winners of each task move."""
+    last = F.max(F.struct(*order, *identity))
+    return rows.groupBy(*keys).agg(last.alias("_last")).select(*[F.col(f"_last.{c}").alias(c) for c in identity])
 
 
-def duplicate_rows(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame, keys: list[str], order: list[str] | None = None,
+                   identity: list[str] | None = None) -> DataFrame:
     """Every row that is not the last of its key (the rows ``keep_last`` drops).
 
     Rows that tie on key and order, exact duplicates among them, are told apart
-    by their row number, the last key of the order; so ``order`` need not be
-    unique and may be left out (position decides).
+    by their identity, the last key of the order; so ``order`` need not be
+    unique and may be left out (position decides).  ``identity`` names columns of ``df`` that are unique,
+    not null, and the same on every read (``files.with_row_identity``); they are not returned.  Without it the rows
+    are numbered and written out first.  Whole rows are shuffled once, to be joined with the winners.
     """
-    numbered = _numbered(df)
-    return numbered.join(_last_rows(numbered, keys, order or []), "_rid", "left_anti").drop("_rid")
+    rows, told = _told_apart(df, identity)
+    kept = rows.join(_last_rows(rows, keys, order or [], told), told, "left_anti")
+    return kept.drop(*told)
 
 
 def flag_duplicates(df: DataFrame, keys: list[str], order: list[str] | None = None,
-                    flag: str = "is_duplicate") -> DataFrame:
-    """Each row with a boolean: True when a later row has the same key (A10 input); ties as in A6."""
-    numbered = _numbered(df)
-    last = _last_rows(numbered, keys, order or []).withColumn("_last", F.lit(True))
-    joined = numbered.join(last, "_rid", "left")
-    return joined.select(*df.columns, F.col("_last").isNull().alias(flag))
+                    flag: str = "is_duplicate", identity: list[str] | None = None) -> DataFrame:
+    """Each row with a boolean: True when a later row has the same key (A10 input); ties and ``identity`` as in A6."""
+    rows, told = _told_apart(df, identity)
+    last = _last_rows(rows, keys, order or [], told).withColumn("_last", F.lit(True))
+    joined = rows.join(last, told, "left")
+    return joined.select(*[c for c in df.columns if c not in (identity or [])], F.col("_last").isNull().alias(flag))
 
 
 def max_lengths(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -32,7 +32,7 @@ from tabulon.sources.archives import expand_archives, nth_lines
 from tabulon.sources.csv import (BLOCK, CSV_WRITE_OPTIONS, ROW, SEQ, SOURCE, header_groups,
                                  read_csv_inferred, read_csv_sources, read_csv_text, row_positions,
                                  scan_files)
-from tabulon.sources.files import file_inventory
+from tabulon.sources.files import file_inventory, with_row_identity
 from tabulon.sources.literals import literal_frame
 from tabulon.sources.split_csv import read_csv_split
 
@@ -409,8 +409,9 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedpri
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                            ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) > 1""")
 def duplicate_key_report(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select(*LI_KEYS, *LI_ORDER)
-    return quality.duplicate_rows(li, LI_KEYS, LI_ORDER).select(*LI_KEYS, *LI_ORDER)
+    li, identity = with_row_identity(table(spark, sf_dir, "lineitem"))
+    li = li.select(*LI_KEYS, *LI_ORDER, *identity)
+    return quality.duplicate_rows(li, LI_KEYS, LI_ORDER, identity).select(*LI_KEYS, *LI_ORDER)
 
 
 @register("dedupe_keep_last", """
@@ -430,8 +431,9 @@ FROM (SELECT l_returnflag, row_number() OVER (PARTITION BY l_orderkey, l_linenum
       FROM lineitem)
 GROUP BY l_returnflag""")
 def flag_count(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select(*LI_KEYS, *LI_ORDER, "l_returnflag")
-    flagged = quality.flag_duplicates(li, LI_KEYS, LI_ORDER, "is_duplicate")
+    li, identity = with_row_identity(table(spark, sf_dir, "lineitem"))
+    li = li.select(*LI_KEYS, *LI_ORDER, "l_returnflag", *identity)
+    flagged = quality.flag_duplicates(li, LI_KEYS, LI_ORDER, "is_duplicate", identity)
     return profile.count_flags(flagged, "is_duplicate", ["l_returnflag"])
 
 

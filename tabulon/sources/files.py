@@ -145,6 +145,15 @@ def empty_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> list[
     return sorted(r["file_name"] for r in known.join(listed, "file_name", "left_anti").collect())
 
 
+def with_row_identity(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """A Parquet read with the file and the place in it of each row, and the names of these two columns.
+
+    They identify a row on every read, so nothing has to be numbered and written out first.
+    """
+    names = ["_row_file", "_row_index"]
+    return df.select("*", F.col("_metadata.file_path").alias(names[0]), F.col("_metadata.row_index").alias(names[1])), names
+
+
 def _first_record(uri: str, sep: str, quote: str) -> list[str]:
     fs, path = fs_for(uri)
     with fs.open_input_stream(path) as raw:

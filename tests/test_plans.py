@@ -9,7 +9,7 @@ from tabulon.operators import profile, quality
 from tabulon.operators.merge import upsert
 from tabulon.sinks.tables import TableStore
 from tabulon.sources.csv import read_csv_sources, scan_files
-from tabulon.sources.files import file_inventory
+from tabulon.sources.files import file_inventory, with_row_identity
 
 from core_helpers import local_dir
 
@@ -116,3 +116,20 @@ def test_top_k_per_column_equals_python_with_a_hot_value(spark):
             for n, v in enumerate(sorted(values[c], key=lambda v: (sign * len(v), v))[:7], 1):
                 want[c, end, n] = (v, len(v))
     assert ends == want
+
+
+def test_duplicates_by_identity_move_whole_rows_once(spark, scratch):
+    """No copy is written first, and the winners are a narrow aggregate that is combined before its shuffle."""
+    rows = [(i % 5, i % 50, f"payload {i % 50}") for i in range(500)] + [(None, 1, "x")] * 3
+    spark.createDataFrame(rows, "k int, pos int, payload string").repartition(4).write.parquet(scratch)
+    df, identity = with_row_identity(spark.read.parquet(scratch))
+    out = quality.duplicate_rows(df, ["k"], ["pos"], identity)
+    p = plan(out)
+    assert out.columns == ["k", "pos", "payload"]
+    assert p.count("Exchange hashpartitioning") <= 4 and "numbered-" not in p
+    winners = p[p.index("partial_max"):] if "partial_max" in p else ""
+    assert winners and "payload" not in winners.split("FileScan")[1].split("ReadSchema")[1]
+    assert out.count() == len(rows) - 6
+    flagged = quality.flag_duplicates(df, ["k"], ["pos"], identity=identity)
+    assert flagged.columns == ["k", "pos", "payload", "is_duplicate"]
+    assert flagged.where("not is_duplicate").count() == 6
