@@ -9,7 +9,7 @@ Sequential per-file MERGEs in file-name order equal one consolidated MERGE of
 rows: only the last file holding a key matters.  So the whole folder is one job:
 
     one CSV parse -> staged Parquet (gates observed on the way)
-                  -> row_number() by key over (file name, row) desc = 1
+                  -> per key the place of its last row (file, block, row): a map-side maximum
                   -> anti join + union against the master -> new version
 
 instead of N merges that each rewrite the master.
@@ -20,14 +20,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from tabulon.functions.dates import no_separator
 from tabulon.operators.conform import check_columns, conform, extra_columns
 from tabulon.operators.merge import upsert
-from tabulon.operators.quality import GateFailed, keep_last, repeated_keys
+from tabulon.operators.quality import GateFailed, repeated_keys
 from tabulon.schema import TableSpec
 from tabulon.session import remove_path, scratch_path, stage_to
 from tabulon.sinks.tables import TableStore
@@ -51,6 +51,7 @@ class Prepared:
     files: FileSet         # exactly the files that were read
     staging: str | None = None  # folder ``typed`` reads; ``ingest`` removes it when done
     empty: list[str] = field(default_factory=list)  # files without bytes: nothing to read, but delivered
+    keys: DataFrame | None = None  # every key of ``typed`` once (staged below ``staging``)
 
     def reject_report(self, spark: SparkSession) -> DataFrame:
         """Per typed column, non-empty texts that did not convert.
@@ -96,7 +97,7 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
     files_set = scan_files(inventory, root)
     for header, paths in files_set.groups():
         check_columns(header, spec.schema, conform_mode, where=paths[0])
-    empty = empty_files(spark, root, pattern) if files is None else []
+    empty = empty_files(spark, root, pattern, {f["file_name"] for f in files_set.files}) if files is None else []
     if multi_line == "split":
         raw = read_csv_split(spark, files_set)
     else:
@@ -117,7 +118,7 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
     no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     key_obs = Observation("ingest_keys")
     staging = scratch_path(spark, "ingest-stage")
-    typed = stage_to(typed.observe(key_obs, F.count_if(~no_null).alias("null_keys")), staging)
+    typed = stage_to(typed.observe(key_obs, F.count_if(~no_null).alias("null_keys")), f"{staging}/rows")
     metrics = {**obs.get, **rejects.get, **key_obs.get, "empty_files": len(empty)}
     try:
         _check_date_lengths(metrics, spec.date_text_max)
@@ -127,23 +128,41 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
             # Observed during staging; the sample is only looked up when there is one.
             bad = typed.where(~no_null).select(FILE, BLOCK, ROW).limit(5).collect()
             raise GateFailed(f"NULL key {keys} in {[tuple(r) for r in bad]}")
-        if on_duplicate == "fail":
+        per_key, repeated, most = _per_key(typed, no_null, keys, f"{staging}/keys")
+        if on_duplicate == "fail" and repeated:
             dup = repeated_keys(typed.where(no_null), SOURCE, keys).limit(20).collect()
-            if dup:
-                raise GateFailed(f"key {keys} not unique within an extract: {[tuple(r) for r in dup]}")
+            raise GateFailed(f"key {keys} not unique within an extract: {[tuple(r) for r in dup]}")
     except GateFailed:
         # A failed gate publishes nothing, so its staged copy is not kept either.
         remove_path(spark, staging)
         raise
 
-    # Only the data and two integers travel through the shuffle.  Without NULL keys
-    # (observed above) there is no second branch for them.
-    latest = keep_last(typed.select(*spec.names, SEQ, BLOCK, ROW), keys, [SEQ, BLOCK, ROW],
-                       nulls_equal=not metrics["null_keys"])
-    rows = latest.select(*spec.names)
+    rows = typed
+    if most > 1:
+        # only winners' places travel besides the rows; a place is unique, so there is no hot key here
+        places = per_key.select(*[F.col(f"last.{c}").alias(c) for c in (SEQ, BLOCK, ROW)])
+        rows = typed.where(no_null).join(places, [SEQ, BLOCK, ROW], "left_semi")
+        if metrics["null_keys"]:
+            rows = rows.unionByName(typed.where(~no_null).select(*rows.columns))
     headers = files_set.headers(spark)
-    return Prepared(rows, typed, headers, extra_columns(headers, spec.schema), inventory, metrics,
-                    files_set, staging, empty)
+    return Prepared(rows.select(*spec.names), typed, headers, extra_columns(headers, spec.schema), inventory, metrics,
+                    files_set, staging, empty, per_key.select(*keys))
+
+
+def _per_key(typed: DataFrame, no_null: Column, keys: list[str], path: str) -> tuple[DataFrame, int, int]:
+    """Q1, the keys and the winners from one aggregate over the staged narrow columns, stored at ``path``.
+
+    ``(keys..., n, last)`` with the place of the last row per key; also the number of keys that an extract
+    repeats (a key has more rows than extracts) and the most rows of a key: with 1, every row is its key's last.
+    """
+    last = F.max(F.struct(SEQ, BLOCK, ROW))
+    seen = Observation("ingest_per_key")
+    counted = typed.where(no_null).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.size(F.collect_set(SOURCE)).alias("sources"), last.alias("last"))
+    per_key = stage_to(counted.observe(seen, F.count_if(F.col("n") > F.col("sources")).alias("repeated"),
+                                       F.max("n").alias("most")), path)
+    repeated, most = seen.get["repeated"], seen.get["most"]
+    return per_key, repeated, most or 0
 
 
 def _check_date_lengths(metrics: dict, limit: int) -> None:
@@ -167,9 +186,8 @@ def ingest(store: TableStore, spec: TableSpec, root: str, *, files: DataFrame |
     prep = prepare(spark, root, spec, files=files, **options)
     try:
         master = store.read(spec.name)
-        # the keys of all staged rows are those of the winners, without their window
         merged = upsert(master, prep.rows, keys, check=False, partitions=buckets,
-                        key_side=prep.typed.select(*keys).distinct())
+                        key_side=prep.keys)
         version = store.publish(spec.name, merged, label=label, bucket_keys=bucket_keys, buckets=buckets)
         run = version if run is None else run
         # The ledger records the files actually read, not a fresh listing.

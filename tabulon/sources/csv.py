@@ -93,8 +93,7 @@ def scan_files(inventory: DataFrame, root: str) -> FileSet:
     The driver receives each distinct header once (keyed by a hash of its
     names) and one short record per file; no task ever gathers a whole group.
     """
-    heads = (file_headers(inventory)
-             .join(inventory.select("path", "path_key", "file_name", "source", "size", "modified"), "path")
+    heads = (file_headers(inventory.select("path", "path_key", "file_name", "source", "size", "modified"))
              .withColumn("hid", F.sha2(F.to_json(F.col("header")), 256))
              .cache())  # one row per file, read by the two actions below
     try:

@@ -129,20 +129,18 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> Da
     return inventory_from_listing(file_listing(spark, root, pattern), root)
 
 
-def empty_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> list[str]:
+def empty_files(spark: SparkSession, root: str, pattern: str = "*.csv", listed: set[str] | None = None) -> list[str]:
     """Names below ``root`` of files without bytes, which Spark's scans leave out.
 
-    Spark's file index knows them; only their names are compared, on the driver that holds that index.
+    Spark's file index knows them; its names are compared with ``listed``, the names of the files that a read of ``root`` found
+    (listed anew where the caller has none).
     """
     index = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(root))
-    names = [re.sub(r"^.*?" + re.escape(_root_path(root)) + "/", "", urllib.parse.unquote(p))
-             for p in index.inputFiles()]
-    if not names:
-        return []
-    listed = file_inventory(spark, root, pattern).select("file_name")
-    known = spark.createDataFrame([(n,) for n in names], "file_name string")
-    return sorted(r["file_name"] for r in known.join(listed, "file_name", "left_anti").collect())
+    names = {re.sub(r"^.*?" + re.escape(_root_path(root)) + "/", "", urllib.parse.unquote(p)) for p in index.inputFiles()}
+    if listed is None:
+        listed = {r["file_name"] for r in file_inventory(spark, root, pattern).select("file_name").collect()}
+    return sorted(names - listed)
 
 
 def with_row_identity(df: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -169,19 +167,19 @@ def _first_record(uri: str, sep: str, quote: str) -> list[str]:
 
 
 def file_headers(inventory: DataFrame, sep: str = ",", quote: str = '"') -> DataFrame:
-    """``(path, header)`` for every file in ``inventory``, read inside tasks.
+    """``inventory`` with the ``header`` of every file, read inside tasks.
 
     Only the first record of each file is read, so the cost is one small read
-    per file regardless of file size.
+    per file regardless of file size; the other columns pass through, so nothing is joined.
     """
 
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"path": pdf["path"],
-                                "header": [_first_record(p, sep, quote) for p in pdf["path"]]})
+            yield pdf.assign(header=[_first_record(p, sep, quote) for p in pdf["path"]])
 
-    spread = spread_files(inventory.select("path"))
-    return spread.mapInPandas(heads, "path string, header array<string>")
+    spread = spread_files(inventory)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spread.schema.fields)
+    return spread.mapInPandas(heads, f"{fields}, header array<string>")
 
 
 def spread_files(listing: DataFrame) -> DataFrame:

@@ -224,10 +224,26 @@ def test_upsert_plan_ranks_once(spark, scratch):
     target = spark.createDataFrame([], SPEC.schema)
     merged = upsert(target, prep.rows, ["ID"], check=False, key_side=prep.typed.select("ID").distinct())
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("row_number()") <= 2 and plan.count("Window [") == 1
+    # the ranking window has given way to the aggregate of the staged keys, see test_prepare_ranks_by_one_aggregate
+    assert plan.count("row_number()") == 0 and plan.count("Window [") == 0
     assert "csv" not in plan.lower()
 
 
+def test_prepare_ranks_by_one_aggregate(spark, scratch):
+    """Gates, keys and winners come from one stored aggregate; rows move only if a key occurs twice, and by their place."""
+    d = local_dir(scratch)
+    write(d, "a.csv", "ID,NAME,START\n1,a,\n2,b,\n")
+    once = prepare(spark, scratch, SPEC)
+    assert "Join" not in once.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in once.keys._jdf.queryExecution().optimizedPlan().toString()
+    write(d, "b.csv", "ID,NAME,START\n2,c,\n3,d,\n")
+    twice = prepare(spark, scratch, SPEC)
+    plan = twice.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 1 and "Window" not in plan and "Aggregate" not in plan
+    assert sorted((r.ID, r.NAME) for r in twice.rows.collect()) == [(1, "a"), (2, "c"), (3, "d")]
+    assert sorted(r.ID for r in twice.keys.collect()) == [1, 2, 3]
+
+
 def test_rejected_texts_are_kept_per_file(spark, scratch):
     d = local_dir(scratch)
     for name, text in (("a.csv", "ID,D,V\n1,x,1\n2,2020-01-01,y\n3,x,z\n4,,\n"), ("b.csv", "ID,D,V\n5,2020-13-40,7\n")):
