@@ -19,12 +19,13 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.normalizers import Normalizer
 
 from tabulon.llm.common import file_bytes, map_texts
 
@@ -85,6 +86,13 @@ class _Memo(dict):
         return value
 
 
+def normalizer_of(spec: dict) -> Normalizer:
+    """The vocabulary's normaliser alone, from a tokenizer without words."""
+    bare = {**spec, "added_tokens": [], "post_processor": None, "decoder": None,
+            "model": {"type": "BPE", "vocab": {}, "merges": []}}
+    return Tokenizer.from_str(json.dumps(bare)).normalizer
+
+
 class WordCounter:
     """Counts the tokens of texts under a word-level BPE vocabulary (``tokenizers`` JSON bytes)."""
 
@@ -92,6 +100,7 @@ class WordCounter:
         spec = json.loads(vocabulary)
         model = spec["model"]
         pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"])
+        self.normalizer = normalizer_of(spec)
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
         self.mark = model.get("end_of_word_suffix") or ""
         self.bytes = byte_symbols()
@@ -110,10 +119,8 @@ class WordCounter:
 
     def count_plain(self, text: str) -> int:
         """Tokens of text without special strings."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        # one character at a time, as the vocabulary's lower-casing: no final form of sigma
-        text = text.replace("Σ", "σ").lower()
+        # other than ASCII by the library's own normaliser: its tables are of another Unicode version than Python's
+        text = text.lower() if text.isascii() else self.normalizer.normalize_str(text)
         return sum(self.by_word[m.group()] for m in self.words.finditer(text))
 
     def count(self, text: str) -> int:

@@ -33,6 +33,14 @@ def codec():
         return piece_codec.PieceCodec(f.read())
 
 
+def test_every_code_point_counts_as_in_the_library(counter):
+    library = Tokenizer.from_file(WORDS)
+    points = [chr(i) for i in range(0x32000) if not 0xD800 <= i < 0xE000]
+    texts = [form for c in points for form in (c, f"a{c}b")]
+    counts = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, n in zip(texts, counts, strict=True) if counter.count(t) != n] == []
+
+
 def test_counts_equal_the_library(counter):
     library = Tokenizer.from_file(WORDS)
     for text in odd_texts(2000, 1):
