@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.llm.common import fresh
 from tabulon.session import stage
 
 ID_BITS = 32
@@ -62,32 +63,52 @@ def _directory(rows: DataFrame, depth: int, width: int, limit: int) -> DataFrame
     return pairs.join(shards, ["shard", "d"]).select("cell", "shard", "shard_bytes")
 
 
-def assign_shards(docs: DataFrame, limit: int, record_bytes: int = 1, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """``id, n_bytes, shard, shard_bytes`` of every row; ``shard`` is the bucket's prefix of bits."""
-    rows = stage(docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
-        F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"))
-        .withColumn("size", F.col("n_bytes") + record_bytes), "sizes").withColumn("bits", _bits())
+def _placed(rows: DataFrame, limit: int) -> DataFrame:
+    """``uid, id, n_bytes, shard, shard_bytes`` of stored ``(uid, id, n_bytes, size, bits)``."""
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     depth, width = 0, max(1, math.ceil(math.log2(total / limit + 1)) + SPARE_BITS)
     out = None
     while True:
         directory = _directory(rows, depth, width, limit)
         placed = rows.withColumn("cell", F.substring("bits", 1, width))
-        done = placed.join(directory, "cell").select("id", "n_bytes", "shard", "shard_bytes")
+        done = placed.join(directory, "cell").select("uid", "id", "n_bytes", "shard", "shard_bytes")
         out = done if out is None else out.unionByName(done)
         left = placed.join(directory, "cell", "left_anti").drop("cell")
         if width >= ID_BITS + 64 or left.isEmpty():
-            return out.withColumnRenamed("id", id_col)
+            return out
         rows = stage(left, "overfull")
         depth, width = width, min(width + REFINE_BITS, ID_BITS + 64)
 
 
-def write_shards(docs: DataFrame, shards: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Each shard of ``docs`` as a folder ``shard=<bits>`` of Parquet below ``path`` (ids are unique)."""
-    (docs.join(shards.select(id_col, F.concat(F.lit("b"), "shard").alias("shard")), id_col)
-     .repartition("shard").write.partitionBy("shard").parquet(path))
+def _sized(docs: DataFrame, uid: Column, record_bytes: int, id_col: str, text_col: str) -> DataFrame:
+    return stage(docs.select(
+        uid.alias("uid"), F.col(id_col).alias("id"),
+        F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"))
+        .withColumn("size", F.col("n_bytes") + record_bytes), "sizes").withColumn("bits", _bits())
+
+
+def assign_shards(docs: DataFrame, limit: int, record_bytes: int = 1, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """``id, n_bytes, shard, shard_bytes`` of every row; ``shard`` is the bucket's prefix of bits."""
+    rows = _sized(docs, F.monotonically_increasing_id(), record_bytes, id_col, text_col)
+    return _placed(rows, limit).drop("uid").withColumnRenamed("id", id_col)
+
+
+def write_shards(docs: DataFrame, path: str, limit: int, record_bytes: int = 1, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """Every row of ``docs``, with all its columns, in the folder ``shard=b<bits>`` of its shard below ``path``.
+
+    Rows are numbered and stored first, and placed by that number: a null id and an id on many rows are
+    written as often as they occur.  Returns ``(shard, n_rows, shard_bytes)``.
+    """
+    uid, shard = fresh(docs, "uid", "shard")
+    numbered = stage(docs.withColumn(uid, F.monotonically_increasing_id()), "numbered")
+    placed = stage(_placed(_sized(numbered, F.col(uid), record_bytes, id_col, text_col), limit).select(
+        F.col("uid").alias(uid), F.concat(F.lit("b"), "shard").alias(shard), "shard_bytes"), "placed")
+    (numbered.join(placed.select(uid, shard), uid).drop(uid).repartition(shard)
+     .write.partitionBy(shard).parquet(path))
+    return placed.groupBy(F.col(shard).alias("shard")).agg(F.count(F.lit(1)).alias("n_rows"),
+                                                           F.first("shard_bytes").alias("shard_bytes"))
 
 
 def oracle_sql(limit: int, record_bytes: int = 1, levels: int = 24) -> str:

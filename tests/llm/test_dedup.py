@@ -61,8 +61,24 @@ def test_shards_on_edge_rows(spark, scratch):
     assert got.count() == len(edge_rows())
     assert sharding.assign_shards(empty_table(spark), 100).count() == 0
     docs = small_table(spark, [(i, "x" * 50) for i in range(60)])
-    sharding.write_shards(docs, sharding.assign_shards(docs, 500), scratch)
-    assert spark.read.parquet(scratch).count() == 60
+    sharding.write_shards(docs, f"{scratch}/a", 500)
+    assert spark.read.parquet(f"{scratch}/a").count() == 60
+
+
+def test_written_shards_hold_every_row_once(spark, scratch):
+    """Null ids and one id on many rows as well; all columns come along."""
+    docs = edge_table(spark).unionByName(edge_table(spark).where("doc_id = 9"))
+    report = sharding.write_shards(docs, scratch, 300)
+    back = spark.read.parquet(scratch)
+    assert back.count() == docs.count()
+    assert sorted(map(repr, back.select("doc_id", "text", "`a.b`").collect())) == \
+        sorted(map(repr, docs.select("doc_id", "text", "`a.b`").collect()))
+    rows = {r.shard: (r.n_rows, r.shard_bytes) for r in report.collect()}
+    sizes = Counter()
+    for r in back.collect():
+        sizes[r.shard] += len((r.text or "").encode()) + 1
+    assert sizes == {s: size for s, (_, size) in rows.items()}
+    assert all(size <= 300 or n == 1 for n, size in rows.values())
 
 
 # line dedup -------------------------------------------------------------------
