@@ -25,16 +25,14 @@ def _repaired(blank_pattern: str) -> str:
 
 
 def lenient_date_sql_body() -> str:
-    iso = _repaired(ISO_BLANK)
-    us = _repaired(US_BLANK)
-    us_as_iso = (f"concat(substring_index({us}, '/', -1), '-', substring_index({us}, '/', 1), '-', "
-                 f"substring_index(substring_index({us}, '/', 2), '/', -1))")
-    parsed = (f"CASE WHEN contains(t, '-') THEN "
-              f"CASE WHEN ({iso}) RLIKE {_lit(ISO_SHAPE)} THEN try_cast({iso} AS DATE) END "
-              f"WHEN contains(t, '/') THEN "
-              f"CASE WHEN ({us}) RLIKE {_lit(US_SHAPE)} THEN try_cast({us_as_iso} AS DATE) END END")
-    return (f"CASE WHEN ({parsed}) BETWEEN DATE'{FIRST_VALID_DATE}' AND DATE'{LAST_VALID_DATE}' "
-            f"THEN ({parsed}) END")
+    """A query over one row, each step a column of the one below it, so the rule is written once; Spark inlines it."""
+    us_as_iso = ("concat(substring_index(us, '/', -1), '-', substring_index(us, '/', 1), '-', "
+                 "substring_index(substring_index(us, '/', 2), '/', -1))")
+    shaped = (f"CASE WHEN iso RLIKE {_lit(ISO_SHAPE)} THEN iso WHEN us RLIKE {_lit(US_SHAPE)} THEN {us_as_iso} END")
+    return (f"SELECT CASE WHEN day BETWEEN DATE'{FIRST_VALID_DATE}' AND DATE'{LAST_VALID_DATE}' THEN day END "
+            f"FROM (SELECT try_cast(shaped AS DATE) AS day FROM (SELECT {shaped} AS shaped FROM (SELECT "
+            f"CASE WHEN contains(t, '-') THEN {_repaired(ISO_BLANK)} END AS iso, "
+            f"CASE WHEN contains(t, '/') AND NOT contains(t, '-') THEN {_repaired(US_BLANK)} END AS us)))")
 
 
 def register_sql_functions(spark: SparkSession) -> None:

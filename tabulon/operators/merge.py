@@ -42,10 +42,9 @@ def cardinality_violations(target: DataFrame, source: DataFrame, keys: list[str]
     dup = (source.where(_no_null_key(keys)).groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("n_source_rows"))
            .where(F.col("n_source_rows") > 1))
-    # The target streams against the (usually small) set of duplicated keys, so
-    # AQE can broadcast that set instead of shuffling the target's keys.
-    hit = target.select(*keys).join(dup.select(*keys), keys, "left_semi").distinct()
-    return dup.join(hit, keys, "left_semi")
+    # The target streams against the (usually small) set of duplicated keys, so AQE can broadcast that set
+    # instead of shuffling the target's keys; the counts travel along, so the source is aggregated once.
+    return target.select(*keys).join(dup, keys).distinct().select(*keys, "n_source_rows")
 
 
 def check_cardinality(target: DataFrame, source: DataFrame, keys: list[str],

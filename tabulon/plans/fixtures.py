@@ -94,7 +94,7 @@ def deliver_yearly_orders(spark: SparkSession, orders: DataFrame, root: str) ->
     return root
 
 
-def write_daily_events(events: DataFrame, root: str) -> str:
+def write_daily_events(events: DataFrame, root: str, mode: str = "errorifexists") -> str:
     """``events`` as one extract folder per day, rows in (ts, event_id) order."""
     day = F.substring(ntz_text("ts"), 1, 10)
     out = (events.select(day.alias("day"), "event_id",
@@ -102,7 +102,7 @@ def write_daily_events(events: DataFrame, root: str) -> str:
                          "user_id", "event_type", "value", "props")
            .repartitionByRange(_parts(events), "day", "ts", "event_id")
            .sortWithinPartitions("day", "ts", "event_id"))
-    write_csv(out, root, partition_by=["day"])
+    write_csv(out, root, mode, partition_by=["day"])
     return root
 
 

@@ -18,6 +18,7 @@ instead of N merges that each rewrite the master.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -199,20 +200,37 @@ def ingest(store: TableStore, spec: TableSpec, root: str, *, files: DataFrame |
     return version
 
 
-def pending_files(store: TableStore, spec: TableSpec, root: str, pattern: str = "*.csv") -> DataFrame:
+def watermark(store: TableStore, spec: TableSpec, lookback: timedelta) -> datetime | None:
+    """The youngest file in the ledger, less ``lookback``; None where no file is recorded.
+
+    The ledger is aggregated in Spark; one number reaches the driver.
+    """
+    last = store.ledger(spec.name).agg(F.unix_seconds(F.max("modified"))).first()[0]
+    return None if last is None else datetime.fromtimestamp(last, timezone.utc) - lookback
+
+
+def pending_files(store: TableStore, spec: TableSpec, root: str, pattern: str = "*.csv",
+                  lookback: timedelta | None = None) -> DataFrame:
     """S4 resume: files below ``root`` that the ledger has not recorded as they are now.
 
     A file delivered again under its name, with another size or time, is pending again.
+    Without ``lookback`` every file is compared.  With it, only files younger than the youngest recorded one
+    less ``lookback`` are listed and compared with the ledger's rows of that time, so a run costs what is new and
+    not what was ever delivered.  A file that arrives with an older time (copied with its time kept, say) is not
+    seen then; a call without ``lookback``, now and then, finds it.
     """
-    inventory = file_inventory(store.spark, root, pattern)
+    after = None if lookback is None else watermark(store, spec, lookback)
+    inventory = file_inventory(store.spark, root, pattern, after)
     done = store.ledger(spec.name).select("file_name", "size", "modified")
+    if after is not None:
+        done = done.where(F.col("modified") > F.timestamp_seconds(F.lit(int(after.timestamp()))))
     return inventory.join(done, ["file_name", "size", "modified"], "left_anti")
 
 
 def resume(store: TableStore, spec: TableSpec, root: str, pattern: str = "*.csv",
-           **options) -> int | None:
-    """Ingest only the files not yet in the ledger; returns the new version."""
-    todo = pending_files(store, spec, root, pattern)
+           lookback: timedelta | None = None, **options) -> int | None:
+    """Ingest only the files not yet in the ledger; returns the new version.  ``lookback``: see ``pending_files``."""
+    todo = pending_files(store, spec, root, pattern, lookback)
     if todo.isEmpty():
         return store.current_version(spec.name)
     return ingest(store, spec, root, files=todo, **options)

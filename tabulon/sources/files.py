@@ -16,6 +16,7 @@ import io
 import re
 import urllib.parse
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -91,12 +92,20 @@ def _root_path(root: str) -> str:
     return re.sub(r"^file:/*", "/", root).rstrip("/")
 
 
-def file_listing(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """Spark's own recursive listing: ``path, length, modificationTime`` only."""
-    return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", pattern)
-            .option("recursiveFileLookup", "true")
-            .load(root)
+def file_listing(spark: SparkSession, root: str, pattern: str = "*.csv",
+                 modified_after: datetime | None = None) -> DataFrame:
+    """Spark's own recursive listing: ``path, length, modificationTime`` only.
+
+    ``modified_after`` (with a time zone; whole seconds) leaves out files that are not younger while Spark lists, so
+    they are in no plan and no task.
+    """
+    reader = (spark.read.format("binaryFile")
+              .option("pathGlobFilter", pattern)
+              .option("recursiveFileLookup", "true"))
+    if modified_after is not None:
+        reader = (reader.option("timeZone", "UTC")
+                  .option("modifiedAfter", modified_after.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")))
+    return (reader.load(root)
             .select("path", "length", "modificationTime",
                     F.col("_metadata.file_path").alias("path_key")))
 
@@ -118,15 +127,16 @@ def inventory_from_listing(listing: DataFrame, root: str) -> DataFrame:
                           "path_key")
 
 
-def file_inventory(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """All files below ``root`` matching ``pattern``.
+def file_inventory(spark: SparkSession, root: str, pattern: str = "*.csv",
+                   modified_after: datetime | None = None) -> DataFrame:
+    """All files below ``root`` matching ``pattern`` (younger than ``modified_after``, if given).
 
     Columns: ``source`` (first path component below the root: a yearly file, or
     a folder of part files forming one yearly extract), ``file_name`` (path
     relative to the root; its string order is the processing order), ``path``,
     ``size``, ``modified``, ``path_key``.
     """
-    return inventory_from_listing(file_listing(spark, root, pattern), root)
+    return inventory_from_listing(file_listing(spark, root, pattern, modified_after), root)
 
 
 def empty_files(spark: SparkSession, root: str, pattern: str = "*.csv", listed: set[str] | None = None) -> list[str]:

@@ -118,6 +118,43 @@ def test_resume_equals_full_run(spark, scratch):
     assert resume(part, SPEC, scratch + "/in") == before
 
 
+def test_watermark_lists_new_files_only_and_a_full_listing_finds_late_ones(spark, scratch):
+    from datetime import timedelta
+
+    from tabulon.plans.ingest import watermark
+    from tabulon.sources.files import file_inventory
+
+    d = local_dir(scratch + "/in")
+    noon = 1_700_000_000
+
+    def deliver(name, rows, at):
+        write(d, name, "ID,NAME,START\n" + rows)
+        os.utime(os.path.join(d, name), (at, at))
+
+    deliver("a.csv", "1,a,\n", noon)
+    deliver("b.csv", "2,b,\n", noon + 3600)
+    store = TableStore(spark, scratch + "/t", register=False)
+    day = timedelta(days=1)
+    assert watermark(store, SPEC, day) is None
+    assert pending_files(store, SPEC, scratch + "/in", lookback=day).count() == 2  # no ledger yet: all files
+    resume(store, SPEC, scratch + "/in", lookback=day)
+    assert watermark(store, SPEC, day).timestamp() == noon + 3600 - 86400
+    deliver("c.csv", "3,c,\n", noon + 7200)
+    deliver("late.csv", "4,late,\n", noon - 3 * 86400)       # older than the watermark
+    deliver("a.csv", "1,corrected,\n", noon + 10)            # again, within the lookback
+    new = pending_files(store, SPEC, scratch + "/in", lookback=day)
+    assert sorted(r.file_name for r in new.collect()) == ["a.csv", "c.csv"]
+    # files before the watermark are in no plan
+    listed = file_inventory(spark, scratch + "/in", modified_after=watermark(store, SPEC, timedelta(minutes=30)))
+    assert sorted(os.path.basename(f) for f in listed.inputFiles()) == ["b.csv", "c.csv"]
+    resume(store, SPEC, scratch + "/in", lookback=day)
+    assert pending_files(store, SPEC, scratch + "/in", lookback=day).isEmpty()
+    assert [r.file_name for r in pending_files(store, SPEC, scratch + "/in").collect()] == ["late.csv"]
+    resume(store, SPEC, scratch + "/in")
+    assert sorted((r.ID, r.NAME) for r in store.read("ing").collect()) == [
+        (1, "corrected"), (2, "b"), (3, "c"), (4, "late")]
+
+
 def test_ledger_records_only_files_read(spark, scratch):
     d = local_dir(scratch + "/in")
     write(d, "FY2001.csv", FILES["FY2001.csv"])
