@@ -2,7 +2,10 @@ r"""Operator 6: secret scans through a recursive decoding worklist.
 
 Three patterns are searched in the text itself (base spans) and in every layer that
 decoding uncovers: URL escapes, Unicode escapes (``\uXXXX``, ``\u{...}``, ``\xXX``,
-``&#...;``), base64 runs (both alphabets, also wrapped in lines) and compressed bytes (gzip, zlib, bz2, xz) inside them.
+``&#...;``, named entities of ASCII characters), base64 runs (both alphabets, also wrapped) and compressed bytes (gzip,
+zlib, bz2, xz) inside them.  A base64 run may follow other characters of its alphabet, so it is decoded from each of its
+first four characters, and compressed bytes may begin anywhere in it.  Its lines may be parted by line breaks, also
+written as escapes, with blanks around them, or by blanks alone if the first two have equal width, ``WORD_LEAST`` at least.
 Each layer carries, for every character, the span of the text that it came
 from, so a match in a nested layer is reported as a span of the text.  Layers go
 on a worklist until none is new; content seen before for the same source span is not
@@ -14,7 +17,7 @@ dropped after matching.  Spans count code points, the end is exclusive.  Null an
 texts have no spans.  Texts are scanned whole; of a compressed layer about
 ``LAYER_BYTES`` are unpacked at a time, all members one after another, and a compressed layer
 inside it is fed from these pieces.  Pieces overlap and are cut outside of encoded runs only, so a
-run longer than a piece is held whole.  Repeated rows are scanned alike.
+run longer than a piece is held whole; only one that is wrapped with blanks may be cut there.  Repeated rows are scanned alike.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from __future__ import annotations
 import base64
 import bz2
 import hashlib
+import html.entities
 import itertools
 import lzma
 import re
@@ -45,13 +49,30 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+#: Named entities of single ASCII characters; the patterns and all encodings consist of these.
+ENTITIES = {name: char for name, char in html.entities.html5.items()
+            if name.endswith(";") and len(char) == 1 and char.isascii()}
 UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
-                         r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
-UNICODE_ONE = re.compile(r"\\u\{?([0-9A-Fa-f]+)\}?|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]+);|&#[xX]([0-9A-Fa-f]+);")
+                         rf"|&#[0-9]{{1,7}};|&#[xX][0-9A-Fa-f]{{1,6}};|&(?:{'|'.join(ENTITIES)}))+")
+UNICODE_ONE = re.compile(r"\\u\{?([0-9A-Fa-f]+)\}?|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]+);|&#[xX]([0-9A-Fa-f]+);"
+                         r"|&([A-Za-z]+;)")
 #: The shortest match has 14 bytes (``token=`` and a value), in base64 19 characters without padding.
 BASE64_LEAST = 19
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}" % BASE64_LEAST)
-BASE64_LINES = re.compile(r"[A-Za-z0-9+/_-]+(?:\r?\n[A-Za-z0-9+/_-]+)+")
+#: Between lines of a run: breaks, also as escapes, and blanks around them.  Or blanks alone, after ``WORD_LEAST`` characters.
+LINE_GAP = re.compile(r"(?:[ \t]*(?:\r?\n|(?:\\r)?\\n))+[ \t]*")
+WORD_GAP = re.compile(r"[ \t]+")
+WORD_LEAST = 16
+# possessive, and begun at the first character of a run only: time in proportion to the text
+BASE64_LINES, BASE64_WORDS = (
+    re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{least},}}+(?:{gap.pattern}[A-Za-z0-9+/_-]++)+")
+    for least, gap in ((1, LINE_GAP), (WORD_LEAST, WORD_GAP)))
+#: First bytes of compressed streams.
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+#: Every match and every further layer in decoded bytes has one of these.
+PROMISING = re.compile(
+    rb"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{32}|%[0-9A-Fa-f]{2}|\\[uUxrn]|&[#A-Za-z]|\n"
+    rb"|[A-Za-z0-9+/_-]{" + str(WORD_LEAST).encode() + rb"}|" + MAGIC.pattern)
 #: Bytes unpacked at a time, and how far the pieces of a longer layer overlap.
 LAYER_BYTES = 1 << 20
 OVERLAP = 4096
@@ -102,8 +123,11 @@ def _worker(head: bytes):
     return None
 
 
-def _unpacked(pieces: Iterable[bytes]) -> Iterator[bytes]:
-    """Bytes of all members of a compressed stream, in pieces of bounded size; none if it isn't compressed."""
+def _unpacked(pieces: Iterable[bytes], whole: list | None = None) -> Iterator[bytes]:
+    """Bytes of all members of a compressed stream, in pieces of bounded size; none if it isn't compressed.
+
+    Where it ends well, the number of bytes after it in its last piece goes to ``whole``.
+    """
     source = iter(pieces)
     data = next(source, b"")
     try:
@@ -124,6 +148,8 @@ def _unpacked(pieces: Iterable[bytes]) -> Iterator[bytes]:
             data = worker.unused_data.lstrip(b"\0")
             while len(data) < 6 and (more := next(source, b"")):
                 data = (data + more).lstrip(b"\0")
+        if whole is not None:
+            whole.append(len(data))
     except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
         return
 
@@ -148,10 +174,20 @@ def _whole_runs(pieces: Iterable[bytes]) -> Iterator[bytes]:
 
 def _from_bytes(raw: bytes, starts: np.ndarray, ends: np.ndarray, via: tuple[str, ...]) -> Iterator[Layer]:
     """Layers of decoded bytes, each byte with its source span."""
-    if raw:
-        text, first, last = _decoded(raw)
-        yield Layer(text, starts[first], ends[last], via)
-        yield from _from_stream(_unpacked([raw]), int(starts.min()), int(ends.max()), (*via, "compressed"))
+    if not raw:
+        return
+    text, first, last = _decoded(raw)
+    yield Layer(text, starts[first], ends[last], via)
+    for magic in MAGIC.finditer(raw):
+        at, end, left = magic.start(), len(raw), []
+        if not sum(map(len, _unpacked([raw[at:]], left))):
+            continue
+        if left:
+            end -= left[0]
+        yield from _from_stream(_unpacked([raw[at:end]]), int(starts[at:end].min()), int(ends[at:end].max()),
+                                (*via, "compressed"))
+        if left:  # what begins inside it is not a stream of its own
+            break
 
 
 def _from_stream(pieces: Iterator[bytes], low: int, high: int, via: tuple[str, ...]) -> Iterator[Layer]:
@@ -221,7 +257,10 @@ def _unicode(run: str):
                 np.array([ones[i].end() - 1 for i in last], int))
     parts = []
     for m in ones:
-        code = int(m.group(4)) if m.group(4) else int(m.group(1) or m.group(2) or m.group(3) or m.group(5), 16)
+        if m.group(6):
+            code = ord(ENTITIES[m.group(6)])
+        else:
+            code = int(m.group(4)) if m.group(4) else int(m.group(1) or m.group(2) or m.group(3) or m.group(5), 16)
         if code > 0x10FFFF:
             code = 0xFFFD
         if 0xDC00 <= code < 0xE000 and parts and 0xD800 <= ord(parts[-1][0]) < 0xDC00:
@@ -233,22 +272,26 @@ def _unicode(run: str):
     return _chars([("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c, a, b) for c, a, b in parts])
 
 
-def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Lines that may be one base64 run: several of equal width and a last one that is at most as wide."""
-    for chain in BASE64_LINES.finditer(text):
-        lines = [m.span() for m in re.compile(r"[A-Za-z0-9+/_-]+").finditer(text, *chain.span())]
+def _wrapped(text: str, chains: re.Pattern, gap: re.Pattern) -> Iterator[list[tuple[int, int]]]:
+    """Lines that may be one base64 run: several of equal width and a last one that is at most as wide.
+
+    The line before them comes along: it may be the first of the run after other text, whatever its width.
+    """
+    for chain in chains.finditer(text):
+        lines, start = [], chain.start()
+        for end in gap.finditer(text, *chain.span()):
+            lines.append((start, end.start()))
+            start = end.end()
+        lines.append((start, chain.end()))
         widths = [b - a for a, b in lines]
         at = 0
-        if chain.start() and text[chain.start() - 1] != "\n":  # the first may follow other text on its line
-            end = _block(widths, 1)
-            yield lines[:end]
-            at = 1
         while at < len(lines):
             end = _block(widths, at)
-            if end - at > 1:
-                yield lines[at:end]
+            full = gap is LINE_GAP or widths[at:at + 2] == [widths[at]] * 2
+            if full and (end - at > 1 or at == 1):
+                yield lines[max(0, at - 1):end]
             # the last line, if shorter, may be the first of the next block
-            again = end < len(lines) and end - at > 1 and widths[end - 1] < widths[at] and widths[end] == widths[end - 1]
+            again = end < len(lines) and end - at > 1 and widths[end] <= widths[end - 1] < widths[at]
             at = end - 1 if again else end
 
 
@@ -261,18 +304,24 @@ def _block(widths: list[int], at: int) -> int:
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
-    runs = [[m.span()] for m in BASE64_RUN.finditer(layer.text)]
-    for lines in (*runs, *_wrapped(layer.text)):
-        body = "".join(layer.text[a:b] for a, b in lines)
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        if len(body) < BASE64_LEAST:
-            continue
-        raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-        at = np.concatenate([np.arange(a, b) for a, b in lines])
-        byte = np.arange(len(raw))
-        first, last = at[byte * 8 // 6], at[(byte * 8 + 7) // 6]
-        yield from _from_bytes(raw, layer.starts[first], layer.ends[last], (*layer.via, "base64"))
+    text = layer.text
+    runs = ([m.span()] for m in BASE64_RUN.finditer(text))
+    for lines in itertools.chain(runs, _wrapped(text, BASE64_LINES, LINE_GAP), _wrapped(text, BASE64_WORDS, WORD_GAP)):
+        whole = "".join(text[a:b] for a, b in lines).replace("-", "+").replace("_", "/")
+        at = None
+        for skipped in range(4):
+            body = whole[skipped:]
+            if len(body) % 4 == 1:
+                body = body[:-1]
+            if len(body) < BASE64_LEAST:
+                break
+            raw = base64.b64decode(body + "=" * (-len(body) % 4))
+            if not PROMISING.search(raw):
+                continue
+            at = np.concatenate([np.arange(a, b) for a, b in lines]) if at is None else at
+            bits = 8 * np.arange(len(raw))
+            first, last = at[skipped + bits // 6], at[skipped + (bits + 7) // 6]
+            yield from _from_bytes(raw, layer.starts[first], layer.ends[last], (*layer.via, "base64"))
 
 
 def _bytes_in_escapes(layer: Layer) -> Iterator[Layer]:
@@ -289,7 +338,7 @@ def unwrapped(layer: Layer) -> Iterator[Layer]:
     """Layers directly inside ``layer``."""
     if "%" in layer.text and (new := _replaced(layer, URL_RUN, _url, "url")):
         yield new
-    if ("\\" in layer.text or "&#" in layer.text) and (new := _replaced(layer, UNICODE_RUN, _unicode, "unicode")):
+    if ("\\" in layer.text or "&" in layer.text) and (new := _replaced(layer, UNICODE_RUN, _unicode, "unicode")):
         yield new
     if "%" in layer.text or "\\x" in layer.text:
         yield from _bytes_in_escapes(layer)
@@ -300,7 +349,8 @@ def scan(text: str) -> list[dict]:
     """All secrets of ``text``, sorted by start, kind and end; ``via`` is empty for base spans."""
     base = matches(text)
     found = {(kind, a, b): () for kind, a, b in base}
-    if "%" in text or "\\" in text or "&#" in text or BASE64_RUN.search(text) or BASE64_LINES.search(text):
+    if "%" in text or "\\" in text or "&" in text or any(
+            runs.search(text) for runs in (BASE64_RUN, BASE64_LINES, BASE64_WORDS)):
         places = np.arange(len(text) + 1)
         work = [Layer(text, places[:-1], places[1:], ())]
         seen = {(_digest(text), 0, len(text))}

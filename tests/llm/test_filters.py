@@ -91,6 +91,45 @@ def test_wrapped_base64(end, width):
             assert len(head) <= found[0]["start"] < found[0]["end"] <= len(head + lines)
 
 
+@pytest.mark.parametrize("head", ["", "a", "a/", "id-", "ab/x", "/home", "x_y_z_", "path/to"])
+def test_base64_after_other_characters_of_its_alphabet(head):
+    tail = b" and a longer text after it, " * 4
+    for raw, via in ((SECRET.encode() + tail, "base64"), (b"x" + SECRET.encode(), "base64"),
+                     (gzip.compress(SECRET.encode() + tail), "base64>compressed"),
+                     (zlib.compress(SECRET.encode()), "base64>compressed")):
+        encoded = base64.b64encode(raw).decode()
+        lines = "\n".join(encoded[i:i + 20] for i in range(0, len(encoded), 20))
+        for body in (encoded, lines):
+            text = f"see {head}{body} end"
+            found = [s for s in secret_scan.scan(text) if s["kind"] == "assign"]
+            assert found and found[0]["via"] == via, (body, found)
+            assert 4 + len(head) - 1 <= found[0]["start"] < found[0]["end"] <= len(text) - 4
+
+
+@pytest.mark.parametrize("gap", ["\\n", "\\r\\n", "\n    ", "\r\n\t", " \n", "\n\n", " ", "  "])
+def test_runs_wrapped_otherwise(gap):
+    for raw in (b"." * 40 + SECRET.encode() + b"." * 40, gzip.compress(random.Random(3).randbytes(90) + SECRET.encode())):
+        encoded = base64.b64encode(raw).decode()
+        for head in ("", '{"key": "', "x_"):
+            text = head + gap.join(encoded[i:i + 32] for i in range(0, len(encoded), 32)) + '"}'
+            found = [s for s in secret_scan.scan(text) if s["kind"] == "assign"]
+            assert found and len(head) <= found[0]["start"] < found[0]["end"] <= len(text) - 2
+
+
+def test_named_entities():
+    text = "password&equals;&quot;hunter2hunter2&quot; or token&colon;&#97;bcdefgh12 &unknown; &eacute;"
+    assert [(s["kind"], text[s["start"]:s["end"]]) for s in secret_scan.scan(text)] == [
+        ("assign", "password&equals;&quot;hunter2hunter2"), ("assign", "token&colon;&#97;bcdefgh12")]
+
+
+def test_long_runs_take_time_in_proportion():
+    import time
+
+    start = time.monotonic()
+    assert secret_scan.scan("Qk" * 500_000 + " " + "ab\n" * 100_000 + "word " * 100_000) == []
+    assert time.monotonic() - start < 30
+
+
 @pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress])
 def test_all_members_are_unpacked(pack):
     members = pack(b"nothing ") + pack(b"to see ") + pack(SECRET.encode())
