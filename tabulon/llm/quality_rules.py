@@ -4,8 +4,11 @@
 of rules for low quality by sequential covering: a rule is a conjunction of
 thresholds, grown one condition at a time by information gain on the growing
 rows, cut back on the pruning rows, and kept if it is precise on both; rows it
-covers are set aside and the next rule is grown.  All labelled rows are used:
-they are reduced once to counts per cell of quantile bins, and each growing step
+covers are set aside and the next rule is grown.  Where a rule is imprecise, its first kind of condition (a feature
+and a side) begins further rules only with thresholds that are precise on the growing rows, and the search goes on.  All labelled rows are used:
+they are reduced once to counts per cell of quantile bins, which grow finer towards both ends and
+follow the low rows as well as all rows, so that rare kinds and heavy tails have thresholds of their own; the last
+threshold of a rule is then moved out within its bin, up to the nearest good row.  Each growing step
 is one aggregation to at most ``features * bins`` rows.  ``verdict`` emits the list as
 one ordered Spark conditional expression.
 
@@ -18,6 +21,7 @@ A statistic on a zero base (no words, no lines) is 0.  Repeated rows are judged
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +38,9 @@ SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 20
 MOST_REPEATED = 30
 
+#: The outermost bins hold a share of 2 to the power of minus this many of the rows (10,000 is the quantiles' accuracy).
+TAIL_BITS = 13
+
 #: Statistics that rules may test, from the measured counts.
 FEATURES = {
     "words": "cast(n_words as double)",
@@ -106,10 +113,13 @@ def _cells(labelled: DataFrame, bins: int) -> tuple[DataFrame, dict[str, list[fl
 
     A threshold lies half way between the largest value of its bin and the next value that occurs.
     """
-    shares = [i / bins for i in range(1, bins)]
+    ends = [2.0 ** -i for i in range(math.ceil(math.log2(bins)), TAIL_BITS + 1)]
+    shares = sorted({*(i / bins for i in range(1, bins)), *ends, *(1 - x for x in ends)})
     values = labelled.select("low", "fold", *(F.expr(e).alias(f) for f, e in FEATURES.items()))
-    row = values.agg(*(F.percentile_approx(f, shares, 10_000).alias(f) for f in FEATURES)).first()
-    cuts = {f: sorted({x for x in row[f] or []}) for f in FEATURES}
+    row = values.agg(*(F.percentile_approx(value, shares, 10_000).alias(f"{f}_{i}") for f in FEATURES
+                       for i, value in enumerate((F.col(f), F.when(F.col("low"), F.col(f)))))).first()
+    cuts = {f: sorted({*(row[f"{f}_0"] or []), *(row[f"{f}_1"] or [])}) for f in FEATURES}
+
     def bin_of(feature: str) -> Column:
         bounds = F.lit(cuts[feature]).cast("array<double>")
         return F.size(F.filter(bounds, lambda x: x < F.col(feature))).alias(feature)
@@ -143,8 +153,9 @@ def _gain(low: int, good: int, low0: int, good0: int) -> float:
     return low * (math.log2(low / (low + good)) - math.log2(low0 / (low0 + good0)))
 
 
-def _best_condition(cells: DataFrame, cuts: dict[str, list[float]], low0: int, good0: int):
-    """The threshold with the most gain on ``cells``, from one aggregation per step."""
+def _best_condition(cells: DataFrame, cuts: dict[str, list[float]], low0: int, good0: int,
+                    allowed: Callable[[tuple[str, bool, int], int, int], bool] = lambda *_: True):
+    """The ``allowed`` threshold with the most gain on ``cells``, from one aggregation per step."""
     stacked = cells.select("low", "good", F.explode(F.array(
         *[F.struct(F.lit(f).alias("f"), F.col(f).alias("bin")) for f in FEATURES])).alias("v"))
     counts: dict[str, dict[int, tuple[int, int]]] = {f: {} for f in FEATURES}
@@ -158,34 +169,67 @@ def _best_condition(cells: DataFrame, cuts: dict[str, list[float]], low0: int, g
             low, good = low + x, good + y
             for above, a, b in ((False, low, good), (True, low0 - low, good0 - good)):
                 gain = _gain(a, b, low0, good0)
-                if gain > 1e-9 and (best is None or gain > best[0]):
+                if gain > 1e-9 and (best is None or gain > best[0]) and allowed((feature, above, at), a, b):
                     best = gain, (feature, above, at), a, b
     return best
 
 
+def _widened(labelled: DataFrame, earlier: list[Rule], rule: Rule) -> Rule:
+    """``rule`` with its last threshold half way to the nearest good row outside it, wherever its bin ends.
+
+    Only low rows lie between, so it grows no less precise; two aggregations to a row each.
+    """
+    *others, last = rule
+    rows = labelled.filter(verdict(earlier)).select("low", F.expr(FEATURES[last.feature]).alias("x"),
+                                                    *(c.test().alias(f"t{i}") for i, c in enumerate(others)))
+    for i in range(len(others)):
+        rows = rows.filter(f"t{i}")
+    nearest, furthest = (F.max, F.min) if last.above else (F.min, F.max)
+    outside = F.col("x") <= last.threshold if last.above else F.col("x") > last.threshold
+    good = rows.agg(nearest(F.when(outside & ~F.col("low"), F.col("x")))).first()[0]
+    if good is None:
+        return rule
+    beyond = F.col("x") > good if last.above else F.col("x") < good
+    low = rows.agg(furthest(F.when(beyond, F.col("x")))).first()[0]
+    if low is None:
+        return rule
+    middle = (good + low) / 2
+    threshold = min(middle, last.threshold) if last.above else max(min(middle, math.nextafter(good, -math.inf)), last.threshold)
+    return (*others, Condition(last.feature, last.above, threshold))
+
+
 def learn(statistics: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
-          bins: int = 48, most_rules: int = 12, most_conditions: int = 4,
+          bins: int = 48, most_rules: int = 12, most_conditions: int = 4, most_failed: int = 16,
           precision: float = 0.95, support: int = 3) -> list[Rule]:
     """Rules for low quality (label 0), in order, from all labelled rows of ``statistics``.
 
     A rule must reach ``precision`` on the pruning rows (a third, by hash of the
-    id) and on the growing rows, and cover ``support`` low rows in all.
+    id) and on the growing rows, and cover ``support`` low rows in all, one of the pruning rows among them.
+    After ``most_failed`` rules in a row that do not, the list ends.
     """
     known = labels.filter(F.col(label_col).isin(0, 1)).select(
         F.col(id_col), (F.col(label_col) == 0).alias("low"))
     labelled = (statistics.select(id_col, *COUNTS).join(known, id_col)
                 .withColumn("fold", F.when(F.pmod(F.xxhash64(id_col), F.lit(3)) == 0, "prune").otherwise("grow")))
+    labelled = stage(labelled, "labelled")
     cells, cuts = _cells(labelled, bins)
     rest = cells
     rules: list[Rule] = []
-    for _ in range(most_rules):
+    imprecise: set[tuple[str, bool]] = set()
+    refuted: set[tuple[str, bool, int]] = set()
+
+    def may_begin(condition: tuple[str, bool, int], low: int, good: int) -> bool:
+        return condition not in refuted and (condition[:2] not in imprecise or low >= precision * (low + good))
+
+    failed = 0
+    while len(rules) < most_rules and failed < most_failed:
         grow = rest.filter("fold = 'grow'")
         low, good = grow.agg(F.coalesce(F.sum("low"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
         if not low:
             break
         rule: list[tuple[str, bool, int]] = []
         while len(rule) < most_conditions and good:
-            best = _best_condition(grow.filter(_in_bins(rule)), cuts, low, good)
+            best = _best_condition(grow.filter(_in_bins(rule)), cuts, low, good, *([] if rule else [may_begin]))
             if best is None:
                 break
             rule.append(best[1])
@@ -202,10 +246,14 @@ def learn(statistics: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
             scores.append((worth, -n, low_p, good_p, low_g, good_g))
         worth, n, low_p, good_p, low_g, good_g = max(scores)
         precise = all(a >= precision * (a + b) for a, b in ((low_p, good_p), (low_g, good_g)))
-        if not precise or low_p + low_g < support:
-            break
+        if not precise or not low_p or low_p + low_g < support:
+            imprecise.add(rule[0][:2])
+            refuted.add(rule[0])
+            failed += 1
+            continue
+        failed = 0
         rule = rule[:1 - n]
-        rules.append(tuple(Condition(f, above, cuts[f][at]) for f, above, at in rule))
+        rules.append(_widened(labelled, rules, tuple(Condition(f, above, cuts[f][at]) for f, above, at in rule)))
         rest = rest.filter(~_in_bins(rule))
     return rules
 

@@ -5,8 +5,9 @@ paths that start with its own; the longest rule that fits decides.  URLs
 without a rule are judged by boosted trees (Spark ML, trained by Spark) on length,
 depth, digit ratio, entropy, parameter counts and statistics of the host's
 suffix.  Labelled URLs train the trees; suffix statistics (rows and smoothed
-share blocked, per last host label) come from all of them, the trees from at most
-``SAMPLE_ROWS`` of them, drawn by hash.
+share blocked, per last host label) come from all of them and are joined as a table.  The trees are
+fitted on distinct rows of features, each weighed by its number of URLs, so a repeated URL counts in full but is one row;
+beyond ``SAMPLE_ROWS`` such rows are drawn by hash.
 
 A URL that is null or has no ``://`` has an empty host and path, no rule, and
 is judged by its features (a null as an empty text).  Without labelled URLs of both kinds the
@@ -19,14 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.llm.common import BROADCAST_KEYS
 from tabulon.session import stage
 
-#: Labelled URLs that the trees are fitted on, at most; expected size of a draw by hash.
+#: Distinct rows of features that the trees are fitted on, at most; expected size of a draw by hash.
 SAMPLE_ROWS = 200_000
 #: Weight of the overall share blocked in a suffix's share.
 SMOOTHING = 10.0
-SUFFIXES = 10_000
-#: Labelled URLs in a leaf, at least.
+#: Distinct rows of features in a leaf, at least.
 LEAF_ROWS = 10
 
 Rules = list[tuple[str, str, str]]  # (verdict, host, path prefix)
@@ -98,44 +99,48 @@ def with_features(urls: DataFrame, url_col: str, host: str, path: str, prefix: s
 class UrlModel:
     """Boosted trees over lexical features, with suffix statistics; ``fit`` trains it."""
 
-    def __init__(self, model, suffixes: dict[str, tuple[float, float]], prior: float, default: str):
+    def __init__(self, model, suffixes: DataFrame | None, prior: float, default: str):
         self.model, self.suffixes, self.prior, self.default = model, suffixes, prior, default
 
     @classmethod
     def fit(cls, labelled: DataFrame, names: list[str], host: str, blocked: str,
             trees: int = 20, depth: int = 4, sample_rows: int = SAMPLE_ROWS) -> UrlModel:
         """``labelled`` has the features ``names``, the host and a boolean ``blocked``; it is stored."""
-        total, low, share = labelled.agg(
-            F.count(F.lit(1)), F.countDistinct(blocked), F.avg(F.col(blocked).cast("double"))).first()
+        low, share = labelled.agg(F.countDistinct(blocked), F.avg(F.col(blocked).cast("double"))).first()
         if low < 2:
-            return cls(None, {}, share or 0.0, "block" if share else "allow")
-        top = (labelled.groupBy(F.substring_index(host, ".", -1).alias("suffix"))
-               .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(blocked).cast("int")).alias("low"))
-               .orderBy(F.desc("n"), "suffix").limit(SUFFIXES))  # a bounded table of the commonest suffixes
-        suffixes = {r["suffix"]: (float(r["n"]), (r["low"] + SMOOTHING * share) / (r["n"] + SMOOTHING))
-                    for r in top.collect()}
+            return cls(None, None, share or 0.0, "block" if share else "allow")
+        counted = (labelled.groupBy(F.substring_index(host, ".", -1).alias("suffix"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(blocked).cast("int")).alias("low")))
+        suffixes = stage(counted.select(
+            "suffix", F.log1p(F.col("n").cast("double")).alias("suffix_rows"),
+            ((F.col("low") + SMOOTHING * share) / (F.col("n") + SMOOTHING)).alias("suffix_share")), "suffixes")
         self = cls(None, suffixes, share, "allow")
-        drawn = labelled
+        # the host matters to the trees by its suffix only
+        rows = (labelled.withColumn(host, F.substring_index(host, ".", -1))
+                .groupBy(*names, host, blocked).agg(F.count(F.lit(1)).cast("double").alias("weight")))
+        rows = stage(rows, "distinct-features")
+        total, drawn = rows.count(), rows
         if total > sample_rows:
             cut = int(sample_rows / total * (1 << 30))
-            drawn = labelled.filter(F.pmod(F.xxhash64(*names, host), F.lit(1 << 30)) < cut)
+            drawn = rows.filter(F.pmod(F.xxhash64(*names, host, blocked), F.lit(1 << 30)) < cut)
         from pyspark.ml.classification import GBTClassifier
 
         vectors = self._vectors(drawn.withColumn("label", F.col(blocked).cast("double")), names, host)
         self.model = GBTClassifier(
             maxIter=trees, maxDepth=depth, minInstancesPerNode=LEAF_ROWS, stepSize=0.2, seed=7, checkpointInterval=-1,
-            featuresCol="vector", labelCol="label").fit(vectors.select("vector", "label"))
+            featuresCol="vector", labelCol="label", weightCol="weight").fit(vectors.select("vector", "label", "weight"))
         return self
 
     def _vectors(self, urls: DataFrame, names: list[str], host: str) -> DataFrame:
         from pyspark.ml.feature import VectorAssembler
 
-        suffix = F.substring_index(host, ".", -1)
-        seen, bad = ({k: v[i] for k, v in self.suffixes.items()} for i in (0, 1))
-        table = [x for k in seen for x in (F.lit(k), F.lit(seen[k]))], [x for k in bad for x in (F.lit(k), F.lit(bad[k]))]
-        extra = {"suffix_rows": F.log1p(F.coalesce(F.try_element_at(F.create_map(*table[0]), suffix), F.lit(0.0))),
-                 "suffix_share": F.coalesce(F.try_element_at(F.create_map(*table[1]), suffix), F.lit(self.prior))}
-        return VectorAssembler(inputCols=[*names, *extra], outputCol="vector").transform(urls.withColumns(extra))
+        # a host may make a suffix of its own, so the table is broadcast by its count only
+        table = self.suffixes.withColumnRenamed("suffix", "_suffix")
+        table = F.broadcast(table) if self.suffixes.count() <= BROADCAST_KEYS else table.hint("merge")
+        joined = (urls.withColumn("_last", F.substring_index(host, ".", -1))
+                  .join(table, F.col("_last") == F.col("_suffix"), "left").drop("_last", "_suffix")
+                  .fillna({"suffix_rows": 0.0, "suffix_share": self.prior}))
+        return VectorAssembler(inputCols=[*names, "suffix_rows", "suffix_share"], outputCol="vector").transform(joined)
 
     def verdicts(self, urls: DataFrame, names: list[str], host: str, name: str) -> DataFrame:
         """``urls`` with ``allow`` or ``block`` in ``name``."""

@@ -212,6 +212,26 @@ def test_learned_list_on_held_out_rows(spark):
     assert sum(kept[i] == bool(q) for i, _, q in held_out) >= 0.98 * len(held_out)
 
 
+def test_rare_low_rows_above_good_ones_and_behind_an_imprecise_rule(spark):
+    rng = random.Random(81)
+    rows, labels = [], []
+    for i in range(20_000):
+        spam, mild = i % 200 == 0, i % 200 in (1, 2, 3)  # 0.5 % symbol spam above 1.5 % mildly symbolic good rows
+        short = i % 5 == 4                               # three fifths of the short ones are low: no precise rule
+        words = rng.randint(20, 60) if short else rng.randint(100, 900)
+        chars = 5 * words
+        share = rng.uniform(0.25, 0.4) if spam else rng.uniform(0.08, 0.12) if mild else rng.uniform(0, 0.01)
+        rows.append((i, words, chars, round(share * chars), 0, 0, rng.randint(0, chars // 50), words, rng.randint(1, 9)))
+        labels.append((i, 0 if spam or (short and rng.random() < 0.6) else 1))
+    table = spark.createDataFrame(rows, "doc_id bigint, " + ", ".join(f"{c} bigint" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_distinct_words", "n_lines")))
+    rules = quality_rules.learn(table, spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    low = {r.doc_id for r in table.filter(~quality_rules.verdict(rules)).collect()}
+    spam = {i for i in range(0, 20_000, 200)}
+    wrong = sum(1 for i in low if labels[i][1] == 1)
+    assert spam <= low and wrong <= 0.05 * len(low), [tuple(map(str, r)) for r in rules]
+
+
 def test_without_labels_all_but_the_base_rule_are_kept(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     got = quality_rules.judge(edge_table(spark), none).collect()
@@ -372,6 +392,50 @@ def test_trees_on_held_out_urls(spark):
     assert right >= 195
 
 
+@pytest.mark.parametrize("keys", [200_000, 0])
+def test_trees_with_hot_urls_and_a_suffix_for_each_host(spark, monkeypatch, keys):
+    monkeypatch.setattr(url_filter, "BROADCAST_KEYS", keys)
+    rng = random.Random(13)
+
+    def url(bad):
+        return f"http://{'x' * rng.randint(3, 9)}{rng.randint(1, 10**9)}/" + ("9" * rng.randint(30, 60) if bad else "about")
+
+    rows = [(url(i % 3 == 0), i % 3 == 0) for i in range(900)]
+    hot = [("https://hot.example.com/a", False)] * 500   # one URL, a third of all
+    labelled = spark.createDataFrame(rows[:800] + hot, "url string, blocked boolean")
+    pages = spark.createDataFrame(
+        [(i, u, "x", "y") for i, (u, _) in enumerate(rows)] + [(5000, hot[0][0], None, None)] * 3
+        + [(5001, "http://long.example.com/" + "z" * 200_000, "x", "y"), (None, None, None, None)],
+        "page_id bigint, url string, host string, Verdict string")
+    out = url_filter.judge(pages, [], labelled=labelled)
+    assert out.columns == ["page_id", "host", "path", "rule", "verdict"]
+    got = out.collect()
+    assert len(got) == 905 and [r.verdict for r in got if r.page_id == 5000] == ["allow"] * 3
+    by_id = {r.page_id: r.verdict for r in got}
+    assert sum((by_id[i] == "block") == bad for i, (_, bad) in enumerate(rows) if i >= 800) >= 97
+    assert by_id[5001] in ("allow", "block") and by_id[None] in ("allow", "block")
+
+
+def test_repeated_urls_are_one_row_of_the_sample(spark, monkeypatch):
+    rows = [(f"https://a{i}.example.com/{i}", i % 2 == 0) for i in range(300)] + [("https://hot.example.com/a", True)] * 3000
+    pages = spark.createDataFrame(rows, "url string, blocked boolean")
+    known, names = url_filter.with_features(
+        pages.withColumn("host", url_filter.host_of(url_filter.F.col("url")))
+        .withColumn("path", url_filter.path_of(url_filter.F.col("url"))), "url", "host", "path", "f_")
+    taken = []
+    vectors = url_filter.UrlModel._vectors
+
+    def seen(self, urls, *rest):
+        taken.append(urls.count())
+        return vectors(self, urls, *rest)
+
+    monkeypatch.setattr(url_filter.UrlModel, "_vectors", seen)
+    url_filter.UrlModel.fit(known, names, "host", "blocked", trees=2, depth=2)
+    url_filter.UrlModel.fit(known, names, "host", "blocked", trees=2, depth=2, sample_rows=10)
+    whole, drawn = taken
+    assert whole <= 301 and 1 <= drawn <= 30
+
+
 def test_entropy(spark):
     row = spark.createDataFrame([("aabb", "", "aaaa")], "a string, b string, c string").select(
         *(url_filter.entropy(url_filter.F.col(c)).alias(c) for c in "abc")).first()
