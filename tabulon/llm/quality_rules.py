@@ -153,14 +153,19 @@ def _gain(low: int, good: int, low0: int, good0: int) -> float:
     return low * (math.log2(low / (low + good)) - math.log2(low0 / (low0 + good0)))
 
 
-def _best_condition(cells: DataFrame, cuts: dict[str, list[float]], low0: int, good0: int,
-                    allowed: Callable[[tuple[str, bool, int], int, int], bool] = lambda *_: True):
-    """The ``allowed`` threshold with the most gain on ``cells``, from one aggregation per step."""
+def _bin_counts(cells: DataFrame) -> dict[str, dict[int, tuple[int, int]]]:
+    """Low and good rows per feature and bin, from one aggregation to at most features * bins rows."""
     stacked = cells.select("low", "good", F.explode(F.array(
         *[F.struct(F.lit(f).alias("f"), F.col(f).alias("bin")) for f in FEATURES])).alias("v"))
     counts: dict[str, dict[int, tuple[int, int]]] = {f: {} for f in FEATURES}
     for row in stacked.groupBy("v.f", "v.bin").agg(F.sum("low"), F.sum("good")).collect():
         counts[row[0]][row[1]] = (row[2], row[3])
+    return counts
+
+
+def _best_condition(counts: dict[str, dict[int, tuple[int, int]]], cuts: dict[str, list[float]], low0: int, good0: int,
+                    allowed: Callable[[tuple[str, bool, int], int, int], bool] = lambda *_: True):
+    """The ``allowed`` threshold with the most gain, by the ``counts`` of the rows so far."""
     best = None
     for feature in FEATURES:
         low = good = 0
@@ -221,15 +226,17 @@ def learn(statistics: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     def may_begin(condition: tuple[str, bool, int], low: int, good: int) -> bool:
         return condition not in refuted and (condition[:2] not in imprecise or low >= precision * (low + good))
 
-    failed = 0
+    failed, begin = 0, None  # `begin`: counts of all growing rows left; a failed rule leaves them as they are
     while len(rules) < most_rules and failed < most_failed:
         grow = rest.filter("fold = 'grow'")
-        low, good = grow.agg(F.coalesce(F.sum("low"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
+        begin = begin or _bin_counts(grow)
+        low, good = (sum(x[i] for x in begin[next(iter(FEATURES))].values()) for i in (0, 1))
         if not low:
             break
         rule: list[tuple[str, bool, int]] = []
         while len(rule) < most_conditions and good:
-            best = _best_condition(grow.filter(_in_bins(rule)), cuts, low, good, *([] if rule else [may_begin]))
+            best = (_best_condition(_bin_counts(grow.filter(_in_bins(rule))), cuts, low, good) if rule
+                    else _best_condition(begin, cuts, low, good, may_begin))
             if best is None:
                 break
             rule.append(best[1])
@@ -251,7 +258,7 @@ def learn(statistics: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
             refuted.add(rule[0])
             failed += 1
             continue
-        failed = 0
+        failed, begin = 0, None
         rule = rule[:1 - n]
         rules.append(_widened(labelled, rules, tuple(Condition(f, above, cuts[f][at]) for f, above, at in rule)))
         rest = rest.filter(~_in_bins(rule))
