@@ -15,7 +15,8 @@ is one phrase of d + 1 words, its size the phrase's count, and goes on at depth
 
 Scale: a bucket is about ``BUCKET_WORDS`` words, their number follows from the count of words (one
 pass over the text's length); owners hold one bucket at a time.  Equal suffixes of a task are combined before the
-shuffle, so copied texts and frequent phrases weigh once per task and batch.  A batch is at most ``BATCH_BYTES`` of text;
+shuffle, so copied texts and frequent phrases weigh once per task and batch.  A batch is at most ``BATCH_BYTES`` of text,
+held as numbers and a dictionary, and its buckets are packed one at a time;
 longer texts are cut between words, with the following words carried along.  Parts of phrases are joined by
 phrase, which is unique on the counts' side; Spark splits such a join where a part is hot.
 
@@ -34,13 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.llm.common import text_or_empty
+from tabulon.llm.common import release_memory, text_or_empty
 from tabulon.session import ship_package, stage
 
 #: Bytes that end a piece, as in the contract: ``. , ; : ! ?`` and line ends.
 PIECE_ENDS = b".,;:!?\n\v\f\r"
 BATCH_BYTES = 8 << 20
 BUCKET_WORDS = 1 << 20
+#: Bytes of packed rows handed on at a time.
+SENT_BYTES = 1 << 20
 
 _TABLE = bytearray(range(256))
 for _c in PIECE_ENDS:
@@ -86,13 +89,33 @@ def _following(text: bytes, at: int, n: int) -> list[bytes]:
     return more[:n]
 
 
+class _Numbers(dict):
+    """Numbers of words in the order they come; the end of a piece is -1."""
+
+    def __init__(self) -> None:
+        super().__init__({END: -1})
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self) - 1
+        return number
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+    def dictionary(self) -> np.ndarray:
+        out = np.empty(len(self) - 1, dtype=object)
+        out[:] = list(self)[1:]
+        return out
+
+
 def _windows(words: list[bytes], follow: int, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Dictionary of a batch, its suffixes as rows of numbers (-1: the piece has ended), and the words counted."""
-    ids, dictionary = pd.factorize(np.array(words, dtype=object))
-    ids = ids.astype(np.int32)
-    end = np.flatnonzero(dictionary == END)
-    if len(end):
-        ids[ids == end[0]] = -1
+    """Dictionary of some words, their suffixes as rows of numbers (-1: the piece has ended), and the words counted."""
+    numbers = _Numbers()
+    suffixes = _suffixes(numbers.of(words), follow, depth)
+    return numbers.dictionary(), suffixes, len(suffixes)
+
+
+def _suffixes(ids: np.ndarray, follow: int, depth: int) -> np.ndarray:
     padded = np.concatenate([ids, np.full(depth - 1, -1, np.int32)])
     n = len(ids) - follow
     out = np.empty((n, depth), np.int32)
@@ -101,14 +124,26 @@ def _windows(words: list[bytes], follow: int, depth: int) -> tuple[np.ndarray, n
         column = padded[d:d + n]
         gone |= column < 0
         out[:, d] = np.where(gone, -1, column)
-    out = out[out[:, 0] >= 0]
-    return dictionary, out, len(out)
+    return out[out[:, 0] >= 0]
 
 
 def _combined(suffixes: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct suffixes and how often each occurs."""
     if not len(suffixes):
         return suffixes, np.zeros(0, np.int64)
+    base = int(suffixes.max()) + 2
+    if weights is None and base ** suffixes.shape[1] < 1 << 63:  # one number for each suffix sorts faster, and in place
+        key = np.zeros(len(suffixes), np.int64)
+        for d in range(suffixes.shape[1]):
+            key = key * base + (suffixes[:, d] + 1)
+        key.sort()
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        counts, key = np.diff(np.r_[starts, len(key)]), key[starts]
+        out = np.empty((len(key), suffixes.shape[1]), np.int32)
+        for d in reversed(range(suffixes.shape[1])):
+            key, out[:, d] = np.divmod(key, base)
+        out -= 1
+        return out, counts
     order = np.lexsort(suffixes.T[::-1]) if suffixes.shape[1] > 1 else np.argsort(suffixes[:, 0], kind="stable")
     ordered = suffixes[order]
     starts = np.flatnonzero(np.r_[True, (ordered[1:] != ordered[:-1]).any(axis=1)])
@@ -122,26 +157,31 @@ def _hashes(dictionary: np.ndarray) -> np.ndarray:
     return pd.util.hash_array(np.array([w.decode("utf-8", "surrogateescape") for w in dictionary], dtype=object), categorize=False)
 
 
-def _packed(lang: str, words: list[bytes], follow: int, depth: int, buckets: int) -> Iterator[dict]:
-    """Suffixes of a batch, combined and packed for each bucket."""
-    dictionary, suffixes, _ = _windows(words, follow, depth)
+def _packed(lang: str, numbers: _Numbers, ids: np.ndarray, follow: int, depth: int, buckets: int) -> Iterator[dict]:
+    """Suffixes of a batch, combined and packed for each bucket, one bucket at a time."""
+    suffixes = _suffixes(ids, follow, depth)
     if not len(suffixes):
         return
+    dictionary = numbers.dictionary()
     hashed = _hashes(dictionary)
     ones = np.bincount(suffixes[:, 0], minlength=len(dictionary))
     alone = np.flatnonzero(ones).astype(np.int32)
     single = np.full((len(alone), depth), -1, np.int32)
     single[:, 0] = alone
     longer, counts = _combined(suffixes[suffixes[:, 1] >= 0] if depth > 1 else suffixes[:0])
+    del suffixes
     rows = np.concatenate([single, longer])
     counts = np.concatenate([ones[alone], counts]).astype(np.int64)
+    del longer
     mixed = hashed[rows[:, 0]]
     if depth > 1:
         second = np.where(rows[:, 1] >= 0, hashed[rows[:, 1]], np.uint64(0))
         mixed = (mixed ^ (second * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
     bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+    del mixed
     order = np.argsort(bucket, kind="stable")
     rows, counts, bucket = rows[order], counts[order], bucket[order]
+    del order
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     for lo, hi in zip(starts, [*starts[1:], len(rows)], strict=True):
         own = rows[lo:hi]
@@ -156,29 +196,39 @@ def _packed(lang: str, words: list[bytes], follow: int, depth: int, buckets: int
 def _batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int, batch_bytes: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("words", pa.list_(pa.binary())),
                         ("sizes", pa.binary()), ("suffixes", pa.binary())])
-    held: dict[str, list[bytes]] = {}
+    # words are numbered as they come, so that a batch is held as numbers and each word once
+    held: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
     size = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for lang, words in held.items():
-            yield from send(_packed(lang, words, 0, depth, buckets))
-        held.clear()
+        while held:
+            lang, (numbers, ids) = held.popitem()
+            joined = np.concatenate(ids)
+            del ids
+            yield from send(_packed(lang, numbers, joined, 0, depth, buckets))
+        release_memory()
 
     def send(rows: Iterable[dict]) -> Iterator[pa.RecordBatch]:
-        some = list(rows)
-        for at in range(0, len(some), 64):
-            yield pa.RecordBatch.from_pylist(some[at:at + 64], schema=schema)
+        some, n_bytes = [], 0
+        for row in rows:
+            some.append(row)
+            n_bytes += len(row["sizes"]) + len(row["suffixes"]) + 16 * len(row["words"])
+            if n_bytes >= SENT_BYTES:
+                yield pa.RecordBatch.from_pylist(some, schema=schema)
+                some, n_bytes = [], 0
+        if some:
+            yield pa.RecordBatch.from_pylist(some, schema=schema)
 
     for batch in batches:
         for lang, text in zip(*batch.columns, strict=True):
             data = text.as_py().encode("utf-8", "surrogatepass").translate(_TABLE)
             for words, follow in _slices(data, depth, batch_bytes):
                 if follow:  # part of a long text: by itself, for the words that follow are not its own
-                    yield from send(_packed(lang.as_py(), words, follow, depth, buckets))
+                    numbers = _Numbers()
+                    yield from send(_packed(lang.as_py(), numbers, numbers.of(words), follow, depth, buckets))
                     continue
-                mine = held.setdefault(lang.as_py(), [])
-                mine += words
-                mine.append(END)
+                numbers, ids = held.setdefault(lang.as_py(), (_Numbers(), []))
+                ids.append(numbers.of([*words, END]))
             size += len(data) + 16
             if size >= batch_bytes:
                 yield from flush()
@@ -239,12 +289,11 @@ def sort_suffixes(suffixes: np.ndarray, sizes: np.ndarray, least: int) -> Iterat
         starts = np.r_[0, np.cumsum(lengths)[:-1]].astype(np.int64) if len(lengths) else starts[:0]
 
 
-def _counted(rows: list[tuple], depth: int, least: int) -> Iterator[dict]:
-    """Phrases of one language and bucket, and its words in all (size 0)."""
-    lang = rows[0][0]
+def _counted(lang: str, rows: Iterable[tuple], depth: int, least: int) -> Iterator[dict]:
+    """Phrases of one language and bucket, and its words in all (size 0); ``rows`` are taken in one at a time."""
     words: dict[bytes, int] = {}
     suffixes, sizes = [], []
-    for _, _, own, size, packed in rows:
+    for own, size, packed in rows:
         number = np.array([words.setdefault(w, len(words)) for w in own] + [-1], np.int32)
         size = np.frombuffer(size, np.int64)
         suffixes.append(number[np.frombuffer(packed, np.int32).reshape(depth, len(size)).T])
@@ -257,9 +306,10 @@ def _counted(rows: list[tuple], depth: int, least: int) -> Iterator[dict]:
         yield {"lang": lang, "size": 0, "phrase": "", "occurrences": total}
     # words were dealt by themselves, longer suffixes by their two leading words: the one are counted to depth 1
     for mine, deepest, from_size in ((single, 1, 1), (~single, depth, 2)):
-        for size, heads, counts in sort_suffixes(suffixes[mine][:, :deepest], sizes[mine], least):
+        own = suffixes[mine][:, :deepest]
+        for size, heads, counts in sort_suffixes(own, sizes[mine], least):
             if size >= from_size:
-                for head, count in zip(suffixes[mine][heads][:, :size].tolist(), counts.tolist(), strict=True):
+                for head, count in zip(own[heads][:, :size].tolist(), counts.tolist(), strict=True):
                     yield {"lang": lang, "size": size, "phrase": b" ".join(names[i] for i in head).decode("utf-8", "surrogatepass"),
                            "occurrences": count}
 
@@ -278,14 +328,16 @@ def phrase_counts(documents: DataFrame, most_words: int, least: int, batch_bytes
         yield from _batches(batches, most_words, buckets, batch_bytes)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from itertools import groupby
+        from itertools import groupby, islice
 
         schema = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("occurrences", pa.int64())])
-        rows = (tuple(row.values()) for batch in batches for row in batch.to_pylist())
-        for _, own in groupby(rows, key=lambda row: (row[1], row[0])):
-            found = list(_counted(list(own), most_words, least))
-            for at in range(0, len(found), 10_000):
-                yield pa.RecordBatch.from_pylist(found[at:at + 10_000], schema=schema)
+        # a packed row is large: each is taken out of its batch when its turn comes
+        rows = (tuple(batch.slice(at, 1).to_pylist()[0].values()) for batch in batches for at in range(batch.num_rows))
+        for (_, lang), own in groupby(rows, key=lambda row: (row[1], row[0])):
+            found = _counted(lang, (row[2:] for row in own), most_words, least)
+            while some := list(islice(found, 10_000)):
+                yield pa.RecordBatch.from_pylist(some, schema=schema)
+        release_memory()
 
     packed = texts.mapInArrow(cut, PACKED)
     owned = packed.repartition(min(buckets, _partitions(documents)), "bucket").sortWithinPartitions("bucket", "lang")

@@ -278,6 +278,29 @@ def test_texts_longer_than_a_batch_are_cut_between_words():
         assert {k: v for k, v in counts.items() if v >= 2} == want
 
 
+def test_a_batch_is_held_as_numbers_and_packed_bucket_by_bucket():
+    """Words of a batch are not held as objects, nor all its buckets at once: memory stays near that of the numbers."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = [f"word{i:05d}" for i in range(4_000)]
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(500)]  # 2 MB of text, 200,000 words
+    batches = (pa.RecordBatch.from_pydict({"lang": ["en"] * 100, "text": texts[at:at + 100]}) for at in range(0, 500, 100))
+    tracemalloc.start()
+    try:
+        rows = 0
+        for out in collocations._batches(batches, 3, 64, 8 << 20):
+            assert out.nbytes < 4 * collocations.SENT_BYTES
+            rows += out.num_rows
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 64
+    assert peak < 24e6, peak
+
+
 def test_sorted_suffixes_are_counted_as_a_dictionary_would():
     rng = np.random.default_rng(1)
     for n, k, least in [(0, 3, 1), (1, 3, 1), (500, 2, 1), (3_000, 9, 10), (3_000, 400, 3)]:
