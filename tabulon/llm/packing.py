@@ -42,7 +42,7 @@ from tabulon.llm.token_counts import byte_symbols
 from tabulon.session import ship_package, stage
 
 #: Chunks remembered per Python worker, and the longest one worth remembering.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 250_000
 CACHE_CHARS = 32
 #: Start prices favour long pieces a little.
 TILT = 1.02
@@ -93,6 +93,11 @@ class ChunkEncoder:
         self.heads, self.tails = _Chunks(self, ""), _Chunks(self, " ")
         self.line_feed = self.whole("\n")
 
+    def forget(self) -> None:
+        """Drops the remembered chunks; a worker that waits between tasks holds the vocabulary only."""
+        self.heads.clear()
+        self.tails.clear()
+
     def whole(self, text: str) -> bytes:
         return array("I", self.model.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -167,6 +172,7 @@ def piece_table(docs: DataFrame, vocabulary_path: str, capacity: int, end_id: in
             out = [pa.array(x, longs) for x in (starts, lengths, crcs)]
             return [*out, pa.array(ids, pa.list_(longs))] if with_ids else out
 
+        work.close = encoder.forget
         return work
 
     names = ["start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
