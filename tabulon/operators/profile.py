@@ -1,18 +1,22 @@
 """Inspection and profiling.
 
 Per-column work is done in one job by unpivoting the columns into
-``(column_name, value)`` rows.  Top-k per column uses ``row_number() <= k``,
-which Spark executes with a group limit on each map partition before the
-shuffle, so a column with billions of distinct values still sends only ``k``
-rows per map task to the final ranking.
+``(column_name, value)`` rows.  Top-k per column keeps ``k`` candidates while a
+task reads its batches and ranks those, so a column with billions of distinct
+values is never sorted, and sends only ``k`` rows per map task to the final ranking.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.operators.ranking import free_name, global_rank
+from tabulon.session import ship_package
 
 
 def rows_per_group(df: DataFrame, by: str | list[str]) -> DataFrame:
@@ -79,6 +83,33 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     return out
 
 
+def _candidates(df: DataFrame, columns: list[str], k: int, orders: list[list[tuple[str, str]]]) -> DataFrame:
+    """``(column_name, value)``: of each task, the distinct values in one of the first ``k`` places by some order.
+
+    An order names ``value`` and ``length`` with their directions.  A task holds a batch of rows and at most ``k``
+    values for each column and order, however many rows it reads; sorting them all would take memory for each.
+    """
+    ship_package(df.sparkSession)
+    texts = df.select(*[F.col("`" + c.replace("`", "``") + "`").cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {(i, j): pa.array([], pa.string()) for i in range(len(columns)) for j in range(len(orders))}
+        for batch in batches:
+            for i in range(len(columns)):
+                new = pc.unique(batch.column(i).drop_null().cast(pa.string()))
+                for j, order in enumerate(orders):
+                    values = pc.unique(pa.concat_arrays([held[i, j], new]))
+                    if len(values) > k:
+                        table = pa.table({"value": values, "length": pc.utf8_length(values)})
+                        values = values.take(pc.select_k_unstable(table, k, order))
+                    held[i, j] = values
+        for (i, _), values in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([columns[i]] * len(values), pa.string()), values],
+                                             names=["column_name", "value"])
+
+    return texts.mapInArrow(run, "column_name string, value string")
+
+
 def _least_distinct(values: DataFrame, by: list[str], order: list[str], k: int) -> DataFrame:
     """The first ``k`` distinct rows of each group by ``order`` (all columns but ``by``), with their ``rank``.
 
@@ -96,7 +127,7 @@ def _least_distinct(values: DataFrame, by: list[str], order: list[str], k: int)
 
 def column_samples(df: DataFrame, columns: list[str] | None = None, k: int = 10) -> DataFrame:
     """A9 sample: the first ``k`` distinct non-null values per column, by value."""
-    values = unpivot_text(df, columns).where(F.col("value").isNotNull())
+    values = _candidates(df, columns or df.columns, k, [[("value", "ascending")]])
     return _least_distinct(values, ["column_name"], ["value"], k)
 
 
@@ -108,7 +139,8 @@ def extreme_lengths(df: DataFrame, columns: list[str], k: int = 10) -> DataFrame
     length = F.length("value")
     ends = F.explode(F.array(F.struct(F.lit("shortest").alias("end"), length.alias("by_length")),
                              F.struct(F.lit("longest").alias("end"), (-length).alias("by_length"))))
-    values = (unpivot_text(df, columns).where(F.col("value").isNotNull())
+    orders = [[("length", by), ("value", "ascending")] for by in ("ascending", "descending")]
+    values = (_candidates(df, columns, k, orders)
               .select("column_name", "value", ends.alias("e")).select("column_name", "value", "e.end", "e.by_length"))
     least = _least_distinct(values, ["column_name", "end"], ["by_length", "value"], k)
     return least.select("column_name", "end", "rank", "value", F.abs("by_length").alias("length"))

@@ -133,3 +133,20 @@ def test_duplicates_by_identity_move_whole_rows_once(spark, scratch):
     flagged = quality.flag_duplicates(df, ["k"], ["pos"], identity=identity)
     assert flagged.columns == ["k", "pos", "payload", "is_duplicate"]
     assert flagged.where("not is_duplicate").count() == 6
+
+
+def test_top_k_candidates_are_found_without_sorting_all_rows(spark):
+    """What is sorted is what a task's batches left over, a few rows for each column and end."""
+    rows = [("a" * (1 + i % 70) + str(i), None if i % 7 == 0 else f"ö{i % 500}") for i in range(5_000)]
+    df = spark.createDataFrame(rows, "a string, `b.c` string").repartition(3)
+    orders = [[("length", by), ("value", "ascending")] for by in ("ascending", "descending")]
+    left = profile._candidates(df, ["a", "b.c"], 4, orders)
+    assert left.count() <= 3 * 2 * 2 * 4
+    found = {(r.column_name, r.value) for r in left.collect()}
+    for c, i in (("a", 0), ("b.c", 1)):
+        values = {r[i] for r in rows if r[i] is not None}
+        for sign in (1, -1):
+            want = sorted(values, key=lambda v: (sign * len(v), v.encode()))[:4]
+            assert {(c, v) for v in want} <= found
+    p = plan(profile.extreme_lengths(df, ["a", "b.c"], 4))
+    assert p.rindex("MapInArrow") > p.rindex("Sort ["), "nothing is sorted below the candidates"
