@@ -49,6 +49,17 @@ def _parts(df: DataFrame) -> int:
     return max(1, -(-rows // ROWS_PER_PART), min(2 * slots, -(-rows // MIN_ROWS_PER_PART)))
 
 
+#: Bytes of text in a part file of a multi-line extract, about: several splits, and not too much for the task that writes it.
+PART_BYTES = 256 << 20
+
+
+def in_large_parts(df: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``df`` in one partition for each ``part_bytes`` of its text, for extracts of few, large files; nothing is shuffled."""
+    widths = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) if kind == "string" else F.lit(8) for c, kind in df.dtypes]
+    total = df.select(sum(widths, F.lit(0)).cast("long").alias("n")).agg(F.sum("n")).first()[0] or 0
+    return df.coalesce(max(1, -(-total // part_bytes)))
+
+
 def yearly_layout(layout: int) -> list[str]:
     cols = list(ORDER_COLUMNS)
     if layout == 1:

@@ -107,16 +107,16 @@ def csv_quoted_roundtrip(spark, sf_dir):
 
 
 def one_file_csv(spark: SparkSession, sf_dir: str) -> str:
-    """``documents`` as one multi-line CSV file."""
+    """``documents`` as one multi-line CSV file, or one for each ``fixtures.PART_BYTES`` of text."""
     def build(root):
         docs = table(spark, sf_dir, "documents")
-        docs.coalesce(1).write.options(**CSV_WRITE_OPTIONS).csv(root)
+        fixtures.in_large_parts(docs).write.options(**CSV_WRITE_OPTIONS).csv(root)
     return _fixture(spark, sf_dir, "documents-one-csv", build)
 
 
 @register("csv_split_multiline", "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
 def csv_split_multiline(spark, sf_dir):
-    """S1 at scale: one file of multi-line records, read in as many tasks as it has splits."""
+    """S1 at scale: large files of multi-line records, each read in as many tasks as it has splits."""
     root = one_file_csv(spark, sf_dir)
     raw = read_csv_split(spark, scan_files(file_inventory(spark, root), root))
     return conform(raw, DOCUMENTS_SCHEMA)
@@ -1006,11 +1006,11 @@ WITH per AS (SELECT source, count(*) AS n, bool_and(text NOT LIKE '%"%' AND text
 SELECT source, reader, CAST(n AS BIGINT) AS n_rows, CASE reader WHEN 'naive' THEN plain ELSE true END AS equal
 FROM per, (VALUES ('naive'), ('quote_aware'), ('split')) AS r(reader)""")
 def reader_parity_content(spark, sf_dir):
-    """Q6: whether each reader gives the rows of each source's file, proven by order-free fingerprints.  A naive
+    """Q6: whether each reader gives the rows of each source's files, proven by order-free fingerprints.  A naive
     reader differs wherever a text holds a quote or a line break."""
     docs = table(spark, sf_dir, "documents")
     def build(root):
-        docs.coalesce(1).write.options(**CSV_WRITE_OPTIONS).partitionBy("source").csv(root)
+        fixtures.in_large_parts(docs).write.options(**CSV_WRITE_OPTIONS).partitionBy("source").csv(root)
     root = _fixture(spark, sf_dir, "documents-by-source-csv", build)
     files = scan_files(file_inventory(spark, root), root)
     columns = ["doc_id", "text", "lang", "n_chars"]

@@ -97,3 +97,16 @@ def test_prepare_reads_in_splits(spark, scratch, small_splits):
     root = yearly_orders(spark, SF_SMALL)
     assert as_rows(prepare(spark, root, ORDERS, multi_line="split").rows, *ORDERS.names) == \
         as_rows(prepare(spark, root, ORDERS).rows, *ORDERS.names)
+
+
+def test_large_extracts_are_written_in_parts(spark, scratch):
+    """No task writes, or reads as one file, more than a part's text; a small table is one file."""
+    from tabulon.plans.fixtures import in_large_parts
+
+    spark.range(4_000, numPartitions=8).selectExpr("id", "repeat(cast(id % 10 as string), 100) as text").write.parquet(scratch)
+    df = spark.read.parquet(scratch)
+    assert in_large_parts(df).rdd.getNumPartitions() == 1
+    parts = in_large_parts(df, 108_000)
+    assert parts.rdd.getNumPartitions() == 4
+    assert as_rows(parts, "id", "text") == as_rows(df, "id", "text")
+    assert in_large_parts(df.where("id < 0")).count() == 0
