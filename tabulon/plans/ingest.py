@@ -9,7 +9,7 @@ Sequential per-file MERGEs in file-name order equal one consolidated MERGE of
 rows: only the last file holding a key matters.  So the whole folder is one job:
 
     one CSV parse -> staged Parquet (gates observed on the way)
-                  -> per key the place of its last row (file, block, row): a map-side maximum
+                  -> per repeated key the place of its last row (file, block, row): a map-side maximum
                   -> anti join + union against the master -> new version
 
 instead of N merges that each rewrite the master.
@@ -129,7 +129,7 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
             # Observed during staging; the sample is only looked up when there is one.
             bad = typed.where(~no_null).select(FILE, BLOCK, ROW).limit(5).collect()
             raise GateFailed(f"NULL key {keys} in {[tuple(r) for r in bad]}")
-        per_key, repeated, most = _per_key(typed, no_null, keys, f"{staging}/keys")
+        distinct_keys, repeated, places = _per_key(typed, no_null, keys, f"{staging}/keys")
         if on_duplicate == "fail" and repeated:
             dup = repeated_keys(typed.where(no_null), SOURCE, keys).limit(20).collect()
             raise GateFailed(f"key {keys} not unique within an extract: {[tuple(r) for r in dup]}")
@@ -139,31 +139,47 @@ def prepare(spark: SparkSession, root: str, spec: TableSpec, *, pattern: str = "
         raise
 
     rows = typed
-    if most > 1:
-        # only winners' places travel besides the rows; a place is unique, so there is no hot key here
-        places = per_key.select(*[F.col(f"last.{c}").alias(c) for c in (SEQ, BLOCK, ROW)])
-        rows = typed.where(no_null).join(places, [SEQ, BLOCK, ROW], "left_semi")
+    if places is not None:
+        # only places travel besides the rows; a place is unique, so there is no hot key here
+        rows = typed.where(no_null).join(places[0], [SEQ, BLOCK, ROW], places[1])
         if metrics["null_keys"]:
             rows = rows.unionByName(typed.where(~no_null).select(*rows.columns))
     headers = files_set.headers(spark)
     return Prepared(rows.select(*spec.names), typed, headers, extra_columns(headers, spec.schema), inventory, metrics,
-                    files_set, staging, empty, per_key.select(*keys))
+                    files_set, staging, empty, distinct_keys)
 
 
-def _per_key(typed: DataFrame, no_null: Column, keys: list[str], path: str) -> tuple[DataFrame, int, int]:
-    """Q1, the keys and the winners from one aggregate over the staged narrow columns, stored at ``path``.
+def _per_key(typed: DataFrame, no_null: Column, keys: list[str], path: str) -> tuple[DataFrame, int, tuple[DataFrame, str] | None]:
+    """Q1, the keys and the winners from aggregates over the staged narrow columns, stored below ``path``.
 
-    ``(keys..., n, last)`` with the place of the last row per key; also the number of keys that an extract
-    repeats (a key has more rows than extracts) and the most rows of a key: with 1, every row is its key's last.
+    The keys; the number of them that an extract repeats (a key has more rows than extracts); and where a key has several
+    rows, a table of places with the join that leaves the last row of each key.  Keys are first counted, by hash; places and
+    extracts are gathered only for rows of repeated keys, or for all where these are most.
     """
-    last = F.max(F.struct(SEQ, BLOCK, ROW))
+    place = [SEQ, BLOCK, ROW]
+    rows = typed.where(no_null).select(*keys, SOURCE, *place)
     seen = Observation("ingest_per_key")
-    counted = typed.where(no_null).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.size(F.collect_set(SOURCE)).alias("sources"), last.alias("last"))
-    per_key = stage_to(counted.observe(seen, F.count_if(F.col("n") > F.col("sources")).alias("repeated"),
-                                       F.max("n").alias("most")), path)
-    repeated, most = seen.get["repeated"], seen.get["most"]
-    return per_key, repeated, most or 0
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).observe(
+        seen, F.count_if(F.col("n") > 1).alias("keys"), F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("repeated"))
+    per_key = stage_to(counted, f"{path}/counts")
+    found = seen.get
+    if not found["keys"]:
+        return per_key.select(*keys), 0, None
+
+    few = 2 * found["repeated"] < found["rows"]
+    if few:
+        rows = rows.join(per_key.where("n > 1").select(*keys), keys, "left_semi")
+    sources = Observation("ingest_sources")
+    last = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.size(F.collect_set(SOURCE)).alias("sources"),
+                                   F.max(F.struct(*place)).alias("last"))
+    last = stage_to(last.observe(sources, F.count_if(F.col("n") > F.col("sources")).alias("repeated")), f"{path}/last")
+    if few:
+        earlier = rows.join(last.select(*keys, "last"), keys).where(F.struct(*place) < F.col("last")).select(*place)
+        places = stage_to(earlier, f"{path}/earlier"), "left_anti"
+    else:
+        places = last.select(*[F.col(f"last.{c}").alias(c) for c in place]), "left_semi"
+    return per_key.select(*keys), sources.get["repeated"], places
 
 
 def _check_date_lengths(metrics: dict, limit: int) -> None:

@@ -295,3 +295,29 @@ def test_rejected_texts_are_kept_per_file(spark, scratch):
     got = sorted((r._file, r.column_name, r.text, r.n, r["rank"]) for r in prep.reject_sample().collect())
     assert got == [("a.csv", "D", "x", 2, 1), ("a.csv", "V", "y", 1, 1), ("a.csv", "V", "z", 1, 2), ("b.csv", "D", "2020-13-40", 1, 1)]
     assert {(r._file, r.text) for r in prep.reject_sample(1).collect()} == {("a.csv", "x"), ("a.csv", "y"), ("b.csv", "2020-13-40")}
+
+
+def test_keys_are_counted_by_hash_and_places_looked_up_for_repeated_ones(spark, scratch):
+    """Keys of one row need neither their place nor their extracts; winners are the same few or many keys repeat."""
+    from pyspark.sql import functions as F
+
+    from tabulon.plans.ingest import _per_key
+
+    def places(rows, name):
+        df = spark.createDataFrame(rows, "k int, _source string, _seq int, _block long, _row long").repartition(3)
+        keys, repeated, found = _per_key(df, F.col("k").isNotNull(), ["k"], f"{scratch}/{name}")
+        assert sorted(r.k for r in keys.collect()) == sorted({r[0] for r in rows if r[0] is not None})
+        if found is None:
+            return repeated, None
+        kept = df.where("k is not null").join(found[0], ["_seq", "_block", "_row"], found[1])
+        return repeated, sorted(tuple(r) for r in kept.select("k", "_source", "_seq", "_block", "_row").collect())
+
+    single = [(i, "a", 0, 0, i) for i in range(50)] + [(None, "a", 0, 0, 60)] * 2
+    assert places(single, "single") == (0, None)
+    last = lambda rows: sorted({r[0]: r for r in sorted(rows, key=lambda r: r[2:]) if r[0] is not None}.values())
+    across = single + [(3, "b", 1, 0, 0), (4, "b", 1, 0, 1)]
+    assert places(across, "across") == (0, last(across))
+    within = across + [(5, "b", 1, 7, 0), (5, "b", 1, 7, 1)]
+    assert places(within, "within") == (1, last(within))
+    many = [(i % 5, "ab"[i % 2], i % 2, 0, i) for i in range(40)]
+    assert places(many, "many") == (5, last(many))
